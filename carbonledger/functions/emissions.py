@@ -116,3 +116,12 @@ def emissions_by_join(df: DataFrame, factors: DataFrame, mode: str, tier_km: str
     result = F.when(F.col("__mode").isNotNull(), val).otherwise(F.lit(default).cast("double"))
     return joined.withColumn(out, result).drop("__mode", "km_lo", "km_hi", "lo_closed", "hi_closed", "add_km",
                                                  "mul", "factor")
+
+
+def canonical_transport(col) -> Column:
+    """Map either label generation (``Avion`` / ``Plane`` ...) onto the canonical modes; others -> ``other``."""
+    from ..fixed import OTHER, TRANSPORT_LABELS_EN, TRANSPORT_LABELS_FR, TRANSPORT_MODES
+    pairs = {**TRANSPORT_LABELS_FR, **TRANSPORT_LABELS_EN, **{m: m for m in TRANSPORT_MODES}}
+    m = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+    c = F.trim(_c(col))
+    return F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.coalesce(m[c], F.lit(OTHER)))

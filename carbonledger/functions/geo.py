@@ -64,3 +64,32 @@ def geodesic_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     x = f"(({s} - sin({s})) * pow(sin({p}) * cos({q}), 2) / pow(cos({s} / 2), 2))"
     y = f"(({s} + sin({s})) * pow(cos({p}) * sin({q}), 2) / pow(sin({s} / 2), 2))"
     return f"(CASE WHEN {s} = 0 THEN 0.0e0 ELSE {a} * ({s} - ({f} / 2) * ({x} + {y})) END)"
+
+
+def with_geodesic_km(df, lat1: str, lon1: str, lat2: str, lon2: str, out: str = "km",
+                     a_km: float = WGS84_A_KM, f: float = WGS84_F):
+    """``geodesic_km`` computed in stages (one projection per level).
+
+    Each intermediate (reduced latitudes, central angle, ...) is an aliased
+    column evaluated once per row; Catalyst does not inline an expensive alias
+    that is referenced several times, so the generated code stays small.
+    """
+    t = "__geo_"
+    s1 = df.select("*",
+                   F.atan((1 - f) * F.tan(F.radians(F.col(lat1)))).alias(t + "b1"),
+                   F.atan((1 - f) * F.tan(F.radians(F.col(lat2)))).alias(t + "b2"),
+                   (F.radians(F.col(lon2)) - F.radians(F.col(lon1))).alias(t + "dl"))
+    b1, b2, dl = F.col(t + "b1"), F.col(t + "b2"), F.col(t + "dl")
+    h = F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin(dl / 2), 2)
+    s2 = s1.select("*", (2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))).alias(t + "s"),
+                   ((b1 + b2) / 2).alias(t + "p"), ((b2 - b1) / 2).alias(t + "q"))
+    s, p, q = F.col(t + "s"), F.col(t + "p"), F.col(t + "q")
+    x = (s - F.sin(s)) * F.try_divide(F.pow(F.sin(p) * F.cos(q), 2), F.pow(F.cos(s / 2), 2))
+    y = (s + F.sin(s)) * F.try_divide(F.pow(F.cos(p) * F.sin(q), 2), F.pow(F.sin(s / 2), 2))
+    s3 = s2.select("*", x.alias(t + "x"), y.alias(t + "y"))
+    xc, yc = F.col(t + "x"), F.col(t + "y")
+    km = (F.when(s.isNull(), F.lit(None).cast("double"))
+          .when(s == 0, F.lit(0.0))
+          .when(xc.isNull() | yc.isNull(), haversine_km(lat1, lon1, lat2, lon2))
+          .otherwise(a_km * (s - (f / 2) * (xc + yc))))
+    return s3.withColumn(out, km).drop(*[t + n for n in ("b1", "b2", "dl", "s", "p", "q", "x", "y")])
