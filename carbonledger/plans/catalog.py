@@ -18,14 +18,14 @@ from .. import fixed
 from ..functions.emissions import emission, emission_sql
 from ..functions.rules import rule_expr
 from ..functions.text import clamp_low
-from ..operators.dimensions import build_dimension, pool
+from ..operators.dimensions import build_dimension
 from ..operators.fill import fill_nulls_by_key, new_rows
 from ..operators.harmonise import harmonise, translate_sql, translation_table
 from ..operators.impute import impute_category
-from ..operators.keys import sequential_index
 from ..operators.places import gazetteer_match
 from ..operators.quality import max_by_condition, profile, unique_values
 from . import questions as q
+from . import star
 from .model import DriverModel, ModelSQL
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -305,10 +305,7 @@ SELECT CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS date_id, d AS date FRO
   SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem) u
 WHERE d IS NOT NULL""")
 def _dim_date(m):
-    o = m.table("orders").select(F.to_date("o_orderdate").alias("d"))
-    li = m.table("lineitem").select(F.to_date("l_shipdate").alias("d"))
-    dates = pool([o, li], [["d"], ["d"]], ["date"])
-    return build_dimension(dates, "date_id", blank_policy="drop")
+    return star.dim_date(m)
 
 
 @register("dim_location", f"""
@@ -317,9 +314,7 @@ SELECT CAST(row_number() OVER (ORDER BY city, country) AS INTEGER) AS location_i
   SELECT dep_city AS city, dep_country AS country FROM em UNION SELECT dst_city, dst_country FROM em) u
 WHERE city IS NOT NULL AND trim(city) <> '' AND country IS NOT NULL AND trim(country) <> ''""")
 def _dim_location(m):
-    e = m.enriched_missions()
-    places = pool([e, e], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"])
-    return build_dimension(places, "location_id", blank_policy="drop")
+    return star.dim_location(m)
 
 
 @register("dim_equipment_type", f"""
@@ -374,20 +369,7 @@ SELECT row_number() OVER (PARTITION BY site_id ORDER BY person_id NULLS LAST, mi
          transport_id NULLS LAST, is_return NULLS LAST) AS fact_id, *
 FROM f""")
 def _fact_mission(m):
-    mis = m.missions(FACT_WINDOW)
-    tr = build_dimension(mis.select("transport"), "transport_id")
-    ty = build_dimension(mis.select("mission_type"), "type_id")
-    p = m.persons().select("site_id", "person_id", F.col("home_location_id").alias("dep_location_id"))
-    f = (p.join(mis, "person_id", "left")
-         .join(F.broadcast(tr), "transport", "left")
-         .join(F.broadcast(ty), "mission_type", "left")
-         .select("site_id", "person_id", "mission_key", "leg", "mission_date", "dep_location_id", "dst_location_id",
-                 "type_id", "transport_id", "is_return"))
-    order = ["person_id", "mission_date", "mission_key", "leg", "dst_location_id", "type_id", "transport_id",
-             "is_return"]
-    out = sequential_index(f, order, partition_cols=["site_id"], out="fact_id")
-    return out.select("fact_id", "site_id", "person_id", "mission_key", "leg", "mission_date", "dep_location_id",
-                      "dst_location_id", "type_id", "transport_id", "is_return")
+    return star.fact_mission(m, FACT_WINDOW)
 
 
 @register("fact_equipment", f"""
@@ -398,14 +380,7 @@ SELECT row_number() OVER (PARTITION BY site_id ORDER BY person_id NULLS LAST, pu
          equipment_key NULLS LAST, leg NULLS LAST, equip_type NULLS LAST, equip_model NULLS LAST) AS fact_id, *
 FROM f""")
 def _fact_equipment(m):
-    e = m.equipment(FACT_WINDOW).drop("site_id", "job_function")
-    p = m.persons().select("site_id", "person_id")
-    f = p.join(e, "person_id", "left").select("site_id", "person_id", "equipment_key", "leg", "purchase_date",
-                                              "equip_type", "equip_model")
-    order = ["person_id", "purchase_date", "equipment_key", "leg", "equip_type", "equip_model"]
-    out = sequential_index(f, order, partition_cols=["site_id"], out="fact_id")
-    return out.select("fact_id", "site_id", "person_id", "equipment_key", "leg", "purchase_date", "equip_type",
-                      "equip_model")
+    return star.fact_equipment(m, FACT_WINDOW)
 
 
 # --- D10 harmonisation ------------------------------------------------------

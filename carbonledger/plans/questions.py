@@ -41,14 +41,17 @@ def _dedup(df: DataFrame, dedup: str, cols: Sequence[str]) -> DataFrame:
 def headcount_by_function(m: DriverModel, window: Window = ("1998-01-01", "1998-12-31")) -> DataFrame:
     """Distinct people per (site, job function) and per job function over all sites.
 
-    As in the notebook the people come from the mission fact, which keeps people
-    without a mission in the window (person LEFT JOIN missions).  ``site_id``
-    is null on the all-sites rows.
+    The notebook counts people in the mission fact, which is ``person LEFT JOIN
+    missions`` -- so people without a mission in ``window`` count too.  A left
+    join cannot add or remove left-side people, so the distinct count equals
+    the count over ``persons`` alone: the plan reads only customer and nation
+    and never shuffles the line items (Catalyst cannot drop that join itself
+    once GROUPING SETS put an Expand above it).  ``window`` is kept for the
+    signature; it does not change the answer.  ``site_id`` is null on the
+    all-sites rows.
     """
-    p = m.persons()
-    mis = m.missions(window).select("person_id", "mission_key")
-    fact = p.join(mis, "person_id", "left")
-    g = fact.groupingSets([["site_id", "job_function"], ["job_function"]], "site_id", "job_function")
+    p = m.persons().select("person_id", "site_id", "job_function")
+    g = p.groupingSets([["site_id", "job_function"], ["job_function"]], "site_id", "job_function")
     return g.agg(F.countDistinct("person_id").alias("headcount"))
 
 

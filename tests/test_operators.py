@@ -105,3 +105,20 @@ def test_gazetteer_match_best_allowed(spark):
     f = {(r.city, r.country): (r.lat, r.lon) for r in found.collect()}
     assert f == {("Paris", "France"): (48.85, 2.35), ("Paris", "USA"): (33.66, -95.55)}
     assert [(r.city, r.country) for r in missing.collect()] == [("Nowhere", "X")]
+
+
+def test_write_star_schema_partitions_facts(spark, tmp_path):
+    from carbonledger.plans.model import DriverModel
+    from carbonledger.plans.star import write_star_schema
+    m = DriverModel(spark, "/root/testdata/sf0.001")
+    out = str(tmp_path / "star")
+    names = write_star_schema(m, out, window=("1998-05-01", "1998-10-31"))
+    assert "fact_mission" in names
+    fm = spark.read.parquet(f"{out}/fact_mission")
+    assert {"site_id", "year_month"} <= set(fm.columns)
+    persons = spark.read.parquet(f"{out}/dimension_person").count()
+    # every person appears (left join), ids are dense per site
+    assert fm.select("person_id").distinct().count() == persons
+    per_site = fm.groupBy("site_id").agg(F.count("*").alias("n"), F.max("fact_id").alias("mx"),
+                                         F.countDistinct("fact_id").alias("d")).collect()
+    assert all(r.n == r.mx == r.d for r in per_site)
