@@ -35,5 +35,6 @@ def build_dimension(values: DataFrame, key: str, blank_policy: str = "drop", sen
     elif blank_policy != "keep":
         raise ValueError(f"unknown blank_policy {blank_policy!r}")
     distinct = values.distinct()
-    keyed = sequential_index(distinct, order_cols=list(order_cols or cols), out=key)
+    keyed = sequential_index(distinct, order_cols=list(order_cols or cols), out=key,
+                             split_ties=order_cols is not None)
     return keyed.select(F.col(key).cast("int").alias(key), *cols)

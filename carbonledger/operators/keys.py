@@ -35,11 +35,24 @@ def _sort_col(c) -> Column:
 
 
 def sequential_index(df: DataFrame, order_cols: Sequence, partition_cols: Sequence[str] = (),
-                     out: str = "idx", num_partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
+                     out: str = "idx", num_partitions: int | None = None, checkpoint: bool = True,
+                     split_ties: bool = True) -> DataFrame:
+    """Number rows 1..n per group of ``partition_cols`` in ``order_cols`` order.
+
+    ``split_ties``: rows may repeat on (group, order) -- a hot group of copies.
+    Range partitioning cannot split equal keys, so each row first gets a unique
+    tie-break id on a checkpointed copy of the input (stable under
+    recomputation) and that id becomes the last sort key.  Pass ``False`` when
+    the input is known to be distinct on those columns (dimension builders).
+    """
     spark = df.sparkSession
     part = list(partition_cols)
     order = [_sort_col(c) for c in order_cols]
     keys = [F.col(c).asc_nulls_last() for c in part] + order
+    if split_ties:
+        ensure_checkpoint_dir(spark)
+        df = df.withColumn("__tie", F.monotonically_increasing_id()).checkpoint(eager=True)
+        keys = keys + [F.col("__tie").asc()]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
@@ -66,10 +79,10 @@ def sequential_index(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
     cond = [F.col("__pid") == F.col("__rpid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in part]
     joined = tagged.join(r, cond, "inner")
     idx = (F.col("__offset") + (F.col("__pos") - F.col("__first")) + 1).cast("long")
-    return joined.withColumn(out, idx).drop("__pid", "__pos", "__rpid", "__first", "__offset",
+    return joined.withColumn(out, idx).drop("__pid", "__pos", "__rpid", "__first", "__offset", "__tie",
                                             *[f"__g_{c}" for c in part])
 
 
 def dense_keys(df: DataFrame, cols: Sequence[str], out: str, **kw) -> DataFrame:
     """Distinct values of ``cols`` numbered 1..n in sort order (surrogate key of a dimension)."""
-    return sequential_index(df.select(*cols).distinct(), order_cols=list(cols), out=out, **kw)
+    return sequential_index(df.select(*cols).distinct(), order_cols=list(cols), out=out, split_ties=False, **kw)

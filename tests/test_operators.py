@@ -122,3 +122,15 @@ def test_write_star_schema_partitions_facts(spark, tmp_path):
     per_site = fm.groupBy("site_id").agg(F.count("*").alias("n"), F.max("fact_id").alias("mx"),
                                          F.countDistinct("fact_id").alias("d")).collect()
     assert all(r.n == r.mx == r.d for r in per_site)
+
+
+def test_sequential_index_splits_a_group_of_copies(spark):
+    # A third of the rows are exact copies of one key: they must still spread over partitions.
+    rows = [("hot", 1)] * 1000 + [("g", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, k int")
+    got = sequential_index(df, ["k"], partition_cols=["g"], out="idx", num_partitions=8)
+    hot = got.filter(F.col("g") == "hot")
+    assert sorted(r.idx for r in hot.collect()) == list(range(1, 1001))
+    ranged = df.withColumn("__t", F.monotonically_increasing_id()).repartitionByRange(8, "g", "k", "__t")
+    sizes = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in sizes) < 1000
