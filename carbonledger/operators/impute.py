@@ -1,16 +1,16 @@
 """Categorical imputation with a Spark ML pipeline (multinomial naive Bayes).
 
-Replaces a driver-side scikit-learn fit: tokenise the text column, count terms,
+Replaces a driver-side scikit-learn fit: tokenise the text column, count terms (hashed),
 fit multinomial naive Bayes (Laplace smoothing 1) on the labelled rows, predict
 the rows whose label is missing.  Training and prediction are distributed; only
-the model (classes x vocabulary counts) reaches the driver.
+the model (classes x hashed-term counts) reaches the driver.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizer, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +20,14 @@ from ..functions.text import is_blank
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
 
-def fit_imputer(labelled: DataFrame, text_col: str, label_col: str, vocab_size: int = 1 << 18,
+def fit_imputer(labelled: DataFrame, text_col: str, label_col: str, num_features: int = 1 << 20,
                 smoothing: float = 1.0):
     indexer = StringIndexer(inputCol=label_col, outputCol="__label", stringOrderType="alphabetAsc")
     tok = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=TOKEN_PATTERN, gaps=False,
                          toLowercase=True)
-    cv = CountVectorizer(inputCol="__tokens", outputCol="__features", vocabSize=vocab_size)
+    # Term counts hashed into a fixed space: no vocabulary is fitted or collected to
+    # the driver, every token of every (whole) text counts, one pass fewer.
+    cv = HashingTF(inputCol="__tokens", outputCol="__features", numFeatures=num_features)
     nb = NaiveBayes(featuresCol="__features", labelCol="__label", predictionCol="__pred",
                     smoothing=smoothing, modelType="multinomial")
     pipe = Pipeline(stages=[indexer, tok, cv, nb])

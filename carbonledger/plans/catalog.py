@@ -115,6 +115,15 @@ def _q13(m):
     return q.period_emissions(m, JULY, [2], mission_type="Vocational Training")
 
 
+@register("site_period_emissions_dedup", f"""
+WITH {S.enriched_ctes(JULY, EUROPE)}
+SELECT count(*) AS n_missions, round(sum(carbon_kg) / {T}, 2) AS carbon_t FROM (
+  SELECT DISTINCT person_id, mission_date, dep_city, dep_country, dst_city, dst_country, transport, is_return,
+         km_one_way, carbon_kg FROM em) d""")
+def _q8_dedup(m):
+    return q.period_emissions(m, JULY, EUROPE, dedup="reference")
+
+
 # --- Q9 top days ----------------------------------------------------------------
 @register("top_emission_days", f"""
 WITH {S.enriched_ctes()}
@@ -190,6 +199,16 @@ def _q15(m):
     return q.average_age(m, "Vocational Training", JUL_SEP, "1998-09-30")
 
 
+@register("average_age_distinct_people", f"""
+WITH per AS ({S.persons()}), mis AS ({S.missions(JUL_SEP)})
+SELECT count(*) AS n_rows,
+       round(avg(floor(date_diff('day', p.birth_date, DATE '1998-09-30') / 365.25e0)), 5) AS average_age
+FROM (SELECT DISTINCT person_id FROM mis WHERE mission_type = 'Vocational Training') m
+JOIN per p ON m.person_id = p.person_id""")
+def _q15_people(m):
+    return q.average_age(m, "Vocational Training", JUL_SEP, "1998-09-30", distinct_people=True)
+
+
 # --- Q16 destination --------------------------------------------------------
 @register("worst_destination", f"""
 WITH {S.enriched_ctes(MAY_OCT)}
@@ -429,6 +448,18 @@ def _d11(m):
     return profile(_documents_labels(m))
 
 
+@register("has_atypicals", f"""
+WITH p AS ({_profile_sql()})
+SELECT kind, coalesce(max(n_affected > 0), false) AS has_atypicals FROM p WHERE applicable GROUP BY kind
+UNION ALL SELECT 'nan' AS kind, false AS has_atypicals""")
+def _d11b(m):
+    from ..operators.quality import has_atypicals
+    d = _documents_labels(m)
+    return has_atypicals(d, "null").select(F.lit("null").alias("kind"), "has_atypicals") \
+        .unionByName(has_atypicals(d, "empty").select(F.lit("empty").alias("kind"), "has_atypicals")) \
+        .unionByName(has_atypicals(d, "nan").select(F.lit("nan").alias("kind"), "has_atypicals"))
+
+
 # --- A13 unique values --------------------------------------------------------
 @register("unique_values", """
 SELECT DISTINCT nation_key FROM (SELECT c_nationkey AS nation_key FROM customer UNION ALL
