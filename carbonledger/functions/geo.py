@@ -72,24 +72,27 @@ def with_geodesic_km(df, lat1: str, lon1: str, lat2: str, lon2: str, out: str =
 
     Each intermediate (reduced latitudes, central angle, ...) is an aliased
     column evaluated once per row; Catalyst does not inline an expensive alias
-    that is referenced several times, so the generated code stays small.
+    that is referenced several times, so the generated code stays small.  The
+    stages are written as SQL text: one parse per stage instead of hundreds of
+    Python-to-JVM calls to assemble the expression tree.
     """
     t = "__geo_"
-    s1 = df.select("*",
-                   F.atan((1 - f) * F.tan(F.radians(F.col(lat1)))).alias(t + "b1"),
-                   F.atan((1 - f) * F.tan(F.radians(F.col(lat2)))).alias(t + "b2"),
-                   (F.radians(F.col(lon2)) - F.radians(F.col(lon1))).alias(t + "dl"))
-    b1, b2, dl = F.col(t + "b1"), F.col(t + "b2"), F.col(t + "dl")
-    h = F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin(dl / 2), 2)
-    s2 = s1.select("*", (2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))).alias(t + "s"),
-                   ((b1 + b2) / 2).alias(t + "p"), ((b2 - b1) / 2).alias(t + "q"))
-    s, p, q = F.col(t + "s"), F.col(t + "p"), F.col(t + "q")
-    x = (s - F.sin(s)) * F.try_divide(F.pow(F.sin(p) * F.cos(q), 2), F.pow(F.cos(s / 2), 2))
-    y = (s + F.sin(s)) * F.try_divide(F.pow(F.cos(p) * F.sin(q), 2), F.pow(F.sin(s / 2), 2))
-    s3 = s2.select("*", x.alias(t + "x"), y.alias(t + "y"))
-    xc, yc = F.col(t + "x"), F.col(t + "y")
-    km = (F.when(s.isNull(), F.lit(None).cast("double"))
-          .when(s == 0, F.lit(0.0))
-          .when(xc.isNull() | yc.isNull(), haversine_km(lat1, lon1, lat2, lon2))
-          .otherwise(a_km * (s - (f / 2) * (xc + yc))))
-    return s3.withColumn(out, km).drop(*[t + n for n in ("b1", "b2", "dl", "s", "p", "q", "x", "y")])
+    fa, fr = repr(a_km), repr(f)
+    s1 = df.selectExpr(
+        "*",
+        f"atan((1 - {fr}) * tan(radians(`{lat1}`))) AS {t}b1",
+        f"atan((1 - {fr}) * tan(radians(`{lat2}`))) AS {t}b2",
+        f"radians(`{lon2}`) - radians(`{lon1}`) AS {t}dl")
+    h = f"pow(sin(({t}b2 - {t}b1) / 2), 2) + cos({t}b1) * cos({t}b2) * pow(sin({t}dl / 2), 2)"
+    s2 = s1.selectExpr("*", f"2 * asin(sqrt(least(1.0e0, {h}))) AS {t}s", f"({t}b1 + {t}b2) / 2 AS {t}p",
+                       f"({t}b2 - {t}b1) / 2 AS {t}q")
+    s3 = s2.selectExpr(
+        "*",
+        f"({t}s - sin({t}s)) * try_divide(pow(sin({t}p) * cos({t}q), 2), pow(cos({t}s / 2), 2)) AS {t}x",
+        f"({t}s + sin({t}s)) * try_divide(pow(cos({t}p) * sin({t}q), 2), pow(sin({t}s / 2), 2)) AS {t}y")
+    hav = (f"2 * {EARTH_MEAN_RADIUS_KM!r} * asin(sqrt(least(1.0e0, pow(sin((radians(`{lat2}`) - radians(`{lat1}`)) / 2), 2)"
+           f" + cos(radians(`{lat1}`)) * cos(radians(`{lat2}`)) * pow(sin({t}dl / 2), 2))))")
+    km = (f"CASE WHEN {t}s IS NULL THEN CAST(NULL AS DOUBLE) WHEN {t}s = 0 THEN 0.0e0 "
+          f"WHEN {t}x IS NULL OR {t}y IS NULL THEN {hav} "
+          f"ELSE {fa} * ({t}s - ({fr} / 2) * ({t}x + {t}y)) END")
+    return s3.withColumn(out, F.expr(km)).drop(*[t + n for n in ("b1", "b2", "dl", "s", "p", "q", "x", "y")])

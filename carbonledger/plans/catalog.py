@@ -296,8 +296,8 @@ def _d5b(m):
 WITH {S.enriched_ctes()}
 SELECT DISTINCT dep_city, dep_country, dst_city, dst_country, round(km_one_way, 3) AS km FROM em""")
 def _d2(m):
-    e = m.enriched_missions()
-    return e.select("dep_city", "dep_country", "dst_city", "dst_country", F.round("km_one_way", 3).alias("km")).distinct()
+    r = m.route_distances()
+    return r.select("dep_city", "dep_country", "dst_city", "dst_country", F.round("km_one_way", 3).alias("km"))
 
 
 @register("mission_distance_floor", f"""

@@ -23,7 +23,7 @@ Physical plan, per entity:
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,7 @@ from ..operators.broadcast import bounded_broadcast, fixed_broadcast
 from ..operators.harmonise import translate_expr, translate_sql
 
 Window = tuple[str, str] | None
+_SCHEMAS: dict = {}
 
 
 def _map_or(col: Column, mapping: dict, default: str) -> Column:
@@ -48,9 +49,25 @@ def _map_or(col: Column, mapping: dict, default: str) -> Column:
 class DriverModel:
     spark: SparkSession
     sf_dir: str
+    _tables: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The driver table, read once per model.
+
+        The schema is inferred from the Parquet footer the first time a path is
+        seen in this process and passed explicitly afterwards, which skips the
+        footer read on every later query.
+        """
+        if name not in self._tables:
+            path = f"{self.sf_dir}/{name}.parquet"
+            schema = _SCHEMAS.get(path)
+            if schema is None:
+                df = self.spark.read.parquet(path)
+                _SCHEMAS[path] = df.schema
+            else:
+                df = self.spark.read.schema(schema).parquet(path)
+            self._tables[name] = df
+        return self._tables[name]
 
     # -- fixed-size dimensions --------------------------------------------
     def sites(self) -> DataFrame:
@@ -137,12 +154,40 @@ class DriverModel:
                      F.col("a.country").alias("dst_country"), F.col("a.lat").alias("__alat"),
                      F.col("a.lon").alias("__alon")))
         j = with_geodesic_km(j, "__dlat", "__dlon", "__alat", "__alon", out="km_one_way")
-        total = F.col("km_one_way") * F.when(F.col("is_return"), F.lit(2.0)).otherwise(F.lit(1.0))
+        total = "(km_one_way * CASE WHEN is_return THEN 2.0e0 ELSE 1.0e0 END)"
         return j.select(
             "mission_key", "leg", "person_id", "site_id", "site", "job_function", "birth_date", "mission_ts",
             "mission_date", "mission_type", "transport", "is_return", "dep_city", "dep_country", "dst_city",
             "dst_country", "km_one_way",
-            emission("transport", "km_one_way", total, "A").alias("carbon_kg"))
+            F.expr(emission_sql("transport", "km_one_way", total, "A")).alias("carbon_kg"))
+
+    def routes(self, window: Window = None) -> DataFrame:
+        """Distinct (departure, destination) location ids actually travelled.
+
+        The distinct runs as a partial aggregate inside each task, so at most
+        (#locations)^2 rows per task cross the shuffle, however many trips.
+        """
+        p = self.persons().select("person_id", "home_location_id")
+        m = self.missions(window, people=p)
+        return m.select(F.col("home_location_id").alias("dep_id"), F.col("dst_location_id").alias("dst_id")).distinct()
+
+    def route_distances(self, window: Window = None) -> DataFrame:
+        """dep/dst city and country with the one-way km, one row per travelled route.
+
+        Names and coordinates are attached after the distinct, so the
+        trigonometry runs once per route, not once per trip.
+        """
+        loc = fixed_broadcast(self.locations())
+        d, a = loc.alias("d"), loc.alias("a")
+        r = (self.routes(window)
+             .join(d, F.col("dep_id") == F.col("d.location_id"))
+             .join(a, F.col("dst_id") == F.col("a.location_id"))
+             .select(F.col("d.city").alias("dep_city"), F.col("d.country").alias("dep_country"),
+                     F.col("a.city").alias("dst_city"), F.col("a.country").alias("dst_country"),
+                     F.col("d.lat").alias("__dlat"), F.col("d.lon").alias("__dlon"),
+                     F.col("a.lat").alias("__alat"), F.col("a.lon").alias("__alon")))
+        return with_geodesic_km(r, "__dlat", "__dlon", "__alat", "__alon", out="km_one_way") \
+            .drop("__dlat", "__dlon", "__alat", "__alon")
 
     # -- equipment ---------------------------------------------------------
     def equipment(self, window: Window = None) -> DataFrame:

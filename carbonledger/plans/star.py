@@ -24,8 +24,9 @@ def dim_date(m: DriverModel) -> DataFrame:
 
 
 def dim_location(m: DriverModel) -> DataFrame:
-    e = m.enriched_missions()
-    places = pool([e, e], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"])
+    """Departure and destination places of the trips (distinct routes first, then names)."""
+    r = m.route_distances()
+    places = pool([r, r], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"])
     return build_dimension(places, "location_id", blank_policy="drop")
 
 
