@@ -18,11 +18,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import reliable_checkpoint
 from .broadcast import bounded_broadcast
 
 _POS_MASK = (1 << 33) - 1
@@ -50,8 +49,7 @@ def sequential_index(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
     order = [_sort_col(c) for c in order_cols]
     keys = [F.col(c).asc_nulls_last() for c in part] + order
     if split_ties:
-        ensure_checkpoint_dir(spark)
-        df = df.withColumn("__tie", F.monotonically_increasing_id()).checkpoint(eager=True)
+        df = reliable_checkpoint(df.withColumn("__tie", F.monotonically_increasing_id()))
         keys = keys + [F.col("__tie").asc()]
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -60,13 +58,8 @@ def sequential_index(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
         "__pos", mid.bitwiseAND(F.lit(_POS_MASK)))
     if checkpoint:
         # Reliable checkpoint (shared spark.checkpoint.dir): partition ids and
-        # positions survive executor loss.  Persist first so the checkpoint write
-        # does not recompute the range shuffle.
-        ensure_checkpoint_dir(spark)
-        tagged.persist(StorageLevel.MEMORY_AND_DISK)
-        checkpointed = tagged.checkpoint(eager=True)
-        tagged.unpersist()
-        tagged = checkpointed
+        # positions survive executor loss and recomputation.
+        tagged = reliable_checkpoint(tagged)
     runs = tagged.groupBy("__pid", *part).agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__n"))
     w = Window.partitionBy(*part).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if part else \
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -59,3 +59,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="carbonledger-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` in the shared checkpoint folder and return the truncated-lineage copy.
+
+    The input is persisted first so the eager checkpoint's count and its write
+    do not compute it twice; the persisted copy is released once the files are
+    written.  Never a local (executor-disk) checkpoint: the files survive the
+    loss of any executor.
+    """
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.fill import new_rows
-from ..session import ensure_checkpoint_dir
+from ..session import reliable_checkpoint
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -64,7 +64,6 @@ def append_new_rows(df: DataFrame, path: str, fmt: str = "parquet", key_specs: S
     fresh = new_rows(df.select(*[c for c in target.columns if c in df.columns]), target, key_specs)
     # Materialise the new rows in the shared checkpoint folder before appending,
     # so the append never reads files it is writing.
-    ensure_checkpoint_dir(spark)
-    fresh = fresh.checkpoint(eager=True)
+    fresh = reliable_checkpoint(fresh)
     fresh.write.format(fmt).options(**writer_opts).mode("append").save(path)
     return None

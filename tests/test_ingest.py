@@ -59,3 +59,15 @@ def test_laptops_bought_may_oct(equipment):
     n = equipment.filter((F.col("TYPE") == "PC portable")
                          & F.to_date("DATE_ACHAT").between("2024-05-01", "2024-10-31")).count()
     assert n == 506
+
+
+def test_profile_on_raw_cells(spark):
+    from carbonledger.operators.quality import profile
+    from carbonledger.sources import schemas
+    from carbonledger.sources.raw import read_delimited
+    raw = read_delimited(spark, f"{RAW_ROOT}/BDD_BGES_*/BDD_BGES_*_INFORMATIQUE/*.txt", schemas.EQUIPMENT)
+    p = {(r.column_name, r.kind): r for r in profile(raw.drop(schemas.CORRUPT)).collect()}
+    assert p[("TYPE", "empty")].n_affected == 414
+    assert p[("MODELE", "empty")].n_affected == 183
+    assert p[("TYPE", "null")].n_affected == 0 and p[("DATE_ACHAT", "null")].n_affected == 0
+    assert p[("TYPE", "empty")].n_rows == 2139
