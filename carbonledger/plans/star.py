@@ -76,3 +76,62 @@ def write_star_schema(m: DriverModel, out_dir: str, window: Window = None, overw
     for name, (df, parts) in tables.items():
         save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
     return list(tables)
+
+
+def raw_star_tables(raw, window: Window = None) -> dict[str, DataFrame]:
+    """The star schema built from the raw daily drops (``RawModel``).
+
+    Dimensions: site, person, model (blank -> "NULL"), type, date (purchase and
+    mission days pooled), transport, mission type, location (departure and
+    destination pairs pooled).  Facts: person LEFT JOIN missions with
+    dimension keys, person LEFT JOIN purchases with natural type/model values;
+    both carry a per-site sequential fact id.  Dimension joins are broadcast
+    behind a row bound (they are distinct value sets).
+    """
+    from ..operators.broadcast import bounded_broadcast
+    mis = raw.missions(window)
+    eq = raw.equipment(window)
+    persons = raw.persons()
+    dims = {
+        "dimension_site": raw.sites(),
+        "dimension_person": persons,
+        "dimension_model": build_dimension(eq.select(F.col("equip_model").alias("model")), "model_id",
+                                           blank_policy="sentinel"),
+        "dimension_type": build_dimension(eq.select(F.col("equip_type").alias("type")), "type_id"),
+        "dimension_date": build_dimension(pool([eq, mis], [["purchase_date"], ["mission_date"]], ["date"]),
+                                          "date_id"),
+        "dimension_transport": build_dimension(mis.select("transport"), "transport_id"),
+        "dimension_mission_type": build_dimension(mis.select("mission_type"), "mission_type_id"),
+        "dimension_location": build_dimension(
+            pool([mis, mis], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"]),
+            "location_id"),
+    }
+    b = {k: bounded_broadcast(v) for k, v in dims.items() if k not in ("dimension_person",)}
+    loc = b["dimension_location"]
+    d = loc.select(F.col("location_id").alias("dep_location_id"), F.col("city").alias("dep_city"),
+                   F.col("country").alias("dep_country"))
+    a = loc.select(F.col("location_id").alias("dst_location_id"), F.col("city").alias("dst_city"),
+                   F.col("country").alias("dst_country"))
+    m = (mis.join(d, ["dep_city", "dep_country"], "left").join(a, ["dst_city", "dst_country"], "left")
+         .join(b["dimension_transport"], "transport", "left")
+         .join(b["dimension_mission_type"], "mission_type", "left")
+         .join(b["dimension_date"].withColumnRenamed("date", "mission_date"), "mission_date", "left")
+         .select("person_id", "mission_key", "date_id", "dep_location_id", "dst_location_id", "mission_type_id",
+                 "transport_id", "is_return", "mission_date"))
+    f = persons.select("person_id", "site_id").join(m, "person_id", "left")
+    fm = sequential_index(f, ["person_id", "mission_date", "mission_key"], partition_cols=["site_id"], out="fact_id")
+    e = eq.drop("site_id", "job_function", "leg", "purchase_ts")
+    fe = persons.select("person_id", "site_id").join(e, "person_id", "left")
+    fe = sequential_index(fe, ["person_id", "purchase_date", "equipment_key"], partition_cols=["site_id"],
+                          out="fact_id")
+    return {**dims, "fact_mission": fm.drop("mission_date").select("fact_id", *[c for c in fm.columns
+                                                                                 if c not in ("fact_id", "mission_date")]),
+            "fact_equipment": fe.select("fact_id", *[c for c in fe.columns if c != "fact_id"])}
+
+
+def write_raw_star_schema(raw, out_dir: str, window: Window = None, overwrite: bool = True) -> list[str]:
+    tables = raw_star_tables(raw, window)
+    for name, df in tables.items():
+        parts = ("site_id",) if name.startswith("fact_") else ()
+        save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
+    return list(tables)

@@ -141,3 +141,29 @@ def test_purchases_with_impacts_and_imputation(spark):
     want_t = laptops.agg(F.sum(F.length("MODELE") * 10.0)).first()[0] / 1000
     assert got.n_purchases == want_n and want_n >= 506
     assert got.carbon_t == pytest.approx(want_t, abs=0.006)
+
+
+def test_raw_star_schema_golden_counts(spark, tmp_path):
+    from carbonledger.plans.star import raw_star_tables, write_raw_star_schema
+    raw = RawModel(spark, RAW_ROOT, impute=False)
+    t = raw_star_tables(raw)
+    assert t["dimension_date"].count() == 200
+    assert t["dimension_location"].count() == 33
+    assert t["dimension_transport"].count() == 3
+    assert t["dimension_mission_type"].count() == 5
+    assert t["dimension_model"].filter(F.col("model") == "NULL").count() == 1
+    # every mission lands in the fact with all its keys; people without a mission keep one null row
+    fm = t["fact_mission"]
+    assert fm.filter(F.col("mission_key").isNotNull()).count() == 245
+    keyed = fm.filter(F.col("mission_key").isNotNull())
+    assert keyed.filter(F.col("dep_location_id").isNull() | F.col("dst_location_id").isNull()
+                        | F.col("date_id").isNull() | F.col("transport_id").isNull()).count() == 0
+    people = raw.persons().count()
+    assert fm.select("person_id").distinct().count() == people
+    fe = t["fact_equipment"]
+    assert fe.filter(F.col("equipment_key").isNotNull()).count() == 2139
+    per_site = fm.groupBy("site_id").agg(F.count("*").alias("n"), F.max("fact_id").alias("mx")).collect()
+    assert all(r.n == r.mx for r in per_site)
+    names = write_raw_star_schema(raw, str(tmp_path / "star"))
+    assert spark.read.parquet(str(tmp_path / "star" / "fact_mission")).count() == fm.count()
+    assert len(names) == 10

@@ -50,3 +50,19 @@ def test_imputation_recovers_hidden_languages(spark):
     n, ok = j.count(), j.filter(F.col("lang") == F.col("truth")).count()
     assert n > 0 and ok / n > 0.95
     assert out.count() == spark.read.parquet(f"{SF_MID}/documents.parquet").count()
+
+
+def test_register_views_and_sql(spark):
+    from carbonledger.operators.columns import register_views
+    register_views({"cl_sites": site_dimension(spark)})
+    assert spark.sql("SELECT count(*) AS n FROM cl_sites").first().n == 6
+
+
+def test_combined_full_outer_keeps_one_sided_groups(spark):
+    from carbonledger.plans import questions as q
+    from carbonledger.plans.model import DriverModel
+    m = DriverModel(spark, "/root/testdata/sf0.001")
+    inner = {r.site_id: r.total_t for r in q.combined_emissions(m, "site_id").collect()}
+    outer = {r.site_id: r.total_t for r in q.combined_emissions(m, "site_id", how="full_outer").collect()}
+    assert set(inner) <= set(outer)
+    assert all(abs(outer[k] - v) < 1e-9 for k, v in inner.items())
