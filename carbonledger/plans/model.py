@@ -51,6 +51,9 @@ class DriverModel:
     sf_dir: str
     _tables: dict = field(default_factory=dict, repr=False)
 
+    def path(self, name: str) -> str:
+        return f"{self.sf_dir}/{name}.parquet"
+
     def table(self, name: str) -> DataFrame:
         """The driver table, read once per model.
 
@@ -59,7 +62,7 @@ class DriverModel:
         footer read on every later query.
         """
         if name not in self._tables:
-            path = f"{self.sf_dir}/{name}.parquet"
+            path = self.path(name)
             schema = _SCHEMAS.get(path)
             if schema is None:
                 df = self.spark.read.parquet(path)

@@ -30,11 +30,21 @@ def dim_location(m: DriverModel) -> DataFrame:
     return build_dimension(places, "location_id", blank_policy="drop")
 
 
-def fact_mission(m: DriverModel, window: Window) -> DataFrame:
-    """person LEFT JOIN missions in ``window`` (people without a trip keep one row of nulls)."""
+def mission_dims(m: DriverModel, window: Window) -> tuple[DataFrame, DataFrame]:
+    """Transport and mission-type dimensions of the trips in ``window`` (keys in label order)."""
     mis = m.missions(window)
-    tr = build_dimension(mis.select("transport"), "transport_id")
-    ty = build_dimension(mis.select("mission_type"), "type_id")
+    return (build_dimension(mis.select("transport"), "transport_id"),
+            build_dimension(mis.select("mission_type"), "type_id"))
+
+
+def fact_mission(m: DriverModel, window: Window, dims: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """person LEFT JOIN missions in ``window`` (people without a trip keep one row of nulls).
+
+    ``dims``: the (transport, mission type) dimensions whose keys the fact
+    uses; built from the same trips when not given.
+    """
+    mis = m.missions(window)
+    tr, ty = dims or mission_dims(m, window)
     p = m.persons().select("site_id", "person_id", F.col("home_location_id").alias("dep_location_id"))
     f = (p.join(mis, "person_id", "left")
          .join(F.broadcast(tr), "transport", "left")
@@ -61,14 +71,24 @@ def fact_equipment(m: DriverModel, window: Window) -> DataFrame:
 
 
 def write_star_schema(m: DriverModel, out_dir: str, window: Window = None, overwrite: bool = True) -> list[str]:
-    """Write every dimension and both facts under ``out_dir``; returns the table names."""
+    """Write the dimensions and both facts under ``out_dir``; returns the table names.
+
+    The fact keys point into the written dimensions: transport and mission
+    type keys come from the same dimension frames (materialised once), and
+    locations keep their natural key with coordinates (the gazetteer).  Facts
+    are partitioned by site and month, so ``StarModel`` questions prune
+    directories by site and period.
+    """
+    tr, ty = mission_dims(m, window)
     tables = {
         "dimension_site": (m.sites(), ()),
-        "dimension_location": (dim_location(m), ()),
+        "dimension_location": (m.locations(), ()),
         "dimension_date": (dim_date(m), ()),
         "dimension_person": (m.persons(), ()),
+        "dimension_transport": (tr, ()),
+        "dimension_mission_type": (ty, ()),
         "it_impacts": (m.impacts(), ()),
-        "fact_mission": (fact_mission(m, window).withColumn("year_month", year_month("mission_date")),
+        "fact_mission": (fact_mission(m, window, (tr, ty)).withColumn("year_month", year_month("mission_date")),
                          ("site_id", "year_month")),
         "fact_equipment": (fact_equipment(m, window).withColumn("year_month", year_month("purchase_date")),
                            ("site_id", "year_month")),
