@@ -193,19 +193,24 @@ class DriverModel:
             .drop("__dlat", "__dlon", "__alat", "__alon")
 
     # -- equipment ---------------------------------------------------------
-    def equipment(self, window: Window = None) -> DataFrame:
+    def equipment(self, window: Window = None, people: DataFrame | None = None) -> DataFrame:
         """One purchase per lineitem: equipment_key, leg, person_id, site_id, job_function,
-        purchase_ts, purchase_date, equip_type, equip_model."""
+        purchase_ts, purchase_date, equip_type, equip_model.
+
+        As for trips, orders meet the buyers before the line items, so the
+        line-item-sized stream is shuffled twice (order key, part key); a filter
+        on ``people`` (site, job function) shrinks the orders first.
+        """
         li = self.table("lineitem")
         if window:
             li = li.filter(day_range("l_shipdate", *window))
         li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+        p = (people if people is not None else self.persons()).select("person_id", "site_id", "job_function")
         o = self.table("orders").select("o_orderkey", "o_custkey")
+        o = o.join(p, o["o_custkey"] == p["person_id"]).drop("o_custkey")
         part = self.table("part").select("p_partkey", "p_type", "p_brand")
-        p = self.persons().select("person_id", "site_id", "job_function")
         j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-             .join(part, F.col("l_partkey") == part["p_partkey"])
-             .join(p, F.col("o_custkey") == p["person_id"]))
+             .join(part, F.col("l_partkey") == part["p_partkey"]))
         return j.select(
             F.col("l_orderkey").alias("equipment_key"), F.col("l_linenumber").alias("leg"), "person_id", "site_id",
             "job_function", F.col("l_shipdate").alias("purchase_ts"), F.to_date("l_shipdate").alias("purchase_date"),

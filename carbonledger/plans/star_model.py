@@ -70,9 +70,9 @@ class StarModel(DriverModel):
                 "mission_date", "mission_type", "transport", "is_return", "dst_location_id"]
         return j.select(*cols, *extra)
 
-    def equipment(self, window: Window = None) -> DataFrame:
+    def equipment(self, window: Window = None, people: DataFrame | None = None) -> DataFrame:
         f = self._fact("fact_equipment", "equipment_key", "purchase_date", window)
-        p = self.persons().select("person_id", "site_id", "job_function")
+        p = (people if people is not None else self.persons()).select("person_id", "site_id", "job_function")
         return (f.join(p, ["person_id", "site_id"])
                 .select("equipment_key", "leg", "person_id", "site_id", "job_function",
                         F.col("purchase_date").cast("timestamp_ntz").alias("purchase_ts"), "purchase_date",
