@@ -36,7 +36,8 @@ def new_rows(src: DataFrame, target: DataFrame, key_specs: Sequence[Sequence[str
     out = src.select(*common)
     specs = [list(k) for k in key_specs] if key_specs else [common]
     for spec in specs:
-        out = out.join(target.select(*spec), spec, "left_anti")
+        # distinct first: partial aggregation collapses a hot key before the shuffle
+        out = out.join(target.select(*spec).distinct(), spec, "left_anti")
     return out
 
 

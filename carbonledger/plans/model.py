@@ -217,6 +217,21 @@ class DriverModel:
             translate_expr("p_type", fixed.PTYPE_EQUIPMENT).alias("equip_type"),
             F.col("p_brand").alias("equip_model"))
 
+    def purchases(self, window: Window = None) -> DataFrame:
+        """Purchases without the buyer's attributes (person_id from the order):
+        equipment_key, leg, person_id, purchase_date, equip_type, equip_model."""
+        li = self.table("lineitem")
+        if window:
+            li = li.filter(day_range("l_shipdate", *window))
+        li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+        o = self.table("orders").select("o_orderkey", "o_custkey")
+        part = self.table("part").select("p_partkey", "p_type", "p_brand")
+        j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(part, F.col("l_partkey") == part["p_partkey"])
+        return j.select(F.col("l_orderkey").alias("equipment_key"), F.col("l_linenumber").alias("leg"),
+                        F.col("o_custkey").alias("person_id"), F.to_date("l_shipdate").alias("purchase_date"),
+                        translate_expr("p_type", fixed.PTYPE_EQUIPMENT).alias("equip_type"),
+                        F.col("p_brand").alias("equip_model"))
+
     def impacts(self) -> DataFrame:
         """Impact factor per (type, model): average list price of the catalogue's parts, kg CO2e."""
         part = self.table("part")

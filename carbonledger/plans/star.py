@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import year_month
 from ..operators.dimensions import build_dimension, pool
+from ..operators.joins import left_join_dimension
 from ..operators.keys import sequential_index
 from ..sources.sinks import save_parquet
 from .model import DriverModel, Window
@@ -46,9 +47,11 @@ def fact_mission(m: DriverModel, window: Window, dims: tuple[DataFrame, DataFram
     mis = m.missions(window)
     tr, ty = dims or mission_dims(m, window)
     p = m.persons().select("site_id", "person_id", F.col("home_location_id").alias("dep_location_id"))
-    f = (p.join(mis, "person_id", "left")
-         .join(F.broadcast(tr), "transport", "left")
-         .join(F.broadcast(ty), "mission_type", "left")
+    trips = (mis.join(F.broadcast(tr), "transport", "left")
+             .join(F.broadcast(ty), "mission_type", "left")
+             .select("person_id", "mission_key", "leg", "mission_date", "dst_location_id", "type_id", "transport_id",
+                     "is_return"))
+    f = (left_join_dimension(p, trips, ["person_id"])
          .select("site_id", "person_id", "mission_key", "leg", "mission_date", "dep_location_id", "dst_location_id",
                  "type_id", "transport_id", "is_return"))
     order = ["person_id", "mission_date", "mission_key", "leg", "dst_location_id", "type_id", "transport_id",
@@ -60,9 +63,9 @@ def fact_mission(m: DriverModel, window: Window, dims: tuple[DataFrame, DataFram
 
 def fact_equipment(m: DriverModel, window: Window) -> DataFrame:
     """person LEFT JOIN purchases in ``window``; type and model keep their natural values."""
-    e = m.equipment(window).drop("site_id", "job_function")
+    e = m.purchases(window)
     p = m.persons().select("site_id", "person_id")
-    f = p.join(e, "person_id", "left").select("site_id", "person_id", "equipment_key", "leg", "purchase_date",
+    f = left_join_dimension(p, e, ["person_id"]).select("site_id", "person_id", "equipment_key", "leg", "purchase_date",
                                               "equip_type", "equip_model")
     order = ["person_id", "purchase_date", "equipment_key", "leg", "equip_type", "equip_model"]
     out = sequential_index(f, order, partition_cols=["site_id"], out="fact_id")
@@ -138,10 +141,10 @@ def raw_star_tables(raw, window: Window = None) -> dict[str, DataFrame]:
          .join(b["dimension_date"].withColumnRenamed("date", "mission_date"), "mission_date", "left")
          .select("person_id", "mission_key", "date_id", "dep_location_id", "dst_location_id", "mission_type_id",
                  "transport_id", "is_return", "mission_date"))
-    f = persons.select("person_id", "site_id").join(m, "person_id", "left")
+    f = left_join_dimension(persons.select("person_id", "site_id"), m, ["person_id"])
     fm = sequential_index(f, ["person_id", "mission_date", "mission_key"], partition_cols=["site_id"], out="fact_id")
     e = eq.drop("site_id", "job_function", "leg", "purchase_ts")
-    fe = persons.select("person_id", "site_id").join(e, "person_id", "left")
+    fe = left_join_dimension(persons.select("person_id", "site_id"), e, ["person_id"])
     fe = sequential_index(fe, ["person_id", "purchase_date", "equipment_key"], partition_cols=["site_id"],
                           out="fact_id")
     return {**dims, "fact_mission": fm.drop("mission_date").select("fact_id", *[c for c in fm.columns

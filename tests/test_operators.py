@@ -134,3 +134,15 @@ def test_sequential_index_splits_a_group_of_copies(spark):
     ranged = df.withColumn("__t", F.monotonically_increasing_id()).repartitionByRange(8, "g", "k", "__t")
     sizes = ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert max(r["count"] for r in sizes) < 1000
+
+
+def test_left_join_dimension_equals_left_join_with_hot_key(spark):
+    from carbonledger.operators.joins import left_join_dimension
+    dim = spark.createDataFrame([(i, f"p{i}") for i in range(50)], "k int, name string")
+    facts = spark.createDataFrame([(0, float(i)) for i in range(300)] + [(i, 1.0) for i in range(1, 30)] +
+                                  [(99, 5.0)], "k int, v double")
+    got = left_join_dimension(dim, facts, ["k"])
+    want = dim.join(facts, "k", "left")
+    key = lambda r: (r.k, r.name, r.v if r.v is not None else -1.0)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want.select(*got.columns).collect()))
+    assert got.filter(F.col("v").isNull()).count() == 20
