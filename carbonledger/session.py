@@ -76,3 +76,33 @@ def reliable_checkpoint(df):
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def cluster_conf(input_tb: float = 100.0, executors: int = 1000, cores_per_executor: int = 8,
+                 partition_mb: int = 256) -> dict[str, str]:
+    """Spark settings sized for a large run; apply them when building the cluster session.
+
+    * shuffle partitions start at input / ``partition_mb`` (AQE then coalesces
+      small ones and splits skewed ones), never below the core count;
+    * scans read ``partition_mb`` splits, so a task holds a bounded slice;
+    * skewed sort-merge partitions (5x the median and above 1 GB) are split;
+    * the runtime bloom filter lets a filtered dimension or order side prune
+      the large fact scan of a shuffle join.
+    """
+    cores = executors * cores_per_executor
+    shuffle = max(cores, int(input_tb * 1024 * 1024 / partition_mb))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
