@@ -33,7 +33,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 6)
     if isinstance(v, dt.datetime):
         return v.replace(tzinfo=None)
     return v
