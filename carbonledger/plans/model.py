@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import day_range, day_range_sql
-from ..functions.emissions import dbl, emission, emission_sql
+from ..functions.emissions import emission_sql
 from ..functions.geo import geodesic_sql, with_geodesic_km
 from ..functions.text import canonical_label
 from ..operators.broadcast import bounded_broadcast, fixed_broadcast
@@ -328,4 +328,4 @@ class ModelSQL:
         )
 
 
-__all__ = ["DriverModel", "ModelSQL", "dbl"]
+__all__ = ["DriverModel", "ModelSQL"]
