@@ -20,12 +20,18 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _clamp1(h: Column) -> Column:
+    """min(h, 1) against rounding above 1; unlike ``least`` it keeps a null h null
+    (``least`` skips nulls, which would turn an unknown place into an antipodal trip)."""
+    return F.when(h > 1.0, F.lit(1.0)).otherwise(h)
+
+
 def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = EARTH_MEAN_RADIUS_KM) -> Column:
     p1, p2 = F.radians(_c(lat1)), F.radians(_c(lat2))
     dphi = p2 - p1
     dlmb = F.radians(_c(lon2)) - F.radians(_c(lon1))
     h = F.pow(F.sin(dphi / 2), 2) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dlmb / 2), 2)
-    return 2 * radius_km * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    return 2 * radius_km * F.asin(F.sqrt(_clamp1(h)))
 
 
 def geodesic_km(lat1, lon1, lat2, lon2, a_km: float = WGS84_A_KM, f: float = WGS84_F) -> Column:
@@ -34,7 +40,7 @@ def geodesic_km(lat1, lon1, lat2, lon2, a_km: float = WGS84_A_KM, f: float = WGS
     b2 = F.atan((1 - f) * F.tan(F.radians(_c(lat2))))
     dlmb = F.radians(_c(lon2)) - F.radians(_c(lon1))
     h = F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin(dlmb / 2), 2)
-    sigma = 2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    sigma = 2 * F.asin(F.sqrt(_clamp1(h)))
     p = (b1 + b2) / 2
     q = (b2 - b1) / 2
     cos_half = F.cos(sigma / 2)
@@ -58,7 +64,7 @@ def geodesic_sql(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     b2 = f"atan((1 - {f}) * tan(radians({lat2})))"
     dl = f"(radians({lon2}) - radians({lon1}))"
     h = f"(pow(sin(({b2} - {b1}) / 2), 2) + cos({b1}) * cos({b2}) * pow(sin({dl} / 2), 2))"
-    s = f"(2 * asin(sqrt(least(1.0e0, {h}))))"
+    s = f"(2 * asin(sqrt(CASE WHEN {h} > 1.0e0 THEN 1.0e0 ELSE {h} END)))"
     p = f"(({b1} + {b2}) / 2)"
     q = f"(({b2} - {b1}) / 2)"
     x = f"(({s} - sin({s})) * pow(sin({p}) * cos({q}), 2) / pow(cos({s} / 2), 2))"
@@ -84,14 +90,16 @@ def with_geodesic_km(df, lat1: str, lon1: str, lat2: str, lon2: str, out: str =
         f"atan((1 - {fr}) * tan(radians(`{lat2}`))) AS {t}b2",
         f"radians(`{lon2}`) - radians(`{lon1}`) AS {t}dl")
     h = f"pow(sin(({t}b2 - {t}b1) / 2), 2) + cos({t}b1) * cos({t}b2) * pow(sin({t}dl / 2), 2)"
-    s2 = s1.selectExpr("*", f"2 * asin(sqrt(least(1.0e0, {h}))) AS {t}s", f"({t}b1 + {t}b2) / 2 AS {t}p",
+    s2 = s1.selectExpr("*", f"2 * asin(sqrt(CASE WHEN {h} > 1.0e0 THEN 1.0e0 ELSE {h} END)) AS {t}s",
+                       f"({t}b1 + {t}b2) / 2 AS {t}p",
                        f"({t}b2 - {t}b1) / 2 AS {t}q")
     s3 = s2.selectExpr(
         "*",
         f"({t}s - sin({t}s)) * try_divide(pow(sin({t}p) * cos({t}q), 2), pow(cos({t}s / 2), 2)) AS {t}x",
         f"({t}s + sin({t}s)) * try_divide(pow(cos({t}p) * sin({t}q), 2), pow(sin({t}s / 2), 2)) AS {t}y")
-    hav = (f"2 * {EARTH_MEAN_RADIUS_KM!r} * asin(sqrt(least(1.0e0, pow(sin((radians(`{lat2}`) - radians(`{lat1}`)) / 2), 2)"
-           f" + cos(radians(`{lat1}`)) * cos(radians(`{lat2}`)) * pow(sin({t}dl / 2), 2))))")
+    hh = (f"(pow(sin((radians(`{lat2}`) - radians(`{lat1}`)) / 2), 2)"
+          f" + cos(radians(`{lat1}`)) * cos(radians(`{lat2}`)) * pow(sin({t}dl / 2), 2))")
+    hav = f"2 * {EARTH_MEAN_RADIUS_KM!r} * asin(sqrt(CASE WHEN {hh} > 1.0e0 THEN 1.0e0 ELSE {hh} END))"
     km = (f"CASE WHEN {t}s IS NULL THEN CAST(NULL AS DOUBLE) WHEN {t}s = 0 THEN 0.0e0 "
           f"WHEN {t}x IS NULL OR {t}y IS NULL THEN {hav} "
           f"ELSE {fa} * ({t}s - ({fr} / 2) * ({t}x + {t}y)) END")

@@ -71,3 +71,20 @@ def mission_distance(df: DataFrame, one_way: str = "km_one_way", is_return: str
 def adjust_distance(df: DataFrame, rules, condition_col: str = "transport", target_col: str = "distance_km",
                     out: str = "adjusted_km") -> DataFrame:
     return df.withColumn(out, rule_expr(condition_col, target_col, rules))
+
+
+def unlocated_places(trips: DataFrame, gazetteer: DataFrame, dep=("dep_city", "dep_country"),
+                     dst=("dst_city", "dst_country")) -> DataFrame:
+    """Trip ends missing from the gazetteer, counted per place and role (departure / destination).
+
+    Those trips get a null distance and, for known modes, a null emission --
+    never a silent 0 -- so this report is the reject count that goes with
+    every distance-based total.  Both ends are pooled, anti-joined to the
+    gazetteer on (city, country), and counted (partial aggregation per task).
+    """
+    d = trips.select(F.lit("departure").alias("role"), F.col(dep[0]).alias("city"), F.col(dep[1]).alias("country"))
+    a = trips.select(F.lit("destination").alias("role"), F.col(dst[0]).alias("city"), F.col(dst[1]).alias("country"))
+    g = bounded_broadcast(gazetteer.select("city", "country").distinct())
+    ends = d.unionByName(a)
+    return (ends.join(g, ["city", "country"], "left_anti")
+            .groupBy("role", "city", "country").agg(F.count(F.lit(1)).alias("n_trips")))

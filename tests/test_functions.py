@@ -114,3 +114,11 @@ def test_mission_distance_floor_after_doubling(spark):
     out0 = mission_distance(df, min_km=0).collect()
     assert [r.distance_km for r in out0] == [6.0, 3.0, None, 200.0]
     assert not math.isnan(out[0].distance_km)
+
+
+def test_unknown_coordinates_give_null_distance(spark):
+    df = spark.createDataFrame([(None, 2.0, 48.0, 2.0), (48.0, 2.0, 48.0, 2.0)], "a double, b double, c double, d double")
+    out = with_geodesic_km(df, "a", "b", "c", "d", out="g").select(
+        "g", geodesic_km("a", "b", "c", "d").alias("e"), haversine_km("a", "b", "c", "d").alias("h")).collect()
+    assert (out[0].g, out[0].e, out[0].h) == (None, None, None)
+    assert (out[1].g, out[1].e, out[1].h) == (0.0, 0.0, 0.0)

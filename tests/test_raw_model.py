@@ -197,3 +197,15 @@ def test_star_model_answers_equal_driver_model(spark, tmp_path):
     plan = q.period_emissions(s, july, eu)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year_month" in plan or "year_month" in plan.split("PartitionFilters")[1]
     assert "site_id" in plan.split("PartitionFilters")[1].split("]")[0] or "dynamicpruning" in plan
+
+
+def test_unknown_places_are_reported_not_zeroed(spark):
+    from carbonledger.operators.places import unlocated_places
+    gaz = spark.read.option("header", True).option("sep", ";").schema(
+        "city string, country string, lat double, lon double").csv(FIX).filter(F.col("city") != "Oslo")
+    raw = RawModel(spark, RAW_ROOT, gazetteer=gaz, impute=False)
+    e = raw.enriched_missions()
+    rep = {(r.role, r.city): r.n_trips for r in unlocated_places(e, gaz).collect()}
+    oslo = sum(v for (role, c), v in rep.items() if c == "Oslo")
+    assert oslo == 13 and set(c for _, c in rep) == {"Oslo"}
+    assert e.filter(F.col("carbon_kg").isNull()).count() == e.filter(F.col("km_one_way").isNull()).count() > 0
