@@ -20,7 +20,7 @@ from ..functions.text import is_blank
 TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 
 
-def fit_imputer(labelled: DataFrame, text_col: str, label_col: str, num_features: int = 1 << 20,
+def fit_imputer(labelled: DataFrame, text_col: str, label_col: str, num_features: int = 1 << 18,
                 smoothing: float = 1.0):
     indexer = StringIndexer(inputCol=label_col, outputCol="__label", stringOrderType="alphabetAsc")
     tok = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=TOKEN_PATTERN, gaps=False,
