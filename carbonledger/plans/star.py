@@ -14,6 +14,7 @@ from ..functions.dates import year_month
 from ..operators.dimensions import build_dimension, pool
 from ..operators.joins import left_join_dimension
 from ..operators.keys import sequential_index
+from ..session import reliable_checkpoint
 from ..sources.sinks import save_parquet
 from .model import DriverModel, Window
 
@@ -42,16 +43,21 @@ def fact_mission(m: DriverModel, window: Window, dims: tuple[DataFrame, DataFram
     """person LEFT JOIN missions in ``window`` (people without a trip keep one row of nulls).
 
     ``dims``: the (transport, mission type) dimensions whose keys the fact
-    uses; built from the same trips when not given.
+    uses; built from the same trips when not given.  The trips (the line item /
+    order / supplier join) are materialised once and feed the dimensions, the
+    keyed trips and the people-without-trips branch.
     """
-    mis = m.missions(window)
-    tr, ty = dims or mission_dims(m, window)
+    mis = reliable_checkpoint(m.missions(window).select(
+        "person_id", "mission_key", "leg", "mission_date", "dst_location_id", "mission_type", "transport",
+        "is_return"))
+    tr, ty = dims or (build_dimension(mis.select("transport"), "transport_id"),
+                      build_dimension(mis.select("mission_type"), "type_id"))
     p = m.persons().select("site_id", "person_id", F.col("home_location_id").alias("dep_location_id"))
     trips = (mis.join(F.broadcast(tr), "transport", "left")
              .join(F.broadcast(ty), "mission_type", "left")
              .select("person_id", "mission_key", "leg", "mission_date", "dst_location_id", "type_id", "transport_id",
                      "is_return"))
-    f = (left_join_dimension(p, trips, ["person_id"])
+    f = (left_join_dimension(p, trips, ["person_id"], materialize=False)
          .select("site_id", "person_id", "mission_key", "leg", "mission_date", "dep_location_id", "dst_location_id",
                  "type_id", "transport_id", "is_return"))
     order = ["person_id", "mission_date", "mission_key", "leg", "dst_location_id", "type_id", "transport_id",
