@@ -66,3 +66,33 @@ def test_combined_full_outer_keeps_one_sided_groups(spark):
     outer = {r.site_id: r.total_t for r in q.combined_emissions(m, "site_id", how="full_outer").collect()}
     assert set(inner) <= set(outer)
     assert all(abs(outer[k] - v) < 1e-9 for k, v in inner.items())
+
+
+def test_side_file_readers(spark, tmp_path):
+    from carbonledger.sources.raw import read_impacts, read_personnel, read_tsv
+    from pyspark.sql import types as T
+    imp = tmp_path / "impacts.csv"
+    imp.write_text("Type,Modèle,Impact\nPC portable,Latitude 5xxx ,250.5\nEcran, ,30\n", encoding="utf-8")
+    rows = {(r.Type, r["Modèle"]): r.Impact for r in read_impacts(spark, str(imp)).collect()}
+    assert rows == {("PC portable", "Latitude 5xxx"): 250.5, ("Ecran", None): 30.0}
+    per = tmp_path / "PERSONNEL_PARIS.txt"
+    per.write_text("ID_PERSONNEL;NOM_PERSONNEL;PRENOM_PERSONNEL;FONCTION_PERSONNEL;DT_NAISS\n"
+                   "K1;N;P;Cadre;1970-02-03\nK2;N;P; ;not-a-date\n", encoding="utf-8")
+    p = read_personnel(spark, str(per)).collect()
+    assert p[0].FONCTION_PERSONNEL == "Cadre" and str(p[0].DT_NAISS) == "1970-02-03"
+    assert p[1].FONCTION_PERSONNEL is None and p[1].DT_NAISS is None and p[1]._corrupt_record is not None
+    tsv = tmp_path / "f.tsv"
+    tsv.write_text("mode\tfactor\nTrain\t0.018\n", encoding="utf-8")
+    schema = T.StructType([T.StructField("mode", T.StringType()), T.StructField("factor", T.DoubleType())])
+    assert read_tsv(spark, str(tsv), schema).first().factor == 0.018
+
+
+def test_rule_table_join_matches_expression(spark):
+    from carbonledger.functions.rules import apply_conditional_operations, apply_rules_by_join
+    df = spark.createDataFrame([("plane", 100.0), ("taxi", 10.0), ("boat", 5.0), ("train", 50.0)], "t string, d double")
+    rules = [("plane", "add", 95.0), ("taxi", "mul", 2.0), ("taxi", "mul", 9.0), ("train", "div", 2.0)]
+    table = spark.createDataFrame([(v, op, x, i) for i, (v, op, x) in enumerate(rules)],
+                                  "value string, op string, operand double, priority int")
+    a = {r.t: r.adjusted_value for r in apply_conditional_operations(df, "t", "d", rules).collect()}
+    b = {r.t: r.adjusted_value for r in apply_rules_by_join(df, table, "t", "d").collect()}
+    assert a == b == {"plane": 195.0, "taxi": 20.0, "boat": 5.0, "train": 25.0}
