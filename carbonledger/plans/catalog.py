@@ -553,6 +553,18 @@ def _d1b(m):
     return missing
 
 
+@register("unlocated_places", f"""
+WITH {S.enriched_ctes()}, ends AS (
+  SELECT 'departure' AS role, dep_city AS city, dep_country AS country FROM em
+  UNION ALL SELECT 'destination' AS role, dst_city AS city, dst_country AS country FROM em)
+SELECT role, city, country, count(*) AS n_trips FROM ends e
+WHERE NOT EXISTS (SELECT 1 FROM loc g WHERE g.city = e.city AND g.country = e.country)
+GROUP BY role, city, country""")
+def _t13(m):
+    from ..operators.places import unlocated_places
+    return unlocated_places(m.enriched_missions(), m.gazetteer())
+
+
 # --- D6 imputation (no SQL twin: rows-only check) ------------------------------
 @register("impute_category")
 def _d6(m):
