@@ -60,8 +60,17 @@ def read_drops(spark: SparkSession, root: str, kind: str, keep_raw: bool = False
     return clean_strings(df, keep_raw)
 
 
+PERSONNEL_SITE = r"PERSONNEL_([A-Za-z]+)\.txt$"
+
+
 def read_personnel(spark: SparkSession, path: str, schema: T.StructType = schemas.PERSONNEL) -> DataFrame:
-    return clean_strings(read_delimited(spark, path, schema))
+    """Personnel files (one per site, ``PERSONNEL_<SITE>.txt``); ``path`` may be a glob over all sites.
+
+    Adds ``site`` (lower case) from the file name, so one scan serves every site.
+    """
+    df = read_delimited(spark, path, schema)
+    df = df.withColumn("site", F.lower(F.regexp_extract(F.input_file_name(), PERSONNEL_SITE, 1)))
+    return clean_strings(df)
 
 
 def read_impacts(spark: SparkSession, path: str) -> DataFrame:

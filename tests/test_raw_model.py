@@ -209,3 +209,23 @@ def test_unknown_places_are_reported_not_zeroed(spark):
     oslo = sum(v for (role, c), v in rep.items() if c == "Oslo")
     assert oslo == 13 and set(c for _, c in rep) == {"Oslo"}
     assert e.filter(F.col("carbon_kg").isNull()).count() == e.filter(F.col("km_one_way").isNull()).count() > 0
+
+
+def test_raw_model_with_personnel_files(spark, tmp_path):
+    from carbonledger.sources.raw import read_personnel
+    # Personnel files are not in the sample: write two sites' files for the people of the drops.
+    m = RawModel(spark, RAW_ROOT, impute=False).raw_missions()
+    people = {(r.ID_PERSONNEL, r.site) for r in m.select("ID_PERSONNEL", "site").distinct().collect()}
+    jobs = ["Cadre", "Ingénieur Data", "Führungskraft", "Dateningenieur"]
+    for site in ("paris", "berlin", "london", "shanghai", "losangeles", "newyork"):
+        lines = ["ID_PERSONNEL;NOM_PERSONNEL;PRENOM_PERSONNEL;FONCTION_PERSONNEL;DT_NAISS"]
+        for i, (pid, s) in enumerate(sorted(p for p in people if p[1] == site)):
+            lines.append(f"{pid};N;P;{jobs[i % 4]};19{60 + i % 30}-01-15")
+        (tmp_path / f"PERSONNEL_{site.upper()}.txt").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    per = read_personnel(spark, str(tmp_path / "PERSONNEL_*.txt"))
+    raw = RawModel(spark, RAW_ROOT, personnel=per, impute=False)
+    hc = {(r.site_id, r.job_function): r.headcount for r in q.headcount_by_function(raw).collect()}
+    assert set(j for _, j in hc) == {"Business Executive", "Data Engineer"}  # harmonised FR and DE labels
+    assert sum(v for (s, _), v in hc.items() if s is None) == len(people)
+    age = q.average_age(raw, "Vocational Training", ("2024-07-01", "2024-09-30"), "2024-09-30").first()
+    assert age.n_rows > 0 and 30 <= age.average_age <= 70

@@ -79,7 +79,7 @@ def test_side_file_readers(spark, tmp_path):
     per.write_text("ID_PERSONNEL;NOM_PERSONNEL;PRENOM_PERSONNEL;FONCTION_PERSONNEL;DT_NAISS\n"
                    "K1;N;P;Cadre;1970-02-03\nK2;N;P; ;not-a-date\n", encoding="utf-8")
     p = read_personnel(spark, str(per)).collect()
-    assert p[0].FONCTION_PERSONNEL == "Cadre" and str(p[0].DT_NAISS) == "1970-02-03"
+    assert p[0].FONCTION_PERSONNEL == "Cadre" and str(p[0].DT_NAISS) == "1970-02-03" and p[0].site == "paris"
     assert p[1].FONCTION_PERSONNEL is None and p[1].DT_NAISS is None and p[1]._corrupt_record is not None
     tsv = tmp_path / "f.tsv"
     tsv.write_text("mode\tfactor\nTrain\t0.018\n", encoding="utf-8")
