@@ -65,4 +65,4 @@ def unmapped(df: DataFrame, column: str, domain: str, table: DataFrame, targets:
     t = table.filter(F.col("domain") == domain)
     known = t.select(F.col("src").alias("v")).unionByName(t.select(F.col("dst").alias("v"))).distinct()
     vals = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull()).distinct()
-    return vals.join(F.broadcast(known), "v", "left_anti").withColumnRenamed("v", column)
+    return vals.join(bounded_broadcast(known), "v", "left_anti").withColumnRenamed("v", column)

@@ -106,6 +106,7 @@ def max_by_condition(df: DataFrame, target: str, condition_cols: Sequence[str] |
     schema = T.StructType([T.StructField(c, df.schema[c].dataType, True) for c in condition_cols])
     wanted = spark.createDataFrame([tuple(t) for t in tuples], schema)
     cond = [df[c] == wanted[c] for c in condition_cols]
+    # ``wanted`` holds exactly the tuples the caller listed: its size is known here.
     agg = (df.join(F.broadcast(wanted), cond, "left_semi")
            .groupBy(*condition_cols).agg(F.max(target).alias("max_value")))
     return wanted.join(agg, condition_cols, "left")

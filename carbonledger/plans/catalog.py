@@ -18,6 +18,7 @@ from .. import fixed
 from ..functions.emissions import emission, emission_sql
 from ..functions.rules import rule_expr
 from ..functions.text import clamp_low
+from ..operators.broadcast import fixed_broadcast
 from ..operators.dimensions import build_dimension
 from ..operators.fill import fill_nulls_by_key, new_rows
 from ..operators.harmonise import harmonise, translate_sql, translation_table
@@ -512,7 +513,7 @@ ALLOWED_PLACE_TYPES = ("city", "town")
 
 def _candidates(m):
     s = m.table("supplier")
-    loc = F.broadcast(m.locations())
+    loc = fixed_broadcast(m.locations())
     j = s.join(loc, s["s_nationkey"] == loc["location_id"])
     kind = F.when(F.col("s_acctbal") < 0, F.lit("hamlet")).when(F.col("s_acctbal") < 5000, F.lit("town")) \
         .otherwise(F.lit("city"))

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import age_years, year_month
+from ..operators.broadcast import fixed_broadcast
 from ..operators.rollup import totals_with_label
 from .model import DriverModel, Window
 
@@ -111,7 +112,7 @@ def combined_emissions(m: DriverModel, by: str, how: str = "inner") -> DataFrame
 
 def emissions_by_site_combined(m: DriverModel) -> DataFrame:
     out = combined_emissions(m, "site_id")
-    return out.join(F.broadcast(m.sites()), "site_id").select("site_id", "site", "mission_t", "equipment_t",
+    return out.join(fixed_broadcast(m.sites()), "site_id").select("site_id", "site", "mission_t", "equipment_t",
                                                                "total_t")
 
 
@@ -124,7 +125,7 @@ def intersite_emissions(m: DriverModel, window: Window = ("1998-05-01", "1998-05
     e = m.enriched_missions(window).filter(F.col("dep_city").isin(list(site_cities)) &
                                            F.col("dst_city").isin(list(site_cities)))
     g = e.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_missions"), _t())
-    return g.join(F.broadcast(m.sites()), "site_id").select("site_id", "site", "n_missions", "carbon_t")
+    return g.join(fixed_broadcast(m.sites()), "site_id").select("site_id", "site", "n_missions", "carbon_t")
 
 
 # Q14, Q17 -------------------------------------------------------------------

@@ -28,7 +28,7 @@ from .. import fixed
 from ..functions.dates import day_range
 from ..functions.emissions import canonical_transport, emission
 from ..functions.text import canonical_label
-from ..operators.broadcast import bounded_broadcast
+from ..operators.broadcast import bounded_broadcast, fixed_broadcast
 from ..operators.columns import site_dimension
 from ..operators.harmonise import translate_expr
 from ..operators.impute import impute_category
@@ -109,7 +109,7 @@ class RawModel:
         m = self.missions(window).withColumnRenamed("home_site_id", "site_id")
         if sites is not None:
             m = m.filter(F.col("site_id").isin(list(sites)))
-        m = m.join(p, "person_id", "left").join(F.broadcast(self.sites()), "site_id", "left")
+        m = m.join(p, "person_id", "left").join(fixed_broadcast(self.sites()), "site_id", "left")
         if self.gazetteer is None:
             raise ValueError("a gazetteer (city, country, lat, lon) is needed for distances")
         m = with_route_distance(m, self.gazetteer)

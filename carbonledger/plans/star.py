@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import year_month
+from ..operators.broadcast import bounded_broadcast
 from ..operators.dimensions import build_dimension, pool
 from ..operators.joins import left_join_dimension
 from ..operators.keys import sequential_index
@@ -53,8 +54,9 @@ def fact_mission(m: DriverModel, window: Window, dims: tuple[DataFrame, DataFram
     tr, ty = dims or (build_dimension(mis.select("transport"), "transport_id"),
                       build_dimension(mis.select("mission_type"), "type_id"))
     p = m.persons().select("site_id", "person_id", F.col("home_location_id").alias("dep_location_id"))
-    trips = (mis.join(F.broadcast(tr), "transport", "left")
-             .join(F.broadcast(ty), "mission_type", "left")
+    # Dimensions are distinct value sets: broadcast behind a row bound.
+    trips = (mis.join(bounded_broadcast(tr), "transport", "left")
+             .join(bounded_broadcast(ty), "mission_type", "left")
              .select("person_id", "mission_key", "leg", "mission_date", "dst_location_id", "type_id", "transport_id",
                      "is_return"))
     f = (left_join_dimension(p, trips, ["person_id"], materialize=False)
@@ -117,7 +119,6 @@ def raw_star_tables(raw, window: Window = None) -> dict[str, DataFrame]:
     both carry a per-site sequential fact id.  Dimension joins are broadcast
     behind a row bound (they are distinct value sets).
     """
-    from ..operators.broadcast import bounded_broadcast
     mis = raw.missions(window)
     eq = raw.equipment(window)
     persons = raw.persons()
