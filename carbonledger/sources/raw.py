@@ -15,7 +15,8 @@ from pyspark.sql import types as T
 from ..functions.text import blank_to_null
 from . import schemas
 
-SITE_FROM_PATH = r"BDD_BGES_([A-Z]+)_(?:MISSION|INFORMATIQUE)"
+# Drop layout: <root>/<prefix>_<SITE>/<prefix>_<SITE>_<KIND>/<NAME>_<yyyyMMdd>.txt
+SITE_FROM_PATH = r"([A-Z]+)_(?:MISSION|INFORMATIQUE)/[^/]+$"
 DATE_FROM_FILE = r"_(\d{8})\.txt$"
 
 
@@ -45,14 +46,20 @@ def clean_strings(df: DataFrame, keep_raw: bool = False) -> DataFrame:
     return df.select(*cols)
 
 
+def drops_glob(root: str, kind: str) -> str:
+    """Glob of every daily drop of ``kind`` ('mission' or 'equipment') under ``root``, all sites."""
+    folder, _ = schemas.KINDS[kind]
+    return f"{root}/*/*_{folder}/*.txt"
+
+
 def read_drops(spark: SparkSession, root: str, kind: str, keep_raw: bool = False) -> DataFrame:
     """All daily drops of ``kind`` ('mission' or 'equipment') under ``root``, every site at once.
 
     Adds ``site`` (lower case, from the directory name) and ``drop_date`` (from
     the file name).
     """
-    folder, schema = schemas.KINDS[kind]
-    path = f"{root}/BDD_BGES_*/BDD_BGES_*_{folder}/*.txt"
+    _, schema = schemas.KINDS[kind]
+    path = drops_glob(root, kind)
     df = read_delimited(spark, path, schema)
     src = F.input_file_name()
     df = (df.withColumn("site", F.lower(F.regexp_extract(src, SITE_FROM_PATH, 1)))

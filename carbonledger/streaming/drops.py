@@ -14,19 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import schemas
-from ..sources.raw import DATE_FROM_FILE, SITE_FROM_PATH, clean_strings
+from ..sources.raw import DATE_FROM_FILE, SITE_FROM_PATH, clean_strings, drops_glob
 from ..sources.sinks import append_new_rows
 
 KEYS = {"mission": "ID_MISSION", "equipment": "ID_MATERIELINFO"}
 
 
 def drops_stream(spark: SparkSession, root: str, kind: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    folder, schema = schemas.KINDS[kind]
+    _, schema = schemas.KINDS[kind]
     reader = (spark.readStream.schema(schema).option("sep", ";").option("header", True)
               .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("mode", "PERMISSIVE"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(f"{root}/BDD_BGES_*/BDD_BGES_*_{folder}/*.txt")
+    df = reader.csv(drops_glob(root, kind))
     src = F.input_file_name()
     df = (df.withColumn("site", F.lower(F.regexp_extract(src, SITE_FROM_PATH, 1)))
           .withColumn("drop_date", F.to_date(F.regexp_extract(src, DATE_FROM_FILE, 1), "yyyyMMdd")))

@@ -65,7 +65,8 @@ def test_profile_on_raw_cells(spark):
     from carbonledger.operators.quality import profile
     from carbonledger.sources import schemas
     from carbonledger.sources.raw import read_delimited
-    raw = read_delimited(spark, f"{RAW_ROOT}/BDD_BGES_*/BDD_BGES_*_INFORMATIQUE/*.txt", schemas.EQUIPMENT)
+    from carbonledger.sources.raw import drops_glob
+    raw = read_delimited(spark, drops_glob(RAW_ROOT, "equipment"), schemas.EQUIPMENT)
     p = {(r.column_name, r.kind): r for r in profile(raw.drop(schemas.CORRUPT)).collect()}
     assert p[("TYPE", "empty")].n_affected == 414
     assert p[("MODELE", "empty")].n_affected == 183

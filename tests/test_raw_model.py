@@ -1,4 +1,5 @@
-"""The questions on the raw drops, checked against a brute-force Python computation."""
+"""The questions on the raw drops, checked against a brute-force Python computation
+(csv module, iterative Vincenty distances, factor table evaluated in Python)."""
 
 import csv
 import glob
@@ -10,6 +11,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from carbonledger.fixed import SET_A, TRANSPORT_LABELS_EN, TRANSPORT_LABELS_FR
 from carbonledger.plans import questions as q
 from carbonledger.plans.raw_model import RawModel
 
@@ -49,17 +51,17 @@ def _vincenty_km(lat1, lon1, lat2, lon2):
     return b * A * (sig - ds)
 
 
-def _notebook_emission(ar, mode, d0):
-    d1 = d0 * 2 if ar == "oui" else d0
-    if mode == "Avion":
-        return 0.2586 * (d1 + 95) if d0 < 1000 else 0.1875 * (d1 + 95) if d0 < 3500 else 0.1520 * (d1 + 95)
-    if mode == "Train":
-        return 0.0033 * (d1 * 1.2) if d0 < 200 else 0.018 * (d1 * 1.2)
-    if mode == "Taxi":
-        return d1 * 1.2 * 2 * 0.215
-    if mode == "Transports en commun":
-        return 0.129 * d1 * 1.5
-    return 0.0
+def _python_emission(label, is_return, d0):
+    """Plain-Python evaluation of factor set A (no Spark): pick the band on the one-way km,
+    apply it to the trip km.  The set itself is pinned by the golden values in test_functions."""
+    mode = {**TRANSPORT_LABELS_FR, **TRANSPORT_LABELS_EN}.get(label)
+    trip = d0 * (2 if is_return else 1)
+    for band in SET_A.bands:
+        lo_ok = band.lo is None or (d0 >= band.lo if band.lo_closed else d0 > band.lo)
+        hi_ok = band.hi is None or (d0 <= band.hi if band.hi_closed else d0 < band.hi)
+        if band.mode == mode and lo_ok and hi_ok:
+            return band.factor * ((trip + band.add_km) * band.mul)
+    return SET_A.default
 
 
 @pytest.fixture(scope="module")
@@ -69,15 +71,15 @@ def brute():
         for r in csv.DictReader(fh, delimiter=";"):
             coords[(r["city"], r["country"])] = (float(r["lat"]), float(r["lon"]))
     rows = []
-    for path in glob.glob(f"{RAW_ROOT}/BDD_BGES_*/BDD_BGES_*_MISSION/*.txt"):
-        site = path.split("/")[-3].replace("BDD_BGES_", "").lower()
+    for path in glob.glob(f"{RAW_ROOT}/*/*_MISSION/*.txt"):
+        site = path.split("/")[-3].rsplit("_", 1)[-1].lower()
         with open(path, encoding="utf-8") as fh:
             for r in csv.DictReader(fh, delimiter=";"):
                 d = _vincenty_km(*coords[(r["VILLE_DEPART"], r["PAYS_DEPART"])],
                                  *coords[(r["VILLE_DESTINATION"], r["PAYS_DESTINATION"])])
                 ts = datetime.strptime(r["DATE_MISSION"], "%Y-%m-%d %H:%M:%S")
                 rows.append(dict(site=site, site_id=SITE_KEYS[site], ts=ts, km=d, r=r,
-                                 kg=_notebook_emission(r["ALLER_RETOUR"], r["TRANSPORT"], d)))
+                                 kg=_python_emission(r["TRANSPORT"], r["ALLER_RETOUR"] == "oui", d)))
     return rows
 
 
