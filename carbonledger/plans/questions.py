@@ -30,6 +30,11 @@ def _t(col: str = "carbon_kg", name: str = "carbon_t", digits: int = 2):
     return F.round(F.sum(col) / F.lit(TONNES), digits).alias(name)
 
 
+# Columns that identify a trip in the notebook's narrow frames once the ids are dropped.
+TRIP_COLS = ("person_id", "mission_date", "dep_city", "dep_country", "dst_city", "dst_country", "transport",
+             "is_return", "km_one_way", "carbon_kg")
+
+
 def _dedup(df: DataFrame, dedup: str, cols: Sequence[str]) -> DataFrame:
     if dedup == "reference":
         return df.select(*cols).dropDuplicates()
@@ -38,6 +43,15 @@ def _dedup(df: DataFrame, dedup: str, cols: Sequence[str]) -> DataFrame:
     return df
 
 
+def _trips(m: DriverModel, window: Window = None, sites: Sequence[int] | None = None, dedup: str = "mission",
+           keep: Sequence[str] = ()) -> DataFrame:
+    """Enriched trips; ``dedup="reference"`` collapses trips that are identical once their ids
+    are dropped (the notebook's ``dropDuplicates``), keeping ``TRIP_COLS`` + ``keep``.
+    The collapse is an aggregate (partial per task), not a sort of one group."""
+    e = m.enriched_missions(window, sites)
+    return _dedup(e, dedup, list(dict.fromkeys([*TRIP_COLS, *keep])))
+
+
 # Q1-Q3 ----------------------------------------------------------------------
 def headcount_by_function(m: DriverModel, window: Window = ("1998-01-01", "1998-12-31")) -> DataFrame:
     """Distinct people per (site, job function) and per job function over all sites.
@@ -80,28 +94,27 @@ def period_emissions(m: DriverModel, window: Window, sites: Sequence[int] | None
     e = m.enriched_missions(window, sites)
     if mission_type is not None:
         e = e.filter(F.col("mission_type") == mission_type)
-    e = _dedup(e, dedup, ["person_id", "mission_date", "dep_city", "dep_country", "dst_city", "dst_country",
-                          "transport", "is_return", "km_one_way", "carbon_kg"])
+    e = _dedup(e, dedup, TRIP_COLS)
     return e.agg(F.count(F.lit(1)).alias("n_missions"), _t())
 
 
 # Q9 -------------------------------------------------------------------------
-def top_emission_days(m: DriverModel, k: int = 5, transport: str = "plane") -> DataFrame:
-    e = m.enriched_missions().filter(F.col("transport") == transport)
+def top_emission_days(m: DriverModel, k: int = 5, transport: str = "plane", dedup: str = "mission") -> DataFrame:
+    e = _trips(m, dedup=dedup).filter(F.col("transport") == transport)
     days = e.groupBy("mission_date").agg(F.sum("carbon_kg").alias("__kg"))
     top = days.orderBy(F.col("__kg").desc(), F.col("mission_date").asc()).limit(k)
     return top.select("mission_date", F.round(F.col("__kg") / TONNES, 2).alias("carbon_t"))
 
 
 # Q10, Q11 ---------------------------------------------------------------------
-def combined_emissions(m: DriverModel, by: str, how: str = "inner") -> DataFrame:
+def combined_emissions(m: DriverModel, by: str, how: str = "inner", dedup: str = "mission") -> DataFrame:
     """Mission and equipment emissions per ``by`` (job_function or site), joined, summed.
 
     Both sides are aggregated before the join (a handful of rows each), so the
     join is between two tiny results.  ``how="full_outer"`` keeps groups present
     on one side only (missing side = 0); ``"inner"`` is the notebook's choice.
     """
-    mis = m.enriched_missions().groupBy(by).agg(F.sum("carbon_kg").alias("__mk"))
+    mis = _trips(m, dedup=dedup, keep=[by]).groupBy(by).agg(F.sum("carbon_kg").alias("__mk"))
     eq = m.equipment_with_impact().groupBy(by).agg(F.sum("impact_kg").alias("__ek"))
     j = mis.join(eq, by, how)
     mk, ek = F.coalesce(F.col("__mk"), F.lit(0.0)), F.coalesce(F.col("__ek"), F.lit(0.0))
@@ -121,8 +134,8 @@ SITE_CITIES = ("NATION_0", "NATION_1", "NATION_2", "NATION_3", "NATION_4")
 
 
 def intersite_emissions(m: DriverModel, window: Window = ("1998-05-01", "1998-05-31"),
-                        site_cities: Sequence[str] = SITE_CITIES) -> DataFrame:
-    e = m.enriched_missions(window).filter(F.col("dep_city").isin(list(site_cities)) &
+                        site_cities: Sequence[str] = SITE_CITIES, dedup: str = "mission") -> DataFrame:
+    e = _trips(m, window, dedup=dedup, keep=["site_id"]).filter(F.col("dep_city").isin(list(site_cities)) &
                                            F.col("dst_city").isin(list(site_cities)))
     g = e.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_missions"), _t())
     return g.join(fixed_broadcast(m.sites()), "site_id").select("site_id", "site", "n_missions", "carbon_t")
@@ -131,12 +144,13 @@ def intersite_emissions(m: DriverModel, window: Window = ("1998-05-01", "1998-05
 # Q14, Q17 -------------------------------------------------------------------
 def emissions_by(m: DriverModel, by: str, window: Window, mission_type: str | None = None,
                  job_function: str | None = None, sites: Sequence[int] | None = None,
-                 k: int | None = None) -> DataFrame:
+                 k: int | None = None, dedup: str = "mission") -> DataFrame:
     e = m.enriched_missions(window, sites)
     if mission_type is not None:
         e = e.filter(F.col("mission_type") == mission_type)
     if job_function is not None:
         e = e.filter(F.col("job_function") == job_function)
+    e = _dedup(e, dedup, list(dict.fromkeys([*TRIP_COLS, by])))
     g = e.groupBy(by).agg(F.count(F.lit(1)).alias("n_missions"), F.sum("carbon_kg").alias("__kg"))
     g = g.orderBy(F.col("__kg").desc(), F.col(by).asc())
     if k is not None:
@@ -159,9 +173,10 @@ def average_age(m: DriverModel, mission_type: str = "Vocational Training",
 
 
 # Q16 ------------------------------------------------------------------------
-def worst_destination(m: DriverModel, window: Window = ("1998-05-01", "1998-10-31")) -> DataFrame:
+def worst_destination(m: DriverModel, window: Window = ("1998-05-01", "1998-10-31"),
+                      dedup: str = "mission") -> DataFrame:
     """Emissions per destination (city, country) -- keyed on both, never the city alone."""
-    e = m.enriched_missions(window)
+    e = _trips(m, window, dedup=dedup)
     g = e.groupBy("dst_city", "dst_country").agg(F.count(F.lit(1)).alias("n_missions"),
                                                  F.sum("carbon_kg").alias("__kg"))
     return (g.orderBy(F.col("__kg").desc(), "dst_city", "dst_country")
@@ -169,32 +184,32 @@ def worst_destination(m: DriverModel, window: Window = ("1998-05-01", "1998-10-3
 
 
 # Q18 ------------------------------------------------------------------------
-def top_single_missions(m: DriverModel, site: int = 1, k: int = 5) -> DataFrame:
-    e = m.enriched_missions(sites=[site])
+def top_single_missions(m: DriverModel, site: int = 1, k: int = 5, dedup: str = "mission") -> DataFrame:
+    e = _trips(m, sites=[site], dedup=dedup, keep=["mission_key", "leg"])
     top = e.orderBy(F.col("carbon_kg").desc(), "mission_key", "leg", "dst_city").limit(k)
     return top.select("mission_key", "leg", "dep_city", "dep_country", "dst_city", "dst_country", "transport",
                       F.round("carbon_kg", 3).alias("carbon_kg"))
 
 
 # Q19, Q20 ---------------------------------------------------------------------
-def monthly_distance(m: DriverModel) -> DataFrame:
+def monthly_distance(m: DriverModel, dedup: str = "mission") -> DataFrame:
     """What the notebook's code computes: one-way km by site and month."""
-    e = m.enriched_missions().withColumn("year_month", year_month("mission_date"))
+    e = _trips(m, dedup=dedup, keep=["site"]).withColumn("year_month", year_month("mission_date"))
     return (e.groupBy("site", "year_month")
             .agg(F.count(F.lit(1)).alias("n_missions"), F.round(F.sum("km_one_way"), 2).alias("total_km"))
             .orderBy("site", "year_month"))
 
 
-def monthly_emissions_by_transport(m: DriverModel) -> DataFrame:
+def monthly_emissions_by_transport(m: DriverModel, dedup: str = "mission") -> DataFrame:
     """What the notebook's question asks: emissions by site, month and transport."""
-    e = m.enriched_missions().withColumn("year_month", year_month("mission_date"))
+    e = _trips(m, dedup=dedup, keep=["site"]).withColumn("year_month", year_month("mission_date"))
     return (e.groupBy("site", "year_month", "transport")
             .agg(F.count(F.lit(1)).alias("n_missions"), _t())
             .orderBy("site", "year_month", "transport"))
 
 
-def monthly_with_global_total(m: DriverModel, label: str = "Global Total") -> DataFrame:
-    e = m.enriched_missions().withColumn("year_month", year_month("mission_date"))
+def monthly_with_global_total(m: DriverModel, label: str = "Global Total", dedup: str = "mission") -> DataFrame:
+    e = _trips(m, dedup=dedup, keep=["site"]).withColumn("year_month", year_month("mission_date"))
     out = totals_with_label(e, ["site", "year_month"], ["year_month"], "site", label,
                             [F.count(F.lit(1)).alias("n_missions"), F.round(F.sum("km_one_way"), 2).alias("total_km")])
     return out.orderBy("year_month", "site")

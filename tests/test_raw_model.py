@@ -231,3 +231,15 @@ def test_raw_model_with_personnel_files(spark, tmp_path):
     assert sum(v for (s, _), v in hc.items() if s is None) == len(people)
     age = q.average_age(raw, "Vocational Training", ("2024-07-01", "2024-09-30"), "2024-09-30").first()
     assert age.n_rows > 0 and 30 <= age.average_age <= 70
+
+
+def test_reference_dedup_never_adds_trips(spark):
+    from carbonledger.plans.model import DriverModel
+    d = DriverModel(spark, "/root/testdata/sf0.01")
+    a = {r.site: r.n_missions for r in q.monthly_distance(d).collect() if r.year_month == "1998-07"}
+    b = {r.site: r.n_missions for r in q.monthly_distance(d, dedup="reference").collect() if r.year_month == "1998-07"}
+    assert set(a) == set(b) and all(b[k] <= a[k] for k in a) and sum(b.values()) < sum(a.values())
+    w = {r.dst_city: r.n_missions for r in q.worst_destination(d, dedup="reference").collect()}
+    assert sum(w.values()) <= q.period_emissions(d, ("1998-05-01", "1998-10-31")).first().n_missions
+    with pytest.raises(ValueError):
+        q.top_emission_days(d, dedup="nope")
