@@ -62,10 +62,14 @@ def profile(df: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
         "applicable")
 
 
-def has_atypicals(df: DataFrame, kind: str) -> DataFrame:
-    """One row: whether any applicable column has ``kind`` values (the boolean of the profile)."""
-    p = profile(df, [kind])
-    return p.agg(F.coalesce(F.max(F.col("n_affected") > 0), F.lit(False)).alias("has_atypicals"))
+def has_atypicals(df: DataFrame, kind: str | None = None) -> DataFrame:
+    """Whether any applicable column has atypical values: one row for ``kind``, or one row per
+    kind (``kind`` column) when ``kind`` is None -- from a single profile pass either way."""
+    p = profile(df, [kind] if kind else KINDS)
+    flag = F.coalesce(F.max(F.when(F.col("applicable"), F.col("n_affected") > 0)), F.lit(False))
+    if kind:
+        return p.agg(flag.alias("has_atypicals"))
+    return p.groupBy("kind").agg(flag.alias("has_atypicals"))
 
 
 def unique_values(frames: Sequence[DataFrame], columns: Sequence[str], new_col: str) -> DataFrame | None:

@@ -454,11 +454,10 @@ WITH p AS ({_profile_sql()})
 SELECT kind, coalesce(max(n_affected > 0), false) AS has_atypicals FROM p WHERE applicable GROUP BY kind
 UNION ALL SELECT 'nan' AS kind, false AS has_atypicals""")
 def _d11b(m):
-    from ..operators.quality import has_atypicals
-    d = _documents_labels(m)
-    return has_atypicals(d, "null").select(F.lit("null").alias("kind"), "has_atypicals") \
-        .unionByName(has_atypicals(d, "empty").select(F.lit("empty").alias("kind"), "has_atypicals")) \
-        .unionByName(has_atypicals(d, "nan").select(F.lit("nan").alias("kind"), "has_atypicals"))
+    # One profile pass covers every kind; a kind without applicable columns is false.
+    p = profile(_documents_labels(m))
+    flag = F.max(F.when(F.col("applicable"), F.col("n_affected") > 0))
+    return p.groupBy("kind").agg(F.coalesce(flag, F.lit(False)).alias("has_atypicals"))
 
 
 # --- A13 unique values --------------------------------------------------------
