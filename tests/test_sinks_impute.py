@@ -96,3 +96,13 @@ def test_rule_table_join_matches_expression(spark):
     a = {r.t: r.adjusted_value for r in apply_conditional_operations(df, "t", "d", rules).collect()}
     b = {r.t: r.adjusted_value for r in apply_rules_by_join(df, table, "t", "d").collect()}
     assert a == b == {"plane": 195.0, "taxi": 20.0, "boat": 5.0, "train": 25.0}
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from carbonledger.__main__ import main
+    assert main(["list"]) == 0
+    assert "purchase_carbon" in capsys.readouterr().out
+    out = str(tmp_path / "q5")
+    assert main(["run", "purchase_carbon", "--data", "/root/testdata/sf0.001", "--out", out]) == 0
+    assert spark.read.parquet(out).count() == 1
+    assert main(["run", "nope", "--data", "/root/testdata/sf0.001"]) == 2
