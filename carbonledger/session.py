@@ -56,6 +56,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             configured = None
     if not configured:
+        if not sc.master.startswith("local"):
+            # A driver-local folder is not shared with executors: refuse rather than lose data.
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
+                               "(HDFS / object store) visible to every executor")
         configured = tempfile.mkdtemp(prefix="carbonledger-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
