@@ -10,15 +10,27 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_ROWS = 1_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+_CHECKED: dict = {}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, memo_key=None) -> DataFrame:
     """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
     The check reads at most ``max_rows + 1`` rows.  Above the bound no hint is
     given and the join falls back to AQE: a runtime broadcast if the shuffled
     side turns out small, otherwise a sort-merge join with skew splitting.
+
+    ``memo_key`` (e.g. the dataset path) remembers the outcome for the rest of
+    the process, for tables such as a catalogue that do not change between
+    questions; at scale the check is a full aggregate, so it is paid once.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if memo_key is not None and (memo_key, max_rows) in _CHECKED:
+        small = _CHECKED[(memo_key, max_rows)]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if memo_key is not None:
+            _CHECKED[(memo_key, max_rows)] = small
+    return F.broadcast(df) if small else df
 
 
 def fixed_broadcast(df: DataFrame) -> DataFrame:

@@ -26,12 +26,17 @@ def translation_table(spark: SparkSession, pairs: Mapping | None = None) -> Data
 
 
 def translate_expr(col, mapping: Mapping[str, str]) -> Column:
-    """``mapping[col]`` if present, else ``col`` (``DataFrame.replace`` semantics) as a map lookup."""
-    c = F.col(col) if isinstance(col, str) else col
+    """``mapping[col]`` if present, else ``col`` (``DataFrame.replace`` semantics).
+
+    For a column name the expression is parsed from SQL text (one call to the
+    JVM); for a Column it is a literal-map lookup.
+    """
     if not mapping:
-        return c
+        return F.col(col) if isinstance(col, str) else col
+    if isinstance(col, str):
+        return F.expr(translate_sql(f"`{col}`", mapping))
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(m[c], c)
+    return F.coalesce(m[col], col)
 
 
 def translate_sql(col: str, mapping: Mapping[str, str]) -> str:

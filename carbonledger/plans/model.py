@@ -40,9 +40,9 @@ Window = tuple[str, str] | None
 _SCHEMAS: dict = {}
 
 
-def _map_or(col: Column, mapping: dict, default: str) -> Column:
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(m[col], F.lit(default))
+def _map_or(col_sql: str, mapping: dict, default: str) -> Column:
+    """``mapping[col]`` or ``default``, parsed from SQL text (the same text the oracle uses)."""
+    return F.expr(ModelSQL._map_sql(col_sql, mapping, default))
 
 
 @dataclass
@@ -134,7 +134,7 @@ class DriverModel:
             F.col("o_custkey").alias("person_id"), F.col("o_orderdate").alias("mission_ts"),
             F.to_date("o_orderdate").alias("mission_date"),
             translate_expr("l_returnflag", fixed.RETURNFLAG_TYPE).alias("mission_type"),
-            _map_or(F.substring("o_orderpriority", 1, 1), fixed.PRIORITY_TRANSPORT, fixed.OTHER).alias("transport"),
+            _map_or("substr(o_orderpriority, 1, 1)", fixed.PRIORITY_TRANSPORT, fixed.OTHER).alias("transport"),
             (F.col("o_orderstatus") == "F").alias("is_return"),
             F.col("s_nationkey").alias("dst_location_id"), *extra)
 
@@ -248,7 +248,7 @@ class DriverModel:
         e = self.equipment(window)
         imp = self.impacts().select(canonical_label("imp_type").alias("__t"), canonical_label("imp_model").alias("__m"),
                                     "impact_kg")
-        imp = bounded_broadcast(imp)
+        imp = bounded_broadcast(imp, memo_key=("impacts", self.path("part")))
         return (e.join(imp, (canonical_label("equip_type") == F.col("__t")) &
                        (canonical_label("equip_model") == F.col("__m")))
                 .drop("__t", "__m"))
