@@ -106,3 +106,39 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["run", "purchase_carbon", "--data", "/root/testdata/sf0.001", "--out", out]) == 0
     assert spark.read.parquet(out).count() == 1
     assert main(["run", "nope", "--data", "/root/testdata/sf0.001"]) == 2
+
+
+def test_checkpoint_dir_rules():
+    import pytest as _pytest
+
+    from carbonledger.session import ensure_checkpoint_dir
+
+    class Conf(dict):
+        def get(self, k, d=None):
+            return super().get(k, d)
+
+    class SC:
+        def __init__(self, master, conf):
+            self.master, self._conf, self.dir = master, Conf(conf), None
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def getConf(self):
+            return self._conf
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    class RuntimeConf:
+        def get(self, k):
+            raise KeyError(k)
+
+    class Spark:
+        def __init__(self, master, conf):
+            self.sparkContext, self.conf = SC(master, conf), RuntimeConf()
+
+    assert ensure_checkpoint_dir(Spark("yarn", {"spark.checkpoint.dir": "hdfs:///shared/ck"})) == "hdfs:///shared/ck"
+    with _pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Spark("yarn", {}))
+    assert ensure_checkpoint_dir(Spark("local[8]", {})).startswith("/")
