@@ -24,6 +24,13 @@ def save_parquet(df: DataFrame, path: str, overwrite: bool = False, partition_by
     Facts should be written ``partition_by=("site_id", "year_month")`` so that
     site and period filters prune directories.
     """
+    if partition_by:
+        # Without redistribution every task writes one file into every directory it
+        # touches (tasks x directories small files).  REBALANCE groups rows by the
+        # partition columns so each directory gets few, large files, and lets AQE
+        # split a skewed one (a site-month holding a third of the rows) into several
+        # tasks instead of one.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite" if overwrite else "ignore")
     if partition_by:
         w = w.partitionBy(*partition_by)
