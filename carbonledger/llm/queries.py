@@ -5,10 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, clean_rules, line_dedup, mixing, quality_model, simhash, warc
+from . import (bpe, chat_pairs, clean_rules, cover_tree, line_dedup, lm_mixing, mixing, quality_model, simhash,
+               warc)
 from .common import table, unsigned_crc_mod
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by context mixing, and by the unigram base model."""
+    doc = F.col("doc_id")
+    held_out = F.coalesce(unsigned_crc_mod(doc, 5) == 1, F.lit(False))
+    in_fit = F.coalesce(F.crc32(F.concat(F.lit("f"), doc.cast("string")).cast("binary")) % 16 == 0, F.lit(False))
+    scored = lm_mixing.score(table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out, in_fit)
+    return scored.withColumn("held_out", held_out)
+
+
+def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Preference examples of all conversations, each against its neighbour's last answer."""
+    pairs = chat_pairs.format_preferences(*chat_pairs.answer_swaps(table(spark, sf_dir, "conversations")))
+    return pairs.withColumnRenamed("pair_id", "conv_id")
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary_path: str | None = None,
                  pattern: str | None = None) -> DataFrame:
     """Byte-level BPE of every document, decoded again."""
@@ -37,6 +53,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at a cosine of 0.9."""
+    found = cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line-first quality rules over all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,10 +79,13 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_context_mixing": op1_context_mixing,
+    "op2_preference_pairs": op2_preference_pairs,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_line_dedup": op5_line_dedup,
     "op6_simhash": op6_simhash,
+    "op7_cover_tree": op7_cover_tree,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mix": op9_source_mix,
     "op10_warc_archive": op10_warc_archive,
@@ -105,6 +130,44 @@ SELECT d.doc_id, d.size, p.source_size, p.target,
        CAST(d.size * (p.whole + CASE WHEN d.bucket < coalesce(c.cut_bucket, 0) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source""",
+    "op2_preference_pairs": """
+WITH t AS (SELECT conv_id, turn, role, text FROM conversations),
+last AS (
+  SELECT conv_id, max(turn) AS stop, arg_max(text, turn) AS answer FROM t WHERE role = 'assistant' GROUP BY conv_id),
+c AS (
+  SELECT t.conv_id, t.turn, t.role, t.text, l.stop FROM t LEFT JOIN last l ON t.conv_id = l.conv_id
+  WHERE l.stop IS NULL OR t.turn <= l.stop),
+sides AS (
+  SELECT conv_id, 'chosen' AS side, turn, role, text FROM c
+  UNION ALL
+  SELECT c.conv_id, 'rejected', c.turn, c.role, CASE WHEN c.turn = c.stop THEN o.answer ELSE c.text END
+  FROM c LEFT JOIN last o ON o.conv_id = xor(c.conv_id, 1)
+  WHERE c.stop IS NULL OR c.turn < c.stop OR o.conv_id IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn) AS k FROM sides),
+split AS (
+  SELECT conv_id, min(k) FILTER (n < 2 OR kinds > 1) AS at
+  FROM (SELECT conv_id, k, count(*) AS n, count(DISTINCT (role, text)) AS kinds FROM k GROUP BY conv_id, k)
+  GROUP BY conv_id),
+seg AS (
+  SELECT k.conv_id, CASE WHEN s.at IS NULL OR k.k < s.at THEN 'prompt' ELSE side END AS part, side, k.k, k.role,
+         '<|' || replace(k.role, '<|', '< |') || '|>' || chr(10) AS head,
+         replace(k.text, '<|', '< |') || '<|end|>' AS body
+  FROM k JOIN split s ON k.conv_id = s.conv_id),
+placed AS (
+  SELECT *, head || body || chr(10) AS rendered,
+         coalesce(sum(length(head) + length(body) + 1) OVER (
+           PARTITION BY conv_id, part, side ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         + length(head) AS first
+  FROM seg WHERE part <> 'prompt' OR side = 'chosen')
+SELECT conv_id, count(*) FILTER (part = 'prompt') AS n_prompt_turns,
+       coalesce(string_agg(rendered, '' ORDER BY k) FILTER (part = 'prompt'), '') AS prompt,
+       coalesce(string_agg(rendered, '' ORDER BY k) FILTER (part = 'chosen'), '') AS chosen,
+       coalesce(string_agg(CAST(first AS BIGINT) || '-' || CAST(first + length(body) AS BIGINT), ',' ORDER BY k)
+                FILTER (part = 'chosen' AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(rendered, '' ORDER BY k) FILTER (part = 'rejected'), '') AS rejected,
+       coalesce(string_agg(CAST(first AS BIGINT) || '-' || CAST(first + length(body) AS BIGINT), ',' ORDER BY k)
+                FILTER (part = 'rejected' AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY conv_id""",
     "op5_line_dedup": f"""
 WITH raw AS (
   SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i, unnest(string_split(text, chr(10))) AS line
@@ -128,6 +191,23 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_
        CAST(coalesce(sum(w) FILTER (gone), 0) AS BIGINT) AS removed_words,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM lines GROUP BY doc_id""",
+    "op7_cover_tree": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL),
+u AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v WHERE list_dot_product(e, e) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9e0),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+d AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(d.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN d ON d.a = e.vec_id""",
     "op10_warc_archive": """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hx FROM pages),
