@@ -13,7 +13,7 @@ smallest window of lines with at least ``MIN_WORDS`` words and ends another.
    place of a repeated run lies in a window that begins or ends inside the run,
    so the union of the matched windows is the match extended line by line both
    ways, as far as the run goes.
-4. Later occurrences are deleted, with the blank lines inside them.
+4. Later occurrences are deleted, with the blank lines inside matched windows.
 
 Each key is reduced by a partial aggregation to its first occurrence, and every
 window meets one row of its key; there are no pairs within a group, so a line
@@ -23,7 +23,8 @@ windows may be split by AQE).  Texts are shuffled once, for the deletion.
 Defined cases: null text stays null and has no lines; rows that repeat another
 row's doc_id and text are one document here and get the same result; a null
 doc_id comes after all others; a document may lose all its lines (its text is
-then empty); an empty table gives an empty result; extra columns are kept.
+then empty); an empty table gives an empty result; extra columns are kept
+(``mark_runs`` replaces columns of its outputs' names).
 """
 
 from __future__ import annotations
@@ -87,30 +88,35 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
             .groupBy(*_KEY).agg(F.collect_set("i").alias("gone")))
 
 
-def mark_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
-    """``docs`` with n_lines, n_removed, removed_words and kept_text (the text without its repeated runs)."""
-    cols = docs.columns
+def _marked(docs: DataFrame, min_words: int, text: str) -> DataFrame:
+    """``docs`` with __ld_n, __ld_removed, __ld_words and __ld_text."""
     gone = repeated_lines(docs, min_words, text).select(*[F.col(c).alias(f"__ld_{c}") for c in (*_KEY, "gone")])
     t1, t2 = _digests(F.col(text))
     j = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__ld_doc_id")) & (t1 == F.col("__ld_t1"))
-                  & (t2 == F.col("__ld_t2")), "left")
-    n = F.when(F.col(text).isNull(), 0).otherwise(F.size("__ld_lines"))
+                  & (t2 == F.col("__ld_t2")), "left").withColumn("__ld_lines", _lines(F.col(text)))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__ld_lines") - 1), F.col("__ld_gone"))
     line = lambda k: F.get(F.col("__ld_lines"), k)
     some = F.col("__ld_gone").isNotNull()
-    j = j.withColumn("__ld_lines", _lines(F.col(text)))
     lost = F.aggregate(F.transform(F.col("__ld_gone"), lambda k: F.regexp_count(line(k), F.lit(WORD))),
                        F.lit(0), lambda a, x: a + x)
     return j.select(
-        *cols, n.cast("long").alias("n_lines"),
-        F.when(some, F.size("__ld_gone")).otherwise(0).cast("long").alias("n_removed"),
-        F.when(some, lost).otherwise(0).cast("long").alias("removed_words"),
-        F.when(some, F.array_join(F.transform(stay, line), "\n")).otherwise(F.col(text)).alias("kept_text"))
+        *docs.columns,
+        F.when(F.col(text).isNull(), 0).otherwise(F.size("__ld_lines")).cast("long").alias("__ld_n"),
+        F.when(some, F.size("__ld_gone")).otherwise(0).cast("long").alias("__ld_removed"),
+        F.when(some, lost).otherwise(0).cast("long").alias("__ld_words"),
+        F.when(some, F.array_join(F.transform(stay, line), "\n")).otherwise(F.col(text)).alias("__ld_text"))
+
+
+def mark_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
+    """``docs`` with n_lines, n_removed, removed_words and kept_text (the text without its repeated runs); columns
+    of these names are replaced."""
+    new = {"n_lines": "__ld_n", "n_removed": "__ld_removed", "removed_words": "__ld_words", "kept_text": "__ld_text"}
+    return (_marked(docs, min_words, text).withColumns({k: F.col(v) for k, v in new.items()})
+            .drop(*new.values()))
 
 
 def drop_repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
     """``docs`` with the repeated runs deleted from the text; a document that loses all its words is left out."""
-    cols = docs.columns
-    marked = mark_runs(docs.select(*cols), min_words, text)
-    emptied = (F.col("n_removed") > 0) & ~F.coalesce(F.col("kept_text").rlike(WORD), F.lit(False))
-    return marked.filter(~emptied).withColumn(text, F.col("kept_text")).select(*cols)
+    emptied = (F.col("__ld_removed") > 0) & ~F.coalesce(F.col("__ld_text").rlike(WORD), F.lit(False))
+    return (_marked(docs, min_words, text).filter(~emptied).withColumn(text, F.col("__ld_text"))
+            .select(*docs.columns))

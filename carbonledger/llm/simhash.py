@@ -173,10 +173,11 @@ def candidate_buckets(fps: DataFrame) -> DataFrame:
         rows = _refine(rows, level)
         counts = rows.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
         rows = cut(rows.join(counts, ["mask", "key"]))
-        small = rows.filter(f"n <= {BUCKET}").select("fp", "mask", "key")
+        # 56 fixed bits leave at most 256 distinct fingerprints, so the last level needs no further cut.
+        small = (rows.filter(F.col("n") <= BUCKET) if level < 2 else rows).select("fp", "mask", "key")
         found = small if found is None else found.unionAll(small)
-        rows = rows.filter(f"n > {BUCKET}").select("fp", "mask").distinct()
-        if rows.isEmpty():
+        rows = rows.filter(F.col("n") > BUCKET).select("fp", "mask").distinct()
+        if level == 2 or rows.isEmpty():
             break
     return found
 
@@ -229,14 +230,16 @@ def hex16(fp: Column) -> Column:
 
 def fingerprint_groups(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS, seed: int = SEED
                        ) -> tuple[DataFrame, DataFrame]:
-    """(per document: doc_id, fp; per fingerprint: fp, component_id = smallest doc_id reachable)."""
-    own = cut(docs.select("doc_id", fingerprint_udf(n, seed)("text").alias("fp")))
+    """(per document: doc_id, fp, two text hashes t1 and t2; per fingerprint: fp, component, component_id =
+    smallest doc_id reachable)."""
+    own = cut(docs.select("doc_id", fingerprint_udf(n, seed)("text").alias("fp"), F.xxhash64("text").alias("t1"),
+                          F.xxhash64(F.lit(1), "text").alias("t2")))
     per = cut(own.groupBy("fp").agg(F.min("doc_id").alias("least")))
     comp = cut(connected_components(links(per.select("fp"), radius), "a", "b"))
     linked = per.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
     linked = linked.withColumn("component", F.coalesce("component", "fp"))
     least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    return own, linked.join(least, "component").select("fp", "component_id")
+    return own, linked.join(least, "component").select("fp", "component", "component_id")
 
 
 def near_duplicates(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
@@ -246,19 +249,25 @@ def near_duplicates(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS, see
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """``docs`` with one document of each component: the smallest doc_id (null ids count as one id, last).
+    """``docs`` with one document of each component: the smallest doc_id (null last).
 
-    Rows that repeat the kept doc_id stay only once: the one with the smallest text hash.
+    Of rows with that same doc_id, the one with the smallest text hash stays, once.
     """
     cols = docs.columns
     own, groups = fingerprint_groups(docs, n, radius, seed)
+    best = F.struct("t1", "t2")
     keep = (own.join(groups, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("doc_id").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
-            .select(F.col("doc_id").alias("__sh_id"), F.col("fp").alias("__sh_fp"), F.col("n").alias("__sh_n")))
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__sh_id")))
+            .groupBy("component", "doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("component").agg(F.first("doc_id").alias("__sh_id"), F.min(best).alias("t"),
+                                      F.min_by("n", best).alias("__sh_n"))
+            .select("component", "__sh_id", F.col("t.t1").alias("__sh_t1"), F.col("t.t2").alias("__sh_t2"), "__sh_n"))
+    keep = keep.withColumnRenamed("component", "__sh_component")
+    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__sh_id"))
+                     & (F.xxhash64("text") == F.col("__sh_t1"))
+                     & (F.xxhash64(F.lit(1), "text") == F.col("__sh_t2")))
     once = kept.filter("__sh_n = 1").select(*cols)
-    # Repeated ids: one of these rows, ordered by content.
-    w = Window.partitionBy("__sh_id").orderBy("__sh_fp", F.xxhash64("text"))
+    # Equal ids and texts: any one of these rows.
+    w = Window.partitionBy("__sh_component").orderBy(F.lit(1))
     again = (kept.filter("__sh_n > 1").withColumn("__sh_row", F.row_number().over(w)).filter("__sh_row = 1")
              .select(*cols))
     return once.unionByName(again)
