@@ -111,8 +111,8 @@ def emissions_by_join(df: DataFrame, factors: DataFrame, mode: str, tier_km: str
     tier = F.col(tier_km)
     lo_ok = F.col("km_lo").isNull() | F.when(F.col("lo_closed"), tier >= F.col("km_lo")).otherwise(tier > F.col("km_lo"))
     hi_ok = F.col("km_hi").isNull() | F.when(F.col("hi_closed"), tier <= F.col("km_hi")).otherwise(tier < F.col("km_hi"))
-    from ..operators.broadcast import bounded_broadcast
-    joined = df.join(bounded_broadcast(f), (F.col(mode) == F.col("__mode")) & lo_ok & hi_ok, "left")
+    from ..operators.broadcast import fixed_broadcast
+    joined = df.join(fixed_broadcast(f), (F.col(mode) == F.col("__mode")) & lo_ok & hi_ok, "left")
     val = F.col("factor") * ((F.col(value_km) + F.col("add_km")) * F.col("mul"))
     result = F.when(F.col("__mode").isNotNull(), val).otherwise(F.lit(default).cast("double"))
     return joined.withColumn(out, result).drop("__mode", "km_lo", "km_hi", "lo_closed", "hi_closed", "add_km",

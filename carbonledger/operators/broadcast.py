@@ -1,37 +1,19 @@
-"""Broadcast only what has a proven size bound."""
+"""Broadcast only what has a proven size bound.
+
+Tables whose size follows from their definition (region, nation, parameter
+tables passed by the caller) get an explicit hint.  Everything whose size
+depends on the data gets none: the planner broadcasts a scanned table when its
+files are below ``spark.sql.autoBroadcastJoinThreshold`` bytes, and AQE does the
+same at run time with the measured size of a shuffled side; above the threshold
+both keep a sort-merge join with skew splitting.  No job runs while a plan is
+built.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables with a fixed cardinality by construction (region: 5 rows,
-# nation: 25 rows, parameter tables) are broadcast unconditionally by callers.
-DEFAULT_MAX_ROWS = 1_000_000
-
-
-_CHECKED: dict = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, memo_key=None) -> DataFrame:
-    """Return ``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows.  Above the bound no hint is
-    given and the join falls back to AQE: a runtime broadcast if the shuffled
-    side turns out small, otherwise a sort-merge join with skew splitting.
-
-    ``memo_key`` (e.g. the dataset path) remembers the outcome for the rest of
-    the process, for tables such as a catalogue that do not change between
-    questions; at scale the check is a full aggregate, so it is paid once.
-    """
-    if memo_key is not None and (memo_key, max_rows) in _CHECKED:
-        small = _CHECKED[(memo_key, max_rows)]
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if memo_key is not None:
-            _CHECKED[(memo_key, max_rows)] = small
-    return F.broadcast(df) if small else df
-
 
 def fixed_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a table whose size is fixed by its definition (not by the data volume)."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_sentinel, is_blank
@@ -19,12 +19,14 @@ def pool(frames: Sequence[DataFrame], columns: Sequence[Sequence[str]], names: S
 
 
 def build_dimension(values: DataFrame, key: str, blank_policy: str = "drop", sentinel: str = "NULL",
-                    order_cols: Sequence[str] | None = None) -> DataFrame:
+                    order_cols: Sequence[str] | None = None, bounded: bool = False) -> DataFrame:
     """Distinct rows of ``values`` with a dense ``key`` 1..n in sort order.
 
     ``blank_policy``: ``"drop"`` removes rows where any column is null/blank,
     ``"sentinel"`` replaces blanks by ``sentinel`` (the notebook's ``"NULL"``
-    model), ``"keep"`` keeps them as they are.
+    model), ``"keep"`` keeps them as they are.  ``bounded``: the values come
+    from a domain of fixed size (labels, calendar days, a gazetteer), so the
+    distinct values are numbered by one window instead of a range partitioning.
     """
     cols = values.columns
     if blank_policy == "drop":
@@ -35,6 +37,9 @@ def build_dimension(values: DataFrame, key: str, blank_policy: str = "drop", sen
     elif blank_policy != "keep":
         raise ValueError(f"unknown blank_policy {blank_policy!r}")
     distinct = values.distinct()
+    if bounded:
+        order = [F.col(c).asc_nulls_last() for c in (order_cols or cols)]
+        return distinct.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias(key), *cols)
     keyed = sequential_index(distinct, order_cols=list(order_cols or cols), out=key,
                              split_ties=order_cols is not None)
-    return keyed.select(F.col(key).cast("int").alias(key), *cols)
+    return keyed.select(key, *cols)

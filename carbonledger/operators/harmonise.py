@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import TRANSLATIONS
-from .broadcast import bounded_broadcast
 
 TRANSLATION_SCHEMA = T.StructType([
     T.StructField("domain", T.StringType(), False),
@@ -51,14 +50,13 @@ def harmonise(df: DataFrame, columns: Mapping[str, str], table: DataFrame) -> Da
 
     ``columns`` maps column name -> domain.  The table is reduced to one target
     per (domain, src) before the join, so duplicated pairs cannot fan rows out;
-    it is broadcast behind a row-count bound.  Unmapped values are kept.
+    it has no hint: AQE broadcasts it by its measured size.  Unmapped values are kept.
     """
     out = df
     for col, domain in columns.items():
         t = (table.filter(F.col("domain") == domain)
              .groupBy("src").agg(F.min("dst").alias("__dst"))
              .withColumnRenamed("src", "__src"))
-        t = bounded_broadcast(t)
         out = (out.join(t, out[col] == t["__src"], "left")
                .withColumn(col, F.coalesce(F.col("__dst"), F.col(col))).drop("__src", "__dst"))
     return out
@@ -70,4 +68,4 @@ def unmapped(df: DataFrame, column: str, domain: str, table: DataFrame, targets:
     t = table.filter(F.col("domain") == domain)
     known = t.select(F.col("src").alias("v")).unionByName(t.select(F.col("dst").alias("v"))).distinct()
     vals = df.select(F.col(column).alias("v")).filter(F.col("v").isNotNull()).distinct()
-    return vals.join(bounded_broadcast(known), "v", "left_anti").withColumnRenamed("v", column)
+    return vals.join(known, "v", "left_anti").withColumnRenamed("v", column)

@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
-from .broadcast import bounded_broadcast
 
 _POS_MASK = (1 << 33) - 1
 
@@ -64,11 +63,11 @@ def sequential_index(df: DataFrame, order_cols: Sequence, partition_cols: Sequen
     w = Window.partitionBy(*part).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if part else \
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    # runs holds at most (#partitions + #groups) rows: broadcast it when that is
-    # small (always without groups), else let AQE choose the join.
+    # runs holds at most (#partitions + #groups) rows; materialised, the planner knows its bytes and broadcasts it
+    # below the threshold.
     r = runs.select(F.col("__pid").alias("__rpid"), *[F.col(c).alias(f"__g_{c}") for c in part], "__first",
                     "__offset")
-    r = bounded_broadcast(r, max_rows=max(100_000, 4 * n))
+    r = F.broadcast(r) if not part else reliable_checkpoint(r)
     cond = [F.col("__pid") == F.col("__rpid")] + [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in part]
     joined = tagged.join(r, cond, "inner")
     idx = (F.col("__offset") + (F.col("__pos") - F.col("__first")) + 1).cast("long")

@@ -9,6 +9,7 @@ without overriding what a cluster already configured.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -65,36 +66,53 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_WRITTEN: list[str] = []  # folders of this process's materialised tables, until released
+
+
 def reliable_checkpoint(df):
-    """Materialise ``df`` in the shared checkpoint folder and return the truncated-lineage copy.
+    """Write ``df`` once as Parquet in the shared checkpoint folder and return the reread table.
 
-    The input is persisted first so the eager checkpoint's count and its write
-    do not compute it twice; the persisted copy is released once the files are
-    written.  Never a local (executor-disk) checkpoint: the files survive the
-    loss of any executor.
+    Computes the input once (an eager ``checkpoint()`` computes it twice unless
+    it is persisted too), keeps no second copy on executor disks, and the files
+    outlive any executor.  ``release_checkpoints`` deletes them.
     """
-    from pyspark import StorageLevel
-    ensure_checkpoint_dir(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_checkpoints(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables written by ``reliable_checkpoint`` (those after the first ``since``) once their readers
+    are done."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in _WRITTEN[since:]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    del _WRITTEN[since:]
+
+
+def checkpoints_written() -> int:
+    """Number of materialised tables not yet released."""
+    return len(_WRITTEN)
 
 
 def cluster_conf(input_tb: float = 100.0, executors: int = 1000, cores_per_executor: int = 8,
-                 partition_mb: int = 256) -> dict[str, str]:
+                 partition_mb: int = 256, shuffled_share: float = 0.05) -> dict[str, str]:
     """Spark settings sized for a large run; apply them when building the cluster session.
 
-    * shuffle partitions start at input / ``partition_mb`` (AQE then coalesces
-      small ones and splits skewed ones), never below the core count;
+    * shuffle partitions start at the bytes that are shuffled / ``partition_mb``: after column pruning and
+      compression ``shuffled_share`` of the input (a few narrow columns of the line items); AQE then coalesces
+      small ones and splits skewed ones; never below the core count, never above 50,000 (map tasks x
+      partitions is the number of shuffle blocks);
     * scans read ``partition_mb`` splits, so a task holds a bounded slice;
     * skewed sort-merge partitions (5x the median and above 1 GB) are split;
     * the runtime bloom filter lets a filtered dimension or order side prune
       the large fact scan of a shuffle join.
     """
     cores = executors * cores_per_executor
-    shuffle = max(cores, int(input_tb * 1024 * 1024 / partition_mb))
+    shuffle = min(50_000, max(cores, int(shuffled_share * input_tb * 1024 * 1024 / partition_mb)))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
