@@ -21,6 +21,7 @@ def fill_nulls_by_key(dst: DataFrame, src: DataFrame, key: str | Sequence[str],
     keys = [key] if isinstance(key, str) else list(key)
     agg = {"max": F.max, "min": F.min, "first": F.first}[resolve]
     s = (src.filter(F.col(value).isNotNull()).groupBy(*keys).agg(agg(value).alias("__fill")))
+    # One row per key on the right: AQE broadcasts it by its measured size or splits a hot key on the left.
     return (dst.join(s, keys, "left")
             .withColumn(target, F.coalesce(F.col(target), F.col("__fill")))
             .select(*dst.columns))
@@ -29,15 +30,18 @@ def fill_nulls_by_key(dst: DataFrame, src: DataFrame, key: str | Sequence[str],
 def new_rows(src: DataFrame, target: DataFrame, key_specs: Sequence[Sequence[str]] | None = None) -> DataFrame:
     """Rows of ``src`` absent from ``target`` under every key spec (a chain of left-anti joins).
 
-    Only the columns common to both frames are compared (source column order kept).
-    With no key spec, whole rows over the common columns are compared.
+    The result has the columns common to both frames, in source order.  Keys are
+    compared null-safe: a row whose key is null matches a target row with the
+    same null, so appending twice adds nothing.  Without a key spec nothing is
+    compared: all rows are new (the caller asked for no de-duplication).
     """
     common = [c for c in src.columns if c in target.columns]
     out = src.select(*common)
-    specs = [list(k) for k in key_specs] if key_specs else [common]
-    for spec in specs:
+    for spec in key_specs or ():
         # distinct first: partial aggregation collapses a hot key before the shuffle
-        out = out.join(target.select(*spec).distinct(), spec, "left_anti")
+        known = target.select(*[F.col(c).alias(f"__t_{c}") for c in spec]).distinct()
+        match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__t_{c}")) for c in spec])
+        out = out.join(known, match, "left_anti")
     return out
 
 

@@ -20,16 +20,18 @@ SITE_FROM_PATH = r"([A-Z]+)_(?:MISSION|INFORMATIQUE)/[^/]+$"
 DATE_FROM_FILE = r"_(\d{8})\.txt$"
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
+def with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(schemas.CORRUPT, T.StringType())])
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", header: bool = True,
                    timestamp_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
     """Delimited scan with an explicit schema; malformed lines land in ``_corrupt_record``."""
-    return (spark.read.schema(_with_corrupt(schema))
+    return (spark.read.schema(with_corrupt(schema))
             .option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", schemas.CORRUPT)
+            # A header that does not match the schema fails the read instead of shifting columns.
+            .option("enforceSchema", not header)
             .option("timestampFormat", timestamp_format).option("encoding", "UTF-8")
             .csv(path))
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.fill import new_rows
-from ..session import reliable_checkpoint
+from ..session import checkpoints_written, release_checkpoints, reliable_checkpoint
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -37,40 +38,65 @@ def save_parquet(df: DataFrame, path: str, overwrite: bool = False, partition_by
     w.parquet(path)
 
 
-def save_csv(df: DataFrame, path: str, delimiter: str = ";", overwrite: bool = True,
-             single_file: bool = False) -> None:
+def save_csv(df: DataFrame, path: str, delimiter: str = ";", overwrite: bool = True, single_file: bool = False,
+             max_single_mb: int = 512) -> None:
     """CSV export with a header into directory ``path``.
 
-    ``single_file`` coalesces to one partition -- only for small exports; a
-    large frame keeps its partitioning (one part file per task).
+    ``single_file`` gives one part file, for small exports: the rows are
+    materialised first and their measured bytes checked against
+    ``max_single_mb`` (ValueError above), so neither the work before it nor an
+    unbounded result lands in one task.
     """
-    out = df.coalesce(1) if single_file else df
-    (out.write.option("header", True).option("sep", delimiter)
+    if single_file:
+        df = reliable_checkpoint(df)
+        size = sum(path_bytes(df.sparkSession, f) for f in df.inputFiles())
+        if size > max_single_mb << 20:
+            raise ValueError(f"{size} bytes are too many for a single file (limit {max_single_mb} MB)")
+        df = df.coalesce(1)
+    (df.write.option("header", True).option("sep", delimiter)
      .mode("overwrite" if overwrite else "errorifexists").csv(path))
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file through Hadoop's FileSystem."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getLen()
+
+
+def _load(spark: SparkSession, path: str, fmt: str, delimiter: str, like: DataFrame) -> DataFrame:
+    """The table at ``path``; CSV columns are found by the header and take the types of ``like``."""
+    if fmt != "csv":
+        return spark.read.format(fmt).load(path)
+    raw = spark.read.option("header", True).option("sep", delimiter).csv(path)  # all strings, header names
+    types = dict(like.dtypes)
+    return raw.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
+
+
 def append_new_rows(df: DataFrame, path: str, fmt: str = "parquet", key_specs: Sequence[Sequence[str]] | None = None,
-                    create_if_missing: bool = True, delimiter: str = ";") -> int | None:
+                    create_if_missing: bool = True, delimiter: str = ";") -> None:
     """Append to the table at ``path`` only the rows of ``df`` it does not hold yet.
 
-    Rows are aligned to the target's columns; a row is skipped when any key
-    spec already matches (chain of left-anti joins).  Returns nothing at scale
-    (no count) unless the target is created.
+    Rows are aligned to the target by column name (for CSV by the header's
+    names, in the header's order; target columns missing in ``df`` are null).  A
+    row is skipped when any key spec already matches, null keys included, so a
+    second append of the same rows adds nothing.  Without key specs all rows are
+    appended.
     """
     spark = df.sparkSession
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("sep", delimiter)
     writer_opts = {"header": "true", "sep": delimiter} if fmt == "csv" else {}
     if not path_exists(spark, path):
         if not create_if_missing:
             raise FileNotFoundError(path)
         df.write.format(fmt).options(**writer_opts).mode("errorifexists").save(path)
-        return None
-    target = reader.load(path) if fmt != "csv" else reader.schema(df.schema).load(path)
-    fresh = new_rows(df.select(*[c for c in target.columns if c in df.columns]), target, key_specs)
+        return
+    target = _load(spark, path, fmt, delimiter, df)
+    fresh = new_rows(df, target, key_specs)
+    types = dict(target.dtypes)
+    fresh = fresh.select(*[F.col(c) if c in fresh.columns else F.lit(None).cast(types[c]).alias(c)
+                           for c in target.columns])
     # Materialise the new rows in the shared checkpoint folder before appending,
     # so the append never reads files it is writing.
+    before = checkpoints_written()
     fresh = reliable_checkpoint(fresh)
     fresh.write.format(fmt).options(**writer_opts).mode("append").save(path)
-    return None
+    release_checkpoints(spark, before)

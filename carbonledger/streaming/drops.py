@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import schemas
-from ..sources.raw import DATE_FROM_FILE, SITE_FROM_PATH, clean_strings, drops_glob
+from ..sources.raw import DATE_FROM_FILE, SITE_FROM_PATH, clean_strings, drops_glob, with_corrupt
 from ..sources.sinks import append_new_rows
 
 KEYS = {"mission": "ID_MISSION", "equipment": "ID_MATERIELINFO"}
@@ -22,8 +22,9 @@ KEYS = {"mission": "ID_MISSION", "equipment": "ID_MATERIELINFO"}
 
 def drops_stream(spark: SparkSession, root: str, kind: str, max_files_per_trigger: int | None = None) -> DataFrame:
     _, schema = schemas.KINDS[kind]
-    reader = (spark.readStream.schema(schema).option("sep", ";").option("header", True)
-              .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("mode", "PERMISSIVE"))
+    reader = (spark.readStream.schema(with_corrupt(schema)).option("sep", ";").option("header", True)
+              .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", schemas.CORRUPT))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.csv(drops_glob(root, kind))
@@ -43,7 +44,11 @@ def ingest_drops(spark: SparkSession, root: str, kind: str, target: str, checkpo
     key = KEYS[kind]
 
     def _append(batch: DataFrame, _epoch: int) -> None:
-        append_new_rows(batch.dropDuplicates([key]), target, key_specs=[[key]])
+        # Rows with a key: one per key.  Rows without one (malformed lines too) are kept, told apart by all
+        # their columns, so a replayed batch adds none of them again.
+        keyed = batch.filter(F.col(key).isNotNull()).dropDuplicates([key])
+        append_new_rows(keyed, target, key_specs=[[key]])
+        append_new_rows(batch.filter(F.col(key).isNull()).distinct(), target, key_specs=[batch.columns])
 
     w = drops_stream(spark, root, kind).writeStream.foreachBatch(_append).option("checkpointLocation", checkpoint)
     if available_now:

@@ -73,9 +73,12 @@ def test_fill_nulls_by_key_no_fanout(spark):
 
 def test_new_rows_anti_chain_keeps_null_keys(spark):
     tgt = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
-    src = spark.createDataFrame([(1, "z"), (3, "b"), (4, "c"), (None, "d")], "id int, name string")
-    out = sorted((r.id or -1, r.name) for r in new_rows(src, tgt, [["id"], ["name"]]).collect())
-    assert out == [(-1, "d"), (4, "c")]
+    src = spark.createDataFrame([("z", 1), ("b", 3), ("c", 4), ("d", None)], "name string, id int")
+    out = new_rows(src, tgt, [["id"], ["name"]])
+    assert out.columns == ["name", "id"]  # source order
+    assert sorted((r.id or -1, r.name) for r in out.collect()) == [(-1, "d"), (4, "c")]
+    assert new_rows(src, src, [["id", "name"]]).count() == 0  # nulls match nulls
+    assert new_rows(src, src).count() == 4  # no key: everything is new
 
 
 def test_totals_with_label(spark):

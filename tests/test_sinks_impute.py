@@ -36,6 +36,41 @@ def test_append_new_rows_idempotent(spark, tmp_path):
     assert rows == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_append_aligns_csv_by_header(spark, tmp_path):
+    p = str(tmp_path / "c")
+    spark.createDataFrame([(2, "b")], "id int, v string").coalesce(1).write.option("header", True).option(
+        "sep", ";").csv(p)
+    src = spark.createDataFrame([("again", 2), ("new", 3)], "v string, id int")  # other column order
+    append_new_rows(src, p, fmt="csv", key_specs=[["id"]])
+    rows = sorted((r.id, r.v) for r in spark.read.option("header", True).option("sep", ";").csv(p).collect())
+    assert rows == [("2", "b"), ("3", "new")]
+
+
+def test_append_null_keys_and_key_chain(spark, tmp_path):
+    p = str(tmp_path / "n")
+    df = spark.createDataFrame([(1, "a"), (None, "x"), (None, "y")], "id int, v string")
+    append_new_rows(df, p, key_specs=[["id", "v"]])
+    append_new_rows(df, p, key_specs=[["id", "v"]])
+    assert spark.read.parquet(p).count() == 3
+    more = spark.createDataFrame([(9, "a"), (1, "z"), (9, "z"), (None, "q")], "id int, v string")
+    append_new_rows(more, p, key_specs=[["id"], ["v"]])  # known under any key of the chain: skipped
+    assert {(r.id, r.v) for r in spark.read.parquet(p).collect()} == {(1, "a"), (None, "x"), (None, "y"), (9, "z")}
+
+
+def test_append_without_keys_appends_all(spark, tmp_path):
+    p = str(tmp_path / "all")
+    df = spark.createDataFrame([(1, "a")], "id int, v string")
+    append_new_rows(df, p)
+    append_new_rows(df, p)
+    assert spark.read.parquet(p).count() == 2
+
+
+def test_single_file_export_checks_its_size(spark, tmp_path):
+    import pytest as _pytest
+    with _pytest.raises(ValueError):
+        save_csv(spark.range(10), str(tmp_path / "big"), single_file=True, max_single_mb=0)
+
+
 def test_column_helpers(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "ID_SITE int, ID_PERSONNEL int, key_x int, v int")
     assert drop_prefixed(df, ("ID_", "key_"), keep=["ID_PERSONNEL"]).columns == ["ID_PERSONNEL", "v"]
@@ -43,8 +78,8 @@ def test_column_helpers(spark):
 
 
 def test_imputation_recovers_hidden_languages(spark):
-    from __spark_entry__ import queries
-    out = queries()["impute_category"](spark, SF_MID)
+    from carbonledger.plans.catalog import QUERIES
+    out = QUERIES["impute_category"](spark, SF_MID)
     truth = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", F.col("lang").alias("truth"))
     j = out.filter("lang_imputed").join(truth, "doc_id")
     n, ok = j.count(), j.filter(F.col("lang") == F.col("truth")).count()
