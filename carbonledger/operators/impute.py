@@ -1,58 +1,123 @@
-"""Categorical imputation with a Spark ML pipeline (multinomial naive Bayes).
+"""Categorical imputation: multinomial naive Bayes as sparse aggregates.
 
-Replaces a driver-side scikit-learn fit: tokenise the text column, count terms (hashed),
-fit multinomial naive Bayes (Laplace smoothing 1) on the labelled rows, predict
-the rows whose label is missing.  Training and prediction are distributed; only
-the model (classes x hashed-term counts) reaches the driver.
+Tokens are runs of two or more letters, digits or underscores of the lower-cased
+text.  A fitted model is three tables made by grouped sums over the labelled
+rows (no vocabulary, no label list and no matrix on the driver):
+
+* (label, token, n): how often the token occurs under the label;
+* (label, log_prior, log_size): the label's share of the rows, and its tokens T;
+* (known, label): the best label by prior and length alone, per number of known tokens.
+
+With smoothing 1 a label's score for a row is
+
+    log prior + sum over the row's known tokens of count x log((n + 1) / (T + V))
+  = log prior - known tokens x log(T + V) + sum over tokens seen under the label of count x log(n + 1)
+
+(V: distinct tokens)
+
+so rows meet the model by an equi-join on the token, only for the pairs that
+exist, and tokens outside the vocabulary do not count.  The highest score wins,
+ties go to the first label in order.
+
+The sum is never negative, so a label without a token of the row competes only by
+the first two terms, which depend on the number of known tokens alone.  The
+label table is broadcast; its size is checked: above ``max_labels`` labels the
+call fails.
+
+Defined cases: no labelled row leaves nulls; nothing to fill changes nothing; a
+row without known tokens takes the label with the highest prior.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import HashingTF, IndexToString, RegexTokenizer, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
+from ..session import reliable_checkpoint
+
+TOKEN = r"[\\p{L}\\p{N}_]{2,}"
+MAX_LABELS = 20_000
+
 
-# Tokens of two or more word characters, Unicode-aware (accented words stay whole).
-TOKEN_PATTERN = r"(?U)\b\w\w+\b"
+def _tokens(text: str):
+    return F.expr(f"regexp_extract_all(lower(`{text}`), '{TOKEN}', 0)")
 
 
-def fit_imputer(labelled: DataFrame, text_col: str, label_col: str, num_features: int = 1 << 18,
-                smoothing: float = 1.0):
-    indexer = StringIndexer(inputCol=label_col, outputCol="__label", stringOrderType="alphabetAsc")
-    tok = RegexTokenizer(inputCol=text_col, outputCol="__tokens", pattern=TOKEN_PATTERN, gaps=False,
-                         toLowercase=True)
-    # Term counts hashed into a fixed space: no vocabulary is fitted or collected to
-    # the driver, every token of every (whole) text counts, one pass fewer.
-    cv = HashingTF(inputCol="__tokens", outputCol="__features", numFeatures=num_features)
-    nb = NaiveBayes(featuresCol="__features", labelCol="__label", predictionCol="__pred",
-                    smoothing=smoothing, modelType="multinomial")
-    pipe = Pipeline(stages=[indexer, tok, cv, nb])
-    model = pipe.fit(labelled)
-    labels = model.stages[0].labels
-    back = IndexToString(inputCol="__pred", outputCol="__pred_label", labels=labels)
-    return model, back
+def fit(df: DataFrame, text_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
+    """(per label: label, total, log_prior, v; per label and token: label, token, n) of the labelled rows."""
+    known = df.filter(~is_blank(F.col(label_col))).select(
+        F.trim(F.col(label_col)).alias("label"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    counts = reliable_checkpoint(known.select("label", F.explode(_tokens("text")).alias("token"))
+                                 .groupBy("label", "token").agg(F.count(F.lit(1)).alias("n")))
+    rows = known.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
+    v = counts.select(F.countDistinct("token")).first()[0]
+    all_rows = known.count()
+    labels = rows.join(totals, "label", "left").select(
+        "label", F.log(F.col("rows") / F.lit(float(max(all_rows, 1)))).alias("log_prior"),
+        F.log(F.greatest(F.coalesce("total", F.lit(0)) + F.lit(v), F.lit(1)).cast("double")).alias("log_size"))
+    return reliable_checkpoint(labels), counts
+
+
+def predict(rows: DataFrame, text_col: str, model: tuple[DataFrame, DataFrame], out: str,
+            max_labels: int = MAX_LABELS) -> DataFrame:
+    """``rows`` with ``out``: the label of the highest score (null if the model has no label)."""
+    labels, counts = model
+    n_labels = labels.count()
+    if n_labels > max_labels:
+        raise ValueError(f"{n_labels} labels are too many to attach to every row (limit {max_labels})")
+    own = reliable_checkpoint(rows.withColumn("__row", F.monotonically_increasing_id()))
+    bag = (own.select("__row", F.explode(_tokens(text_col)).alias("token"))
+           .groupBy("__row", "token").agg(F.count(F.lit(1)).alias("c")))
+    vocabulary = counts.select("token").distinct()
+    length = bag.join(vocabulary, "token", "left_semi").groupBy("__row").agg(F.sum("c").alias("known"))
+    hits = (bag.join(counts, "token").groupBy("__row", "label")
+            .agg(F.sum(F.col("c") * F.log(F.col("n") + 1.0)).alias("gain")))
+    base = F.col("log_prior") - F.coalesce("known", F.lit(0)) * F.col("log_size")
+    # A label without any of the row's tokens scores by the number of known tokens alone: the best such label is
+    # found once per number (a table of numbers x labels, the labels checked above), not once per row.
+    lengths = own.select("__row").join(length, "__row", "left")
+    plain = (lengths.select("known").distinct().crossJoin(F.broadcast(labels))
+             .select("known", "label", F.round(base, 6).alias("score")).groupBy("known")
+             .agg(F.min_by(F.struct("label", "score"), F.struct(-F.col("score"), "label")).alias("x"))
+             .select(F.col("known").alias("__known"), "x.label", "x.score"))
+    plain = (lengths.join(plain, F.col("known").eqNullSafe(F.col("__known")))
+             .select("__row", "label", "score"))
+    scored = (hits.join(length, "__row").join(labels, "label")
+              .select("__row", "label", F.round(base + F.col("gain"), 6).alias("score")))
+    best = (scored.unionByName(plain).groupBy("__row")
+            .agg(F.min_by("label", F.struct(-F.col("score"), "label")).alias("__best")))
+    return own.join(best, "__row", "left").withColumn(out, F.col("__best")).drop("__row", "__best")
 
 
 def impute_category(df: DataFrame, text_col: str, label_col: str, out: str | None = None, **kw) -> DataFrame:
-    """Fill blank/null ``label_col`` values from ``text_col``; known labels are kept.
+    """Fill blank/null ``label_col`` values from ``text_col``; known labels are kept (trimmed).
 
     Returns ``df`` with ``out`` (default: ``label_col``) filled and a boolean
     ``<out>_imputed`` flag.
     """
     out = out or label_col
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    base = df.withColumn("__text", text)
-    labelled = base.filter(~is_blank(F.col(label_col))).withColumn(label_col, F.trim(F.col(label_col)))
-    model, back = fit_imputer(labelled, "__text", label_col, **kw)
-    missing = base.filter(is_blank(F.col(label_col)))
-    predicted = back.transform(model.transform(missing))
-    drop = ["__label", "__tokens", "__features", "rawPrediction", "probability", "__pred", "__text"]
-    filled = predicted.withColumn(out, F.col("__pred_label")).drop("__pred_label", *drop) \
-        .withColumn(f"{out}_imputed", F.lit(True))
-    kept = labelled.drop("__text").withColumn(out, F.col(label_col)).withColumn(f"{out}_imputed", F.lit(False))
-    cols = list(dict.fromkeys(df.columns + [out, f"{out}_imputed"]))
+    return _fill(df, text_col, label_col, out, fit(df, text_col, label_col), **kw)
+
+
+def impute_pair(df: DataFrame, first: str, second: str, **kw) -> DataFrame:
+    """Fill ``second`` from ``first``, then ``first`` from the filled ``second``.
+
+    Both models are fitted on the given cells, before anything is filled, so no
+    guess is ever trained on.
+    """
+    to_second, to_first = fit(df, first, second), fit(df, second, first)
+    df = _fill(df, first, second, second, to_second, **kw).drop(f"{second}_imputed")
+    return _fill(df, second, first, first, to_first, **kw).drop(f"{first}_imputed")
+
+
+def _fill(df: DataFrame, text_col: str, label_col: str, out: str, model, **kw) -> DataFrame:
+    blank = is_blank(F.col(label_col))
+    missing, flag = df.filter(blank), f"{out}_imputed"
+    cols = list(dict.fromkeys([*df.columns, out, flag]))
+    kept = df.filter(~blank).withColumn(out, F.trim(F.col(label_col))).withColumn(flag, F.lit(False))
+    filled = predict(missing.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))), "__text", model, "__label",
+                     **kw)
+    filled = filled.withColumn(out, F.col("__label")).withColumn(flag, F.col(out).isNotNull())
     return kept.select(*cols).unionByName(filled.select(*cols))
