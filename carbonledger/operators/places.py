@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.geo import geodesic_km
 from ..functions.rules import rule_expr
 from ..functions.text import clamp_low
-from .broadcast import bounded_broadcast
 
 
 def gazetteer_match(places: DataFrame, candidates: DataFrame, allowed_types: Sequence[str],
@@ -36,15 +35,14 @@ def gazetteer_match(places: DataFrame, candidates: DataFrame, allowed_types: Seq
 
 
 def with_route_distance(df: DataFrame, gazetteer: DataFrame, dep=("dep_city", "dep_country"),
-                        dst=("dst_city", "dst_country"), out: str = "km_one_way",
-                        max_broadcast_rows: int = 5_000_000) -> DataFrame:
+                        dst=("dst_city", "dst_country"), out: str = "km_one_way") -> DataFrame:
     """Add the geodesic km between departure and destination.
 
     The gazetteer is joined twice (role-playing) on (city, country) -- never on
-    the city alone -- and broadcast behind a row bound; an unknown place gives
-    a null distance (left joins keep the trip).
+    the city alone; the planner broadcasts it below the byte threshold.  An
+    unknown place gives a null distance (left joins keep the trip).
     """
-    g = bounded_broadcast(gazetteer.select("city", "country", "lat", "lon"), max_broadcast_rows)
+    g = gazetteer.select("city", "country", "lat", "lon")
     d = g.select(F.col("city").alias("__dc"), F.col("country").alias("__dk"), F.col("lat").alias("__dlat"),
                  F.col("lon").alias("__dlon"))
     a = g.select(F.col("city").alias("__ac"), F.col("country").alias("__ak"), F.col("lat").alias("__alat"),
@@ -79,12 +77,13 @@ def unlocated_places(trips: DataFrame, gazetteer: DataFrame, dep=("dep_city", "d
 
     Those trips get a null distance and, for known modes, a null emission --
     never a silent 0 -- so this report is the reject count that goes with
-    every distance-based total.  Both ends are pooled, anti-joined to the
-    gazetteer on (city, country), and counted (partial aggregation per task).
+    every distance-based total.  Both ends are pooled and counted (partial
+    aggregation per task), then the places are anti-joined to the gazetteer on
+    (city, country).
     """
     d = trips.select(F.lit("departure").alias("role"), F.col(dep[0]).alias("city"), F.col(dep[1]).alias("country"))
     a = trips.select(F.lit("destination").alias("role"), F.col(dst[0]).alias("city"), F.col(dst[1]).alias("country"))
-    g = bounded_broadcast(gazetteer.select("city", "country").distinct())
-    ends = d.unionByName(a)
-    return (ends.join(g, ["city", "country"], "left_anti")
-            .groupBy("role", "city", "country").agg(F.count(F.lit(1)).alias("n_trips")))
+    g = gazetteer.select("city", "country").distinct()
+    ends = d.unionByName(a).groupBy("role", "city", "country").agg(F.count(F.lit(1)).alias("n_trips"))
+    known = (F.col("e.city").eqNullSafe(F.col("g.city"))) & (F.col("e.country").eqNullSafe(F.col("g.country")))
+    return ends.alias("e").join(g.alias("g"), known, "left_anti")

@@ -1,8 +1,7 @@
 """Registered queries: Spark implementation and SQL oracle, side by side.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` runs on the whole driver tables.
-``ORACLE[name]`` is the same computation as DuckDB SQL over the same tables;
-names absent from ``ORACLE`` (the ML imputation) get a rows-only check.
+``ORACLE[name]`` is the same computation as DuckDB SQL over the same tables.
 Measures are rounded identically on both sides (sums of doubles are
 order-dependent), and every top-k has a total tie-break.
 """
@@ -15,16 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.emissions import emission, emission_sql
-from ..functions.rules import rule_expr
-from ..functions.text import clamp_low
+from ..functions.emissions import emission, emissions_by_join, factor_table
+from ..functions.geo import geodesic_sql
+from ..functions.rules import apply_rules_by_join
+from ..functions.text import parse_place
 from ..operators.broadcast import fixed_broadcast
 from ..operators.dimensions import build_dimension
 from ..operators.fill import fill_nulls_by_key, new_rows
-from ..operators.harmonise import harmonise, translate_sql, translation_table
-from ..operators.impute import impute_category
-from ..operators.places import gazetteer_match
-from ..operators.quality import max_by_condition, profile, unique_values
+from ..operators.harmonise import harmonise, translation_table
+from ..operators.impute import impute_category, impute_pair
+from ..operators.places import (adjust_distance, gazetteer_match, mission_distance, unlocated_places,
+                                 with_route_distance)
+from ..operators.quality import has_atypicals, max_by_condition, profile, unique_values
+from . import oracle_text as text
 from . import questions as q
 from . import star
 from .model import DriverModel, ModelSQL
@@ -50,7 +52,6 @@ JULY = ("1998-07-01", "1998-07-31")
 JUNE = ("1998-06-01", "1998-06-30")
 MAY = ("1998-05-01", "1998-05-31")
 JUL_SEP = ("1998-07-01", "1998-09-30")
-YEAR = ("1998-01-01", "1998-12-31")
 EUROPE = (1, 3, 4)
 T = "1000.0e0"
 
@@ -61,12 +62,12 @@ def _in(values) -> str:
 
 # --- Q1-Q3 headcount --------------------------------------------------------
 @register("headcount_by_function", f"""
-WITH per AS ({S.persons()}), mis AS ({S.missions(YEAR)})
+WITH per AS ({S.persons()}), mis AS ({S.missions()})
 SELECT site_id, job_function, count(DISTINCT person_id) AS headcount
 FROM (SELECT p.person_id, p.site_id, p.job_function FROM per p LEFT JOIN mis m ON p.person_id = m.person_id) f
 GROUP BY GROUPING SETS ((site_id, job_function), (job_function))""")
 def _q1(m):
-    return q.headcount_by_function(m, YEAR)
+    return q.headcount_by_function(m)
 
 
 # --- Q4-Q7 purchases --------------------------------------------------------
@@ -103,14 +104,16 @@ def _q7(m):
 # --- Q8, Q13 period emissions ----------------------------------------------
 @register("site_period_emissions", f"""
 WITH {S.enriched_ctes(JULY, EUROPE)}
-SELECT count(*) AS n_missions, round(sum(carbon_kg) / {T}, 2) AS carbon_t FROM em""")
+SELECT count(*) AS n_missions, count(*) - count(km_one_way) AS n_unlocated,
+       round(sum(carbon_kg) / {T}, 2) AS carbon_t FROM em""")
 def _q8(m):
     return q.period_emissions(m, JULY, EUROPE)
 
 
 @register("site_type_period_emissions", f"""
 WITH {S.enriched_ctes(JULY, (2,))}
-SELECT count(*) AS n_missions, round(sum(carbon_kg) / {T}, 2) AS carbon_t FROM em
+SELECT count(*) AS n_missions, count(*) - count(km_one_way) AS n_unlocated,
+       round(sum(carbon_kg) / {T}, 2) AS carbon_t FROM em
 WHERE mission_type = 'Vocational Training'""")
 def _q13(m):
     return q.period_emissions(m, JULY, [2], mission_type="Vocational Training")
@@ -118,7 +121,8 @@ def _q13(m):
 
 @register("site_period_emissions_dedup", f"""
 WITH {S.enriched_ctes(JULY, EUROPE)}
-SELECT count(*) AS n_missions, round(sum(carbon_kg) / {T}, 2) AS carbon_t FROM (
+SELECT count(*) AS n_missions, count(*) - count(km_one_way) AS n_unlocated,
+       round(sum(carbon_kg) / {T}, 2) AS carbon_t FROM (
   SELECT DISTINCT person_id, mission_date, dep_city, dep_country, dst_city, dst_country, transport, is_return,
          km_one_way, carbon_kg FROM em) d""")
 def _q8_dedup(m):
@@ -136,16 +140,17 @@ def _q9(m):
 
 
 # --- Q10, Q11 combined ------------------------------------------------------
-def _combined_sql(by: str, site_name: bool = False) -> str:
+def _combined_sql(by: str, site_name: bool = False, how: str = "JOIN", missing: str = "") -> str:
     name_join = "JOIN st ON x.site_id = st.site_id" if site_name else ""
     name_col = "st.site, " if site_name else ""
     return f"""
 WITH {S.enriched_ctes()}, {S.equipment_ctes()},
-a AS (SELECT {by}, sum(carbon_kg) AS mk FROM em GROUP BY {by}),
+a AS (SELECT {by}, sum(carbon_kg) AS mk FROM em {missing} GROUP BY {by}),
 b AS (SELECT {by}, sum(impact_kg) AS ek FROM eqi GROUP BY {by}),
-x AS (SELECT a.{by}, a.mk, b.ek FROM a JOIN b ON a.{by} = b.{by})
-SELECT x.{by}, {name_col}round(coalesce(mk, 0.0e0) / {T}, 2) AS mission_t, round(coalesce(ek, 0.0e0) / {T}, 2) AS equipment_t,
-       round((coalesce(mk, 0.0e0) + coalesce(ek, 0.0e0)) / {T}, 2) AS total_t
+x AS (SELECT coalesce(a.{by}, b.{by}) AS {by}, coalesce(a.mk, 0.0e0) AS mk, coalesce(b.ek, 0.0e0) AS ek
+      FROM a {how} b ON a.{by} = b.{by})
+SELECT CAST(row_number() OVER (ORDER BY mk + ek DESC, x.{by}) AS INTEGER) AS rank, x.{by}, {name_col}
+       round(mk / {T}, 2) AS mission_t, round(ek / {T}, 2) AS equipment_t, round((mk + ek) / {T}, 2) AS total_t
 FROM x {name_join}"""
 
 
@@ -159,6 +164,24 @@ def _q11(m):
     return q.emissions_by_site_combined(m)
 
 
+@register("emissions_by_model_full_outer", f"""
+WITH {S.enriched_ctes()}, {S.equipment_ctes()},
+a AS (SELECT dep_city AS label, sum(carbon_kg) AS mk FROM em GROUP BY dep_city),
+b AS (SELECT CASE WHEN equip_model < 'Brand#30' THEN 'NATION_' || CAST(site_id AS VARCHAR) ELSE equip_model END AS label,
+             sum(impact_kg) AS ek FROM eqi GROUP BY 1)
+SELECT coalesce(a.label, b.label) AS label, round(coalesce(mk, 0.0e0) / {T}, 2) AS mission_t,
+       round(coalesce(ek, 0.0e0) / {T}, 2) AS equipment_t
+FROM a FULL OUTER JOIN b ON a.label = b.label""")
+def _j10_outer(m):
+    """Groups that only one side has stay, with 0 for the other: places of departure and models under one label."""
+    a = m.enriched_missions().groupBy(F.col("dep_city").alias("label")).agg(F.sum("carbon_kg").alias("mk"))
+    label = F.when(F.col("equip_model") < "Brand#30", F.concat(F.lit("NATION_"), F.col("site_id").cast("string"))) \
+        .otherwise(F.col("equip_model"))
+    b = m.equipment_with_impact().groupBy(label.alias("label")).agg(F.sum("impact_kg").alias("ek"))
+    t = lambda c: F.round(F.coalesce(F.col(c), F.lit(0.0)) / 1000.0, 2)
+    return a.join(b, "label", "full_outer").select("label", t("mk").alias("mission_t"), t("ek").alias("equipment_t"))
+
+
 # --- Q12 inter-site ---------------------------------------------------------
 @register("intersite_emissions", f"""
 WITH {S.enriched_ctes(MAY)}
@@ -213,8 +236,10 @@ def _q15_people(m):
 # --- Q16 destination --------------------------------------------------------
 @register("worst_destination", f"""
 WITH {S.enriched_ctes(MAY_OCT)}
-SELECT dst_city, dst_country, count(*) AS n_missions, round(sum(carbon_kg) / {T}, 2) AS carbon_t
-FROM em GROUP BY dst_city, dst_country""")
+SELECT CAST(row_number() OVER (ORDER BY kg DESC NULLS LAST, dst_city, dst_country) AS INTEGER) AS rank, dst_city,
+       dst_country, n_missions, round(kg / {T}, 2) AS carbon_t
+FROM (SELECT dst_city, dst_country, count(*) AS n_missions, sum(carbon_kg) AS kg FROM em GROUP BY dst_city, dst_country) g
+""")
 def _q16(m):
     return q.worst_destination(m, MAY_OCT)
 
@@ -228,6 +253,18 @@ def _q18(m):
     return q.top_single_missions(m, 1, 5)
 
 
+@register("top_single_missions_dedup", f"""
+WITH {S.enriched_ctes(None, (1,))}
+SELECT person_id, mission_date, dep_city, dep_country, dst_city, dst_country, transport, is_return,
+       round(carbon_kg, 3) AS carbon_kg FROM (
+  SELECT DISTINCT person_id, mission_date, dep_city, dep_country, dst_city, dst_country, transport, is_return,
+         km_one_way, carbon_kg FROM em) d
+ORDER BY d.carbon_kg DESC, person_id, mission_date, dep_city, dep_country, dst_city, dst_country, transport, is_return
+LIMIT 5""")
+def _q18_dedup(m):
+    return q.top_single_missions(m, 1, 5, dedup="reference")
+
+
 # --- Q19, Q20 monthly -------------------------------------------------------
 @register("monthly_distance", f"""
 WITH {S.enriched_ctes()}
@@ -269,26 +306,16 @@ def _d5a(m):
 MIN_KM = 500.0
 
 
-def _adjust_sql(col: str) -> str:
-    whens = " ".join(
-        f"WHEN transport = '{v}' THEN {col} {dict(add='+', sub='-', mul='*', div='/')[op]} {float(x)!r}e0"
-        for v, op, x in fixed.NOTEBOOK_DISTANCE_RULES)
-    return f"(CASE {whens} ELSE {col} END)"
-
-
 _DIST_SQL = "(km_one_way * CASE WHEN is_return THEN 2.0e0 ELSE 1.0e0 END)"
 _FLOOR_SQL = f"(CASE WHEN {_DIST_SQL} < {MIN_KM!r}e0 THEN {MIN_KM!r}e0 ELSE {_DIST_SQL} END)"
 
 
 @register("mission_emissions_b", f"""
-WITH {S.enriched_ctes()}, adj AS (SELECT *, {_adjust_sql(_FLOOR_SQL)} AS adjusted_km FROM em)
+WITH {S.enriched_ctes()}, adj AS (SELECT *, {text.ADJUSTED_KM.format(mode='transport', km=_FLOOR_SQL)} AS adjusted_km FROM em)
 SELECT mission_key, leg, person_id, mission_date, dep_city, transport, dst_city, mission_type,
-       round({emission_sql('transport', 'adjusted_km', None, 'B')}, 7) AS emissions_t FROM adj""")
+       round({text.EMISSION_B.format(mode='transport', km='adjusted_km')}, 7) AS emissions_t FROM adj""")
 def _d5b(m):
-    e = m.enriched_missions()
-    dist = F.col("km_one_way") * F.when(F.col("is_return"), F.lit(2.0)).otherwise(F.lit(1.0))
-    e = e.withColumn("distance_km", clamp_low(dist, MIN_KM))
-    e = e.withColumn("adjusted_km", rule_expr("transport", "distance_km", fixed.NOTEBOOK_DISTANCE_RULES))
+    e = adjust_distance(mission_distance(m.enriched_missions(), min_km=MIN_KM), fixed.NOTEBOOK_DISTANCE_RULES)
     return e.select("mission_key", "leg", "person_id", "mission_date", "dep_city", "transport", "dst_city",
                     "mission_type", F.round(emission("transport", "adjusted_km", None, "B"), 7).alias("emissions_t"))
 
@@ -305,23 +332,63 @@ def _d2(m):
 WITH {S.enriched_ctes()}
 SELECT mission_key, leg, is_return, round({_FLOOR_SQL}, 3) AS distance_km FROM em""")
 def _d3(m):
-    from ..operators.places import mission_distance
     e = mission_distance(m.enriched_missions(), min_km=MIN_KM)
     return e.select("mission_key", "leg", "is_return", F.round("distance_km", 3).alias("distance_km"))
 
 
 @register("rule_adjusted_distance", f"""
 WITH {S.enriched_ctes()}
-SELECT mission_key, leg, transport, round({_adjust_sql(_DIST_SQL)}, 3) AS adjusted_km FROM em""")
+SELECT mission_key, leg, transport, round({text.ADJUSTED_KM.format(mode='transport', km=_DIST_SQL)}, 3) AS adjusted_km FROM em""")
 def _d4(m):
-    from ..operators.places import adjust_distance, mission_distance
     e = adjust_distance(mission_distance(m.enriched_missions()), fixed.NOTEBOOK_DISTANCE_RULES)
     return e.select("mission_key", "leg", "transport", F.round("adjusted_km", 3).alias("adjusted_km"))
 
 
+_RULES_SCHEMA = "value string, op string, operand double, priority int"
+
+
+@register("rule_table_distance", f"""
+WITH {S.enriched_ctes()}
+SELECT mission_key, leg, transport, round({text.ADJUSTED_KM.format(mode='transport', km=_DIST_SQL)}, 3) AS adjusted_km FROM em""")
+def _d4_join(m):
+    """The same rules as a table; a second, later rule for taxi must not win or fan rows out."""
+    rules = [*fixed.NOTEBOOK_DISTANCE_RULES, (fixed.TAXI, "mul", 99.0)]
+    table = m.spark.createDataFrame([(v, op, x, i) for i, (v, op, x) in enumerate(rules)], _RULES_SCHEMA)
+    e = apply_rules_by_join(mission_distance(m.enriched_missions()), table, "transport", "distance_km", "adjusted_km")
+    return e.select("mission_key", "leg", "transport", F.round("adjusted_km", 3).alias("adjusted_km"))
+
+
+@register("mission_emissions_factor_table", f"""
+WITH {S.enriched_ctes()}
+SELECT mission_key, leg, person_id, transport, is_return, round(carbon_kg, 4) AS carbon_kg FROM em""")
+def _d5a_join(m):
+    """Set A as a factor table: equi-join on the mode, the band as residual condition."""
+    e = mission_distance(m.enriched_missions()).drop("carbon_kg")
+    e = emissions_by_join(e, factor_table(m.spark, "A"), "transport", "km_one_way", "distance_km", "carbon_kg", 0.0)
+    return e.select("mission_key", "leg", "person_id", "transport", "is_return",
+                    F.round("carbon_kg", 4).alias("carbon_kg"))
+
+
+@register("mission_route_join", f"""
+WITH {S.enriched_ctes()},
+r AS (SELECT DISTINCT dep_city, dep_country, dst_city, dst_country, transport, km_one_way AS km FROM em)
+SELECT em.mission_key, em.leg, em.transport, round(r.km, 3) AS km FROM em JOIN r
+  ON em.dep_city = r.dep_city AND em.dep_country = r.dep_country AND em.dst_city = r.dst_city
+ AND em.dst_country = r.dst_country AND em.transport = r.transport""")
+def _j3(m):
+    """Five-key join of the trips to a route table, distinct first, so that repeated routes fan nothing out."""
+    keys = ["dep_city", "dep_country", "dst_city", "dst_country", "transport"]
+    e = m.enriched_missions()
+    used = e.select(*keys).distinct()
+    routes = m.route_distances().select(*keys[:4], F.col("km_one_way").alias("km"))
+    table = used.join(routes, keys[:4]).select(*keys, "km")
+    return e.select("mission_key", "leg", *keys).join(table, keys).select("mission_key", "leg", "transport",
+                                                                         F.round("km", 3).alias("km"))
+
+
 # --- D7 dimensions ----------------------------------------------------------
 @register("dim_date", """
-SELECT CAST(row_number() OVER (ORDER BY d) AS INTEGER) AS date_id, d AS date FROM (
+SELECT row_number() OVER (ORDER BY d) AS date_id, d AS date FROM (
   SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem) u
 WHERE d IS NOT NULL""")
 def _dim_date(m):
@@ -330,7 +397,7 @@ def _dim_date(m):
 
 @register("dim_location", f"""
 WITH {S.enriched_ctes()}
-SELECT CAST(row_number() OVER (ORDER BY city, country) AS INTEGER) AS location_id, city, country FROM (
+SELECT row_number() OVER (ORDER BY city, country) AS location_id, city, country FROM (
   SELECT dep_city AS city, dep_country AS country FROM em UNION SELECT dst_city, dst_country FROM em) u
 WHERE city IS NOT NULL AND trim(city) <> '' AND country IS NOT NULL AND trim(country) <> ''""")
 def _dim_location(m):
@@ -339,73 +406,93 @@ def _dim_location(m):
 
 @register("dim_equipment_type", f"""
 WITH {S.equipment_ctes()}
-SELECT CAST(row_number() OVER (ORDER BY equip_type) AS INTEGER) AS type_id, equip_type FROM (
+SELECT row_number() OVER (ORDER BY equip_type) AS type_id, equip_type FROM (
   SELECT DISTINCT equip_type FROM eq WHERE equip_type IS NOT NULL AND trim(equip_type) <> '') u""")
 def _dim_type(m):
-    return build_dimension(m.equipment().select("equip_type"), "type_id", blank_policy="drop")
+    return build_dimension(m.equipment_labels().select("equip_type"), "type_id", blank_policy="drop", bounded=True)
+
+
+def _some_blank(labels):
+    """Models with one brand blanked, so that the blank rule has a case: ' ' becomes the sentinel."""
+    return labels.select(F.when(F.col("equip_model") == "Brand#11", F.lit(" ")).otherwise(F.col("equip_model"))
+                         .alias("equip_model"))
 
 
 @register("dim_model", f"""
 WITH {S.equipment_ctes()}
-SELECT CAST(row_number() OVER (ORDER BY equip_model) AS INTEGER) AS model_id, equip_model FROM (
-  SELECT DISTINCT CASE WHEN equip_model IS NULL OR trim(equip_model) = '' THEN 'NULL' ELSE equip_model END AS equip_model
-  FROM eq) u""")
+SELECT row_number() OVER (ORDER BY equip_model) AS model_id, equip_model FROM (
+  SELECT DISTINCT CASE WHEN equip_model = 'Brand#11' THEN 'NULL' ELSE equip_model END AS equip_model FROM eq) u""")
 def _dim_model(m):
-    return build_dimension(m.equipment().select("equip_model"), "model_id", blank_policy="sentinel")
+    return build_dimension(_some_blank(m.equipment_labels()), "model_id", blank_policy="sentinel")
 
 
 @register("dim_transport", f"""
 WITH mis AS ({S.missions()})
-SELECT CAST(row_number() OVER (ORDER BY transport) AS INTEGER) AS transport_id, transport FROM (
+SELECT row_number() OVER (ORDER BY transport) AS transport_id, transport FROM (
   SELECT DISTINCT transport FROM mis WHERE transport IS NOT NULL AND trim(transport) <> '') u""")
 def _dim_transport(m):
-    return build_dimension(m.missions().select("transport"), "transport_id", blank_policy="drop")
+    return star.dim_transport(m)
 
 
 @register("dim_mission_type", f"""
 WITH mis AS ({S.missions()})
-SELECT CAST(row_number() OVER (ORDER BY mission_type) AS INTEGER) AS type_id, mission_type FROM (
+SELECT row_number() OVER (ORDER BY mission_type) AS type_id, mission_type FROM (
   SELECT DISTINCT mission_type FROM mis WHERE mission_type IS NOT NULL AND trim(mission_type) <> '') u""")
 def _dim_mission_type(m):
-    return build_dimension(m.missions().select("mission_type"), "type_id", blank_policy="drop")
+    return star.dim_mission_type(m)
 
 
 # --- D8, D9 facts -----------------------------------------------------------
-FACT_WINDOW = MAY_OCT
+_DATES = """dd AS (SELECT row_number() OVER (ORDER BY d) AS date_id, d AS date FROM (
+  SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem) u
+  WHERE d IS NOT NULL)"""
 
 
 @register("fact_mission", f"""
-WITH per AS ({S.persons()}), mis AS ({S.missions(FACT_WINDOW)}),
-tr AS (SELECT CAST(row_number() OVER (ORDER BY transport) AS INTEGER) AS transport_id, transport FROM (
+WITH {S.enriched_ctes()}, {_DATES},
+tr AS (SELECT row_number() OVER (ORDER BY transport) AS transport_id, transport FROM (
   SELECT DISTINCT transport FROM mis) u),
-ty AS (SELECT CAST(row_number() OVER (ORDER BY mission_type) AS INTEGER) AS type_id, mission_type FROM (
+ty AS (SELECT row_number() OVER (ORDER BY mission_type) AS type_id, mission_type FROM (
   SELECT DISTINCT mission_type FROM mis) u),
-f AS (SELECT p.site_id, p.person_id, m.mission_key, m.leg, m.mission_date, p.home_location_id AS dep_location_id,
-             m.dst_location_id, ty.type_id, tr.transport_id, m.is_return
+pl AS (SELECT row_number() OVER (ORDER BY city, country) AS location_id, city, country FROM (
+  SELECT dep_city AS city, dep_country AS country FROM em UNION SELECT dst_city, dst_country FROM em) u
+  WHERE city IS NOT NULL AND country IS NOT NULL),
+np AS (SELECT loc.location_id AS natural_id, pl.location_id FROM loc JOIN pl ON loc.city = pl.city AND loc.country = pl.country),
+f AS (SELECT p.site_id, p.person_id, m.mission_key, m.leg, m.mission_date, dd.date_id, d.location_id AS dep_location_id,
+             a.location_id AS dst_location_id, ty.type_id, tr.transport_id, m.is_return
       FROM per p LEFT JOIN mis m ON p.person_id = m.person_id
-      LEFT JOIN tr ON m.transport = tr.transport LEFT JOIN ty ON m.mission_type = ty.mission_type)
+      LEFT JOIN tr ON m.transport = tr.transport LEFT JOIN ty ON m.mission_type = ty.mission_type
+      LEFT JOIN dd ON m.mission_date = dd.date LEFT JOIN np d ON p.home_location_id = d.natural_id
+      LEFT JOIN np a ON m.dst_location_id = a.natural_id)
 SELECT row_number() OVER (PARTITION BY site_id ORDER BY person_id NULLS LAST, mission_date NULLS LAST,
          mission_key NULLS LAST, leg NULLS LAST, dst_location_id NULLS LAST, type_id NULLS LAST,
          transport_id NULLS LAST, is_return NULLS LAST) AS fact_id, *
 FROM f""")
 def _fact_mission(m):
-    return star.fact_mission(m, FACT_WINDOW)
+    return star.fact_mission(m)
 
 
 @register("fact_equipment", f"""
-WITH {S.equipment_ctes(FACT_WINDOW)},
-f AS (SELECT p.site_id, p.person_id, e.equipment_key, e.leg, e.purchase_date, e.equip_type, e.equip_model
-      FROM eper p LEFT JOIN eq e ON p.person_id = e.person_id)
+WITH {S.equipment_ctes()}, {_DATES},
+f AS (SELECT p.site_id, p.person_id, e.equipment_key, e.leg, e.purchase_date, dd.date_id, e.equip_type, e.equip_model
+      FROM eper p LEFT JOIN eq e ON p.person_id = e.person_id LEFT JOIN dd ON e.purchase_date = dd.date)
 SELECT row_number() OVER (PARTITION BY site_id ORDER BY person_id NULLS LAST, purchase_date NULLS LAST,
          equipment_key NULLS LAST, leg NULLS LAST, equip_type NULLS LAST, equip_model NULLS LAST) AS fact_id, *
 FROM f""")
 def _fact_equipment(m):
-    return star.fact_equipment(m, FACT_WINDOW)
+    return star.fact_equipment(m)
+
+
+@register("people_without_trips_july", f"""
+WITH per AS ({S.persons()}), mis AS ({S.missions(JULY)})
+SELECT site_id, person_id FROM per p WHERE NOT EXISTS (SELECT 1 FROM mis WHERE mis.person_id = p.person_id)""")
+def _t1(m):
+    return star.people_without_trips(m, JULY)
 
 
 # --- D10 harmonisation ------------------------------------------------------
 @register("harmonise_labels", f"""
-SELECT c_custkey AS person_id, c_mktsegment AS segment, {translate_sql('c_mktsegment', fixed.SEGMENT_JOB)} AS job_function
+SELECT c_custkey AS person_id, c_mktsegment AS segment, {text.JOB_FUNCTION.format(col='c_mktsegment')} AS job_function
 FROM customer""")
 def _d10(m):
     table = translation_table(m.spark, {("job_function", "segment"): fixed.SEGMENT_JOB, **fixed.TRANSLATIONS})
@@ -416,7 +503,7 @@ def _d10(m):
 
 # --- D11 quality profile ----------------------------------------------------
 _PROFILE_COLS = [("doc_id", "bigint"), ("text", "string"), ("lang", "string"), ("source", "string"),
-                 ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int")]
+                 ("n_chars", "bigint"), ("quality", "int"), ("toxic", "int"), ("share", "double")]
 
 
 def _profile_sql() -> str:
@@ -434,14 +521,18 @@ def _profile_sql() -> str:
             parts.append(f"SELECT '{c}' AS column_name, '{k}' AS kind, CAST(coalesce({n}, 0) AS BIGINT) AS n_affected, "
                          f"count(*) AS n_rows, CASE WHEN count(*) > 0 THEN round(coalesce({n}, 0) * 100.0e0 / count(*), 4) "
                          f"ELSE 0.0e0 END AS pct, {ok} AS applicable FROM dl")
-    return (f"WITH dl AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "
+    return (f"WITH dl AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic, "
+            f"CASE WHEN l.quality = 0 THEN CAST('NaN' AS DOUBLE) ELSE l.quality * 0.5e0 END AS share "
             f"FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id) " + " UNION ALL ".join(parts))
 
 
 def _documents_labels(m):
     d = m.table("documents").select("doc_id", "text", "lang", "source", "n_chars")
     lab = m.table("labels").select("doc_id", "quality", "toxic")
-    return d.join(lab, "doc_id", "left").select("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
+    # A double column with NaN (0 / 0), so that the NaN count has something to find.
+    share = F.when(F.col("quality") == 0, F.lit(float("nan"))).otherwise(F.col("quality") * F.lit(0.5))
+    return d.join(lab, "doc_id", "left").select("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic",
+                                               share.alias("share"))
 
 
 @register("quality_profile", _profile_sql())
@@ -451,13 +542,9 @@ def _d11(m):
 
 @register("has_atypicals", f"""
 WITH p AS ({_profile_sql()})
-SELECT kind, coalesce(max(n_affected > 0), false) AS has_atypicals FROM p WHERE applicable GROUP BY kind
-UNION ALL SELECT 'nan' AS kind, false AS has_atypicals""")
+SELECT kind, coalesce(max(n_affected > 0), false) AS has_atypicals FROM p WHERE applicable GROUP BY kind""")
 def _d11b(m):
-    # One profile pass covers every kind; a kind without applicable columns is false.
-    p = profile(_documents_labels(m))
-    flag = F.max(F.when(F.col("applicable"), F.col("n_affected") > 0))
-    return p.groupBy("kind").agg(F.coalesce(flag, F.lit(False)).alias("has_atypicals"))
+    return has_atypicals(_documents_labels(m))
 
 
 # --- A13 unique values --------------------------------------------------------
@@ -483,6 +570,12 @@ def _a8(m):
     return out.select("site_id", "transport", F.round("max_value", 4).alias("max_value"))
 
 
+@register("max_emission", f"""
+WITH {S.enriched_ctes()} SELECT round(max(carbon_kg), 4) AS max_value FROM em""")
+def _a7(m):
+    return max_by_condition(m.enriched_missions(), "carbon_kg").select(F.round("max_value", 4).alias("max_value"))
+
+
 # --- J8 fill nulls by key -----------------------------------------------------
 @register("fill_nulls_by_key", """
 WITH dl AS (SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
@@ -511,35 +604,58 @@ ALLOWED_PLACE_TYPES = ("city", "town")
 
 
 def _candidates(m):
+    """Geocoder-style candidates: a supplier is a place found for its nation's name, displayed as "city, country".
+
+    Every seventh nation (key % 7 = 3) has hamlets only, so no allowed candidate; every fifth supplier's display
+    name lacks the country.
+    """
     s = m.table("supplier")
     loc = fixed_broadcast(m.locations())
     j = s.join(loc, s["s_nationkey"] == loc["location_id"])
-    kind = F.when(F.col("s_acctbal") < 0, F.lit("hamlet")).when(F.col("s_acctbal") < 5000, F.lit("town")) \
-        .otherwise(F.lit("city"))
+    kind = F.when((F.col("s_acctbal") < 0) | (F.col("location_id") % 7 == 3), F.lit("hamlet")) \
+        .when(F.col("s_acctbal") < 5000, F.lit("town")).otherwise(F.lit("city"))
     jitter = (F.col("s_suppkey") % 7) * F.lit(0.01)
-    return j.select("city", "country", F.col("s_name").alias("display_name"), kind.alias("place_type"),
-                    (F.col("lat") + jitter).alias("lat"), (F.col("lon") - jitter).alias("lon"),
+    shown = F.when(F.col("s_suppkey") % 5 == 0, F.col("city")).otherwise(F.concat_ws(", ", "city", "country"))
+    return j.select("city", "country", F.col("s_name").alias("display_name"), shown.alias("label"),
+                    kind.alias("place_type"), (F.col("lat") + jitter).alias("lat"), (F.col("lon") - jitter).alias("lon"),
                     F.col("s_acctbal").alias("score"))
 
 
+def _found(m):
+    return gazetteer_match(m.locations().select("city", "country"), _candidates(m), ALLOWED_PLACE_TYPES)
+
+
 _CAND_SQL = f"""loc AS ({S.locations()}),
-cand AS (SELECT loc.city, loc.country, s.s_name AS display_name,
-  CASE WHEN s.s_acctbal < 0 THEN 'hamlet' WHEN s.s_acctbal < 5000 THEN 'town' ELSE 'city' END AS place_type,
+cand AS (SELECT loc.city, loc.country, s.s_name AS display_name, s.s_suppkey,
+  CASE WHEN s.s_suppkey % 5 = 0 THEN loc.city ELSE loc.city || ', ' || loc.country END AS label,
+  CASE WHEN s.s_acctbal < 0 OR loc.location_id % 7 = 3 THEN 'hamlet' WHEN s.s_acctbal < 5000 THEN 'town'
+       ELSE 'city' END AS place_type,
   loc.lat + (s.s_suppkey % 7) * 0.01e0 AS lat, loc.lon - (s.s_suppkey % 7) * 0.01e0 AS lon, s.s_acctbal AS score
   FROM supplier s JOIN loc ON s.s_nationkey = loc.location_id),
-places AS (SELECT DISTINCT city, country FROM cand),
+places AS (SELECT DISTINCT city, country FROM loc),
 best AS (SELECT city, country, lat, lon FROM (
   SELECT *, row_number() OVER (PARTITION BY city, country ORDER BY score DESC, display_name DESC) AS rn
   FROM cand WHERE place_type IN ({_in(ALLOWED_PLACE_TYPES)})) r WHERE rn = 1)"""
 
 
+@register("parsed_places", f"""
+WITH {_CAND_SQL}
+SELECT DISTINCT label, trim(split_part(label, ',', 1)) AS city,
+       CASE WHEN label LIKE '%,%' THEN trim(split_part(label, ',', 2)) ELSE country END AS country
+FROM cand""")
+def _place_parsing(m):
+    """City and country of the display labels; a bare city takes the country of its candidate."""
+    p = _candidates(m).select("label", parse_place("label").alias("p"), "country")
+    return p.select("label", F.col("p.city").alias("city"),
+                    F.coalesce("p.country", "country").alias("country")).distinct()
+
+
 @register("gazetteer_match", f"""
 WITH {_CAND_SQL}
 SELECT p.country, p.city, round(b.lat, 4) AS lat, round(b.lon, 4) AS lon
 FROM places p JOIN best b ON p.city = b.city AND p.country = b.country""")
 def _d1(m):
-    cand = _candidates(m)
-    found, _ = gazetteer_match(cand.select("city", "country"), cand, ALLOWED_PLACE_TYPES)
+    found, _ = _found(m)
     return found.select("country", "city", F.round("lat", 4).alias("lat"), F.round("lon", 4).alias("lon"))
 
 
@@ -548,29 +664,88 @@ WITH {_CAND_SQL}
 SELECT p.country, p.city FROM places p WHERE NOT EXISTS (
   SELECT 1 FROM best b WHERE p.city = b.city AND p.country = b.country)""")
 def _d1b(m):
-    cand = _candidates(m)
-    _, missing = gazetteer_match(cand.select("city", "country"), cand, ALLOWED_PLACE_TYPES)
-    return missing
+    return _found(m)[1]
+
+
+@register("route_distance_by_name", f"""
+WITH {_CAND_SQL}, r AS (SELECT DISTINCT p.home_location_id AS dep, m.dst_location_id AS dst
+  FROM ({S.missions()}) m JOIN ({S.persons()}) p ON m.person_id = p.person_id)
+SELECT d.city AS dep_city, d.country AS dep_country, a.city AS dst_city, a.country AS dst_country,
+       round({geodesic_sql('bd.lat', 'bd.lon', 'ba.lat', 'ba.lon')}, 3) AS km
+FROM r JOIN loc d ON r.dep = d.location_id JOIN loc a ON r.dst = a.location_id
+LEFT JOIN best bd ON bd.city = d.city AND bd.country = d.country
+LEFT JOIN best ba ON ba.city = a.city AND ba.country = a.country""")
+def _j9(m):
+    """Coordinates looked up by (city, country) in the matched gazetteer; an unknown end leaves the distance null."""
+    routes = m.route_distances().drop("km_one_way")
+    out = with_route_distance(routes, _found(m)[0], out="km")
+    return out.select("dep_city", "dep_country", "dst_city", "dst_country", F.round("km", 3).alias("km"))
 
 
 @register("unlocated_places", f"""
-WITH {S.enriched_ctes()}, ends AS (
-  SELECT 'departure' AS role, dep_city AS city, dep_country AS country FROM em
-  UNION ALL SELECT 'destination' AS role, dst_city AS city, dst_country AS country FROM em)
-SELECT role, city, country, count(*) AS n_trips FROM ends e
-WHERE NOT EXISTS (SELECT 1 FROM loc g WHERE g.city = e.city AND g.country = e.country)
-GROUP BY role, city, country""")
+WITH {_CAND_SQL}, ends AS (
+  SELECT 'departure' AS role, p.home_location_id AS place
+  FROM ({S.missions()}) m JOIN ({S.persons()}) p ON m.person_id = p.person_id
+  UNION ALL
+  SELECT 'destination', m.dst_location_id
+  FROM ({S.missions()}) m JOIN ({S.persons()}) p ON m.person_id = p.person_id)
+SELECT role, loc.city, loc.country, count(*) AS n_trips FROM ends LEFT JOIN loc ON ends.place = loc.location_id
+WHERE NOT EXISTS (SELECT 1 FROM best g WHERE g.city = loc.city AND g.country = loc.country)
+GROUP BY role, loc.city, loc.country""")
 def _t13(m):
-    from ..operators.places import unlocated_places
-    return unlocated_places(m.enriched_missions(), m.gazetteer())
+    return unlocated_places(m.enriched_missions(), _found(m)[0])
 
 
-# --- D6 imputation (no SQL twin: rows-only check) ------------------------------
-@register("impute_category")
+# --- D6 imputation --------------------------------------------------------------
+def _nb_sql(rows: str, text_col: str, label_col: str, name: str) -> str:
+    """CTEs that fit on the labelled rows of ``rows`` (id, text, label) and end with ``name`` (id, label): the
+    multinomial naive Bayes score of every label for every row to fill, the first label of the highest."""
+    tok = f"unnest(regexp_extract_all(lower(coalesce({text_col}, '')), '[\\p{{L}}\\p{{N}}_]{{2,}}'))"
+    return f"""
+{name}_k AS (SELECT id, trim({label_col}) AS label, {text_col} FROM {rows} WHERE {label_col} IS NOT NULL AND trim({label_col}) <> ''),
+{name}_c AS (SELECT label, token, count(*) AS n FROM (SELECT label, {tok} AS token FROM {name}_k) t GROUP BY label, token),
+{name}_v AS (SELECT count(DISTINCT token) AS v FROM {name}_c),
+{name}_l AS (SELECT k.label, ln(count(*) / CAST((SELECT count(*) FROM {name}_k) AS DOUBLE)) AS prior,
+                    coalesce((SELECT sum(n) FROM {name}_c c WHERE c.label = k.label), 0) AS total
+             FROM {name}_k k GROUP BY k.label),
+{name}_m AS (SELECT id, {text_col} FROM {rows} WHERE {label_col} IS NULL OR trim({label_col}) = ''),
+{name}_b AS (SELECT id, token, count(*) AS c FROM (SELECT id, {tok} AS token FROM {name}_m) t
+             WHERE token IN (SELECT token FROM {name}_c) GROUP BY id, token),
+{name}_s AS (SELECT m.id, l.label, round(l.prior + coalesce((
+               SELECT sum(b.c * ln((coalesce(c.n, 0) + 1.0e0) / (l.total + v.v)))
+               FROM {name}_b b LEFT JOIN {name}_c c ON c.token = b.token AND c.label = l.label WHERE b.id = m.id), 0.0e0), 6) AS s
+             FROM {name}_m m CROSS JOIN {name}_l l CROSS JOIN {name}_v v),
+{name} AS (SELECT id, arg_min(label, row(-s, label)) AS label FROM {name}_s GROUP BY id)"""
+
+
+@register("impute_category", f"""
+WITH r AS (SELECT d.doc_id AS id, d.text, CASE WHEN l.doc_id IS NOT NULL THEN d.lang END AS lang
+           FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id),
+{_nb_sql('r', 'text', 'lang', 'f')}
+SELECT r.id AS doc_id, coalesce(r.lang, f.label) AS lang, r.lang IS NULL AS lang_imputed
+FROM r LEFT JOIN f ON r.id = f.id""")
 def _d6(m):
     d = m.table("documents").select("doc_id", "text", "lang")
-    labelled = m.table("labels").select("doc_id").withColumn("__has", F.lit(True))
+    labelled = m.table("labels").select("doc_id").distinct().withColumn("__has", F.lit(True))
     d = (d.join(labelled, "doc_id", "left")
          .withColumn("lang", F.when(F.col("__has"), F.col("lang"))).drop("__has"))
     out = impute_category(d, "text", "lang")
     return out.select("doc_id", "lang", "lang_imputed")
+
+
+@register("impute_type_then_model", f"""
+WITH r AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_type END AS kind,
+                  CASE WHEN p_partkey % 7 = 0 THEN ' ' ELSE p_brand END AS model FROM part),
+{_nb_sql('r', 'model', 'kind', 'f')},
+r2 AS (SELECT r.id, coalesce(r.kind, f.label) AS kind, r.model FROM r LEFT JOIN f ON r.id = f.id),
+g_src AS (SELECT id, kind, model FROM r),
+{_nb_sql('g_src', 'kind', 'model', 'g').replace("g_m AS (SELECT id, kind FROM g_src WHERE model IS NULL OR trim(model) = '')",
+                                               "g_m AS (SELECT id, kind FROM r2 WHERE model IS NULL OR trim(model) = '')")}
+SELECT r2.id AS part_id, trim(r2.kind) AS kind, CASE WHEN trim(r2.model) = '' THEN g.label ELSE trim(r2.model) END AS model
+FROM r2 LEFT JOIN g ON r2.id = g.id""")
+def _d6_pair(m):
+    """Types from models, then models from the filled types; both are learnt from the given cells only."""
+    key = F.col("p_partkey")
+    p = m.table("part").select(key.alias("part_id"), F.when(key % 11 != 0, F.col("p_type")).alias("kind"),
+                               F.when(key % 7 == 0, F.lit(" ")).otherwise(F.col("p_brand")).alias("model"))
+    return impute_pair(p, "model", "kind").select("part_id", "kind", "model")

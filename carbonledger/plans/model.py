@@ -2,8 +2,7 @@
 
 ``DriverModel`` exposes the model's entities as DataFrames built from the
 given Parquet tables; ``ModelSQL`` writes the same entities as SQL CTEs for the
-DuckDB oracle.  Both are generated from the same mapping constants in
-``carbonledger.fixed``.
+DuckDB oracle, with factors and labels written out in ``oracle_text``.
 
 Physical plan, per entity:
 
@@ -33,11 +32,11 @@ from ..functions.dates import day_range, day_range_sql
 from ..functions.emissions import emission_sql
 from ..functions.geo import geodesic_sql, with_geodesic_km
 from ..functions.text import canonical_label
-from ..operators.broadcast import bounded_broadcast, fixed_broadcast
-from ..operators.harmonise import translate_expr, translate_sql
+from ..operators.broadcast import fixed_broadcast
+from ..operators.harmonise import translate_expr
+from . import oracle_text as text
 
 Window = tuple[str, str] | None
-_SCHEMAS: dict = {}
 
 
 def _map_or(col_sql: str, mapping: dict, default: str) -> Column:
@@ -55,23 +54,15 @@ class DriverModel:
         return f"{self.sf_dir}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        """The driver table, read once per model.
-
-        The schema is inferred from the Parquet footer the first time a path is
-        seen in this process and passed explicitly afterwards, which skips the
-        footer read on every later query.
-        """
+        """The table, read once per model (its schema from the Parquet footer)."""
         if name not in self._tables:
-            path = self.path(name)
-            schema = _SCHEMAS.get(path)
-            if schema is None:
-                df = self.spark.read.parquet(path)
-                _SCHEMAS[path] = df.schema
-            else:
-                df = self.spark.read.schema(schema).parquet(path)
-            self._tables[name] = df
+            self._tables[name] = self.spark.read.parquet(self.path(name))
         return self._tables[name]
 
+    def small(self, df: DataFrame) -> DataFrame:
+        """Hint for the sites and locations: region (5 rows) and nation (25 rows) have a fixed size."""
+        return fixed_broadcast(df)
+
     # -- fixed-size dimensions --------------------------------------------
     def sites(self) -> DataFrame:
         return self.table("region").select(F.col("r_regionkey").alias("site_id"), F.col("r_name").alias("site"))
@@ -105,8 +96,8 @@ class DriverModel:
                         birth.alias("birth_date")))
 
     # -- missions ----------------------------------------------------------
-    def missions(self, window: Window = None, people: DataFrame | None = None) -> DataFrame:
-        """One row per trip leg (lineitem), dated by its order.
+    def missions(self, window: Window = None, people: DataFrame | None = None, places: bool = True) -> DataFrame:
+        """One row per trip leg (lineitem), dated by its order; without dst_location_id unless ``places``.
 
         mission_key, leg, person_id, mission_ts, mission_date, mission_type,
         transport, is_return, dst_location_id (+ the columns of ``people``).
@@ -126,9 +117,10 @@ class DriverModel:
             o = o.join(people, o["o_custkey"] == people["person_id"]).drop("person_id")
             extra = [c for c in people.columns if c != "person_id"]
         li = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_returnflag")
-        s = self.table("supplier").select("s_suppkey", "s_nationkey")
-        j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-             .join(s, F.col("l_suppkey") == s["s_suppkey"]))
+        j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+        if places:
+            s = self.table("supplier").select("s_suppkey", "s_nationkey")
+            j = j.join(s, F.col("l_suppkey") == s["s_suppkey"])
         return j.select(
             F.col("l_orderkey").alias("mission_key"), F.col("l_linenumber").alias("leg"),
             F.col("o_custkey").alias("person_id"), F.col("o_orderdate").alias("mission_ts"),
@@ -136,7 +128,26 @@ class DriverModel:
             translate_expr("l_returnflag", fixed.RETURNFLAG_TYPE).alias("mission_type"),
             _map_or("substr(o_orderpriority, 1, 1)", fixed.PRIORITY_TRANSPORT, fixed.OTHER).alias("transport"),
             (F.col("o_orderstatus") == "F").alias("is_return"),
-            F.col("s_nationkey").alias("dst_location_id"), *extra)
+            *([F.col("s_nationkey").alias("dst_location_id")] if places else []), *extra)
+
+    def transports(self) -> DataFrame:
+        """Transport of every order that has a trip (line items are only probed for existence)."""
+        li = self.table("lineitem").select("l_orderkey")
+        o = self.table("orders").select("o_orderkey", "o_orderpriority")
+        return o.join(li, o["o_orderkey"] == li["l_orderkey"], "left_semi").select(
+            _map_or("substr(o_orderpriority, 1, 1)", fixed.PRIORITY_TRANSPORT, fixed.OTHER).alias("transport"))
+
+    def mission_types(self) -> DataFrame:
+        """Trip types, from the line items alone."""
+        return self.table("lineitem").select(
+            translate_expr("l_returnflag", fixed.RETURNFLAG_TYPE).alias("mission_type"))
+
+    def equipment_labels(self) -> DataFrame:
+        """(equip_type, equip_model) of the parts that were bought: distinct part keys first, then the parts."""
+        bought = self.table("lineitem").select("l_partkey").distinct()
+        part = self.table("part").select("p_partkey", "p_type", "p_brand")
+        return part.join(bought, part["p_partkey"] == bought["l_partkey"], "left_semi").select(
+            translate_expr("p_type", fixed.PTYPE_EQUIPMENT).alias("equip_type"), F.col("p_brand").alias("equip_model"))
 
     def enriched_missions(self, window: Window = None, sites: Sequence[int] | None = None) -> DataFrame:
         """Missions with the traveller, both places, the one-way km and the set-A emission (kg)."""
@@ -144,14 +155,15 @@ class DriverModel:
         if sites is not None:
             p = p.filter(F.col("site_id").isin(list(sites)))
         m = self.missions(window, people=p.drop("person_name"))
-        # One location broadcast serves both roles: the two join sides are the
-        # same plan, so ReuseExchange ships it once.
-        loc = fixed_broadcast(self.locations())
-        site = fixed_broadcast(self.sites())
+        # One location table serves both roles: the two join sides are the same
+        # plan, so ReuseExchange ships it once.  An unknown place keeps its trip:
+        # the distance is null, and so is the emission of a known mode.
+        loc = self.small(self.locations())
+        site = self.small(self.sites())
         d, a = loc.alias("d"), loc.alias("a")
-        j = (m.join(site, "site_id")
-             .join(d, F.col("home_location_id") == F.col("d.location_id"))
-             .join(a, F.col("dst_location_id") == F.col("a.location_id"))
+        j = (m.join(site, "site_id", "left")
+             .join(d, F.col("home_location_id") == F.col("d.location_id"), "left")
+             .join(a, F.col("dst_location_id") == F.col("a.location_id"), "left")
              .select(m["*"], F.col("site"), F.col("d.city").alias("dep_city"), F.col("d.country").alias("dep_country"),
                      F.col("d.lat").alias("__dlat"), F.col("d.lon").alias("__dlon"), F.col("a.city").alias("dst_city"),
                      F.col("a.country").alias("dst_country"), F.col("a.lat").alias("__alat"),
@@ -180,7 +192,7 @@ class DriverModel:
         Names and coordinates are attached after the distinct, so the
         trigonometry runs once per route, not once per trip.
         """
-        loc = fixed_broadcast(self.locations())
+        loc = self.small(self.locations())
         d, a = loc.alias("d"), loc.alias("a")
         r = (self.routes(window)
              .join(d, F.col("dep_id") == F.col("d.location_id"))
@@ -193,9 +205,10 @@ class DriverModel:
             .drop("__dlat", "__dlon", "__alat", "__alon")
 
     # -- equipment ---------------------------------------------------------
-    def equipment(self, window: Window = None, people: DataFrame | None = None) -> DataFrame:
+    def equipment(self, window: Window = None, people: DataFrame | None = None, buyers: bool = True) -> DataFrame:
         """One purchase per lineitem: equipment_key, leg, person_id, site_id, job_function,
-        purchase_ts, purchase_date, equip_type, equip_model.
+        purchase_ts, purchase_date, equip_type, equip_model; without the three buyer columns unless ``buyers``
+        (then only line items and parts are read).
 
         As for trips, orders meet the buyers before the line items, so the
         line-item-sized stream is shuffled twice (order key, part key); a filter
@@ -205,15 +218,16 @@ class DriverModel:
         if window:
             li = li.filter(day_range("l_shipdate", *window))
         li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-        p = (people if people is not None else self.persons()).select("person_id", "site_id", "job_function")
-        o = self.table("orders").select("o_orderkey", "o_custkey")
-        o = o.join(p, o["o_custkey"] == p["person_id"]).drop("o_custkey")
         part = self.table("part").select("p_partkey", "p_type", "p_brand")
-        j = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
-             .join(part, F.col("l_partkey") == part["p_partkey"]))
+        j, who = li, []
+        if buyers:
+            p = (people if people is not None else self.persons()).select("person_id", "site_id", "job_function")
+            o = self.table("orders").select("o_orderkey", "o_custkey")
+            o = o.join(p, o["o_custkey"] == p["person_id"]).drop("o_custkey")
+            j, who = li.join(o, li["l_orderkey"] == o["o_orderkey"]), ["person_id", "site_id", "job_function"]
+        j = j.join(part, F.col("l_partkey") == part["p_partkey"])
         return j.select(
-            F.col("l_orderkey").alias("equipment_key"), F.col("l_linenumber").alias("leg"), "person_id", "site_id",
-            "job_function", F.col("l_shipdate").alias("purchase_ts"), F.to_date("l_shipdate").alias("purchase_date"),
+            F.col("l_orderkey").alias("equipment_key"), F.col("l_linenumber").alias("leg"), *who, F.col("l_shipdate").alias("purchase_ts"), F.to_date("l_shipdate").alias("purchase_date"),
             translate_expr("p_type", fixed.PTYPE_EQUIPMENT).alias("equip_type"),
             F.col("p_brand").alias("equip_model"))
 
@@ -239,23 +253,22 @@ class DriverModel:
                 .select(translate_expr("p_type", fixed.PTYPE_EQUIPMENT).alias("imp_type"),
                         F.col("p_brand").alias("imp_model"), "impact_kg"))
 
-    def equipment_with_impact(self, window: Window = None) -> DataFrame:
+    def equipment_with_impact(self, window: Window = None, buyers: bool = True) -> DataFrame:
         """Purchases inner-joined to their impact on canonicalised (type, model).
 
-        The impact table has one row per catalogue (type, model): it is broadcast
-        behind a row bound.
+        The impact table has one row per catalogue (type, model); AQE broadcasts
+        it by its measured size.
         """
-        e = self.equipment(window)
+        e = self.equipment(window, buyers=buyers)
         imp = self.impacts().select(canonical_label("imp_type").alias("__t"), canonical_label("imp_model").alias("__m"),
                                     "impact_kg")
-        imp = bounded_broadcast(imp, memo_key=("impacts", self.path("part")))
         return (e.join(imp, (canonical_label("equip_type") == F.col("__t")) &
                        (canonical_label("equip_model") == F.col("__m")))
                 .drop("__t", "__m"))
 
 
 class ModelSQL:
-    """The same entities as SQL text (DuckDB dialect; ANSI where possible)."""
+    """The same entities as SQL text (DuckDB dialect; ANSI where possible), with factors and labels written by hand."""
 
     @staticmethod
     def _map_sql(col: str, mapping: dict, default: str) -> str:
@@ -277,7 +290,7 @@ class ModelSQL:
     @classmethod
     def persons(cls) -> str:
         return (f"SELECT c.c_custkey AS person_id, c.c_name AS person_name, n.n_regionkey AS site_id, "
-                f"c.c_nationkey AS home_location_id, {translate_sql('c.c_mktsegment', fixed.SEGMENT_JOB)} AS job_function, "
+                f"c.c_nationkey AS home_location_id, {text.JOB_FUNCTION.format(col='c.c_mktsegment')} AS job_function, "
                 f"CAST(DATE '{fixed.BIRTH_EPOCH}' + CAST((c.c_custkey * {fixed.BIRTH_MULT}) % {fixed.BIRTH_SPAN_DAYS} AS INTEGER) AS DATE) AS birth_date "
                 f"FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey")
 
@@ -286,8 +299,8 @@ class ModelSQL:
         where = f"WHERE {day_range_sql('o.o_orderdate', *window)}" if window else ""
         return (f"SELECT l.l_orderkey AS mission_key, l.l_linenumber AS leg, o.o_custkey AS person_id, "
                 f"o.o_orderdate AS mission_ts, CAST(o.o_orderdate AS DATE) AS mission_date, "
-                f"{translate_sql('l.l_returnflag', fixed.RETURNFLAG_TYPE)} AS mission_type, "
-                f"{cls._map_sql('substr(o.o_orderpriority, 1, 1)', fixed.PRIORITY_TRANSPORT, fixed.OTHER)} AS transport, "
+                f"{text.MISSION_TYPE.format(col='l.l_returnflag')} AS mission_type, "
+                f"{text.TRANSPORT.format(col='o.o_orderpriority')} AS transport, "
                 f"(o.o_orderstatus = 'F') AS is_return, s.s_nationkey AS dst_location_id "
                 f"FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey "
                 f"JOIN supplier s ON l.l_suppkey = s.s_suppkey {where}")
@@ -305,9 +318,10 @@ class ModelSQL:
             f"m.mission_ts, m.mission_date, m.mission_type, m.transport, m.is_return, d.city AS dep_city, "
             f"d.country AS dep_country, a.city AS dst_city, a.country AS dst_country, "
             f"{geodesic_sql('d.lat', 'd.lon', 'a.lat', 'a.lon')} AS km_one_way "
-            f"FROM mis m JOIN per p ON m.person_id = p.person_id JOIN st ON p.site_id = st.site_id "
-            f"JOIN loc d ON p.home_location_id = d.location_id JOIN loc a ON m.dst_location_id = a.location_id), "
-            f"em AS (SELECT g.*, {emission_sql('g.transport', 'g.km_one_way', total, 'A')} AS carbon_kg FROM geo g)"
+            f"FROM mis m JOIN per p ON m.person_id = p.person_id LEFT JOIN st ON p.site_id = st.site_id "
+            f"LEFT JOIN loc d ON p.home_location_id = d.location_id "
+            f"LEFT JOIN loc a ON m.dst_location_id = a.location_id), "
+            f"em AS (SELECT g.*, {text.EMISSION_A.format(mode='g.transport', km='g.km_one_way', total=total)} AS carbon_kg FROM geo g)"
         )
 
     @classmethod
@@ -318,10 +332,10 @@ class ModelSQL:
             f"eper AS ({cls.persons()}), "
             f"eq AS (SELECT l.l_orderkey AS equipment_key, l.l_linenumber AS leg, p.person_id, p.site_id, "
             f"p.job_function, l.l_shipdate AS purchase_ts, CAST(l.l_shipdate AS DATE) AS purchase_date, "
-            f"{translate_sql('pa.p_type', fixed.PTYPE_EQUIPMENT)} AS equip_type, pa.p_brand AS equip_model "
+            f"{text.EQUIPMENT_TYPE.format(col='pa.p_type')} AS equip_type, pa.p_brand AS equip_model "
             f"FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part pa ON l.l_partkey = pa.p_partkey "
             f"JOIN eper p ON o.o_custkey = p.person_id {where}), "
-            f"imp AS (SELECT {translate_sql('p_type', fixed.PTYPE_EQUIPMENT)} AS imp_type, p_brand AS imp_model, "
+            f"imp AS (SELECT {text.EQUIPMENT_TYPE.format(col='p_type')} AS imp_type, p_brand AS imp_model, "
             f"avg(p_retailprice) AS impact_kg FROM part GROUP BY p_type, p_brand), "
             f"eqi AS (SELECT eq.*, imp.impact_kg FROM eq JOIN imp ON lower(trim(eq.equip_type)) = lower(trim(imp.imp_type)) "
             f"AND lower(trim(eq.equip_model)) = lower(trim(imp.imp_model)))"

@@ -15,11 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import age_years, year_month
-from ..operators.broadcast import fixed_broadcast
 from ..operators.rollup import totals_with_label
 from .model import DriverModel, Window
 
@@ -53,16 +52,15 @@ def _trips(m: DriverModel, window: Window = None, sites: Sequence[int] | None =
 
 
 # Q1-Q3 ----------------------------------------------------------------------
-def headcount_by_function(m: DriverModel, window: Window = ("1998-01-01", "1998-12-31")) -> DataFrame:
+def headcount_by_function(m: DriverModel) -> DataFrame:
     """Distinct people per (site, job function) and per job function over all sites.
 
     The notebook counts people in the mission fact, which is ``person LEFT JOIN
-    missions`` -- so people without a mission in ``window`` count too.  A left
+    missions`` -- so people without a mission count too.  A left
     join cannot add or remove left-side people, so the distinct count equals
     the count over ``persons`` alone: the plan reads only customer and nation
     and never shuffles the line items (Catalyst cannot drop that join itself
-    once GROUPING SETS put an Expand above it).  ``window`` is kept for the
-    signature; it does not change the answer.  ``site_id`` is null on the
+    once GROUPING SETS put an Expand above it).  ``site_id`` is null on the
     all-sites rows.
     """
     p = m.persons().select("person_id", "site_id", "job_function")
@@ -73,14 +71,14 @@ def headcount_by_function(m: DriverModel, window: Window = ("1998-01-01", "1998-
 # Q4-Q7 ----------------------------------------------------------------------
 def purchase_count_window(m: DriverModel, equip_type: str = "PC portable",
                           window: Window = ("1998-05-01", "1998-10-31")) -> DataFrame:
-    e = m.equipment(window)
+    e = m.equipment(window, buyers=False)  # the question names no buyer: orders and people are not read
     return e.filter(F.col("equip_type") == equip_type).agg(F.count(F.lit(1)).alias("n_purchases"))
 
 
 def purchase_carbon(m: DriverModel, equip_type: str = "PC portable",
                     window: Window = ("1998-05-01", "1998-10-31"), sites: Sequence[int] | None = None,
                     job_function: str | None = None) -> DataFrame:
-    e = m.equipment_with_impact(window).filter(F.col("equip_type") == equip_type)
+    e = m.equipment_with_impact(window, buyers=sites is not None or job_function is not None).filter(F.col("equip_type") == equip_type)
     if sites is not None:
         e = e.filter(F.col("site_id").isin(list(sites)))
     if job_function is not None:
@@ -95,7 +93,9 @@ def period_emissions(m: DriverModel, window: Window, sites: Sequence[int] | None
     if mission_type is not None:
         e = e.filter(F.col("mission_type") == mission_type)
     e = _dedup(e, dedup, TRIP_COLS)
-    return e.agg(F.count(F.lit(1)).alias("n_missions"), _t())
+    # Trips between unknown places have no distance: they count, and the total states how many they are.
+    return e.agg(F.count(F.lit(1)).alias("n_missions"), F.count(F.when(F.col("km_one_way").isNull(), 1))
+                 .alias("n_unlocated"), _t())
 
 
 # Q9 -------------------------------------------------------------------------
@@ -118,15 +118,18 @@ def combined_emissions(m: DriverModel, by: str, how: str = "inner", dedup: str =
     eq = m.equipment_with_impact().groupBy(by).agg(F.sum("impact_kg").alias("__ek"))
     j = mis.join(eq, by, how)
     mk, ek = F.coalesce(F.col("__mk"), F.lit(0.0)), F.coalesce(F.col("__ek"), F.lit(0.0))
-    out = j.select(by, F.round(mk / TONNES, 2).alias("mission_t"), F.round(ek / TONNES, 2).alias("equipment_t"),
-                   F.round((mk + ek) / TONNES, 2).alias("total_t"))
-    return out.orderBy(F.col("total_t").desc(), F.col(by).asc())
+    # A handful of groups: ranked by the unrounded total, worst first.
+    place = F.row_number().over(W.orderBy((mk + ek).desc(), F.col(by).asc()))
+    out = j.select(place.alias("rank"), by, F.round(mk / TONNES, 2).alias("mission_t"),
+                   F.round(ek / TONNES, 2).alias("equipment_t"), F.round((mk + ek) / TONNES, 2).alias("total_t"))
+    return out.orderBy("rank")
 
 
 def emissions_by_site_combined(m: DriverModel) -> DataFrame:
+    """The sites' names are joined first, the ranking is ordered last (a join drops the order below it)."""
     out = combined_emissions(m, "site_id")
-    return out.join(fixed_broadcast(m.sites()), "site_id").select("site_id", "site", "mission_t", "equipment_t",
-                                                               "total_t")
+    return out.join(m.small(m.sites()), "site_id").select("rank", "site_id", "site", "mission_t", "equipment_t",
+                                                         "total_t").orderBy("rank")
 
 
 # Q12 ------------------------------------------------------------------------
@@ -138,7 +141,7 @@ def intersite_emissions(m: DriverModel, window: Window = ("1998-05-01", "1998-05
     e = _trips(m, window, dedup=dedup, keep=["site_id"]).filter(F.col("dep_city").isin(list(site_cities)) &
                                            F.col("dst_city").isin(list(site_cities)))
     g = e.groupBy("site_id").agg(F.count(F.lit(1)).alias("n_missions"), _t())
-    return g.join(fixed_broadcast(m.sites()), "site_id").select("site_id", "site", "n_missions", "carbon_t")
+    return g.join(m.small(m.sites()), "site_id").select("site_id", "site", "n_missions", "carbon_t")
 
 
 # Q14, Q17 -------------------------------------------------------------------
@@ -163,7 +166,7 @@ def average_age(m: DriverModel, mission_type: str = "Vocational Training",
                 window: Window = ("1998-07-01", "1998-09-30"), at: str = "1998-09-30",
                 distinct_people: bool = False) -> DataFrame:
     """Average age at ``at`` over missions (the notebook's reading) or over distinct people."""
-    mis = m.missions(window).filter(F.col("mission_type") == mission_type).select("person_id")
+    mis = m.missions(window, places=False).filter(F.col("mission_type") == mission_type).select("person_id")
     if distinct_people:
         mis = mis.distinct()
     p = m.persons().select("person_id", "birth_date")
@@ -179,13 +182,21 @@ def worst_destination(m: DriverModel, window: Window = ("1998-05-01", "1998-10-3
     e = _trips(m, window, dedup=dedup)
     g = e.groupBy("dst_city", "dst_country").agg(F.count(F.lit(1)).alias("n_missions"),
                                                  F.sum("carbon_kg").alias("__kg"))
-    return (g.orderBy(F.col("__kg").desc(), "dst_city", "dst_country")
-            .select("dst_city", "dst_country", "n_missions", F.round(F.col("__kg") / TONNES, 2).alias("carbon_t")))
+    # One row per place: ranked by the unrounded sum.
+    place = F.row_number().over(W.orderBy(F.col("__kg").desc(), "dst_city", "dst_country"))
+    return (g.select(place.alias("rank"), "dst_city", "dst_country", "n_missions",
+                     F.round(F.col("__kg") / TONNES, 2).alias("carbon_t")).orderBy("rank"))
 
 
 # Q18 ------------------------------------------------------------------------
 def top_single_missions(m: DriverModel, site: int = 1, k: int = 5, dedup: str = "mission") -> DataFrame:
-    e = _trips(m, sites=[site], dedup=dedup, keep=["mission_key", "leg"])
+    if dedup == "reference":  # without ids, so equal trips of a person are one
+        e = _trips(m, sites=[site], dedup=dedup)
+        shown = ["person_id", "mission_date", "dep_city", "dep_country", "dst_city", "dst_country", "transport",
+                 "is_return"]
+        return e.orderBy(F.col("carbon_kg").desc(), *shown).limit(k).select(
+            *shown, F.round("carbon_kg", 3).alias("carbon_kg"))
+    e = _trips(m, sites=[site], dedup=dedup)
     top = e.orderBy(F.col("carbon_kg").desc(), "mission_key", "leg", "dst_city").limit(k)
     return top.select("mission_key", "leg", "dep_city", "dep_country", "dst_city", "dst_country", "transport",
                       F.round("carbon_kg", 3).alias("carbon_kg"))

@@ -21,27 +21,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window as W
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.dates import day_range
 from ..functions.emissions import canonical_transport, emission
 from ..functions.text import canonical_label
-from ..operators.broadcast import bounded_broadcast, fixed_broadcast
 from ..operators.columns import site_dimension
 from ..operators.harmonise import translate_expr
-from ..operators.impute import impute_category
+from ..operators.impute import impute_pair
 from ..operators.places import with_route_distance
+from ..session import reliable_checkpoint
 from ..sources.raw import read_drops
 from .model import Window
 
 SITE_KEYS = {name: key for key, name in fixed.SITES.items()}
+# Sites whose drops are written in another language than English.
+SITE_LANGUAGE = {"paris": "fr", "berlin": "de"}
 
 
-def _site_id(col):
-    m = F.create_map(*[F.lit(x) for kv in SITE_KEYS.items() for x in kv])
-    return m[F.lower(col)].cast("int")
+def _by_language(column: str, domain: str):
+    """``column`` translated with its site's language; labels of other sites stay as they are."""
+    out = F.col(column)
+    for site, lang in SITE_LANGUAGE.items():
+        translated = translate_expr(column, fixed.TRANSLATIONS[(domain, lang)])
+        out = F.when(F.lower(F.col("site")) == site, translated).otherwise(out)
+    return out
 
 
 @dataclass
@@ -60,41 +66,68 @@ class RawModel:
             self._cache["m"] = read_drops(self.spark, self.root, "mission")
         return self._cache["m"]
 
+    def raw_equipment_drops(self) -> DataFrame:
+        if "d" not in self._cache:
+            self._cache["d"] = read_drops(self.spark, self.root, "equipment")
+        return self._cache["d"]
+
     def raw_equipment(self) -> DataFrame:
+        """The purchases; blank types and models are predicted from each other (materialised once)."""
         if "e" not in self._cache:
-            e = read_drops(self.spark, self.root, "equipment")
+            e = self.raw_equipment_drops()
             if self.impute:
-                # TYPE from MODELE, then MODELE from the already filled TYPE.
-                e = impute_category(e, "MODELE", "TYPE").drop("TYPE_imputed")
-                e = impute_category(e, "TYPE", "MODELE").drop("MODELE_imputed")
+                e = reliable_checkpoint(impute_pair(e, "MODELE", "TYPE"))
             self._cache["e"] = e
         return self._cache["e"]
 
+    def forget(self) -> None:
+        """Drop the frames read so far (their materialised tables may be released then)."""
+        self._cache.clear()
+
     # -- entities ------------------------------------------------------------
     def sites(self) -> DataFrame:
-        return site_dimension(self.spark)
+        """(site_id, site): the known sites keep their keys, further sites found in the paths follow by name."""
+        if "sites" not in self._cache:
+            found = (self.raw_missions().select("site").unionByName(self.raw_equipment_drops().select("site"))
+                     .filter("site is not null and site <> ''").distinct())
+            known = site_dimension(self.spark)
+            new = found.join(known.select("site"), "site", "left_anti")
+            # One row per site: numbered by a window over the distinct names.
+            number = (F.row_number().over(W.orderBy("site")) + max(fixed.SITES)).cast("int")
+            self._cache["sites"] = known.unionByName(new.select(number.alias("site_id"), "site"))
+        return self._cache["sites"]
+
+    def _with_site_id(self, df: DataFrame) -> DataFrame:
+        """Add ``site_id`` by the lower-case ``site`` name."""
+        s = self.sites().select("site_id", F.col("site").alias("__site"))
+        return df.join(s, F.lower(df["site"]) == F.col("__site"), "left").drop("__site")
 
     def persons(self) -> DataFrame:
         if self.personnel is not None:
             p = self.personnel
-            job = translate_expr(translate_expr("FONCTION_PERSONNEL", fixed.JOB_FUNCTION_FR), fixed.JOB_FUNCTION_DE)
-            return p.select(F.col("ID_PERSONNEL").alias("person_id"), _site_id(F.col("site")).alias("site_id"),
-                            job.alias("job_function"), F.col("DT_NAISS").alias("birth_date")).dropDuplicates(["person_id"])
+            job = _by_language("FONCTION_PERSONNEL", "job_function")
+            p = p.select(F.col("ID_PERSONNEL").alias("person_id"), F.lower("site").alias("site"),
+                         job.alias("job_function"), F.col("DT_NAISS").alias("birth_date"))
+            # A person in several site files: the row of the first site in order, the same on every run.
+            first = F.min(F.struct("site", "job_function", "birth_date")).alias("x")
+            return self._with_site_id(p.groupBy("person_id").agg(first).select("person_id", "x.*")).select(
+                "person_id", "site_id", "job_function", "birth_date")
         m = self.raw_missions().select("ID_PERSONNEL", "site")
         e = self.raw_equipment().select("ID_PERSONNEL", "site")
         people = m.unionByName(e).groupBy("ID_PERSONNEL").agg(F.min("site").alias("site"))
-        return people.select(F.col("ID_PERSONNEL").alias("person_id"), _site_id(F.col("site")).alias("site_id"),
+        people = self._with_site_id(people)
+        return people.select(F.col("ID_PERSONNEL").alias("person_id"), "site_id",
                              F.lit(None).cast("string").alias("job_function"),
                              F.lit(None).cast("date").alias("birth_date"))
 
-    def missions(self, window: Window = None, people: DataFrame | None = None) -> DataFrame:
+    def missions(self, window: Window = None, people: DataFrame | None = None, places: bool = True) -> DataFrame:
         m = self.raw_missions()
         if window:
             m = m.filter(day_range("DATE_MISSION", *window))
-        mt = translate_expr(translate_expr("TYPE_MISSION", fixed.MISSION_TYPE_FR), fixed.MISSION_TYPE_DE)
-        out = m.select(
+        mt = _by_language("TYPE_MISSION", "mission_type")
+        out = self._with_site_id(m).select(
             F.col("ID_MISSION").alias("mission_key"), F.lit(1).alias("leg"), F.col("ID_PERSONNEL").alias("person_id"),
-            _site_id(F.col("site")).alias("home_site_id"),
+            F.col("site_id").alias("home_site_id"),
             F.col("DATE_MISSION").alias("mission_ts"), F.to_date("DATE_MISSION").alias("mission_date"),
             mt.alias("mission_type"), canonical_transport("TRANSPORT").alias("transport"),
             (F.col("ALLER_RETOUR") == "oui").alias("is_return"),
@@ -109,7 +142,7 @@ class RawModel:
         m = self.missions(window).withColumnRenamed("home_site_id", "site_id")
         if sites is not None:
             m = m.filter(F.col("site_id").isin(list(sites)))
-        m = m.join(p, "person_id", "left").join(fixed_broadcast(self.sites()), "site_id", "left")
+        m = m.join(p, "person_id", "left").join(self.sites(), "site_id", "left")
         if self.gazetteer is None:
             raise ValueError("a gazetteer (city, country, lat, lon) is needed for distances")
         m = with_route_distance(m, self.gazetteer)
@@ -119,13 +152,17 @@ class RawModel:
             "mission_date", "mission_type", "transport", "is_return", "dep_city", "dep_country", "dst_city",
             "dst_country", "km_one_way", emission("transport", "km_one_way", total, "A").alias("carbon_kg"))
 
-    def equipment(self, window: Window = None) -> DataFrame:
+    def small(self, df: DataFrame) -> DataFrame:
+        return df
+
+    def equipment(self, window: Window = None, buyers: bool = True) -> DataFrame:
         e = self.raw_equipment()
         if window:
             e = e.filter(day_range("DATE_ACHAT", *window))
         p = self.persons().select("person_id", "job_function")
-        out = e.select(F.col("ID_MATERIELINFO").alias("equipment_key"), F.lit(1).alias("leg"),
-                       F.col("ID_PERSONNEL").alias("person_id"), _site_id(F.col("site")).alias("site_id"),
+        out = self._with_site_id(e).select(
+                       F.col("ID_MATERIELINFO").alias("equipment_key"), F.lit(1).alias("leg"),
+                       F.col("ID_PERSONNEL").alias("person_id"), "site_id",
                        F.col("DATE_ACHAT").alias("purchase_ts"), F.to_date("DATE_ACHAT").alias("purchase_date"),
                        F.col("TYPE").alias("equip_type"), F.col("MODELE").alias("equip_model"))
         return out.join(p, "person_id", "left")
@@ -136,12 +173,11 @@ class RawModel:
         return self.impacts_df.select(F.col("Type").alias("imp_type"), F.col("Modèle").alias("imp_model"),
                                       F.col("Impact").alias("impact_kg"))
 
-    def equipment_with_impact(self, window: Window = None) -> DataFrame:
+    def equipment_with_impact(self, window: Window = None, buyers: bool = True) -> DataFrame:
         imp = self.impacts()
         imp = (imp.groupBy(canonical_label("imp_type").alias("__t"), canonical_label("imp_model").alias("__m"))
                .agg(F.max("impact_kg").alias("impact_kg")))  # one factor per canonical key: no fan-out
-        imp = bounded_broadcast(imp)
-        e = self.equipment(window)
+        e = self.equipment(window, buyers)
         return (e.join(imp, (canonical_label("equip_type") == F.col("__t")) &
                        (canonical_label("equip_model") == F.col("__m")))
                 .drop("__t", "__m"))

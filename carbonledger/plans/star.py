@@ -11,101 +11,130 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import year_month
-from ..operators.broadcast import bounded_broadcast
 from ..operators.dimensions import build_dimension, pool
 from ..operators.joins import left_join_dimension
 from ..operators.keys import sequential_index
-from ..session import reliable_checkpoint
+from ..session import checkpoints_written, release_checkpoints, reliable_checkpoint
 from ..sources.sinks import save_parquet
 from .model import DriverModel, Window
 
 
 def dim_date(m: DriverModel) -> DataFrame:
+    """Calendar days of orders and purchases (at most one row per day of the calendar)."""
     o = m.table("orders").select(F.to_date("o_orderdate").alias("d"))
     li = m.table("lineitem").select(F.to_date("l_shipdate").alias("d"))
-    return build_dimension(pool([o, li], [["d"], ["d"]], ["date"]), "date_id", blank_policy="drop")
+    return build_dimension(pool([o, li], [["d"], ["d"]], ["date"]), "date_id", blank_policy="drop", bounded=True)
 
 
 def dim_location(m: DriverModel) -> DataFrame:
     """Departure and destination places of the trips (distinct routes first, then names)."""
     r = m.route_distances()
     places = pool([r, r], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"])
-    return build_dimension(places, "location_id", blank_policy="drop")
+    return build_dimension(places, "location_id", blank_policy="drop", bounded=True)
 
 
-def mission_dims(m: DriverModel, window: Window) -> tuple[DataFrame, DataFrame]:
-    """Transport and mission-type dimensions of the trips in ``window`` (keys in label order)."""
-    mis = m.missions(window)
-    return (build_dimension(mis.select("transport"), "transport_id"),
-            build_dimension(mis.select("mission_type"), "type_id"))
+def dim_transport(m: DriverModel) -> DataFrame:
+    return build_dimension(m.transports(), "transport_id", bounded=True)
 
 
-def fact_mission(m: DriverModel, window: Window, dims: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
-    """person LEFT JOIN missions in ``window`` (people without a trip keep one row of nulls).
+def dim_mission_type(m: DriverModel) -> DataFrame:
+    return build_dimension(m.mission_types(), "type_id", bounded=True)
 
-    ``dims``: the (transport, mission type) dimensions whose keys the fact
-    uses; built from the same trips when not given.  The trips (the line item /
-    order / supplier join) are materialised once and feed the dimensions, the
-    keyed trips and the people-without-trips branch.
-    """
-    mis = reliable_checkpoint(m.missions(window).select(
+
+def trips_once(m: DriverModel, window: Window = None) -> DataFrame:
+    """The trips (line item / order / supplier join), materialised once, with a tie-break id."""
+    return reliable_checkpoint(m.missions(window).select(
         "person_id", "mission_key", "leg", "mission_date", "dst_location_id", "mission_type", "transport",
-        "is_return"))
-    tr, ty = dims or (build_dimension(mis.select("transport"), "transport_id"),
-                      build_dimension(mis.select("mission_type"), "type_id"))
-    p = m.persons().select("site_id", "person_id", F.col("home_location_id").alias("dep_location_id"))
-    # Dimensions are distinct value sets: broadcast behind a row bound.
-    trips = (mis.join(bounded_broadcast(tr), "transport", "left")
-             .join(bounded_broadcast(ty), "mission_type", "left")
-             .select("person_id", "mission_key", "leg", "mission_date", "dst_location_id", "type_id", "transport_id",
-                     "is_return"))
-    f = (left_join_dimension(p, trips, ["person_id"], materialize=False)
-         .select("site_id", "person_id", "mission_key", "leg", "mission_date", "dep_location_id", "dst_location_id",
-                 "type_id", "transport_id", "is_return"))
+        "is_return", F.monotonically_increasing_id().alias("__tie")))
+
+
+def fact_mission(m: DriverModel, window: Window = None, trips: DataFrame | None = None) -> DataFrame:
+    """person LEFT JOIN missions (people without a trip keep one row of nulls), with the keys of five dimensions:
+    date, mission type, transport, departure and destination.
+
+    ``window`` restricts the trips, not the people; None (the default) takes all.
+    The trips are materialised once and feed the label dimensions, the keyed
+    trips and the people without trips; a second materialisation holds the
+    range-partitioned rows for numbering.  Labels, calendar days and places are
+    tables of fixed size and are broadcast.
+    """
+    mis = trips if trips is not None else trips_once(m, window)
+    tr = build_dimension(mis.select("transport"), "transport_id", bounded=True)
+    ty = build_dimension(mis.select("mission_type"), "type_id", bounded=True)
+    day = dim_date(m).withColumnRenamed("date", "mission_date")
+    loc, names = dim_location(m), m.locations().select("location_id", "city", "country")
+    place = names.withColumnRenamed("location_id", "__natural").join(loc, ["city", "country"]).select(
+        "__natural", "location_id")
+    here = place.select(F.col("__natural").alias("home_location_id"), F.col("location_id").alias("dep_location_id"))
+    there = place.select(F.col("__natural").alias("dst_location_id"), F.col("location_id").alias("__dst"))
+    p = m.persons().select("site_id", "person_id", "home_location_id").join(
+        m.small(here), "home_location_id", "left").drop("home_location_id")
+    keyed = (mis.join(F.broadcast(tr), "transport", "left").join(F.broadcast(ty), "mission_type", "left")
+             .join(F.broadcast(day), "mission_date", "left").join(m.small(there), "dst_location_id", "left")
+             .select("person_id", "mission_key", "leg", "mission_date", "date_id",
+                     F.col("__dst").alias("dst_location_id"), "type_id", "transport_id", "is_return", "__tie"))
+    f = left_join_dimension(p, keyed, ["person_id"], materialize=False)
     order = ["person_id", "mission_date", "mission_key", "leg", "dst_location_id", "type_id", "transport_id",
              "is_return"]
-    out = sequential_index(f, order, partition_cols=["site_id"], out="fact_id")
-    return out.select("fact_id", "site_id", "person_id", "mission_key", "leg", "mission_date", "dep_location_id",
-                      "dst_location_id", "type_id", "transport_id", "is_return")
+    out = sequential_index(f, [*order, "__tie"], partition_cols=["site_id"], out="fact_id", split_ties=False)
+    return out.select("fact_id", "site_id", "person_id", "mission_key", "leg", "mission_date", "date_id",
+                      "dep_location_id", "dst_location_id", "type_id", "transport_id", "is_return")
 
 
-def fact_equipment(m: DriverModel, window: Window) -> DataFrame:
-    """person LEFT JOIN purchases in ``window``; type and model keep their natural values."""
-    e = m.purchases(window)
+def fact_equipment(m: DriverModel, window: Window = None) -> DataFrame:
+    """person LEFT JOIN purchases, with the date key; type and model keep their natural values."""
+    day = F.broadcast(dim_date(m).withColumnRenamed("date", "purchase_date"))
+    e = reliable_checkpoint(m.purchases(window).join(day, "purchase_date", "left").withColumn(
+        "__tie", F.monotonically_increasing_id()))
     p = m.persons().select("site_id", "person_id")
-    f = left_join_dimension(p, e, ["person_id"]).select("site_id", "person_id", "equipment_key", "leg", "purchase_date",
-                                              "equip_type", "equip_model")
+    f = left_join_dimension(p, e, ["person_id"], materialize=False)
     order = ["person_id", "purchase_date", "equipment_key", "leg", "equip_type", "equip_model"]
-    out = sequential_index(f, order, partition_cols=["site_id"], out="fact_id")
-    return out.select("fact_id", "site_id", "person_id", "equipment_key", "leg", "purchase_date", "equip_type",
-                      "equip_model")
+    out = sequential_index(f, [*order, "__tie"], partition_cols=["site_id"], out="fact_id", split_ties=False)
+    return out.select("fact_id", "site_id", "person_id", "equipment_key", "leg", "purchase_date", "date_id",
+                      "equip_type", "equip_model")
+
+
+def people_without_trips(m: DriverModel, window: Window) -> DataFrame:
+    """(site_id, person_id) of the people without any trip in ``window``."""
+    seen = m.missions(window, places=False).select("person_id").distinct()
+    return m.persons().select("site_id", "person_id").join(seen, "person_id", "left_anti").select(
+        "site_id", "person_id")
 
 
 def write_star_schema(m: DriverModel, out_dir: str, window: Window = None, overwrite: bool = True) -> list[str]:
     """Write the dimensions and both facts under ``out_dir``; returns the table names.
 
-    The fact keys point into the written dimensions: transport and mission
-    type keys come from the same dimension frames (materialised once), and
-    locations keep their natural key with coordinates (the gazetteer).  Facts
-    are partitioned by site and month, so ``StarModel`` questions prune
-    directories by site and period.
+    The trips are joined once and feed the transport and mission type
+    dimensions and the fact.  The fact's location keys point into
+    ``dimension_place`` (the travelled places); ``dimension_location`` is the
+    gazetteer under its natural key, which the questions use.  Facts are
+    partitioned by site and month, so ``StarModel`` questions prune directories
+    by site and period.  The materialised intermediate tables are deleted at the
+    end.
     """
-    tr, ty = mission_dims(m, window)
+    before = checkpoints_written()
+    trips = trips_once(m, window)
+    fact = fact_mission(m, window, trips)
+    natural = m.locations().select(F.col("location_id").alias("dst_natural_id"), "city", "country")
+    place = dim_location(m).join(natural, ["city", "country"]).select(
+        F.col("location_id").alias("dst_location_id"), "dst_natural_id")
     tables = {
         "dimension_site": (m.sites(), ()),
         "dimension_location": (m.locations(), ()),
+        "dimension_place": (dim_location(m), ()),
         "dimension_date": (dim_date(m), ()),
         "dimension_person": (m.persons(), ()),
-        "dimension_transport": (tr, ()),
-        "dimension_mission_type": (ty, ()),
+        "dimension_transport": (build_dimension(trips.select("transport"), "transport_id", bounded=True), ()),
+        "dimension_mission_type": (build_dimension(trips.select("mission_type"), "type_id", bounded=True), ()),
         "it_impacts": (m.impacts(), ()),
-        "fact_mission": (fact_mission(m, window, (tr, ty)).withColumn("year_month", year_month("mission_date")),
-                         ("site_id", "year_month")),
+        "fact_mission": (fact.join(m.small(place), "dst_location_id", "left")
+                         .withColumn("year_month", year_month("mission_date")), ("site_id", "year_month")),
         "fact_equipment": (fact_equipment(m, window).withColumn("year_month", year_month("purchase_date")),
                            ("site_id", "year_month")),
     }
     for name, (df, parts) in tables.items():
         save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
+    release_checkpoints(m.spark, before)
     return list(tables)
 
 
@@ -116,8 +145,7 @@ def raw_star_tables(raw, window: Window = None) -> dict[str, DataFrame]:
     mission days pooled), transport, mission type, location (departure and
     destination pairs pooled).  Facts: person LEFT JOIN missions with
     dimension keys, person LEFT JOIN purchases with natural type/model values;
-    both carry a per-site sequential fact id.  Dimension joins are broadcast
-    behind a row bound (they are distinct value sets).
+    both carry a per-site sequential fact id.
     """
     mis = raw.missions(window)
     eq = raw.equipment(window)
@@ -136,7 +164,9 @@ def raw_star_tables(raw, window: Window = None) -> dict[str, DataFrame]:
             pool([mis, mis], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"]),
             "location_id"),
     }
-    b = {k: bounded_broadcast(v) for k, v in dims.items() if k not in ("dimension_person",)}
+    # Materialised, the planner knows each dimension's bytes and broadcasts it below the threshold.
+    dims = {k: v if k == "dimension_person" else reliable_checkpoint(v) for k, v in dims.items()}
+    b = dims
     loc = b["dimension_location"]
     d = loc.select(F.col("location_id").alias("dep_location_id"), F.col("city").alias("dep_city"),
                    F.col("country").alias("dep_country"))
@@ -160,8 +190,11 @@ def raw_star_tables(raw, window: Window = None) -> dict[str, DataFrame]:
 
 
 def write_raw_star_schema(raw, out_dir: str, window: Window = None, overwrite: bool = True) -> list[str]:
+    before = checkpoints_written()
     tables = raw_star_tables(raw, window)
     for name, df in tables.items():
         parts = ("site_id",) if name.startswith("fact_") else ()
         save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
+    raw.forget()  # its purchases were materialised among the tables now released
+    release_checkpoints(raw.spark, before)
     return list(tables)

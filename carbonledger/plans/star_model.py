@@ -21,7 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.broadcast import bounded_broadcast
 from .model import DriverModel, Window
 
 
@@ -37,6 +36,10 @@ class StarModel(DriverModel):
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}"
 
+    def small(self, df: DataFrame) -> DataFrame:
+        """No hint: a written dimension may have any size; the planner knows its bytes."""
+        return df
+
     def sites(self) -> DataFrame:
         return self.table("dimension_site")
 
@@ -56,10 +59,10 @@ class StarModel(DriverModel):
                                                                    F.lit(window[1]).cast("date")))
         return f
 
-    def missions(self, window: Window = None, people: DataFrame | None = None) -> DataFrame:
+    def missions(self, window: Window = None, people: DataFrame | None = None, places: bool = True) -> DataFrame:
         f = self._fact("fact_mission", "mission_key", "mission_date", window)
-        tr = bounded_broadcast(self.table("dimension_transport"))
-        ty = bounded_broadcast(self.table("dimension_mission_type"))
+        tr = self.table("dimension_transport")
+        ty = self.table("dimension_mission_type")
         j = f.join(tr, "transport_id").join(ty, "type_id")
         extra: list[str] = []
         if people is not None:
@@ -67,11 +70,14 @@ class StarModel(DriverModel):
             j = j.drop("dep_location_id").join(people, keys)
             extra = [c for c in people.columns if c != "person_id"]
         cols = ["mission_key", "leg", "person_id", F.col("mission_date").cast("timestamp_ntz").alias("mission_ts"),
-                "mission_date", "mission_type", "transport", "is_return", "dst_location_id"]
+                "mission_date", "mission_type", "transport", "is_return", F.col("dst_natural_id").alias("dst_location_id")]
         return j.select(*cols, *extra)
 
-    def equipment(self, window: Window = None, people: DataFrame | None = None) -> DataFrame:
+    def equipment(self, window: Window = None, people: DataFrame | None = None, buyers: bool = True) -> DataFrame:
         f = self._fact("fact_equipment", "equipment_key", "purchase_date", window)
+        if not buyers:
+            return f.select("equipment_key", "leg", F.col("purchase_date").cast("timestamp_ntz").alias("purchase_ts"),
+                            "purchase_date", "equip_type", "equip_model")
         p = (people if people is not None else self.persons()).select("person_id", "site_id", "job_function")
         return (f.join(p, ["person_id", "site_id"])
                 .select("equipment_key", "leg", "person_id", "site_id", "job_function",

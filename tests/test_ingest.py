@@ -1,74 +1,60 @@
-"""Raw daily drops: golden counts measured on the sample (FIXTURES.md 1.3)."""
+"""Raw daily drops (written by the fixture): counts per site, blanks, malformed lines, headers."""
 
-import os
+import collections
 
 import pytest
 from pyspark.sql import functions as F
 
-from carbonledger.fixed import MISSION_TYPE_DE, MISSION_TYPE_FR
 from carbonledger.functions.emissions import canonical_transport
-from carbonledger.functions.text import canonical_label
-from carbonledger.operators.harmonise import translate_expr
-from carbonledger.sources.raw import read_drops
-
-from .conftest import RAW_ROOT
-
-pytestmark = pytest.mark.skipif(not os.path.isdir(RAW_ROOT), reason="raw sample not present")
-
-
-@pytest.fixture(scope="module")
-def equipment(spark):
-    return read_drops(spark, RAW_ROOT, "equipment", keep_raw=True).cache()
-
-
-@pytest.fixture(scope="module")
-def missions(spark):
-    return read_drops(spark, RAW_ROOT, "mission").cache()
-
-
-def test_equipment_counts(equipment):
-    per_site = {r.site: r["count"] for r in equipment.groupBy("site").count().collect()}
-    assert per_site == {"paris": 272, "shanghai": 269, "berlin": 677, "london": 264, "losangeles": 366, "newyork": 291}
-    assert equipment.filter(F.col("_corrupt_record").isNotNull()).count() == 0
-    assert equipment.filter(F.col("TYPE").isNull()).count() == 414
-    assert equipment.filter(F.col("MODELE").isNull()).count() == 183
-    assert equipment.filter(F.col("TYPE").isNull() & F.col("MODELE").isNull()).count() == 0
-    models = equipment.filter(F.col("MODELE").isNotNull())
-    assert models.select("MODELE").distinct().count() == 64
-    assert models.select(canonical_label("MODELE")).distinct().count() == 63
-    assert equipment.select("ID_PERSONNEL").distinct().count() == 2016
-
-
-def test_mission_counts(missions):
-    assert missions.count() == 245
-    t = {r.t: r["count"] for r in missions.groupBy(canonical_transport("TRANSPORT").alias("t")).count().collect()}
-    assert t == {"plane": 237, "public_transport": 6, "train": 2}
-    ar = {r.ALLER_RETOUR: r["count"] for r in missions.groupBy("ALLER_RETOUR").count().collect()}
-    assert ar == {"oui": 216, "non": 29}
-    mt = translate_expr(translate_expr("TYPE_MISSION", MISSION_TYPE_FR), MISSION_TYPE_DE)
-    types = {r.t: r["count"] for r in missions.groupBy(mt.alias("t")).count().collect()}
-    assert types == {"Business Meeting": 53, "Conference": 43, "Development": 54, "Team Meeting": 53,
-                     "Vocational Training": 42}
-    places = (missions.select(F.col("VILLE_DEPART").alias("c"), F.col("PAYS_DEPART").alias("k"))
-              .unionByName(missions.select(F.col("VILLE_DESTINATION").alias("c"), F.col("PAYS_DESTINATION").alias("k"))))
-    assert places.distinct().count() == 33
-    assert missions.filter(F.col("VILLE_DEPART") == F.col("VILLE_DESTINATION")).count() == 6
-
-
-def test_laptops_bought_may_oct(equipment):
-    n = equipment.filter((F.col("TYPE") == "PC portable")
-                         & F.to_date("DATE_ACHAT").between("2024-05-01", "2024-10-31")).count()
-    assert n == 506
-
-
-def test_profile_on_raw_cells(spark):
-    from carbonledger.operators.quality import profile
-    from carbonledger.sources import schemas
-    from carbonledger.sources.raw import read_delimited
-    from carbonledger.sources.raw import drops_glob
-    raw = read_delimited(spark, drops_glob(RAW_ROOT, "equipment"), schemas.EQUIPMENT)
-    p = {(r.column_name, r.kind): r for r in profile(raw.drop(schemas.CORRUPT)).collect()}
-    assert p[("TYPE", "empty")].n_affected == 414
-    assert p[("MODELE", "empty")].n_affected == 183
-    assert p[("TYPE", "null")].n_affected == 0 and p[("DATE_ACHAT", "null")].n_affected == 0
-    assert p[("TYPE", "empty")].n_rows == 2139
+from carbonledger.operators.quality import has_atypicals, profile
+from carbonledger.sources import schemas
+from carbonledger.sources.raw import drops_glob, read_delimited, read_drops
+
+from .conftest import write_drops
+
+
+def test_equipment_counts(spark, drops):
+    root, _, items = drops
+    e = read_drops(spark, root, "equipment", keep_raw=True)
+    per_site = {r.site: r["count"] for r in e.groupBy("site").count().collect()}
+    assert per_site == dict(collections.Counter(x["site"] for x in items)) and len(per_site) == 7
+    rows = {r.ID_MATERIELINFO: r for r in e.collect()}
+    for x in items:  # blanks become null, other cells are trimmed, the raw cell stays
+        r = rows[x["ID_MATERIELINFO"]]
+        assert (r.TYPE, r.MODELE) == (x["TYPE"].strip() or None, x["MODELE"].strip() or None)
+        assert r.MODELE_raw == x["MODELE"] and str(r.DATE_ACHAT) == x["DATE_ACHAT"] and r._corrupt_record is None
+
+
+def test_mission_counts(spark, drops):
+    root, trips, _ = drops
+    m = read_drops(spark, root, "mission")
+    assert m.count() == len(trips)
+    t = {r.t: r["count"] for r in m.groupBy(canonical_transport("TRANSPORT").alias("t")).count().collect()}
+    names = {"Avion": "plane", "Train": "train", "Taxi": "taxi", "Transports en commun": "public_transport"}
+    assert t == dict(collections.Counter(names.get(x["TRANSPORT"], "other") for x in trips))
+    assert {str(r.drop_date) for r in m.select("drop_date").distinct().collect()} == {
+        "2024-05-03", "2024-07-04", "2024-09-05"}
+
+
+def test_profile_on_raw_cells(spark, drops):
+    root, _, items = drops
+    raw = read_delimited(spark, drops_glob(root, "equipment"), schemas.EQUIPMENT).drop(schemas.CORRUPT)
+    p = {(r.column_name, r.kind): r for r in profile(raw).collect()}
+    assert p[("TYPE", "empty")].n_affected == sum(not x["TYPE"].strip() for x in items) > 0
+    assert p[("TYPE", "null")].n_affected == 0 and p[("TYPE", "empty")].n_rows == len(items)
+    assert {r.kind: r.has_atypicals for r in has_atypicals(raw).collect()} == {"null": False, "nan": False,
+                                                                              "empty": True}
+
+
+def test_malformed_line_and_reordered_header(spark, tmp_path):
+    write_drops(str(tmp_path))
+    folder = tmp_path / "DROP_OSLO" / "DROP_OSLO_INFORMATIQUE"
+    with open(folder / "MATERIEL_INFORMATIQUE_20240503.txt", "a", encoding="utf-8") as f:
+        f.write("M_BAD;P;N;P;not a date;Ecran;x\n")
+    bad = read_drops(spark, str(tmp_path), "equipment").filter(F.col("_corrupt_record").isNotNull()).collect()
+    assert [r._corrupt_record for r in bad] == ["M_BAD;P;N;P;not a date;Ecran;x"]
+    (folder / "MATERIEL_INFORMATIQUE_20240601.txt").write_text(
+        "ID_PERSONNEL;ID_MATERIELINFO;NOM_PERSONNEL;PRENOM_PERSONNEL;DATE_ACHAT;TYPE;MODELE\n"
+        "P;M;N;P;2024-06-01 00:00:00;Ecran;x\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header"):
+        read_drops(spark, str(tmp_path), "equipment").collect()
