@@ -12,7 +12,7 @@ Learning, all over the training documents, on the executors:
 
 1. token counts of the base model: map-side sums, one shuffle by token hash;
 2. context statistics: each task counts its bytes' nibbles in hashed groups of 16
-   cells; tasks emit only their non-zero cells, which are added per table slice;
+   cells; tasks emit only their non-zero cells, which are added per table slice in a tree;
 3. weights and refinement map: the training documents of one fold are predicted
    by tables without that fold's counts, updating the weights online in small
    batches; tasks' weights are averaged, their maps' counts added;
@@ -40,7 +40,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -352,44 +352,69 @@ def token_counts(train: DataFrame) -> DataFrame:
 
 
 def context_cells(train: DataFrame, code: Code, part: str) -> DataFrame:
-    """(part, k, slice, cells, counts): each task's non-zero counts of predictor k, by slice of its table."""
+    """(part, k, slice, src, cells, counts): each task's non-zero counts of predictor k, by slice of its table;
+    ``src`` is the task's partition."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tables = [np.zeros(1 << b, np.int32) for b in BITS]
         for pdf in batches:
             for run in hashing.runs(list(pdf["text"])):
                 count_cells(code, _lower(run), tables)
+        src = TaskContext.get().partitionId()
         for k, table in enumerate(tables):
             rows = []
             for at in range(0, len(table), SLICE):
                 cells = np.flatnonzero(table[at:at + SLICE])
                 if len(cells):
-                    rows.append((part, k, at // SLICE, cells.astype(np.uint16).tobytes(),
+                    rows.append((part, k, at // SLICE, src, cells.astype(np.uint16).tobytes(),
                                  table[at + cells].astype(np.uint32).tobytes()))
                 if len(rows) == 32 or at + SLICE >= len(table):
-                    yield pd.DataFrame(rows, columns=["part", "k", "slice", "cells", "counts"])
+                    yield pd.DataFrame(rows, columns=["part", "k", "slice", "src", "cells", "counts"])
                     rows = []
 
-    return train.select("text").mapInPandas(
-        count, "part string, k int, slice int, cells binary, counts binary")
+    return train.select("text").mapInPandas(count, CELLS)
+
+
+CELLS = "part string, k int, slice int, src long, cells binary, counts binary"
+FAN_IN = 64  # tasks whose counts of a slice meet in one group
+
+
+def _added(pdf: pd.DataFrame) -> np.ndarray:
+    """Sum of the counts of one slice."""
+    total = np.zeros(SLICE, np.int64)
+    for cells, n in zip(pdf["cells"], pdf["counts"]):
+        cells = np.frombuffer(cells, np.uint16)
+        total[cells] += np.frombuffer(n, np.uint32 if len(n) == 4 * len(cells) else np.int64)
+    return total
 
 
 def context_tables(rest: DataFrame, fit: DataFrame, code: Code) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """(tables of ``rest`` alone, tables of both): int8 cells, of fixed size whatever the input."""
-    found = context_cells(rest, code, "rest").unionAll(context_cells(fit, code, "fit"))
+    """(tables of ``rest`` alone, tables of both): int8 cells, of fixed size whatever the input.
 
+    The counts are added in a tree: at most FAN_IN rows (of at most one slice each) meet in a group, whatever
+    the number of tasks.
+    """
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(min(SLICE, 1 << BITS[int(pdf["k"].iloc[0])]), np.int64)
-        out = []
-        for part in ("rest", "fit"):
-            for cells, n in zip(*[pdf.loc[pdf["part"] == part, c] for c in ("cells", "counts")]):
-                total[np.frombuffer(cells, np.uint16)] += np.frombuffer(n, np.uint32)
-            out.append(stretched(total).tobytes())
-        return pd.DataFrame({"k": pdf["k"].iloc[:1], "slice": pdf["slice"].iloc[:1], "rest": out[:1], "both": out[1:]})
-
-    made = found.groupBy("k", "slice").applyInPandas(add, "k int, slice int, rest binary, both binary")
+        total = _added(pdf)
+        cells = np.flatnonzero(total)
+        first = pdf.iloc[:1][["part", "k", "slice", "src"]]
+        return first.assign(src=first["src"] // FAN_IN, cells=[cells.astype(np.uint16).tobytes()],
+                            counts=[total[cells].tobytes()])
+
+    def finish(pdf: pd.DataFrame) -> pd.DataFrame:
+        only = _added(pdf[pdf["part"] == "rest"])
+        both = only + _added(pdf[pdf["part"] == "fit"])
+        return pd.DataFrame({"k": pdf["k"].iloc[:1], "slice": pdf["slice"].iloc[:1],
+                             "rest": [stretched(only).tobytes()], "both": [stretched(both).tobytes()]})
+
+    found = context_cells(rest, code, "rest").unionAll(context_cells(fit, code, "fit"))
+    tasks = max(rest.rdd.getNumPartitions(), fit.rdd.getNumPartitions())
+    while tasks > FAN_IN:
+        found = found.groupBy("part", "k", "slice", F.floor(F.col("src") / FAN_IN)).applyInPandas(add, CELLS)
+        tasks = -(-tasks // FAN_IN)
+    made = found.groupBy("k", "slice").applyInPandas(finish, "k int, slice int, rest binary, both binary").toArrow()
     rest_tables, both_tables = ([np.zeros(1 << b, np.int8) for b in BITS] for _ in range(2))
-    for r in made.toLocalIterator():  # a row per slice of the fixed tables
+    for r in made.to_pylist():  # a row per slice of the fixed tables
         at = r["slice"] * SLICE
         for tables, cells in ((rest_tables, r["rest"]), (both_tables, r["both"])):
             cells = np.frombuffer(cells, np.int8)

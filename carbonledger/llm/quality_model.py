@@ -100,22 +100,25 @@ def train(docs: DataFrame, labels: DataFrame, fold, bits: int = BITS, max_rows:
             yield pd.DataFrame({"k": pdf["k"], "label": pdf["label"], "cells": [a.astype(np.int32) for a, _ in both],
                                 "vals": [b.astype(np.float32) for _, b in both]})
 
+    # One text per sampled id (the smallest, should an id repeat), so the bound holds for rows too.
     sample = (texts.join(F.broadcast(cut(picked)), F.col("doc_id") == F.col("l_id"))
-              .select(F.xxhash64("doc_id", "text").alias("k"), "label", "text"))
+              .groupBy("l_id", "label").agg(F.min("text").alias("text"))
+              .select(F.xxhash64("l_id").alias("k"), "label", "text"))
     vecs = cut(sample.mapInPandas(vectors, "k long, label double, cells array<int>, vals array<float>"))
+    # Every epoch sees the rows in the same order; Spark sorts them, the task holds one batch at a time.
+    passes = (vecs.withColumn("epoch", F.explode(F.array(*[F.lit(e) for e in range(epochs)]))).coalesce(1)
+              .sortWithinPartitions("epoch", "k"))
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [r for pdf in batches for r in zip(pdf["k"], pdf["label"], pdf["cells"], pdf["vals"])]
-        rows.sort(key=lambda r: r[0])
-        model = FTRL(bits)
-        for _ in range(epochs):
-            for _, y, at, v in rows:
+        model, seen = FTRL(bits), 0
+        for pdf in batches:
+            for y, at, v in zip(pdf["label"], pdf["cells"], pdf["vals"]):
                 model.update(at, v.astype(np.float64), y)
-        w = model.weights()
-        yield pd.DataFrame({"w": [w.astype(np.float32)]})
+                seen += 1
+        if seen:
+            yield pd.DataFrame({"w": [model.weights().astype(np.float32)]})
 
-    # The sample is bounded by max_rows, so one task may hold it.
-    got = vecs.coalesce(1).mapInPandas(fit, "w array<float>").collect()
+    got = passes.select("label", "cells", "vals").mapInPandas(fit, "w array<float>").collect()
     return np.array(got[0][0], np.float32) if got else np.zeros((1 << bits) + 1, np.float32)
 
 
