@@ -145,3 +145,11 @@ def score(docs: DataFrame, labels: DataFrame, fold, threshold: float = THRESHOLD
     w = docs.sparkSession.sparkContext.broadcast(train(docs, labels, fold, bits, max_rows))
     scored = docs.withColumn("score", score_udf(w, bits)("text"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def accept(docs: DataFrame, labels: DataFrame, fold, threshold: float = THRESHOLD, bits: int = BITS,
+           max_rows: int = MAX_ROWS) -> DataFrame:
+    """The documents that score ``threshold`` or more, with their columns as they are."""
+    w = docs.sparkSession.sparkContext.broadcast(train(docs, labels, fold, bits, max_rows))
+    return (docs.withColumn("__q_score", score_udf(w, bits)("text")).filter(F.col("__q_score") >= threshold)
+            .select(*docs.columns))

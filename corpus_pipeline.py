@@ -16,8 +16,7 @@ from carbonledger.llm.common import cut, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from all labelled rows it is given."""
-    scored = quality_model.score(docs.select(*docs.columns), table(spark, sf_dir, "labels"), F.lit(True))
-    return scored.filter("predicted = 1").select(*docs.columns)
+    return quality_model.accept(docs, table(spark, sf_dir, "labels"), F.lit(True))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -187,6 +187,34 @@ def test_pipeline_catches_planted_copies(spark):
     assert set(range(30)) <= left and 30 not in left
 
 
+CLASH = ["score", "predicted", "label", "fp", "t1", "n", "size", "bucket", "target", "copies", "lines", "gone", "i",
+         "component", "node", "k", "ids", "n_lines", "kept_text", "cell", "row"]
+
+
+def test_pipeline_stages_with_odd_rows(spark, tmp_path):
+    """Nulls in every column, repeated rows, empty and long texts, names that clash with working columns."""
+    long = prose(77, 30_000)
+    rows = [(None, None, None, None, None), (1, "", "en", "a", 0), (1, "", "en", "a", 0), (2, prose(1, 80), "en", None, 1),
+            (None, prose(2, 80), None, "a", None), (3, prose(1, 80), "en", "a", 1), (4, long, "fr", "b", 9),
+            (5, long, "fr", "b", 9), (6, prose(3, 80), "en", "c", 2), (6, prose(4, 80), "en", "c", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({c: F.lit(f"own {c}") for c in CLASH})
+    for which, df in (("odd", docs), ("empty", docs.limit(0))):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, df, SF)
+            out.write.parquet(str(tmp_path / which / name))
+            out = spark.read.parquet(str(tmp_path / which / name))
+            if name != "byte_bpe":
+                assert out.columns == docs.columns
+                assert all(r[c] == f"own {c}" for r in out.collect() for c in CLASH), name
+            n = {"quality_classifier": None, "line_dedup": 8, "simhash_near_dedup": 6, "source_mix": None,
+                 "byte_bpe": 10}[name]
+            if which == "empty":
+                assert out.count() == 0
+            elif n is not None:
+                assert out.count() == n, name
+
+
 def test_folds_are_the_contract(spark):
     rows = queries.op4_quality_classifier(spark, SF).select("doc_id", "held_out").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
