@@ -83,14 +83,17 @@ def reliable_checkpoint(df):
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_checkpoints(spark: SparkSession, since: int = 0) -> None:
+def release_checkpoints(spark: SparkSession, since: int = 0, keep=None) -> None:
     """Delete the tables written by ``reliable_checkpoint`` (those after the first ``since``) once their readers
-    are done."""
+    are done, except those that the frame ``keep`` still reads."""
+    used = keep.inputFiles() if keep is not None else []
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    kept = [p for p in _WRITTEN[since:] if any(p.rpartition("/")[2] in f for f in used)]
     for path in _WRITTEN[since:]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
-    del _WRITTEN[since:]
+        if path not in kept:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+    _WRITTEN[since:] = kept
 
 
 def checkpoints_written() -> int:

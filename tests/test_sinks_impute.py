@@ -71,6 +71,17 @@ def test_single_file_export_checks_its_size(spark, tmp_path):
         save_csv(spark.range(10), str(tmp_path / "big"), single_file=True, max_single_mb=0)
 
 
+def test_release_keeps_what_a_frame_still_reads(spark):
+    from carbonledger.session import checkpoints_written, release_checkpoints, reliable_checkpoint
+    before = checkpoints_written()
+    a, b = reliable_checkpoint(spark.range(5)), reliable_checkpoint(spark.range(7))
+    gone = a.inputFiles()[0].rpartition("/")[0]
+    release_checkpoints(spark, before, keep=b)
+    assert b.count() == 7 and not path_exists(spark, gone) and checkpoints_written() == before + 1
+    release_checkpoints(spark, before)
+    assert checkpoints_written() == before
+
+
 def test_column_helpers(spark):
     df = spark.createDataFrame([(1, 2, 3, 4)], "ID_SITE int, ID_PERSONNEL int, key_x int, v int")
     assert drop_prefixed(df, ("ID_", "key_"), keep=["ID_PERSONNEL"]).columns == ["ID_PERSONNEL", "v"]
