@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import reliable_checkpoint
 
 #: A word is a maximal run of anything but ASCII white space (space, \t \n \v \f \r).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,16 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared checkpoint folder and return the reread table.
-
-    Cuts the lineage like ``checkpoint()`` but computes the input once and keeps
-    it columnar; the files outlive any executor.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Cut the lineage: write a frame once as Parquet in the shared checkpoint folder and reread it.
+cut = reliable_checkpoint
 
 
 def words_count(text: Column) -> Column:

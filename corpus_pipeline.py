@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from carbonledger.llm import bpe, line_dedup, mixing, quality_model, simhash
 from carbonledger.llm.common import cut, table
+from carbonledger.session import checkpoints_written, release_checkpoints
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +50,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole documents table; only the last stage's table is left in the checkpoint folder."""
+    before, docs = checkpoints_written(), table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir))
+        release_checkpoints(spark, before, keep=docs)
     return docs
