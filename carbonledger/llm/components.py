@@ -4,7 +4,10 @@ Alternating large-star / small-star rounds (min-label contraction with pointer
 jumping): after every round each node points to a smaller member of its
 component and the rounds end when every component is one star around its
 smallest node.  Each round is an aggregation (partial map-side, so a hub costs
-one row per task) and an inner equi-join that AQE may split on a hot hub.
+one row per task) and an inner equi-join.  The aggregated side is materialised
+first: joined straight from its aggregation it would pin the join to one
+partition per hub, while from a table it is broadcast if small, and else both
+sides are exchanged and AQE splits a hot hub.
 """
 
 from __future__ import annotations
@@ -20,11 +23,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction step on edges (u, v): connect neighbours to the smallest node around ``u``."""
     if large:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        m = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        m = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         j = both.join(m, "u").filter(F.col("v") > F.col("u"))
         return j.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    m = down.groupBy("u").agg(F.min("v").alias("m"))
+    m = cut(down.groupBy("u").agg(F.min("v").alias("m")))
     j = down.join(m, "u")
     return (j.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(m.select("u", F.col("m").alias("v")))
             .filter("u <> v").distinct())

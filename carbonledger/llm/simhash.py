@@ -238,7 +238,8 @@ def fingerprint_groups(docs: DataFrame, n: int = SHINGLE, radius: int = RADIUS,
     comp = cut(connected_components(links(per.select("fp"), radius), "a", "b"))
     linked = per.join(comp.withColumnRenamed("node", "fp"), "fp", "left")
     linked = linked.withColumn("component", F.coalesce("component", "fp"))
-    least = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    # Materialised, so that a component with a large share of all rows can be split in the join.
+    least = cut(linked.groupBy("component").agg(F.min("least").alias("component_id")))
     return own, linked.join(least, "component").select("fp", "component", "component_id")
 
 
