@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_VOCABULARY_BYTES = 64 << 20
-PIECES_KEPT = 400_000  # pieces whose ids a worker keeps
+PIECES_KEPT = 250_000  # pieces whose ids a worker keeps
 RUN_CHARS = 1 << 20  # characters worked through at a time
 
 
