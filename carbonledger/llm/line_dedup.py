@@ -17,8 +17,9 @@ smallest window of lines with at least ``MIN_WORDS`` words and ends another.
 
 Each key is reduced by a partial aggregation to its first occurrence, and every
 window meets one row of its key; there are no pairs within a group, so a line
-that a third of the documents share costs one row per task (the join of its
-windows may be split by AQE).  Texts are shuffled once, for the deletion.
+that a third of the documents share costs one row per task.  The reduced keys
+are materialised before they are joined back: they are broadcast if small, else
+AQE splits a hot key's windows.  Texts are shuffled once, for the deletion.
 
 Defined cases: null text stays null and has no lines; rows that repeat another
 row's doc_id and text are one document here and get the same result; a null
@@ -76,13 +77,13 @@ def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "tex
                   .distinct())
 
     place = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "t1", "t2", "at")
-    again = (windows.groupBy("fp").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-             .filter(F.col("lo") != F.col("hi")).select("fp"))
-    found = windows.join(again, "fp")
+    again = cut(windows.groupBy("fp").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+                .filter(F.col("lo") != F.col("hi")).select("fp"))
+    found = cut(windows.join(again, "fp"))
 
     start = F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "t1", "t2", "a")
-    first = (found.groupBy("k1", "k2").agg(F.min(start).alias("first"), F.max(start).alias("last"))
-             .filter(F.col("first") != F.col("last")).select("k1", "k2", "first"))
+    first = cut(found.groupBy("k1", "k2").agg(F.min(start).alias("first"), F.max(start).alias("last"))
+                .filter(F.col("first") != F.col("last")).select("k1", "k2", "first"))
     later = found.join(first, ["k1", "k2"]).filter(start != F.col("first"))
     return (later.select(*_KEY, F.explode(F.sequence("a", "b")).alias("i"))
             .groupBy(*_KEY).agg(F.collect_set("i").alias("gone")))
