@@ -13,9 +13,10 @@ Learning, all over the training documents, on the executors:
 1. token counts of the base model: map-side sums, one shuffle by token hash;
 2. context statistics: each task counts its bytes' nibbles in hashed groups of 16
    cells; tasks emit only their non-zero cells, which are added per table slice in a tree;
-3. weights and refinement map: the training documents of one fold are predicted
-   by tables without that fold's counts, updating the weights online in small
-   batches; tasks' weights are averaged, their maps' counts added;
+3. weights and refinement map: the training documents fall into two folds, and
+   each fold is predicted by the tables of the other one's counts, so that all of
+   them update weights (online, in small batches) and map and none is predicted by
+   its own counts; tasks' weights are averaged, their maps' counts added;
 4. the tables for scoring hold the counts of all training documents.
 
 The tables have a fixed size (hashed contexts, ``BITS`` cells each, one byte a
@@ -37,6 +38,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -286,10 +288,15 @@ class Fit:
     def learn(self, texts: list[bytes]) -> None:
         for buffer, _, sizes in _runs(texts):
             byte, hs = contexts(buffer, sizes)
+            cells: list[np.ndarray] = []
             for at in range(0, len(byte), FIT_CHUNK):
-                self._step(byte[at:at + FIT_CHUNK], [h[at:at + FIT_CHUNK] for h in hs])
+                self._step(byte[at:at + FIT_CHUNK], [h[at:at + FIT_CHUNK] for h in hs], cells)
+            n = np.bincount(np.concatenate(cells), minlength=2 * len(self.map_n)).reshape(-1, 2)
+            self.map_n += n.sum(axis=1)
+            self.map_one += n[:, 1]
 
-    def _step(self, b: np.ndarray, hs: list[np.ndarray]) -> None:
+    def _step(self, b: np.ndarray, hs: list[np.ndarray], cells: list[np.ndarray]) -> None:
+        """Update the weights; the map cells met (twice the cell, plus the bit) are appended to ``cells``."""
         code = self.code
         for t in range(LONGEST):
             more = code.length.take(b) > t
@@ -309,8 +316,7 @@ class Fit:
             x = sum(s * self.weights[t, k].take(gate) for k, s in enumerate(st))
             np.clip(x, -12, 12, out=x)
             cell = code.sofar[t].take(b) * BUCKETS + _bucket(x)
-            self.map_n += np.bincount(cell, minlength=len(self.map_n))
-            self.map_one += np.bincount(cell, y, len(self.map_n))
+            cells.append(2 * cell + y)
             error = y - 1 / (1 + np.exp(-x))
             self.seen[t] += n
             rate = RATE / 256 * np.minimum(1, n / 64) / np.maximum(n, 1) / np.sqrt(1 + self.seen[t] / 2e5)
@@ -388,8 +394,8 @@ def _added(pdf: pd.DataFrame) -> np.ndarray:
     return total
 
 
-def context_tables(rest: DataFrame, fit: DataFrame, code: Code) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """(tables of ``rest`` alone, tables of both): int8 cells, of fixed size whatever the input.
+def context_tables(rest: DataFrame, fit: DataFrame, code: Code) -> tuple[list[np.ndarray], ...]:
+    """(tables of ``rest`` alone, of ``fit`` alone, of both): int8 cells, of fixed size whatever the input.
 
     The counts are added in a tree: at most FAN_IN rows (of at most one slice each) meet in a group, whatever
     the number of tasks.
@@ -403,38 +409,44 @@ def context_tables(rest: DataFrame, fit: DataFrame, code: Code) -> tuple[list[np
 
     def finish(pdf: pd.DataFrame) -> pd.DataFrame:
         only = _added(pdf[pdf["part"] == "rest"])
-        both = only + _added(pdf[pdf["part"] == "fit"])
+        other = _added(pdf[pdf["part"] == "fit"])
         return pd.DataFrame({"k": pdf["k"].iloc[:1], "slice": pdf["slice"].iloc[:1],
-                             "rest": [stretched(only).tobytes()], "both": [stretched(both).tobytes()]})
+                             "rest": [stretched(only).tobytes()], "fit": [stretched(other).tobytes()],
+                             "both": [stretched(only + other).tobytes()]})
 
     found = context_cells(rest, code, "rest").unionAll(context_cells(fit, code, "fit"))
     tasks = max(rest.rdd.getNumPartitions(), fit.rdd.getNumPartitions())
     while tasks > FAN_IN:
         found = found.groupBy("part", "k", "slice", F.floor(F.col("src") / FAN_IN)).applyInPandas(add, CELLS)
         tasks = -(-tasks // FAN_IN)
-    made = found.groupBy("k", "slice").applyInPandas(finish, "k int, slice int, rest binary, both binary").toArrow()
-    rest_tables, both_tables = ([np.zeros(1 << b, np.int8) for b in BITS] for _ in range(2))
+    made = found.groupBy("k", "slice").applyInPandas(
+        finish, "k int, slice int, rest binary, fit binary, both binary").toArrow()
+    out = {name: [np.zeros(1 << b, np.int8) for b in BITS] for name in ("rest", "fit", "both")}
     for r in made.to_pylist():  # a row per slice of the fixed tables
         at = r["slice"] * SLICE
-        for tables, cells in ((rest_tables, r["rest"]), (both_tables, r["both"])):
-            cells = np.frombuffer(cells, np.int8)
+        for name, tables in out.items():
+            cells = np.frombuffer(r[name], np.int8)
             tables[r["k"]][at:at + len(cells)] = cells
-    return rest_tables, both_tables
+    return out["rest"], out["fit"], out["both"]
 
 
-def fit_weights(fit: DataFrame, code: Code, tables: Broadcast) -> tuple[np.ndarray, np.ndarray]:
-    """(weights averaged over the tasks by what each has seen, refinement map of the tasks' added counts)."""
+def fit_weights(folds: list[tuple[DataFrame, Broadcast]], code: Code) -> tuple[np.ndarray, np.ndarray]:
+    """(weights averaged over the tasks by what each has seen, refinement map of the tasks' added counts); ``folds``:
+    documents with the tables of the other documents' counts."""
 
-    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Fit(code, tables.value)
-        for pdf in batches:
-            for run in hashing.runs(list(pdf["text"])):
-                own.learn(_lower(run))
-        seen = np.broadcast_to(own.seen[:, None, :], own.weights.shape).ravel()
-        yield pd.DataFrame({"kind": 0, "cell": np.arange(seen.size), "n": seen, "v": own.weights.ravel() * seen})
-        yield pd.DataFrame({"kind": 1, "cell": np.arange(own.map_n.size), "n": own.map_n, "v": own.map_one})
+    def learnt(docs: DataFrame, tables: Broadcast) -> DataFrame:
+        def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            own = Fit(code, tables.value)
+            for pdf in batches:
+                for run in hashing.runs(list(pdf["text"])):
+                    own.learn(_lower(run))
+            seen = np.broadcast_to(own.seen[:, None, :], own.weights.shape).ravel()
+            yield pd.DataFrame({"kind": 0, "cell": np.arange(seen.size), "n": seen, "v": own.weights.ravel() * seen})
+            yield pd.DataFrame({"kind": 1, "cell": np.arange(own.map_n.size), "n": own.map_n, "v": own.map_one})
+
+        return docs.select("text").mapInPandas(learn, "kind int, cell int, n double, v double").filter("n > 0")
 
-    sums = (fit.select("text").mapInPandas(learn, "kind int, cell int, n double, v double").filter("n > 0")
+    sums = (reduce(DataFrame.unionAll, [learnt(*fold) for fold in folds])
             .groupBy("kind", "cell").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).toArrow())
     kind, cell, n, v = (sums.column(c).to_numpy() for c in ("kind", "cell", "n", "v"))
     weights, of_map = first_weights(), kind == 1
@@ -445,16 +457,18 @@ def fit_weights(fit: DataFrame, code: Code, tables: Broadcast) -> tuple[np.ndarr
 
 
 def train_model(train: DataFrame, in_fit: Column, counts: DataFrame) -> Model:
-    """Model from the training documents; ``counts``: their token_counts; ``in_fit``: the weights' fold."""
+    """Model from the training documents; ``counts``: their token_counts; ``in_fit`` divides them into two folds."""
     sc = train.sparkSession.sparkContext
     frequency = np.zeros(256)
     for r in counts.filter("kind = 1").collect():  # 256 byte values
         frequency[r["key"]] = r["n"]
     code = Code(frequency)
-    rest, both = context_tables(train.filter(~in_fit), train.filter(in_fit), code)
-    shared = sc.broadcast(rest)
-    weights, refine = fit_weights(train.filter(in_fit), code, shared)
-    shared.unpersist()
+    rest, fit = train.filter(~in_fit), train.filter(in_fit)
+    of_rest, of_fit, both = context_tables(rest, fit, code)
+    shared = [sc.broadcast(of_rest), sc.broadcast(of_fit)]
+    weights, refine = fit_weights([(fit, shared[0]), (rest, shared[1])], code)
+    for tables in shared:
+        tables.unpersist()
     return Model(code, both, weights, refine)
 
 

@@ -14,7 +14,7 @@ def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log10 probability of every document by context mixing, and by the unigram base model."""
     doc = F.col("doc_id")
     held_out = F.coalesce(unsigned_crc_mod(doc, 5) == 1, F.lit(False))
-    in_fit = F.coalesce(F.crc32(F.concat(F.lit("f"), doc.cast("string")).cast("binary")) % 16 == 0, F.lit(False))
+    in_fit = F.coalesce(F.crc32(F.concat(F.lit("f"), doc.cast("string")).cast("binary")) % 2 == 0, F.lit(False))
     scored = lm_mixing.score(table(spark, sf_dir, "documents").select("doc_id", "text"), ~held_out, in_fit)
     return scored.withColumn("held_out", held_out)
 

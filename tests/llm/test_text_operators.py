@@ -395,3 +395,17 @@ def test_lm_edges(spark):
     rows = {r.doc_id: r for r in lm_mixing.score(docs.unionAll(docs), F.lit(True), F.lit(True)).collect()}
     assert len(rows) == len(EDGE) and rows[0].score == rows[1].score and rows[5].score == rows[6].score
     assert lm_mixing.score(docs.limit(0), F.lit(True), F.lit(False)).count() == 0
+
+
+def test_lm_all_training_documents_update_the_weights(spark, monkeypatch):
+    """Every byte of every training document updates weights and map, whichever fold it is in."""
+    texts = [prose(k, 200) for k in range(40)]
+    seen = []
+    learnt = lm_mixing.refinement
+    monkeypatch.setattr(lm_mixing, "refinement", lambda n, one: seen.append(n.sum()) or learnt(n, one))
+    docs = docs_of(spark, texts).select("doc_id", "text")
+    train = docs.filter("doc_id < 30")
+    counts = lm_mixing.token_counts(train)
+    model = lm_mixing.train_model(train, F.col("doc_id") % 2 == 0, counts)
+    raw = b"".join(lm_mixing._lower(t + "\0" for t in texts[:30])).replace(b"\0", bytes([lm_mixing.PAD]))
+    assert seen == [sum(int(model.code.length[b]) for b in raw)]
