@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, chat_pairs, clean_rules, cover_tree, line_dedup, lm_mixing, mixing, quality_model, simhash,
-               warc)
+from . import (bpe, chat_pairs, clean_rules, cover_tree, host_reputation, impact_search, line_dedup, lm_mixing,
+               mixing, oracles, quality_model, simhash, turn_repair, warc)
 from .common import table, unsigned_crc_mod
 
 
@@ -78,6 +78,23 @@ def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "payload_digest", "record_type", "refers_to")
 
 
+def op11_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return impact_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url, by rule or by its host's reputation."""
+    judged = host_reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations and their cheapest repair."""
+    given = table(spark, sf_dir, "conversations")
+    return turn_repair.repair_all(given, turn_repair.damage(given))
+
+
 QUERIES = {
     "op1_context_mixing": op1_context_mixing,
     "op2_preference_pairs": op2_preference_pairs,
@@ -89,11 +106,17 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mix": op9_source_mix,
     "op10_warc_archive": op10_warc_archive,
+    "op11_impact_search": op11_impact_search,
+    "op12_host_reputation": op12_host_reputation,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 _WORDS = r"len(regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLE: dict[str, str] = {
+    "op11_impact_search": oracles.IMPACT_SEARCH,
+    "op12_host_reputation": oracles.HOST_REPUTATION,
+    "op13_turn_repair": oracles.TURN_REPAIR,
     # The water level: capped sources are those whose limit per weight is smallest; the level that lies between
     # the last capped and the first free source of that order is the answer.
     "op9_source_mix": f"""
