@@ -381,7 +381,7 @@ def finish_ranked(found: dict) -> tuple[int, Node]:
 def repair(rows: DataFrame, size: int = SEGMENT) -> DataFrame:
     """Per conversation of ``rows`` (conv_id, turn, role, text): gaps, blank, duplicate, truncated, illegal, cost,
     audit, repaired_sha256.  Conversations without rows do not appear."""
-    faulty = cut(with_faults(rows))
+    faulty = with_faults(rows)
     cuts = cut(segments(faulty, size))
     key = ["conv_id", "no_id"]
     long_ones = cut(cuts.groupBy(*key).agg(F.count(F.lit(1)).alias("segments")).filter("segments > 1").select(*key))
