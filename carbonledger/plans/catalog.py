@@ -26,6 +26,7 @@ from ..operators.impute import impute_category, impute_pair
 from ..operators.places import (adjust_distance, gazetteer_match, mission_distance, unlocated_places,
                                  with_route_distance)
 from ..operators.quality import has_atypicals, max_by_condition, profile, unique_values
+from ..session import scoped
 from . import oracle_text as text
 from . import questions as q
 from . import star
@@ -38,7 +39,7 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: fn(DriverModel(spark, sf_dir))
+        QUERIES[name] = scoped(lambda spark, sf_dir: fn(DriverModel(spark, sf_dir)))
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -176,14 +176,19 @@ class DriverModel:
             "dst_country", "km_one_way",
             F.expr(emission_sql("transport", "km_one_way", total, "A")).alias("carbon_kg"))
 
-    def routes(self, window: Window = None) -> DataFrame:
+    def routes(self, window: Window = None, trips: DataFrame | None = None) -> DataFrame:
         """Distinct (departure, destination) location ids actually travelled.
 
         The distinct runs as a partial aggregate inside each task, so at most
         (#locations)^2 rows per task cross the shuffle, however many trips.
+        ``trips`` (person_id, dst_location_id): trips already materialised; their
+        distinct pairs meet the travellers.
         """
         p = self.persons().select("person_id", "home_location_id")
-        m = self.missions(window, people=p)
+        if trips is not None:
+            m = trips.select("person_id", "dst_location_id").distinct().join(p, "person_id")
+        else:
+            m = self.missions(window, people=p)
         return m.select(F.col("home_location_id").alias("dep_id"), F.col("dst_location_id").alias("dst_id")).distinct()
 
     def route_distances(self, window: Window = None) -> DataFrame:
@@ -192,17 +197,21 @@ class DriverModel:
         Names and coordinates are attached after the distinct, so the
         trigonometry runs once per route, not once per trip.
         """
+        r = self.named_routes(self.routes(window))
+        return with_geodesic_km(r, "__dlat", "__dlon", "__alat", "__alon", out="km_one_way") \
+            .drop("__dlat", "__dlon", "__alat", "__alon")
+
+    def named_routes(self, routes: DataFrame) -> DataFrame:
+        """Names and coordinates of both ends of ``routes``; a route with an unknown end is left out."""
         loc = self.small(self.locations())
         d, a = loc.alias("d"), loc.alias("a")
-        r = (self.routes(window)
+        return (routes
              .join(d, F.col("dep_id") == F.col("d.location_id"))
              .join(a, F.col("dst_id") == F.col("a.location_id"))
              .select(F.col("d.city").alias("dep_city"), F.col("d.country").alias("dep_country"),
                      F.col("a.city").alias("dst_city"), F.col("a.country").alias("dst_country"),
                      F.col("d.lat").alias("__dlat"), F.col("d.lon").alias("__dlon"),
                      F.col("a.lat").alias("__alat"), F.col("a.lon").alias("__alon")))
-        return with_geodesic_km(r, "__dlat", "__dlon", "__alat", "__alon", out="km_one_way") \
-            .drop("__dlat", "__dlon", "__alat", "__alon")
 
     # -- equipment ---------------------------------------------------------
     def equipment(self, window: Window = None, people: DataFrame | None = None, buyers: bool = True) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.dates import year_month
 from ..operators.dimensions import build_dimension, pool
 from ..operators.joins import left_join_dimension
 from ..operators.keys import sequential_index
-from ..session import checkpoints_written, release_checkpoints, reliable_checkpoint
+from ..session import reliable_checkpoint, table_scope
 from ..sources.sinks import save_parquet
 from .model import DriverModel, Window
 
@@ -26,9 +26,13 @@ def dim_date(m: DriverModel) -> DataFrame:
     return build_dimension(pool([o, li], [["d"], ["d"]], ["date"]), "date_id", blank_policy="drop", bounded=True)
 
 
-def dim_location(m: DriverModel) -> DataFrame:
-    """Departure and destination places of the trips (distinct routes first, then names)."""
-    r = m.route_distances()
+def dim_location(m: DriverModel, trips: DataFrame | None = None) -> DataFrame:
+    """Departure and destination places of the trips (distinct routes first, then names).
+
+    ``trips``: the materialised trips with their travellers, where a build has
+    them; then no line item is read again.
+    """
+    r = m.named_routes(m.routes(trips=trips))
     places = pool([r, r], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"])
     return build_dimension(places, "location_id", blank_policy="drop", bounded=True)
 
@@ -62,7 +66,7 @@ def fact_mission(m: DriverModel, window: Window = None, trips: DataFrame | None
     tr = build_dimension(mis.select("transport"), "transport_id", bounded=True)
     ty = build_dimension(mis.select("mission_type"), "type_id", bounded=True)
     day = dim_date(m).withColumnRenamed("date", "mission_date")
-    loc, names = dim_location(m), m.locations().select("location_id", "city", "country")
+    loc, names = dim_location(m, mis), m.locations().select("location_id", "city", "country")
     place = names.withColumnRenamed("location_id", "__natural").join(loc, ["city", "country"]).select(
         "__natural", "location_id")
     here = place.select(F.col("__natural").alias("home_location_id"), F.col("location_id").alias("dep_location_id"))
@@ -112,29 +116,29 @@ def write_star_schema(m: DriverModel, out_dir: str, window: Window = None, overw
     by site and period.  The materialised intermediate tables are deleted at the
     end.
     """
-    before = checkpoints_written()
-    trips = trips_once(m, window)
-    fact = fact_mission(m, window, trips)
-    natural = m.locations().select(F.col("location_id").alias("dst_natural_id"), "city", "country")
-    place = dim_location(m).join(natural, ["city", "country"]).select(
-        F.col("location_id").alias("dst_location_id"), "dst_natural_id")
-    tables = {
-        "dimension_site": (m.sites(), ()),
-        "dimension_location": (m.locations(), ()),
-        "dimension_place": (dim_location(m), ()),
-        "dimension_date": (dim_date(m), ()),
-        "dimension_person": (m.persons(), ()),
-        "dimension_transport": (build_dimension(trips.select("transport"), "transport_id", bounded=True), ()),
-        "dimension_mission_type": (build_dimension(trips.select("mission_type"), "type_id", bounded=True), ()),
-        "it_impacts": (m.impacts(), ()),
-        "fact_mission": (fact.join(m.small(place), "dst_location_id", "left")
-                         .withColumn("year_month", year_month("mission_date")), ("site_id", "year_month")),
-        "fact_equipment": (fact_equipment(m, window).withColumn("year_month", year_month("purchase_date")),
-                           ("site_id", "year_month")),
-    }
-    for name, (df, parts) in tables.items():
-        save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
-    release_checkpoints(m.spark, before)
+    with table_scope(m.spark):
+        trips = trips_once(m, window)
+        fact = fact_mission(m, window, trips)
+        natural = m.locations().select(F.col("location_id").alias("dst_natural_id"), "city", "country")
+        places = dim_location(m, trips)
+        place = places.join(natural, ["city", "country"]).select(
+            F.col("location_id").alias("dst_location_id"), "dst_natural_id")
+        tables = {
+            "dimension_site": (m.sites(), ()),
+            "dimension_location": (m.locations(), ()),
+            "dimension_place": (places, ()),
+            "dimension_date": (dim_date(m), ()),
+            "dimension_person": (m.persons(), ()),
+            "dimension_transport": (build_dimension(trips.select("transport"), "transport_id", bounded=True), ()),
+            "dimension_mission_type": (build_dimension(trips.select("mission_type"), "type_id", bounded=True), ()),
+            "it_impacts": (m.impacts(), ()),
+            "fact_mission": (fact.join(m.small(place), "dst_location_id", "left")
+                             .withColumn("year_month", year_month("mission_date")), ("site_id", "year_month")),
+            "fact_equipment": (fact_equipment(m, window).withColumn("year_month", year_month("purchase_date")),
+                               ("site_id", "year_month")),
+        }
+        for name, (df, parts) in tables.items():
+            save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
     return list(tables)
 
 
@@ -190,11 +194,10 @@ def raw_star_tables(raw, window: Window = None) -> dict[str, DataFrame]:
 
 
 def write_raw_star_schema(raw, out_dir: str, window: Window = None, overwrite: bool = True) -> list[str]:
-    before = checkpoints_written()
-    tables = raw_star_tables(raw, window)
-    for name, df in tables.items():
-        parts = ("site_id",) if name.startswith("fact_") else ()
-        save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
-    raw.forget()  # its purchases were materialised among the tables now released
-    release_checkpoints(raw.spark, before)
+    with table_scope(raw.spark):
+        tables = raw_star_tables(raw, window)
+        for name, df in tables.items():
+            parts = ("site_id",) if name.startswith("fact_") else ()
+            save_parquet(df, f"{out_dir}/{name}", overwrite=overwrite, partition_by=parts)
+        raw.forget()  # its purchases were materialised among the tables now released
     return list(tables)

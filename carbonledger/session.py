@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
@@ -66,7 +69,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-_WRITTEN: list[str] = []  # folders of this process's materialised tables, until released
+# The folders written by the build that runs now, until released.  Every thread starts with its own list, and
+# ``table_scope`` opens one for a build inside another, so no build ever releases the tables of one beside it.
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("materialised folders", default=None)
+
+
+def _folders() -> list[str]:
+    own = _FOLDERS.get()
+    if own is None:
+        _FOLDERS.set(own := [])
+    return own
+
+
+def scratch_folder(spark: SparkSession, name: str = "table") -> str:
+    """A new path in the shared checkpoint folder, released with the tables of the build that asked for it."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _folders().append(path)
+    return path
 
 
 def reliable_checkpoint(df):
@@ -74,31 +93,75 @@ def reliable_checkpoint(df):
 
     Computes the input once (an eager ``checkpoint()`` computes it twice unless
     it is persisted too), keeps no second copy on executor disks, and the files
-    outlive any executor.  ``release_checkpoints`` deletes them.
+    outlive any executor.  ``release_checkpoints`` and the end of a
+    ``table_scope`` delete them.
     """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = scratch_folder(df.sparkSession)
     df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release_checkpoints(spark: SparkSession, since: int = 0, keep=None) -> None:
-    """Delete the tables written by ``reliable_checkpoint`` (those after the first ``since``) once their readers
-    are done, except those that the frame ``keep`` still reads."""
-    used = keep.inputFiles() if keep is not None else []
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    kept = [p for p in _WRITTEN[since:] if any(p.rpartition("/")[2] in f for f in used)]
-    for path in _WRITTEN[since:]:
+    """Delete the folders written by this build (those after the first ``since``) once their readers are done,
+    except those that the frame ``keep`` still reads."""
+    own = _folders()
+    used = set(_names_in(keep.inputFiles())) if keep is not None else set()
+    kept = [p for p in own[since:] if p.rpartition("/")[2] in used]
+    for path in own[since:]:
         if path not in kept:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
-    _WRITTEN[since:] = kept
+            delete_folder(spark, path)
+    own[since:] = kept
+
+
+def _names_in(files) -> set[str]:
+    return {part for f in files for part in f.split("/")}
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's FileSystem; a missing one is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def checkpoints_written() -> int:
-    """Number of materialised tables not yet released."""
-    return len(_WRITTEN)
+    """Number of folders of this build not yet released."""
+    return len(_folders())
+
+
+@contextmanager
+def table_scope(spark: SparkSession):
+    """Own list of materialised folders for one build: what it wrote is deleted at its end.
+
+    The yielded function takes a frame that outlives the build and returns it;
+    the folders it reads pass to the enclosing build.
+    """
+    outer, kept = _folders(), []
+    token = _FOLDERS.set([])
+
+    def keep(df):
+        kept.append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        own = _folders()
+        _FOLDERS.reset(token)
+        used = set().union(*(_names_in(df.inputFiles()) for df in kept if own))
+        for path in own:
+            if path.rpartition("/")[2] in used:
+                outer.append(path)
+            else:
+                delete_folder(spark, path)
+
+
+def scoped(query):
+    """``query(spark, ...)`` that leaves no folder behind but those its result reads."""
+    @wraps(query)
+    def run(spark: SparkSession, *args, **kw):
+        with table_scope(spark) as keep:
+            return keep(query(spark, *args, **kw))
+    return run
 
 
 def cluster_conf(input_tb: float = 100.0, executors: int = 1000, cores_per_executor: int = 8,

@@ -3,17 +3,21 @@
 One scan covers every site: the path glob matches all site directories and the
 site comes from the file path, so there is no per-site read and no union fold.
 Blank cells (a single space in the drops) become nulls and strings are
-trimmed; the raw value stays available with ``keep_raw=True``.
+trimmed; the raw value stays available with ``keep_raw=True``.  Drops are read by
+the header of each file (``sources.headers``), side files by a fixed schema.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import blank_to_null
 from . import schemas
+from .headers import HeaderRead, batch_lines, read_by_header
 
 # Drop layout: <root>/<prefix>_<SITE>/<prefix>_<SITE>_<KIND>/<NAME>_<yyyyMMdd>.txt
 SITE_FROM_PATH = r"([A-Z]+)_(?:MISSION|INFORMATIQUE)/[^/]+$"
@@ -54,21 +58,35 @@ def drops_glob(root: str, kind: str) -> str:
     return f"{root}/*/*_{folder}/*.txt"
 
 
-def read_drops(spark: SparkSession, root: str, kind: str, keep_raw: bool = False) -> DataFrame:
-    """All daily drops of ``kind`` ('mission' or 'equipment') under ``root``, every site at once.
+def parse_drops(lines: DataFrame, kind: str, aliases: Mapping[str, str] | None = None) -> HeaderRead:
+    """Lines of drops (from a batch or a micro-batch) read by each file's own header.
 
-    Adds ``site`` (lower case, from the directory name) and ``drop_date`` (from
-    the file name).
+    A file without the kind's key column is rejected; other columns may come in
+    any order, be missing (null) or be unknown (left out).
     """
-    _, schema = schemas.KINDS[kind]
-    path = drops_glob(root, kind)
-    df = read_delimited(spark, path, schema)
-    src = F.input_file_name()
-    df = (df.withColumn("site", F.lower(F.regexp_extract(src, SITE_FROM_PATH, 1)))
-          .withColumn("drop_date", F.to_date(F.regexp_extract(src, DATE_FROM_FILE, 1), "yyyyMMdd")))
+    return read_by_header(lines, schemas.KINDS[kind][1], [schemas.KEYS[kind]], aliases=aliases)
+
+
+def drop_rows(read: HeaderRead, keep_raw: bool = False) -> DataFrame:
+    """Cleaned rows of ``parse_drops`` with ``site`` (lower case, from the directory name) and ``drop_date`` (from
+    the file name)."""
+    src = F.col("file")
+    df = (read.rows.withColumn("site", F.lower(F.regexp_extract(src, SITE_FROM_PATH, 1)))
+          .withColumn("drop_date", F.to_date(F.regexp_extract(src, DATE_FROM_FILE, 1), "yyyyMMdd")).drop("file"))
     return clean_strings(df, keep_raw)
 
 
+def read_drops(spark: SparkSession, root: str, kind: str, keep_raw: bool = False,
+               aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """All daily drops of ``kind`` ('mission' or 'equipment') under ``root``, every site at once."""
+    return drop_rows(parse_drops(batch_lines(spark, drops_glob(root, kind)), kind, aliases), keep_raw)
+
+
+def drops_report(spark: SparkSession, root: str, kind: str, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Per drop file: header status, missing, unknown and repeated columns, rows, malformed and rejected lines."""
+    return parse_drops(batch_lines(spark, drops_glob(root, kind)), kind, aliases).report()
+
+
 PERSONNEL_SITE = r"PERSONNEL_([A-Za-z]+)\.txt$"
 
 

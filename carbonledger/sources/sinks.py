@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fill import new_rows
-from ..session import checkpoints_written, release_checkpoints, reliable_checkpoint
+from ..session import reliable_checkpoint, table_scope
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -96,7 +96,5 @@ def append_new_rows(df: DataFrame, path: str, fmt: str = "parquet", key_specs: S
                            for c in target.columns])
     # Materialise the new rows in the shared checkpoint folder before appending,
     # so the append never reads files it is writing.
-    before = checkpoints_written()
-    fresh = reliable_checkpoint(fresh)
-    fresh.write.format(fmt).options(**writer_opts).mode("append").save(path)
-    release_checkpoints(spark, before)
+    with table_scope(spark):
+        reliable_checkpoint(fresh).write.format(fmt).options(**writer_opts).mode("append").save(path)
