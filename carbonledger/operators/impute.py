@@ -20,24 +20,40 @@ exist, and tokens outside the vocabulary do not count.  The highest score wins,
 ties go to the first label in order.
 
 The sum is never negative, so a label without a token of the row competes only by
-the first two terms, which depend on the number of known tokens alone.  The
-label table is broadcast; its size is checked: above ``max_labels`` labels the
-call fails.
+the first two terms: per label a line over the number k of known tokens.  The
+best of all lines for every k is their upper envelope, made by a monotone chain
+in every partition and once more over the parts' envelopes; the labels within
+the rounding of it are found by binary search, and meet the numbers k by equal
+dyadic intervals (``plain_best``).  No row meets a label without a reason.
+
+Labels that share tokens with a row are pruned by upper bounds.  Labels lie in
+blocks of ``BLOCK`` neighbours by size; a block's best prior, smallest size and
+largest count per token bound the score of its labels.  A row scores the block
+of its highest bound first, and then only the blocks whose bound is not below
+the best score found (``pruned_scores``), so a token that all labels share costs
+a row one line per block, not one per label.
 
 Defined cases: no labelled row leaves nulls; nothing to fill changes nothing; a
-row without known tokens takes the label with the highest prior.
+row without known tokens takes the label with the highest prior; any number of
+labels.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
 from ..session import reliable_checkpoint
+from .keys import sequential_index
 
 TOKEN = r"[\\p{L}\\p{N}_]{2,}"
-MAX_LABELS = 20_000
+BLOCK = 256
+NEAR = 2e-6  # scores are compared rounded to six decimals
 
 
 def _tokens(text: str):
@@ -45,7 +61,7 @@ def _tokens(text: str):
 
 
 def fit(df: DataFrame, text_col: str, label_col: str) -> tuple[DataFrame, DataFrame]:
-    """(per label: label, total, log_prior, v; per label and token: label, token, n) of the labelled rows."""
+    """(per label: label, log_prior, log_size; per label and token: label, token, n) of the labelled rows."""
     known = df.filter(~is_blank(F.col(label_col))).select(
         F.trim(F.col(label_col)).alias("label"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counts = reliable_checkpoint(known.select("label", F.explode(_tokens("text")).alias("token"))
@@ -60,32 +76,168 @@ def fit(df: DataFrame, text_col: str, label_col: str) -> tuple[DataFrame, DataFr
     return reliable_checkpoint(labels), counts
 
 
+# --- labels without a token of the row --------------------------------------------------------------------------
+
+def envelope(prior: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lines prior - k * size that are the highest for some k >= 0, from small to large k."""
+    hull: list[tuple[float, float]] = []
+    for i in np.lexsort((-prior, -size)):  # steepest first; of equal sizes the higher
+        p, s = prior[i], size[i]
+        if hull and hull[-1][1] == s:
+            continue
+        while hull and (hull[-1][0] <= p or len(hull) > 1 and
+                        (p - hull[-2][0]) * (hull[-2][1] - hull[-1][1]) >=
+                        (hull[-1][0] - hull[-2][0]) * (hull[-2][1] - s)):
+            hull.pop()
+        hull.append((p, s))
+    return np.array([h[0] for h in hull]), np.array([h[1] for h in hull])
+
+
+def _highest(prior: np.ndarray, size: np.ndarray, k: np.ndarray) -> np.ndarray:
+    cross = np.diff(prior) / np.diff(size) if len(prior) > 1 else np.zeros(0)
+    at = np.searchsorted(cross, k, side="right")
+    return prior[at] - k * size[at]
+
+
+def near_envelope(prior: np.ndarray, size: np.ndarray, hull: tuple[np.ndarray, np.ndarray], most: int
+                  ) -> tuple[np.ndarray, np.ndarray]:
+    """First and last whole k in 0..most for which each line is within ``NEAR`` of the envelope (last < first: never).
+
+    Line minus envelope is concave in k: it is highest where the envelope stops
+    being steeper than the line, and falls to both sides.
+    """
+    hp, hs = hull
+    cross = np.append(np.diff(hp) / np.diff(hs) if len(hp) > 1 else np.zeros(0), np.inf)
+    steeper = np.searchsorted(-hs, -size, side="left")  # envelope pieces steeper than the line
+    x = np.where(steeper > 0, cross[np.maximum(steeper, 1) - 1], 0.0)
+    x = np.clip(np.nan_to_num(x, posinf=float(most)), 0, most)
+
+    def close(k):
+        return prior - k * size >= _highest(hp, hs, k) - NEAR
+
+    top = np.where(close(np.floor(x)), np.floor(x), np.ceil(x))
+    never = ~close(top)
+    lo, hi, step = top.copy(), top.copy(), 1 << max(int(most), 1).bit_length()
+    while step:
+        back, on = np.maximum(lo - step, 0), np.minimum(hi + step, most)
+        lo, hi = np.where(close(back), back, lo), np.where(close(on), on, hi)
+        step >>= 1
+    return lo, np.where(never, lo - 1, hi)
+
+
+def dyadic(first: int, last: int) -> Iterator[tuple[int, int]]:
+    """(level, number) of the aligned intervals of length 2**level that make up first..last."""
+    while first <= last:
+        level = (first & -first).bit_length() - 1 if first else last.bit_length()
+        level = min(level, (last - first + 1).bit_length() - 1)
+        yield level, first >> level
+        first += 1 << level
+
+
+def plain_best(labels: DataFrame, known: DataFrame) -> DataFrame:
+    """(known, label, score) of the best label by prior and size alone, for each number in ``known``.
+
+    The envelope is shipped to the tasks: it has at most one line per whole k up
+    to the largest text's number of tokens.
+    """
+    lines = reliable_checkpoint(labels.groupBy("log_prior", "log_size").agg(F.min("label").alias("label")))
+    most = known.agg(F.max("known")).first()[0] or 0
+
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p, s = np.zeros(0), np.zeros(0)
+        for pdf in batches:
+            p, s = envelope(np.append(p, pdf["log_prior"]), np.append(s, pdf["log_size"]))
+        yield pd.DataFrame({"log_prior": p, "log_size": s})
+
+    parts = lines.select("log_prior", "log_size").mapInPandas(chain, "log_prior double, log_size double")
+    found = parts.toPandas()  # envelopes of the parts
+    hull = envelope(found["log_prior"].to_numpy(float), found["log_size"].to_numpy(float))
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            lo, hi = near_envelope(pdf["log_prior"].to_numpy(float), pdf["log_size"].to_numpy(float), hull, most)
+            out = [(int(level), int(number), *line) for line, a, b in zip(
+                pdf[["label", "log_prior", "log_size"]].itertuples(index=False, name=None), lo, hi)
+                for level, number in dyadic(int(a), int(b))]
+            yield pd.DataFrame(out, columns=["level", "number", "label", "log_prior", "log_size"])
+
+    close = lines.mapInPandas(near, "level int, number long, label string, log_prior double, log_size double")
+    levels = F.explode(F.sequence(F.lit(0), F.lit(int(most).bit_length())))
+    asked = known.select("known", levels.alias("level")).withColumn(
+        "number", F.floor(F.col("known") / F.pow(F.lit(2.0), F.col("level"))))
+    score = F.round(F.col("log_prior") - F.col("known") * F.col("log_size"), 6)
+    return (asked.join(reliable_checkpoint(close), ["level", "number"])
+            .groupBy("known").agg(F.min_by(F.struct("label", score.alias("score")), F.struct(-score, "label")).alias("x"))
+            .select("known", "x.label", "x.score"))
+
+
+# --- labels with tokens of the row ------------------------------------------------------------------------------
+
+def _scores(hits: DataFrame, length: DataFrame, labels: DataFrame) -> DataFrame:
+    """(__row, label, score) from (__row, label, gain)."""
+    base = F.col("log_prior") - F.col("known") * F.col("log_size")
+    return (hits.join(length, "__row").join(labels.select("label", "log_prior", "log_size"), "label")
+            .select("__row", "label", F.round(base + F.col("gain"), 6).alias("score")))
+
+
+def _gain(count: str):
+    return F.sum(F.col("c") * F.log(F.col(count) + 1.0))
+
+
+def pruned_scores(bag: DataFrame, length: DataFrame, plain: DataFrame, labels: DataFrame, counts: DataFrame,
+                  block: int = BLOCK) -> DataFrame:
+    """(__row, label, score) of every label with a token of the row that can be its best.
+
+    ``plain``: (__row, label, score) of the best label by prior and size.
+    """
+    numbered = sequential_index(labels, ["log_size", "label"], out="idx", split_ties=False)
+    labels = reliable_checkpoint(numbered.withColumn("block", F.floor((F.col("idx") - 1) / block).cast("int")))
+    placed = reliable_checkpoint(counts.join(labels.select("label", "block"), "label"))
+    tops = reliable_checkpoint(placed.groupBy("token", "block").agg(F.max("n").alias("most")))
+    limits = reliable_checkpoint(labels.groupBy("block").agg(F.max("log_prior").alias("p"),
+                                                             F.min("log_size").alias("s")))
+    bound = F.col("p") - F.col("known") * F.col("s") + F.col("gain")
+    least = plain.select("__row", F.col("score").alias("least"))
+    pairs = reliable_checkpoint(
+        bag.join(tops, "token").groupBy("__row", "block").agg(_gain("most").alias("gain"))
+        .join(limits, "block").join(length, "__row").join(least, "__row")
+        .select("__row", "block", bound.alias("bound"), "least").filter(F.col("bound") >= F.col("least") - NEAR))
+
+    def score(chosen: DataFrame) -> DataFrame:
+        hits = (chosen.join(bag, "__row").join(placed, ["block", "token"]).groupBy("__row", "label")
+                .agg(_gain("n").alias("gain")))
+        return _scores(hits, length, labels)
+
+    first = reliable_checkpoint(pairs.groupBy("__row").agg(F.max_by("block", F.struct("bound", "block")).alias("block")))
+    tried = reliable_checkpoint(score(first))
+    reached = tried.groupBy("__row").agg(F.max("score").alias("reached"))
+    rest = (pairs.join(first.withColumnRenamed("block", "first"), "__row").join(reached, "__row", "left")
+            .filter((F.col("block") != F.col("first"))
+                    & (F.col("bound") >= F.coalesce("reached", "least") - NEAR)).select("__row", "block"))
+    return tried.unionByName(score(rest))
+
+
 def predict(rows: DataFrame, text_col: str, model: tuple[DataFrame, DataFrame], out: str,
-            max_labels: int = MAX_LABELS) -> DataFrame:
+            block: int = BLOCK) -> DataFrame:
     """``rows`` with ``out``: the label of the highest score (null if the model has no label)."""
     labels, counts = model
-    n_labels = labels.count()
-    if n_labels > max_labels:
-        raise ValueError(f"{n_labels} labels are too many to attach to every row (limit {max_labels})")
     own = reliable_checkpoint(rows.withColumn("__row", F.monotonically_increasing_id()))
     bag = (own.select("__row", F.explode(_tokens(text_col)).alias("token"))
            .groupBy("__row", "token").agg(F.count(F.lit(1)).alias("c")))
-    vocabulary = counts.select("token").distinct()
-    length = bag.join(vocabulary, "token", "left_semi").groupBy("__row").agg(F.sum("c").alias("known"))
-    hits = (bag.join(counts, "token").groupBy("__row", "label")
-            .agg(F.sum(F.col("c") * F.log(F.col("n") + 1.0)).alias("gain")))
-    base = F.col("log_prior") - F.coalesce("known", F.lit(0)) * F.col("log_size")
-    # A label without any of the row's tokens scores by the number of known tokens alone: the best such label is
-    # found once per number (a table of numbers x labels, the labels checked above), not once per row.
-    lengths = own.select("__row").join(length, "__row", "left")
-    plain = (lengths.select("known").distinct().crossJoin(F.broadcast(labels))
-             .select("known", "label", F.round(base, 6).alias("score")).groupBy("known")
-             .agg(F.min_by(F.struct("label", "score"), F.struct(-F.col("score"), "label")).alias("x"))
-             .select(F.col("known").alias("__known"), "x.label", "x.score"))
-    plain = (lengths.join(plain, F.col("known").eqNullSafe(F.col("__known")))
-             .select("__row", "label", "score"))
-    scored = (hits.join(length, "__row").join(labels, "label")
-              .select("__row", "label", F.round(base + F.col("gain"), 6).alias("score")))
+    bag = bag.join(counts.select("token").distinct(), "token", "left_semi")  # other tokens count for no label
+    many = labels.count() > block
+    if many:
+        bag = reliable_checkpoint(bag)
+    some = bag.groupBy("__row").agg(F.sum("c").alias("known"))
+    length = reliable_checkpoint(own.select("__row").join(some, "__row", "left")
+                                 .select("__row", F.coalesce("known", F.lit(0)).alias("known")))
+    plain = length.join(reliable_checkpoint(plain_best(labels, length.select("known").distinct())), "known").select(
+        "__row", "label", "score")
+    if many:
+        scored = pruned_scores(bag, length, plain, labels, counts, block)
+    else:  # one block: all its labels are scored
+        scored = _scores(bag.join(counts, "token").groupBy("__row", "label").agg(_gain("n").alias("gain")), length,
+                         labels)
     best = (scored.unionByName(plain).groupBy("__row")
             .agg(F.min_by("label", F.struct(-F.col("score"), "label")).alias("__best")))
     return own.join(best, "__row", "left").withColumn(out, F.col("__best")).drop("__row", "__best")

@@ -26,7 +26,11 @@ from ..operators.impute import impute_category, impute_pair
 from ..operators.places import (adjust_distance, gazetteer_match, mission_distance, unlocated_places,
                                  with_route_distance)
 from ..operators.quality import has_atypicals, max_by_condition, profile, unique_values
-from ..session import scoped
+from ..session import reliable_checkpoint, scoped, scratch_folder
+from ..sources import schemas
+from ..sources.headers import batch_lines
+from ..sources.key_index import KeyIndex
+from ..sources.raw import parse_drops
 from . import oracle_text as text
 from . import questions as q
 from . import star
@@ -600,6 +604,71 @@ def _s9(m):
     return new_rows(src, target, [["doc_id"]])
 
 
+@register("indexed_append", """
+SELECT d.doc_id, d.lang, d.source, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def _s9_indexed(m):
+    """The labelled documents as a table, then all documents appended twice through its key index."""
+    docs = m.table("documents").select("doc_id", "lang", "source")
+    path = scratch_folder(m.spark, "appended")
+    docs.join(m.table("labels").select("doc_id", "quality"), "doc_id").write.parquet(path)
+    index = KeyIndex(m.spark, path, {"doc_id": ["doc_id"]})
+    for batch in (docs, docs):
+        index.append(batch)
+    index.drop()
+    return m.spark.read.parquet(path).select("doc_id", "lang", "source", "quality")
+
+
+# --- S1 drops by header -----------------------------------------------------------
+def _write_drops(m, root: str) -> None:
+    """The trips as daily-drop files of one folder a site, every site with a header of its own: the schema's,
+    reversed, with an unknown column in between, without the transport, and without the key."""
+    p = m.persons().select("person_id", "site_id")
+    t = reliable_checkpoint(m.missions(people=p).select(
+        "site_id", F.concat_ws("-", "mission_key", "leg").alias("ID_MISSION"),
+        F.col("person_id").cast("string").alias("ID_PERSONNEL"),
+        F.date_format("mission_ts", "yyyy-MM-dd HH:mm:ss").alias("DATE_MISSION"),
+        F.col("mission_type").alias("TYPE_MISSION"), F.col("dst_location_id").cast("string").alias("VILLE_DESTINATION"),
+        F.col("transport").alias("TRANSPORT"), F.when(F.col("is_return"), "oui").otherwise("non").alias("ALLER_RETOUR")))
+    known = t.columns[1:]
+    full = [F.col(f.name) if f.name in known else F.lit(" ").alias(f.name) for f in schemas.MISSION.fields]
+    layouts = [full, [F.col(c) for c in reversed(known)],
+               [*[F.col(c) for c in known[3:]], F.lit("x;y").alias("NOTE"), *[F.col(c) for c in known[:3]]],
+               [F.col(c) for c in known if c != "TRANSPORT"], [F.col(c) for c in known if c != "ID_MISSION"]]
+    for site, cells in enumerate(layouts):  # the five regions
+        name = f"DROP_{chr(ord('A') + site)}"
+        t.filter(F.col("site_id") == site).select(*cells).write.option("header", True).option("sep", ";").csv(
+            f"{root}/{name}/{name}_MISSION")
+
+
+@register("drops_by_header", f"""
+WITH per AS ({S.persons()}), mis AS ({S.missions()}),
+j AS (SELECT m.*, p.site_id FROM mis m JOIN per p ON m.person_id = p.person_id)
+SELECT site_id, count(*) FILTER (site_id <> 4) AS n_rows, count(*) FILTER (site_id = 4) AS n_rejected,
+       count(DISTINCT person_id) FILTER (site_id <> 4) AS n_people,
+       count(*) FILTER (site_id < 3 AND transport = 'plane') AS n_planes,
+       count(*) FILTER (site_id <> 4 AND is_return) AS n_returns,
+       min(CASE WHEN site_id <> 4 THEN mission_date END) AS first_day,
+       max(CASE WHEN site_id <> 4 THEN mission_date END) AS last_day
+FROM j GROUP BY site_id""")
+def _s1(m):
+    """Drops of five headers read back by their headers; the files without the key are rejected and counted."""
+    root = scratch_folder(m.spark, "drops")
+    _write_drops(m, root)
+    read = parse_drops(batch_lines(m.spark, f"{root}/*/*_MISSION/*.csv"), "mission")
+    site = F.ascii(F.regexp_extract("file", r"DROP_([A-Z])_MISSION/[^/]+$", 1)) - ord("A")
+    rows = read.rows.select(site.alias("site_id"), "ID_PERSONNEL", "TRANSPORT", "ALLER_RETOUR",
+                            F.to_date("DATE_MISSION").alias("day"))
+    counted = rows.groupBy("site_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("ID_PERSONNEL").alias("n_people"),
+        F.count(F.when(F.col("TRANSPORT") == fixed.PLANE, 1)).alias("n_planes"),
+        F.count(F.when(F.col("ALLER_RETOUR") == "oui", 1)).alias("n_returns"), F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"))
+    rejected = read.report().groupBy(site.alias("site_id")).agg(F.sum("n_rejected").alias("n_rejected"))
+    zero = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("n_rows", "n_people", "n_planes", "n_returns")]
+    return (rejected.filter("site_id IS NOT NULL").join(counted, "site_id", "left")
+            .select("site_id", *zero, "n_rejected", "first_day", "last_day"))
+
+
 # --- D1 gazetteer ---------------------------------------------------------------
 ALLOWED_PLACE_TYPES = ("city", "town")
 

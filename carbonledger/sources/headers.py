@@ -28,6 +28,7 @@ A stream gives every file whole to one micro-batch, so the same steps run there.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -39,7 +40,6 @@ from pyspark.sql import types as T
 from ..session import reliable_checkpoint
 from . import schemas
 
-MAX_HEADER = 512  # columns of a header; a wider one rejects its file
 _MARK = r"^\uFEFF"  # byte order mark
 _END = "\x01"  # appended as a last cell: its position is the number of cells
 
@@ -84,12 +84,16 @@ class HeaderRead:
                 .select("file", "status", "missing", "unknown", "repeated", *zero))
 
 
-def _cells(value: Column, width: int, sep: str) -> Column:
-    """Cells of a line as an array of ``width`` + 1 strings, ended by the end mark if they are no more than that."""
+def _with_cells(df: DataFrame, value: Column, width: int, sep: str) -> DataFrame:
+    """``df`` with the cells of a line: an array of ``width`` + 1 strings, closed by the end mark if it has room.
+
+    The parsed line is a column of its own, so that a line is parsed once.
+    """
     names = [f"c{i}" for i in range(width + 1)]
-    options = {"sep": sep, "mode": "PERMISSIVE", "columnPruning": "false"}
-    parsed = F.from_csv(F.concat(value, F.lit(sep + _END)), ", ".join(f"{n} string" for n in names), options)
-    return F.array(*[parsed[n] for n in names])
+    parsed = F.from_csv(F.concat(value, F.lit(sep + _END)), ", ".join(f"{n} string" for n in names),
+                        {"sep": sep, "mode": "PERMISSIVE"})
+    return df.withColumn("__line", parsed).withColumn("cells", F.array(*[F.col(f"__line.{n}") for n in names])).drop(
+        "__line")
 
 
 def _name(cell: Column, aliases: Mapping[str, str]) -> Column:
@@ -109,17 +113,17 @@ def find_layouts(lines: DataFrame, schema: T.StructType, required: Sequence[str]
     first = (lines.withColumn("n", F.monotonically_increasing_id())
              .filter((F.col("start") == 0) & (F.trim(F.regexp_replace("value", _MARK, "")) != ""))
              .groupBy("file").agg(F.min_by("value", "n").alias("head")))
-    end = F.array_position(F.col("all"), _END)
-    split = (first.withColumn("all", _cells(F.regexp_replace("head", _MARK, ""), MAX_HEADER, sep))
-             .withColumn("cells", F.when(end > 0, end - 1).otherwise(0).cast("int"))
-             .withColumn("found", F.transform(F.slice("all", F.lit(1), F.col("cells")),
-                                              lambda c: F.coalesce(_name(c, aliases), F.lit("")))).drop("all"))
+    mark = re.escape(sep)
+    cell = f'(?:^|{mark})("(?:[^"]|"")*"|[^{mark}]*)'
+    cells = F.regexp_extract_all(F.regexp_replace("head", _MARK, ""), F.lit(cell), F.lit(1))
+    split = first.withColumn("found", F.transform(cells, lambda c: _name(F.regexp_replace(c, '^"|"$', ""), aliases)))
+    split = split.withColumn("cells", F.size("found"))
     positions = F.transform(names, lambda w: (F.array_position(F.col("found"), w) - 1).cast("int"))
     lacks = F.array_except(names, F.col("found"))
     needs = F.array(*[F.lit(r.upper()) for r in required]) if required else F.array().cast("array<string>")
     repeated = F.array_distinct(F.filter("found", lambda c: (c != "") & (F.size(F.filter(
         F.col("found"), lambda x: x == c)) > 1)))
-    rejected = (F.col("cells") == 0) | (F.size(F.array_intersect(needs, lacks)) > 0)
+    rejected = F.size(F.array_intersect(needs, lacks)) > 0
     standard = (F.col("cells") == len(wanted)) & (F.col("found") == names)
     return split.select(
         "file", "head", "cells", positions.alias("positions"), lacks.alias("missing"),
@@ -151,26 +155,23 @@ def read_by_header(lines: DataFrame, schema: T.StructType, required: Sequence[st
     text = F.regexp_replace("value", _MARK, "")
     placed = (lines.filter(F.trim(text) != "").join(odd, "file", "left")
               .select("value", "file", F.coalesce("status", F.lit("standard")).alias("status"),
-                      F.coalesce("at", own).alias("at"), F.coalesce("n", F.lit(width)).alias("n"),
-                      _cells(text, most, sep).alias("cells")))
-    end = F.array_position("cells", _END) - 1
+                      F.coalesce("at", own).alias("at"), F.coalesce("n", F.lit(width)).alias("n")))
+    placed = _with_cells(placed, text, most, sep)
+    placed = placed.withColumn("end", F.array_position("cells", _END) - 1)
     # The end mark is no cell: beyond the line's own cells everything is null.
-    picked = placed.select("value", "file", "status", "n", end.alias("end"), *[
-        F.when(F.col("at")[i] < end, F.get("cells", F.col("at")[i])).alias(f"c{i}") for i in range(width)])
-    is_head = reduce(lambda a, b: a & b, [
-        F.col(f"c{i}").isNull() | (_name(F.col(f"c{i}"), aliases) == f.name.upper())
-        for i, f in enumerate(schema.fields)]) & reduce(lambda a, b: a | b, [
-            F.col(f"c{i}").isNotNull() for i in range(width)])
-    typed = [(f, _typed(F.col(f"c{i}"), f.dataType, timestamp_format), F.col(f"c{i}"))
-             for i, f in enumerate(schema.fields)]
-    bad = reduce(lambda a, b: a | b, [
-        F.col(f.name).isNull() & (F.trim(f"c{i}") != "") for i, f in enumerate(schema.fields)
-        if not isinstance(f.dataType, T.StringType)], (F.col("end") != F.col("n")))
-    bad = F.coalesce(bad, F.lit(False))
+    picked = placed.withColumn("own", F.transform("at", lambda i: F.when(i < F.col("end"), F.get("cells", i)))).drop(
+        "cells", "at")
+    names = F.array(*[F.lit(f.name.upper()) for f in schema.fields])
+    same = F.zip_with("own", names, lambda c, n: c.isNull() | (_name(c, aliases) == n))
+    is_head = F.forall(same, lambda x: x) & F.exists("own", lambda c: c.isNotNull())
+    typed = picked.withColumn("head", is_head).select("*", *[
+        _typed(F.col("own")[i], f.dataType, timestamp_format).alias(f.name) for i, f in enumerate(schema.fields)])
+    unread = [F.col(f.name).isNull() & (F.trim(F.col("own")[i]) != "") for i, f in enumerate(schema.fields)
+              if not isinstance(f.dataType, T.StringType)]
+    bad = F.coalesce(reduce(lambda a, b: a | b, unread, F.col("end") != F.col("n")), F.lit(False))
     kind = (F.when(F.col("head"), "head").when(F.col("status") == "rejected", "rejected").when(bad, "malformed")
             .otherwise("row"))
-    marked = (picked.withColumn("head", is_head).withColumns({f.name: c for f, c, _ in typed})
-              .select("value", "file", kind.alias("kind"), *[f.name for f in schema.fields]))
+    marked = typed.select("value", "file", kind.alias("kind"), *[f.name for f in schema.fields])
     rows = marked.filter(F.col("kind").isin("row", "malformed")).select(
         *[f.name for f in schema.fields], F.when(F.col("kind") == "malformed", F.col("value")).alias(schemas.CORRUPT),
         "file")
