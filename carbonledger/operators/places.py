@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import geodesic_km
 from ..functions.rules import rule_expr
 from ..functions.text import clamp_low
+from .similar import match_names
 
 
 def gazetteer_match(places: DataFrame, candidates: DataFrame, allowed_types: Sequence[str],
@@ -87,3 +88,25 @@ def unlocated_places(trips: DataFrame, gazetteer: DataFrame, dep=("dep_city", "d
     ends = d.unionByName(a).groupBy("role", "city", "country").agg(F.count(F.lit(1)).alias("n_trips"))
     known = (F.col("e.city").eqNullSafe(F.col("g.city"))) & (F.col("e.country").eqNullSafe(F.col("g.country")))
     return ends.alias("e").join(g.alias("g"), known, "left_anti")
+
+
+def gazetteer_match_similar(places: DataFrame, candidates: DataFrame, allowed_types: Sequence[str],
+                            score: str = "score", tiebreak: str = "display_name", max_distance: int = 2
+                            ) -> tuple[DataFrame, DataFrame]:
+    """``gazetteer_match`` that also finds places under other spellings, within one country.
+
+    Names that are found as they are stay so; the others take the closest known
+    spelling of their country (``operators.similar``) and its best candidate.
+    Returns (country, city, matched_city, distance, lat, lon) and the places not found.
+    """
+    found, missing = gazetteer_match(places, candidates, allowed_types, score, tiebreak)
+    usable = candidates.filter(F.col("place_type").isin(list(allowed_types)) & F.col("lat").isNotNull()
+                               & F.col("lon").isNotNull())
+    known = usable.select("country", F.col("city").alias("matched_city"), score)
+    near, unmatched = match_names(missing.select("country", "city"), known, "city", "matched_city", ["country"], score,
+                                  max_distance)
+    spots, _ = gazetteer_match(near.select("country", F.col("matched_city").alias("city")), usable, allowed_types, score,
+                               tiebreak)
+    others = near.join(spots.withColumnRenamed("city", "matched_city"), ["country", "matched_city"])
+    exact = found.select("country", "city", F.col("city").alias("matched_city"), F.lit(0).alias("distance"), "lat", "lon")
+    return exact.unionByName(others.select(*exact.columns)), unmatched

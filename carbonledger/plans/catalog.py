@@ -23,8 +23,9 @@ from ..operators.dimensions import build_dimension
 from ..operators.fill import fill_nulls_by_key, new_rows
 from ..operators.harmonise import harmonise, translation_table
 from ..operators.impute import impute_category, impute_pair
-from ..operators.places import (adjust_distance, gazetteer_match, mission_distance, unlocated_places,
-                                 with_route_distance)
+from ..operators.places import (adjust_distance, gazetteer_match, gazetteer_match_similar, mission_distance,
+                                 unlocated_places, with_route_distance)
+from ..operators.similar import match_names
 from ..operators.quality import has_atypicals, max_by_condition, profile, unique_values
 from ..session import reliable_checkpoint, scoped, scratch_folder
 from ..sources import schemas
@@ -737,6 +738,71 @@ def _d1b(m):
     return _found(m)[1]
 
 
+_NORMAL = ("regexp_replace(translate(lower({0}), 'àáâãäåçèéêëìíîïñòóôõöøùúûüýÿß', 'aaaaaaceeeeiiiinoooooouuuuyys'), "
+           "'[^\\p{{L}}\\p{{N}}]', '', 'g')")
+
+
+def _respelled(m):
+    """The places under other spellings: a blank for the underscore, or without their fourth letter."""
+    city, k = F.col("city"), F.col("location_id") % 3
+    spelled = F.when(k == 1, F.initcap(F.translate(city, "_", " "))).when(
+        k == 2, F.concat(F.substring(city, 1, 3), F.expr("substr(city, 5)"))).otherwise(city)
+    return m.locations().select("country", spelled.alias("city"))
+
+
+@register("gazetteer_match_similar", f"""
+WITH {_CAND_SQL},
+p AS (SELECT DISTINCT country, CASE location_id % 3 WHEN 1 THEN 'Nation ' || substr(city, 8)
+        WHEN 2 THEN substr(city, 1, 3) || substr(city, 5) ELSE city END AS city FROM loc),
+d AS (SELECT p.country, p.city, b.city AS matched, b.lat, b.lon,
+             CASE WHEN p.city = b.city THEN 0 ELSE levenshtein({_NORMAL.format('p.city')}, {_NORMAL.format('b.city')}) END AS distance,
+             max(c.score) AS score
+      FROM p JOIN best b ON p.country = b.country JOIN cand c ON c.country = b.country AND c.city = b.city
+       AND c.place_type IN ({_in(ALLOWED_PLACE_TYPES)}) GROUP BY ALL)
+SELECT country, city, matched AS matched_city, distance, round(lat, 4) AS lat, round(lon, 4) AS lon FROM (
+  SELECT *, row_number() OVER (PARTITION BY country, city ORDER BY city <> matched, distance, score DESC, matched) AS k
+  FROM d WHERE distance <= 2) WHERE k = 1""")
+def _d1_similar(m):
+    found, _ = gazetteer_match_similar(_respelled(m), _candidates(m), ALLOWED_PLACE_TYPES)
+    return found.select("country", "city", "matched_city", "distance", F.round("lat", 4).alias("lat"),
+                        F.round("lon", 4).alias("lon"))
+
+
+@register("similar_labels", f"""
+WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]{{4,}}')) AS word FROM benchmark),
+h AS (SELECT word, CAST(('0x' || substr(md5(word), 1, 2)) AS INTEGER) AS k FROM w),
+m AS (SELECT word, CASE k % 5 WHEN 0 THEN word
+        WHEN 1 THEN substr(word, 1, k % length(word)) || substr(word, k % length(word) + 2)
+        WHEN 2 THEN substr(word, 1, k % length(word)) || 'x' || substr(word, k % length(word) + 1)
+        WHEN 3 THEN upper(substr(word, 1, k % length(word))) || '-' || substr(word, k % length(word) + 1)
+        ELSE 'zzz' || word END AS spelled FROM h),
+s AS (SELECT DISTINCT spelled, {_NORMAL.format('spelled')} AS a FROM m),
+t AS (SELECT word, {_NORMAL.format('word')} AS b FROM w),
+p AS (SELECT spelled, word, levenshtein(a, b) AS distance FROM s JOIN t ON abs(length(a) - length(b)) <= 2
+      WHERE levenshtein(a, b) <= 2),
+best AS (SELECT spelled, word AS label, distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY spelled ORDER BY distance, word) AS k FROM p) WHERE k = 1)
+SELECT s.spelled, best.label, best.distance FROM s LEFT JOIN best ON s.spelled = best.spelled""")
+def _d10_similar(m):
+    """Words of the benchmark with planted misspellings, each with its closest known word; null where none is near."""
+    text = F.regexp_extract_all(F.lower("text"), F.lit("[a-zà-ÿ]{4,}"), F.lit(0))
+    words = reliable_checkpoint(m.table("benchmark").select(F.explode(text).alias("word")).distinct())
+    k = F.conv(F.substring(F.md5("word"), 1, 2), 16, 10).cast("int")
+    at = k % F.length("word")
+
+    def part(first, length=None):
+        return F.substring("word", first, F.length("word") if length is None else length)
+
+    spelled = (F.when(k % 5 == 0, F.col("word")).when(k % 5 == 1, F.concat(part(F.lit(1), at), part(at + 2)))
+               .when(k % 5 == 2, F.concat(part(F.lit(1), at), F.lit("x"), part(at + 1)))
+               .when(k % 5 == 3, F.concat(F.upper(part(F.lit(1), at)), F.lit("-"), part(at + 1)))
+               .otherwise(F.concat(F.lit("zzz"), "word")))
+    values = words.select(spelled.alias("spelled"))
+    found, missing = match_names(values, words.withColumnRenamed("word", "label"), "spelled", "label")
+    none = missing.select("spelled", F.lit(None).cast("string").alias("label"), F.lit(None).cast("int").alias("distance"))
+    return found.unionByName(none)
+
+
 @register("route_distance_by_name", f"""
 WITH {_CAND_SQL}, r AS (SELECT DISTINCT p.home_location_id AS dep, m.dst_location_id AS dst
   FROM ({S.missions()}) m JOIN ({S.persons()}) p ON m.person_id = p.person_id)
