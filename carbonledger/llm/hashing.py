@@ -3,14 +3,18 @@
 A word is a maximal run of bytes other than space, \\t, \\n, \\v, \\f, \\r of the
 UTF-8 text.  Its hash is a polynomial over its bytes modulo 2**64, taken from
 prefix sums over the batch's bytes and then mixed, so no Python code runs per
-word.  Texts are worked through in windows that end between words.
+word.  Polynomials modulo a power of two have equal values for certain long words
+whatever the base, so words above ``LONG`` bytes are hashed one by one by XXH3.
+Texts are worked through in windows that end between words.
 """
 
 from __future__ import annotations
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
 WINDOW = 1 << 20
+LONG = 200
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)
@@ -57,7 +61,10 @@ def hash_spans(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarra
     power, inverse = _tables(len(raw) + 1)
     total = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power[:len(raw)], out=total[1:])
-    return mix((total[end] - total[first]) * inverse[first])
+    out = mix((total[end] - total[first]) * inverse[first])
+    for k in np.flatnonzero(end - first > LONG):
+        out[k] = xxh3_64_intdigest(raw[first[k]:end[k]].tobytes())
+    return out
 
 
 def windows(texts: list[bytes], size: int = WINDOW):

@@ -1,8 +1,8 @@
 """Language-model scoring by logistic context mixing (bits of bytes).
 
 The text's UTF-8 bytes (A-Z lower-cased) and an end mark are predicted bit by
-bit.  Predictors: the statistics of the bits seen before in five hashed contexts
-(the last 1, 2, 3 and 5 bytes; the current word's beginning).  Each gives a
+bit.  Predictors: the statistics of the bits seen before in three hashed contexts
+(the last 3 and 5 bytes; the current word's beginning).  Each gives a
 stretched probability; a weight vector chosen by a gate (bit position, how often
 the 5-byte context and the word beginning were seen) adds them up in the logistic
 domain; an adaptive map from (bits so far, mixed value) to the bit's observed
@@ -57,7 +57,8 @@ SLICE = 1 << 16
 HEAVY = 1 << 18
 RUN = 1 << 18
 CHUNK = 1 << 15
-FIT_CHUNK = 1 << 12
+TOKENS = 1 << 19  # different tokens that a worker holds before it emits their counts
+FIT_CHUNK = 1 << 13
 RATE = 1.0
 END_TOKEN = 0x6E6420656E64
 PAD = 0xFF  # in no UTF-8 text: stands before a text and is its end mark
@@ -296,32 +297,47 @@ class Fit:
             self.map_one += n[:, 1]
 
     def _step(self, b: np.ndarray, hs: list[np.ndarray], cells: list[np.ndarray]) -> None:
-        """Update the weights; the map cells met (twice the cell, plus the bit) are appended to ``cells``."""
-        code = self.code
+        """Update the weights; the map cells met (twice the cell, plus the bit) are appended to ``cells``.
+
+        As in scoring, long codes come first, so that a bit concerns a prefix of the chunk, and a nibble's 16 cells
+        are fetched once for its four bits; sums over gates are products with the gates' indicator matrix.
+        """
+        code, kinds = self.code, len(self.tables)
+        size = code.length.astype(np.int8).take(b)
+        order = np.argsort(-size, kind="stable")
+        b, hs = b.take(order), [h.take(order) for h in hs]
+        live = len(b) - np.cumsum(np.bincount(size, minlength=LONGEST + 1))
         for t in range(LONGEST):
-            more = code.length.take(b) > t
-            if not more.all():
-                b, hs = b[more], [h[more] for h in hs]
-                if t % 4:
-                    g, gate = [x[more] for x in g], gate[more]
-            if not len(b):
+            n = int(live[t])
+            if not n:
                 break
+            b = b[:n]
             if t % 4 == 0:
                 before = code.before[t // 4].take(b)
-                g = [group(h, before, bits) for h, bits in zip(hs, BITS)]
-                gate = _gate(self.tables, g)
-            n = np.bincount(gate, minlength=GATES)
-            node, y = code.node[t].take(b), code.bit[t].take(b)
-            st = [table.take(c + node).astype(np.float32) for table, c in zip(self.tables, g)]
-            x = sum(s * self.weights[t, k].take(gate) for k, s in enumerate(st))
+                rows = [table.reshape(-1, 16).take(group(h[:n], before, bits) >> 4, axis=0)
+                        for table, h, bits in zip(self.tables, hs, BITS)]
+                gate = (rows[-2][:, 0].astype(np.int64) << 2) + rows[-1][:, 0]
+                line = np.arange(n) * 16
+                at_gate = np.zeros((n, GATES), np.float32)
+                at_gate.reshape(-1)[line + gate] = 1
+            cell = code.node[t].take(b)
+            cell += line[:n]
+            st = np.empty((kinds, n), np.float32)
+            for k in range(kinds):
+                st[k] = rows[k].take(cell)
+            own, gate = at_gate[:n], gate[:n]
+            x = st[0] * self.weights[t, 0].take(gate)
+            for k in range(1, kinds):
+                x += st[k] * self.weights[t, k].take(gate)
             np.clip(x, -12, 12, out=x)
-            cell = code.sofar[t].take(b) * BUCKETS + _bucket(x)
-            cells.append(2 * cell + y)
+            y = code.bit[t].take(b)
+            cells.append(2 * (code.sofar[t].take(b) * BUCKETS + _bucket(x)) + y)
             error = y - 1 / (1 + np.exp(-x))
-            self.seen[t] += n
-            rate = RATE / 256 * np.minimum(1, n / 64) / np.maximum(n, 1) / np.sqrt(1 + self.seen[t] / 2e5)
-            for k, s in enumerate(st):
-                self.weights[t, k] += (rate * np.bincount(gate, error * s, GATES)).astype(np.float32)
+            count = np.bincount(gate, minlength=GATES)
+            self.seen[t] += count
+            rate = RATE / 256 * np.minimum(1, count / 64) / np.maximum(count, 1) / np.sqrt(1 + self.seen[t] / 2e5)
+            st *= error
+            self.weights[t] += (rate * (st @ own)).astype(np.float32)
 
 
 def refinement(n: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -340,17 +356,26 @@ def _lower(texts) -> list[bytes]:
 def token_counts(train: DataFrame) -> DataFrame:
     """(kind, key, n): kind 0 is a token's hash, kind 1 a byte value (end marks included); ``train`` has text."""
 
+    def added(held: list) -> pd.DataFrame:
+        key, which = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        n = np.bincount(which, np.concatenate([n for _, n in held])).astype(np.int64)
+        return pd.DataFrame({"kind": 0, "key": key, "n": n})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(256, np.int64)
+        seen, held = np.zeros(256, np.int64), []
         for pdf in batches:
-            for run in hashing.runs(list(pdf["text"]), 16 << 20):
+            for run in hashing.runs(list(pdf["text"]), 1 << 20):
                 texts = _lower(run)
-                for buffer, _, sizes in _runs(texts):
-                    seen += np.bincount(buffer, minlength=256)
-                    seen[PAD] -= 8 * len(sizes)
+                for t in texts:
+                    seen += np.bincount(np.frombuffer(t, np.uint8), minlength=256)
+                seen[PAD] += len(texts)
                 key, n = np.unique(hashing.words(texts)[0], return_counts=True)
-                yield pd.DataFrame({"kind": 0, "key": np.append(key.view(np.int64), END_TOKEN),
-                                    "n": np.append(n, len(run))})
+                held.append((np.append(key.view(np.int64), END_TOKEN), np.append(n, len(run))))
+                if sum(len(k) for k, _ in held) > TOKENS:
+                    yield added(held)
+                    held.clear()
+        if held:
+            yield added(held)
         yield pd.DataFrame({"kind": 1, "key": np.arange(256), "n": seen})
 
     got = train.select("text").mapInPandas(count, "kind int, key long, n long")

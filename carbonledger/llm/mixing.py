@@ -9,19 +9,23 @@ weight, but no source may be repeated more than ``max_epochs`` times:
    clamped (the level only rises), so the rounds end when none is above.
 2. epochs of a source = target / size.  Every document is taken
    floor(epochs) times whole; the fractional rest takes one more copy of a
-   seeded part of the documents: documents fall into 4096 buckets by a hash of
-   (seed, doc_id), buckets are taken in order while half of the next bucket
-   still fits below the fractional target.  The error of a source is at most
-   half a bucket; reruns agree, since nothing depends on partitioning.
-
-Scale: two partial aggregations (source, bucket) and a join of each document
-with its source's row; nothing of a source is collected into one task, a hot
-source is pre-aggregated map-side.  The water-filling works on the table of
-sources; only three sums per round reach the driver.
+   seeded part of the documents.  Documents fall into 4096 buckets by a hash of
+   (seed, doc_id); the buckets are gone through in order, and each is taken if
+   it still fits, so one that does not is passed over and the filling goes on.
+   Of the buckets left over, the one with the most documents is split by
+   further digits of the hash and filled in the same way, and once more
+   (``LEVELS``).  A source stays below its target by less than what the smallest
+   bucket left at the last level holds: a document, unless a billion share a
+   source.  Reruns agree, since nothing depends on partitioning.
+
+Scale: a partial aggregation (source, bucket) per level and a join of each
+document with its source's row; the filling of a source sees its at most 4096
+buckets, a hot source is pre-aggregated map-side.  The water-filling works on the
+table of sources; only three sums per round reach the driver.
 
 Defined cases: null text has size 0; a null source is a source of its own, last
 in order; a null or repeated doc_id is a document like any other (equal ids
-fall into the same bucket); sources of size 0 get target 0; an empty table
+are taken together); sources of size 0 get target 0; an empty table
 gives an empty result; other columns are carried along untouched by
 ``apply_mix`` (working columns are prefixed and cannot clash).
 """
@@ -30,6 +34,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,12 +45,19 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 17
 BUCKETS_HEX = 3  # 16**3 = 4096 buckets
+LEVELS = 3
+PLAN_ROWS = 20_000  # of a broadcast plan: some 2 KB a source
 
 
-def bucket_of(doc_id: Column, seed: int = SEED) -> Column:
-    """Seeded bucket 0..4095 of a document id."""
+def bucket_of(doc_id: Column, seed: int = SEED, level: int = 0) -> Column:
+    """Seeded bucket 0..4095 of a document id; each level takes further digits of one hash."""
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-    return F.conv(F.substring(F.md5(key.cast("binary")), 1, BUCKETS_HEX), 16, 10).cast("int")
+    digits = F.substring(F.md5(key.cast("binary")), 1 + level * BUCKETS_HEX, BUCKETS_HEX)
+    return F.conv(digits, 16, 10).cast("int")
+
+
+def buckets_of(doc_id: Column, seed: int) -> list[Column]:
+    return [bucket_of(doc_id, seed, level).alias(f"b{level}") for level in range(LEVELS)]
 
 
 def source_sizes(sized: DataFrame, weights: Sequence[float] = WEIGHTS) -> DataFrame:
@@ -76,40 +89,80 @@ def water_fill(sources: DataFrame, budget: float | None = None, max_epochs: floa
     return sources.withColumn("target", F.least(F.lit(level) * F.col("weight"), lim))
 
 
+_FILLED = "source string, words array<long>, pick int, room double"
+
+
+def fill(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Buckets of one source (bucket, mass, n, room) gone through in order; those taken as bits of 64 words, the
+    bucket to split next and the room left."""
+    pdf = pdf.sort_values("bucket")
+    room, words, pick = float(pdf["room"].iloc[0]), np.zeros(16 ** BUCKETS_HEX // 64, np.uint64), (0, None)
+    for bucket, mass, n in zip(pdf["bucket"].tolist(), pdf["mass"].tolist(), pdf["n"].tolist()):
+        if mass <= room:
+            room -= mass
+            words[bucket >> 6] |= np.uint64(1 << (bucket & 63))
+        elif n > pick[0]:
+            pick = (n, bucket)
+    return pd.DataFrame({"source": pdf["source"].iloc[:1].tolist(), "words": [words.view(np.int64)],
+                         "pick": pd.array([pick[1]], "Int32"), "room": [room]})
+
+
+def _bit(words: Column, bucket: Column) -> Column:
+    word = F.get(words, F.shiftright(bucket, 6))
+    return F.coalesce(F.call_function("shiftright", word, bucket.bitwiseAND(63)).bitwiseAND(F.lit(1).cast("long")) == 1,
+                      F.lit(False))
+
+
 def plan_mix(sized: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS,
              budget: float | None = None) -> DataFrame:
-    """Per source: source_size, weight, target, whole (epochs for all) and cut_bucket (first bucket without
-    the extra copy).  ``sized`` has source, size, bucket."""
+    """Per source: source_size, weight, target, whole (epochs for all) and, per level, the words of the buckets with
+    an extra copy and the bucket that the next level splits.  ``sized`` has source, size, b0, b1, b2."""
     srcs = cut(source_sizes(sized, weights))
     srcs = water_fill(srcs, budget, max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    srcs = (srcs.withColumn("whole", F.floor(epochs).cast("long"))
-            .withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size")))
-    # At most 4096 rows per source, whatever its size.
-    per_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("mass"))
-    before = F.coalesce(F.sum("mass").over(
-        Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per_bucket = per_bucket.withColumn("before", before)
-    s = srcs.select(F.col("source").alias("s_source"), "extra")
-    taken = (per_bucket.join(s, F.col("source").eqNullSafe(F.col("s_source")))
-             .filter(F.col("before") + F.col("mass") / 2 <= F.col("extra"))
-             .groupBy("source").agg((F.max("bucket") + 1).alias("cut_bucket"))
-             .withColumnRenamed("source", "t_source"))
-    return (srcs.join(taken, F.col("source").eqNullSafe(F.col("t_source")), "left").drop("t_source")
-            .withColumn("cut_bucket", F.coalesce("cut_bucket", F.lit(0))))
+    plan = (srcs.withColumn("whole", F.floor(epochs).cast("long"))
+            .withColumn("room", F.col("target") - F.col("whole") * F.col("source_size")))
+    for level in range(LEVELS):
+        plan = cut(plan)
+        own = F.col("source").eqNullSafe(F.col("p_source"))
+        for above in range(level):  # documents of the bucket that is split
+            own &= F.col(f"b{above}") == F.col(f"pick{above}")
+        p = plan.withColumnRenamed("source", "p_source").select("p_source", "room", *[f"pick{a}" for a in range(level)])
+        rows = sized if not level else sized.join(broadcast_if_small(p, plan.count(), PLAN_ROWS), own).select(sized["*"])
+        # At most 4096 rows per source, whatever its size.
+        buckets = rows.groupBy("source", F.col(f"b{level}").alias("bucket")).agg(
+            F.sum("size").alias("mass"), F.count(F.lit(1)).alias("n"))
+        filled = (buckets.join(p.select("p_source", "room"), F.col("source").eqNullSafe(F.col("p_source")))
+                  .select("source", "bucket", "mass", "n", "room").groupBy("source").applyInPandas(fill, _FILLED)
+                  .select(F.col("source").alias("f_source"), F.col("words").alias(f"words{level}"),
+                          F.col("pick").alias(f"pick{level}"), F.col("room").alias("left")))
+        plan = (plan.join(filled, F.col("source").eqNullSafe(F.col("f_source")), "left")
+                .withColumn("room", F.coalesce("left", "room")).drop("f_source", "left"))
+    return plan
+
+
+def copies_of(prefix: str = "") -> Column:
+    """Copies of a document (b0, b1, b2) by its source's plan."""
+    def c(name):
+        return F.col(prefix + name)
+
+    extra = F.lit(False)
+    for level in range(LEVELS - 1, -1, -1):
+        deeper = extra & F.coalesce(c(f"b{level}") == c(f"pick{level}"), F.lit(False))
+        extra = _bit(c(f"words{level}"), c(f"b{level}")) | deeper
+    return c("whole") + extra.cast("long")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS,
         budget: float | None = None, seed: int = SEED) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target (its source's), copies, taken = size * copies."""
     sized = cut(docs.select("doc_id", "source", words_count(F.col("text")).alias("size"),
-                            bucket_of(F.col("doc_id"), seed).alias("bucket")))
+                            *buckets_of(F.col("doc_id"), seed)))
     plan = cut(plan_mix(sized, weights, max_epochs, budget))
-    plan = broadcast_if_small(plan.withColumnRenamed("source", "p_source"), plan.count())
-    copies = F.col("whole") + (F.col("bucket") < F.col("cut_bucket")).cast("long")
+    plan = broadcast_if_small(plan.withColumnRenamed("source", "p_source"), plan.count(), PLAN_ROWS)
     return (sized.join(plan, F.col("source").eqNullSafe(F.col("p_source")))
-            .select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
-                    (F.col("size") * copies).alias("taken")))
+            .select("doc_id", "source", "size", "source_size", "target", copies_of().alias("copies"),
+                    (F.col("size") * copies_of()).alias("taken")))
 
 
 def apply_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: float = MAX_EPOCHS,
@@ -117,12 +170,12 @@ def apply_mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: f
     """The mixed corpus: every document repeated as often as the mix takes it (0 times: left out)."""
     cols = docs.columns
     sized = cut(docs.select("doc_id", "source", words_count(F.col("text")).alias("size"),
-                            bucket_of(F.col("doc_id"), seed).alias("bucket")))
+                            *buckets_of(F.col("doc_id"), seed)))
     plan = cut(plan_mix(sized, weights, max_epochs, budget))
-    p = plan.select(F.col("source").alias("__mix_source"), F.col("whole").alias("__mix_whole"),
-                    F.col("cut_bucket").alias("__mix_cut"))
-    p = broadcast_if_small(p, plan.count())
-    copies = F.col("__mix_whole") + (bucket_of(F.col("doc_id"), seed) < F.col("__mix_cut")).cast("long")
-    return (docs.join(p, F.col("source").eqNullSafe(F.col("__mix_source")))
-            .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), copies.cast("int"))))
+    used = ["whole", *[f"{x}{level}" for level in range(LEVELS) for x in ("words", "pick")]]
+    p = plan.select(F.col("source").alias("__mix_source"), *[F.col(c).alias(f"__mix_{c}") for c in used])
+    p = broadcast_if_small(p, plan.count(), PLAN_ROWS)
+    placed = docs.withColumns({f"__mix_b{level}": bucket_of(F.col("doc_id"), seed, level) for level in range(LEVELS)})
+    return (placed.join(p, F.col("source").eqNullSafe(F.col("__mix_source")))
+            .withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(1), copies_of("__mix_").cast("int"))))
             .select(*cols))

@@ -187,3 +187,65 @@ FROM (SELECT DISTINCT conv_id FROM conversations) i
 LEFT JOIN counts c ON i.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN best b ON i.conv_id IS NOT DISTINCT FROM b.conv_id
 LEFT JOIN turns t ON i.conv_id IS NOT DISTINCT FROM t.conv_id"""
+
+
+# The water level: capped sources are those whose limit per weight is smallest; the level that lies between the last
+# capped and the first free source of that order is the answer.  Then three rounds of going through buckets in order,
+# each taken if it fits; a round splits the bucket with the most documents that the one before left over.
+def _round(level: int, docs: str, room: str) -> str:
+    return f"""
+g{level} AS (
+  SELECT source, b{level} AS bucket, CAST(sum(size) AS BIGINT) AS mass, count(*) AS n,
+         CAST(row_number() OVER (PARTITION BY source ORDER BY b{level}) AS BIGINT) AS k
+  FROM {docs} GROUP BY source, b{level}),
+r{level} AS (
+  SELECT source, CAST(0 AS BIGINT) AS k, CAST(-1 AS INTEGER) AS bucket, CAST(0 AS BIGINT) AS n,
+         CAST({room} AS DOUBLE) AS room, false AS taken FROM {'plan' if not level else f'e{level - 1}'}
+  UNION ALL
+  SELECT g.source, g.k, g.bucket, g.n, CASE WHEN g.mass <= r.room THEN r.room - g.mass ELSE r.room END,
+         g.mass <= r.room
+  FROM r{level} r JOIN g{level} g ON g.source IS NOT DISTINCT FROM r.source AND g.k = r.k + 1),
+e{level} AS (
+  SELECT source, min(room) AS room,
+         arg_min(bucket, row(-n, bucket)) FILTER (bucket >= 0 AND NOT taken) AS pick FROM r{level} GROUP BY source)"""
+
+
+_DOCS_OF = """
+d{1} AS (SELECT d.* FROM {0} d JOIN e{2} e ON d.source IS NOT DISTINCT FROM e.source AND d.b{2} = e.pick)"""
+
+SOURCE_MIX = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST(('0x' || substr(h, 1, 3)) AS INTEGER) AS b0, CAST(('0x' || substr(h, 4, 3)) AS INTEGER) AS b1,
+         CAST(('0x' || substr(h, 7, 3)) AS INTEGER) AS b2
+  FROM (SELECT *, md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents)),
+src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3.0e0 * sum(size) AS lim,
+         [5.0e0, 2.0e0, 1.0e0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM docs GROUP BY source),
+ord AS (
+  SELECT *, sum(lim) OVER w AS capped, sum(weight) OVER () - sum(weight) OVER w AS rest,
+         sum(source_size) OVER () AS total,
+         lead(lim / weight) OVER (ORDER BY lim / weight, source NULLS LAST) AS next_ratio
+  FROM src WINDOW w AS (ORDER BY lim / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+lvl AS (
+  SELECT min(level) AS level FROM (
+    SELECT (total - capped) / rest AS level, lim / weight AS ratio, next_ratio FROM ord WHERE rest > 1e-9
+    UNION ALL SELECT total / (SELECT sum(weight) FROM src), 0, (SELECT min(lim / weight) FROM src)
+    FROM (SELECT max(total) AS total FROM ord)) WHERE level BETWEEN ratio - 1e-9 AND next_ratio + 1e-9),
+tgt AS (
+  SELECT source, source_size, least(coalesce((SELECT level FROM lvl), 1e300) * weight, lim) AS target FROM src),
+plan AS (
+  SELECT *, CAST(floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS BIGINT) AS whole FROM tgt),
+{_round(0, 'docs', 'target - whole * source_size')},{_DOCS_OF.format('docs', 1, 0)},{_round(1, 'd1', 'room')},
+{_DOCS_OF.format('d1', 2, 1)},{_round(2, 'd2', 'room')},
+more AS (
+  SELECT d.doc_id, d.source, d.b0, d.b1, d.b2 FROM docs d JOIN r0 ON r0.taken AND d.source IS NOT DISTINCT FROM r0.source AND d.b0 = r0.bucket
+  UNION
+  SELECT d.doc_id, d.source, d.b0, d.b1, d.b2 FROM d1 d JOIN r1 ON r1.taken AND d.source IS NOT DISTINCT FROM r1.source AND d.b1 = r1.bucket
+  UNION
+  SELECT d.doc_id, d.source, d.b0, d.b1, d.b2 FROM d2 d JOIN r2 ON r2.taken AND d.source IS NOT DISTINCT FROM r2.source AND d.b2 = r2.bucket)
+SELECT d.doc_id, d.size, p.source_size, p.target,
+       CAST(d.size * (p.whole + CASE WHEN m.b0 IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS taken
+FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+LEFT JOIN more m ON d.doc_id IS NOT DISTINCT FROM m.doc_id AND d.source IS NOT DISTINCT FROM m.source"""

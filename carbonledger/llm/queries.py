@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scoped
 from . import (bpe, chat_pairs, clean_rules, cover_tree, host_reputation, impact_search, line_dedup, lm_mixing,
                mixing, oracles, quality_model, simhash, turn_repair, warc)
 from .common import table, unsigned_crc_mod
@@ -111,48 +112,15 @@ QUERIES = {
     "op13_turn_repair": op13_turn_repair,
 }
 
+QUERIES = {name: scoped(query) for name, query in QUERIES.items()}  # tables that no result reads are deleted
+
 _WORDS = r"len(regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+'))"
 
 ORACLE: dict[str, str] = {
     "op11_impact_search": oracles.IMPACT_SEARCH,
     "op12_host_reputation": oracles.HOST_REPUTATION,
     "op13_turn_repair": oracles.TURN_REPAIR,
-    # The water level: capped sources are those whose limit per weight is smallest; the level that lies between
-    # the last capped and the first free source of that order is the answer.
-    "op9_source_mix": f"""
-WITH docs AS (
-  SELECT doc_id, source, CAST({_WORDS.format('text')} AS BIGINT) AS size,
-         CAST(('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 3)) AS INTEGER) AS bucket
-  FROM documents),
-src AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3.0e0 * sum(size) AS lim,
-         [5.0e0, 2.0e0, 1.0e0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
-  FROM docs GROUP BY source),
-ord AS (
-  SELECT *, sum(lim) OVER w AS capped, sum(weight) OVER () - sum(weight) OVER w AS rest,
-         sum(source_size) OVER () AS total,
-         lead(lim / weight) OVER (ORDER BY lim / weight, source NULLS LAST) AS next_ratio
-  FROM src WINDOW w AS (ORDER BY lim / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
-lvl AS (
-  SELECT min(level) AS level FROM (
-    SELECT (total - capped) / rest AS level, lim / weight AS ratio, next_ratio FROM ord WHERE rest > 1e-9
-    UNION ALL SELECT total / (SELECT sum(weight) FROM src), 0, (SELECT min(lim / weight) FROM src)
-    FROM (SELECT max(total) AS total FROM ord)) WHERE level BETWEEN ratio - 1e-9 AND next_ratio + 1e-9),
-tgt AS (
-  SELECT source, source_size, least(coalesce((SELECT level FROM lvl), 1e300) * weight, lim) AS target FROM src),
-plan AS (
-  SELECT *, CAST(floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS BIGINT) AS whole FROM tgt),
-buckets AS (
-  SELECT source, bucket, mass, coalesce(sum(mass) OVER (PARTITION BY source ORDER BY bucket
-         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM (SELECT source, bucket, sum(size) AS mass FROM docs GROUP BY source, bucket)),
-cuts AS (
-  SELECT b.source, max(bucket) + 1 AS cut_bucket FROM buckets b JOIN plan p ON b.source IS NOT DISTINCT FROM p.source
-  WHERE before + mass / 2.0e0 <= target - whole * source_size GROUP BY b.source)
-SELECT d.doc_id, d.size, p.source_size, p.target,
-       CAST(d.size * (p.whole + CASE WHEN d.bucket < coalesce(c.cut_bucket, 0) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
-LEFT JOIN cuts c ON d.source IS NOT DISTINCT FROM c.source""",
+    "op9_source_mix": oracles.SOURCE_MIX,
     "op2_preference_pairs": """
 WITH t AS (SELECT conv_id, turn, role, text FROM conversations),
 last AS (
