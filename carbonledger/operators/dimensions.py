@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_sentinel, is_blank
 from .keys import sequential_index
+from .registry import register_keys
 
 
 def pool(frames: Sequence[DataFrame], columns: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
@@ -19,7 +20,8 @@ def pool(frames: Sequence[DataFrame], columns: Sequence[Sequence[str]], names: S
 
 
 def build_dimension(values: DataFrame, key: str, blank_policy: str = "drop", sentinel: str = "NULL",
-                    order_cols: Sequence[str] | None = None, bounded: bool = False) -> DataFrame:
+                    order_cols: Sequence[str] | None = None, bounded: bool = False,
+                    registry: str | None = None) -> DataFrame:
     """Distinct rows of ``values`` with a dense ``key`` 1..n in sort order.
 
     ``blank_policy``: ``"drop"`` removes rows where any column is null/blank,
@@ -27,6 +29,8 @@ def build_dimension(values: DataFrame, key: str, blank_policy: str = "drop", sen
     model), ``"keep"`` keeps them as they are.  ``bounded``: the values come
     from a domain of fixed size (labels, calendar days, a gazetteer), so the
     distinct values are numbered by one window instead of a range partitioning.
+    ``registry``: path of a key registry (``operators.registry``); values it holds
+    keep their key over builds, and the dimension is the whole registry.
     """
     cols = values.columns
     if blank_policy == "drop":
@@ -36,6 +40,8 @@ def build_dimension(values: DataFrame, key: str, blank_policy: str = "drop", sen
         values = values.select(*[blank_to_sentinel(F.col(c), sentinel).alias(c) for c in cols])
     elif blank_policy != "keep":
         raise ValueError(f"unknown blank_policy {blank_policy!r}")
+    if registry:
+        return register_keys(values, registry, key)
     distinct = values.distinct()
     if bounded:
         order = [F.col(c).asc_nulls_last() for c in (order_cols or cols)]

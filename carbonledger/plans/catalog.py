@@ -448,6 +448,21 @@ def _dim_mission_type(m):
     return star.dim_mission_type(m)
 
 
+@register("stable_date_keys", """
+WITH o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL),
+s AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem WHERE l_shipdate IS NOT NULL)
+SELECT row_number() OVER (ORDER BY d) AS date_id, d AS date FROM o
+UNION ALL
+SELECT (SELECT count(*) FROM o) + row_number() OVER (ORDER BY d), d FROM s WHERE d NOT IN (SELECT d FROM o)""")
+def _stable_dates(m):
+    """Date keys of two builds on one registry: the days of the orders first, then with those of the purchases."""
+    path = scratch_folder(m.spark, "registry")
+    days = m.table("orders").select(F.to_date("o_orderdate").alias("date"))
+    build_dimension(days, "date_id", registry=path)
+    more = days.unionByName(m.table("lineitem").select(F.to_date("l_shipdate").alias("date")))
+    return build_dimension(more, "date_id", registry=path)
+
+
 # --- D8, D9 facts -----------------------------------------------------------
 _DATES = """dd AS (SELECT row_number() OVER (ORDER BY d) AS date_id, d AS date FROM (
   SELECT CAST(o_orderdate AS DATE) AS d FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem) u

@@ -19,14 +19,22 @@ from ..sources.sinks import save_parquet
 from .model import DriverModel, Window
 
 
-def dim_date(m: DriverModel) -> DataFrame:
-    """Calendar days of orders and purchases (at most one row per day of the calendar)."""
+def _kept(registry: str | None, name: str) -> str | None:
+    return f"{registry}/{name}" if registry else None
+
+
+def dim_date(m: DriverModel, registry: str | None = None) -> DataFrame:
+    """Calendar days of orders and purchases (at most one row per day of the calendar).
+
+    ``registry`` (here and below): folder of key registries, so that keys outlive a build.
+    """
     o = m.table("orders").select(F.to_date("o_orderdate").alias("d"))
     li = m.table("lineitem").select(F.to_date("l_shipdate").alias("d"))
-    return build_dimension(pool([o, li], [["d"], ["d"]], ["date"]), "date_id", blank_policy="drop", bounded=True)
+    return build_dimension(pool([o, li], [["d"], ["d"]], ["date"]), "date_id", blank_policy="drop", bounded=True,
+                           registry=_kept(registry, "dimension_date"))
 
 
-def dim_location(m: DriverModel, trips: DataFrame | None = None) -> DataFrame:
+def dim_location(m: DriverModel, trips: DataFrame | None = None, registry: str | None = None) -> DataFrame:
     """Departure and destination places of the trips (distinct routes first, then names).
 
     ``trips``: the materialised trips with their travellers, where a build has
@@ -34,7 +42,8 @@ def dim_location(m: DriverModel, trips: DataFrame | None = None) -> DataFrame:
     """
     r = m.named_routes(m.routes(trips=trips))
     places = pool([r, r], [["dep_city", "dep_country"], ["dst_city", "dst_country"]], ["city", "country"])
-    return build_dimension(places, "location_id", blank_policy="drop", bounded=True)
+    return build_dimension(places, "location_id", blank_policy="drop", bounded=True,
+                           registry=_kept(registry, "dimension_place"))
 
 
 def dim_transport(m: DriverModel) -> DataFrame:
@@ -52,7 +61,16 @@ def trips_once(m: DriverModel, window: Window = None) -> DataFrame:
         "is_return", F.monotonically_increasing_id().alias("__tie")))
 
 
-def fact_mission(m: DriverModel, window: Window = None, trips: DataFrame | None = None) -> DataFrame:
+def label_dimensions(trips: DataFrame, registry: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(transports, mission types) of the materialised trips."""
+    return (build_dimension(trips.select("transport"), "transport_id", bounded=True,
+                            registry=_kept(registry, "dimension_transport")),
+            build_dimension(trips.select("mission_type"), "type_id", bounded=True,
+                            registry=_kept(registry, "dimension_mission_type")))
+
+
+def fact_mission(m: DriverModel, window: Window = None, trips: DataFrame | None = None,
+                 registry: str | None = None) -> DataFrame:
     """person LEFT JOIN missions (people without a trip keep one row of nulls), with the keys of five dimensions:
     date, mission type, transport, departure and destination.
 
@@ -63,10 +81,9 @@ def fact_mission(m: DriverModel, window: Window = None, trips: DataFrame | None
     tables of fixed size and are broadcast.
     """
     mis = trips if trips is not None else trips_once(m, window)
-    tr = build_dimension(mis.select("transport"), "transport_id", bounded=True)
-    ty = build_dimension(mis.select("mission_type"), "type_id", bounded=True)
-    day = dim_date(m).withColumnRenamed("date", "mission_date")
-    loc, names = dim_location(m, mis), m.locations().select("location_id", "city", "country")
+    tr, ty = label_dimensions(mis, registry)
+    day = dim_date(m, registry).withColumnRenamed("date", "mission_date")
+    loc, names = dim_location(m, mis, registry), m.locations().select("location_id", "city", "country")
     place = names.withColumnRenamed("location_id", "__natural").join(loc, ["city", "country"]).select(
         "__natural", "location_id")
     here = place.select(F.col("__natural").alias("home_location_id"), F.col("location_id").alias("dep_location_id"))
@@ -105,7 +122,8 @@ def people_without_trips(m: DriverModel, window: Window) -> DataFrame:
         "site_id", "person_id")
 
 
-def write_star_schema(m: DriverModel, out_dir: str, window: Window = None, overwrite: bool = True) -> list[str]:
+def write_star_schema(m: DriverModel, out_dir: str, window: Window = None, overwrite: bool = True,
+                      registry: str | None = None) -> list[str]:
     """Write the dimensions and both facts under ``out_dir``; returns the table names.
 
     The trips are joined once and feed the transport and mission type
@@ -114,23 +132,24 @@ def write_star_schema(m: DriverModel, out_dir: str, window: Window = None, overw
     gazetteer under its natural key, which the questions use.  Facts are
     partitioned by site and month, so ``StarModel`` questions prune directories
     by site and period.  The materialised intermediate tables are deleted at the
-    end.
+    end.  With ``registry`` (a durable folder) a value keeps its key from one
+    build to the next.
     """
     with table_scope(m.spark):
         trips = trips_once(m, window)
-        fact = fact_mission(m, window, trips)
+        fact = fact_mission(m, window, trips, registry)
         natural = m.locations().select(F.col("location_id").alias("dst_natural_id"), "city", "country")
-        places = dim_location(m, trips)
+        places, (transports, types) = dim_location(m, trips, registry), label_dimensions(trips, registry)
         place = places.join(natural, ["city", "country"]).select(
             F.col("location_id").alias("dst_location_id"), "dst_natural_id")
         tables = {
             "dimension_site": (m.sites(), ()),
             "dimension_location": (m.locations(), ()),
             "dimension_place": (places, ()),
-            "dimension_date": (dim_date(m), ()),
+            "dimension_date": (dim_date(m, registry), ()),
             "dimension_person": (m.persons(), ()),
-            "dimension_transport": (build_dimension(trips.select("transport"), "transport_id", bounded=True), ()),
-            "dimension_mission_type": (build_dimension(trips.select("mission_type"), "type_id", bounded=True), ()),
+            "dimension_transport": (transports, ()),
+            "dimension_mission_type": (types, ()),
             "it_impacts": (m.impacts(), ()),
             "fact_mission": (fact.join(m.small(place), "dst_location_id", "left")
                              .withColumn("year_month", year_month("mission_date")), ("site_id", "year_month")),
