@@ -15,9 +15,10 @@ Every refinement keeps every pair within the radius.
 
 Comparison: a task holds its buckets sorted by key and stores the fingerprints
 as 64 vertical bit planes.  All fingerprints are compared with their s-th
-successor at once, s = 1, 2, ...: the planes' differences are added into three
-carry-save counters (ones, twos, overflow), one bit per pair; a block of pairs
-is abandoned as soon as all its counters exceed the radius.
+successor at once, s = 1, 2, ...: the planes, 64 fingerprints to a word, are
+moved by s lanes, and their differences are added into three carry-save counters
+(ones, twos, overflow), one bit per pair; a block of pairs is abandoned as soon as
+all its counters exceed the radius.
 
 Links of a bucket are reported as (fingerprint, linked fingerprint) between
 distinct fingerprints only, and components are contracted by
@@ -46,6 +47,7 @@ from .components import connected_components, spanning_links
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
 BUCKET = 256
+SETTLE = 1 << 18  # pairs of a batch that a task holds at a time
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _LOWER = {c: c + 32 for c in range(65, 91)}
 _VOTES = 1 << 16  # shingle hashes unpacked at a time
@@ -90,49 +92,66 @@ def fingerprint_udf(n: int = SHINGLE, seed: int = SEED):
 # --- bit-sliced comparison --------------------------------------------------------------------------------------
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
-    """64 rows; row b holds bit b of every fingerprint, as booleans packed eight to a byte by ``_pack``."""
+    """64 rows; row b holds bit b of every fingerprint, 64 fingerprints to a word (with a spare word at the end)."""
     bits = np.unpackbits(fps.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-    return np.ascontiguousarray(bits.T)
+    words = -(-len(fps) // 64) + 1
+    rows = np.zeros((64, words * 8), np.uint8)
+    rows[:, :-(-len(fps) // 8)] = np.packbits(bits.T, axis=1, bitorder="little")
+    return rows.view("<u8")
 
 
-def links_within(fps: np.ndarray, key: np.ndarray, radius: int = RADIUS, block: int = 4096
+def _ahead(planes: np.ndarray, shift: int, words: int) -> np.ndarray:
+    """The planes moved by ``shift`` lanes: lane i holds what lane i + shift held; ``words`` words of each."""
+    by, bits = divmod(shift, 64)
+    low = planes[:, by:by + words]
+    if not bits:
+        return low
+    return (low >> np.uint64(bits)) | (planes[:, by + 1:by + 1 + words] << np.uint64(64 - bits))
+
+
+def links_within(fps: np.ndarray, key: np.ndarray, radius: int = RADIUS, settle: int | None = None
                  ) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j) with equal key and at most ``radius`` (0 to 2) differing bits; ``key`` is sorted."""
+    """Index pairs (i, j) with equal key and at most ``radius`` (0 to 2) differing bits; ``key`` is sorted.
+
+    With ``settle`` the pairs found so far are replaced by (member, smallest of
+    its linked set) whenever there are more than that many, so that a batch of
+    dense buckets holds few pairs at a time; components stay the same.
+    """
     planes, n = bit_planes(fps), len(fps)
-    out_i, out_j = [], []
-    left = np.arange(n)
-    shift = 1
-    while True:
-        left = left[left + shift < n]
-        left = left[key[left] == key[left + shift]]  # a bucket's members are neighbours
-        if not len(left):
-            break
-        for at in range(0, len(left), block):
-            i = left[at:at + block]
-            hit = _within(planes, i, i + shift, radius)
-            out_i.append(i[hit])
-            out_j.append(i[hit] + shift)
-        shift += 1
-    empty = np.zeros(0, np.int64)
-    return (np.concatenate(out_i), np.concatenate(out_j)) if out_i else (empty, empty)
-
-
-def _within(planes: np.ndarray, i: np.ndarray, j: np.ndarray, radius: int) -> np.ndarray:
-    """For pairs (i, j): distance <= radius, by carry-save counters over the vertical planes."""
-    lanes = len(i)
-    width = (lanes + 7) // 8
-    ones, twos, over = (np.zeros(width, np.uint8) for _ in range(3))
+    after = np.searchsorted(key, key, side="right") - np.arange(n) if n else np.zeros(0, int)  # to the bucket's end
+    found, held = [np.zeros((2, 0), np.int64)], 0
+    for shift in range(1, int(after.max(initial=0))):
+        inside = after > shift
+        last = int(np.flatnonzero(inside)[-1]) + 1
+        hit = _within(planes, shift, inside[:last], radius)
+        if len(hit):
+            found.append(np.stack([hit, hit + shift]))
+            held += len(hit)
+            if settle and held > settle:
+                found = [np.stack(spanning_links(n, *np.concatenate(found, axis=1)))]
+                held = 0
+    return tuple(np.concatenate(found, axis=1))
+
+
+def _within(planes: np.ndarray, shift: int, inside: np.ndarray, radius: int) -> np.ndarray:
+    """Lanes i among ``inside`` whose fingerprint is within ``radius`` of lane i + shift's, by carry-save counters
+    over the vertical planes."""
+    words = -(-len(inside) // 64)
+    planes = np.pad(planes, ((0, 0), (0, max(0, shift // 64 + 1 + words - planes.shape[1]))))
+    lanes = np.zeros(words * 8, np.uint8)
+    lanes[:-(-len(inside) // 8)] = np.packbits(inside, bitorder="little")
+    lanes = lanes.view("<u8")
+    ones, twos, over = (np.zeros(words, np.uint64) for _ in range(3))
     for at in range(0, 64, 8):
-        diff = np.packbits(planes[at:at + 8][:, i] ^ planes[at:at + 8][:, j], axis=1)
-        for d in diff:
+        for d in planes[at:at + 8, :words] ^ _ahead(planes[at:at + 8], shift, words):
             carry = ones & d
             ones ^= d
             over |= twos & carry
             twos |= carry
-        exceeded = over | {0: ones | twos, 1: twos, 2: ones & twos}[radius]
-        if np.all(np.unpackbits(exceeded, count=lanes)):
-            return np.zeros(lanes, bool)  # the whole block is beyond the radius
-    return np.unpackbits(exceeded, count=lanes) == 0
+        near = lanes & ~(over | {0: ones | twos, 1: twos, 2: ones & twos}[radius])
+        if not near.any():
+            return np.zeros(0, np.int64)  # the whole block is beyond the radius
+    return np.flatnonzero(np.unpackbits(near.view(np.uint8), bitorder="little"))
 
 
 # --- candidates -------------------------------------------------------------------------------------------------
@@ -216,7 +235,7 @@ def _found(pdf: pd.DataFrame, radius: int, all_pairs: bool) -> pd.DataFrame:
     fps = pdf["fp"].to_numpy(np.int64)
     pair = pdf[["mask", "key"]].to_numpy(np.int64)
     key = np.concatenate([[0], np.cumsum(np.any(pair[1:] != pair[:-1], axis=1))])
-    i, j = links_within(fps.view(np.uint64), key, radius)
+    i, j = links_within(fps.view(np.uint64), key, radius, None if all_pairs else SETTLE)
     if not all_pairs:
         i, j = spanning_links(len(fps), i, j)
     return pd.DataFrame({"a": np.minimum(fps[i], fps[j]), "b": np.maximum(fps[i], fps[j])})
