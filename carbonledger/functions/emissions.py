@@ -3,13 +3,13 @@
 A factor set (``fixed.SET_A`` / ``fixed.SET_B``) is compiled to a single
 ``CASE WHEN`` column: no Python UDF, so predicates and projections on the result
 stay inside whole-stage codegen and Catalyst can push filters below it.  For a
-large, data-supplied factor table ``factor_table`` + ``emissions_by_join`` use a
-broadcast join with the band as a residual predicate instead.
+large, data-supplied factor table ``factor_table`` + ``emissions_by_join`` look the
+band up in an interval index per mode.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,26 +97,75 @@ def factor_table(spark: SparkSession, *sets: str) -> DataFrame:
     return spark.createDataFrame(rows, FACTOR_SCHEMA)
 
 
+MANY_BANDS = 100_000  # broadcast up to so many (a band is some 50 bytes)
+
+
+def _edges(factors: DataFrame) -> DataFrame:
+    """Bands as half-open ranges of (km, 0 at the value or 1 just above it), whatever their ends include."""
+    low = F.struct(F.coalesce("km_lo", F.lit(float("-inf"))).alias("km"),
+                   F.when(F.col("lo_closed") | F.col("km_lo").isNull(), 0).otherwise(1).alias("above"))
+    high = F.struct(F.coalesce("km_hi", F.lit(float("inf"))).alias("km"),
+                    F.when(F.col("hi_closed") | F.col("km_hi").isNull(), 1).otherwise(0).alias("above"))
+    return factors.select("mode", low.alias("low"), high.alias("high"), "add_km", "mul", "factor")
+
+
+def band_problems(factors: DataFrame) -> DataFrame:
+    """(mode, problem, km): overlaps, gaps and empty bands of one factor set; a gap only between two bands."""
+    e = _edges(factors)
+    w = Window.partitionBy("mode").orderBy("low", "high")
+    reached = F.max("high").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    p = e.withColumn("before", reached)
+    kind = (F.when(F.col("high") <= F.col("low"), "empty").when(F.col("low") < F.col("before"), "overlap")
+            .when(F.col("low") > F.col("before"), "gap"))
+    return p.select("mode", kind.alias("problem"), F.col("low.km").alias("km")).filter("problem IS NOT NULL")
+
+
+def band_index(factors: DataFrame) -> DataFrame:
+    """(mode, lows, bands): each mode's bands in order, their lower edges apart for searching."""
+    e = _edges(factors).groupBy("mode").agg(F.array_sort(F.collect_list(F.struct(
+        "low", "high", "add_km", "mul", "factor"))).alias("bands"))
+    return e.select("mode", F.col("bands.low").alias("lows"), "bands")
+
+
 def emissions_by_join(df: DataFrame, factors: DataFrame, mode: str, tier_km: str, value_km: str | None = None,
                       out: str = "emission", default: float | None = None) -> DataFrame:
-    """Join form: equi-join on the mode, band as residual predicate; a left join keeps unmatched rows.
+    """Join form for factor tables of any number of bands; a left join keeps unmatched rows.
 
-    ``factors`` holds one factor set.  It is a parameter table (a few rows per
-    mode, bounded by the number of modes x bands), so it is broadcast and the
-    band test runs as the join condition of a broadcast hash join.
+    ``factors`` holds one factor set.  It is checked first: bands that overlap
+    would give a trip two factors, so they are an error (``band_problems`` names
+    them; gaps are allowed and give the default).  A trip meets its mode's row of
+    the index and finds its band by binary search over the lower edges, so its
+    cost grows with the logarithm of the number of bands.
     """
+    bad = band_problems(factors).filter("problem = 'overlap'").limit(3).collect()
+    if bad:
+        raise ValueError("overlapping bands: " + ", ".join(f"{r.mode} at {r.km} km" for r in bad))
     value_km = value_km or tier_km
-    f = factors.select(F.col("mode").alias("__mode"), "km_lo", "km_hi", "lo_closed", "hi_closed", "add_km", "mul",
-                       "factor")
-    tier = F.col(tier_km)
-    lo_ok = F.col("km_lo").isNull() | F.when(F.col("lo_closed"), tier >= F.col("km_lo")).otherwise(tier > F.col("km_lo"))
-    hi_ok = F.col("km_hi").isNull() | F.when(F.col("hi_closed"), tier <= F.col("km_hi")).otherwise(tier < F.col("km_hi"))
-    from ..operators.broadcast import fixed_broadcast
-    joined = df.join(fixed_broadcast(f), (F.col(mode) == F.col("__mode")) & lo_ok & hi_ok, "left")
-    val = F.col("factor") * ((F.col(value_km) + F.col("add_km")) * F.col("mul"))
-    result = F.when(F.col("__mode").isNotNull(), val).otherwise(F.lit(default).cast("double"))
-    return joined.withColumn(out, result).drop("__mode", "km_lo", "km_hi", "lo_closed", "hi_closed", "add_km",
-                                                 "mul", "factor")
+    n = factors.count()
+    index = band_index(factors).select(F.col("mode").alias("__mode"), F.col("lows").alias("__lows"),
+                                       F.col("bands").alias("__bands"))
+    if n <= MANY_BANDS:
+        index = F.broadcast(index)
+    at = F.struct(F.col(tier_km).cast("double").alias("km"), F.lit(0).alias("above"))
+
+    def halve(range_: Column, _) -> Column:
+        """The last band whose lower edge is not above the trip lies in first..last (first is 0: none)."""
+        middle = F.floor((range_["first"] + range_["last"] + 1) / 2).cast("int")
+        right = F.get("__lows", middle - 1) <= F.col("__at")
+        return F.when(range_["first"] >= range_["last"], range_).when(
+            right, F.struct(middle.alias("first"), range_["last"].alias("last"))).otherwise(
+            F.struct(range_["first"].alias("first"), (middle - 1).alias("last")))
+
+    start = F.struct(F.lit(0).alias("first"), F.size("__lows").alias("last"))
+    steps = F.sequence(F.lit(1), F.lit(max(1, n.bit_length())))
+    found = F.aggregate(steps, start, halve)["first"]
+    joined = (df.join(index, F.col(mode) == F.col("__mode"), "left").withColumn("__at", at)
+              .withColumn("__band", F.when(F.col("__mode").isNotNull() & F.col(tier_km).isNotNull(),
+                                           F.get("__bands", found - 1))))
+    inside = F.col("__at") < F.col("__band.high")
+    val = F.col("__band.factor") * ((F.col(value_km) + F.col("__band.add_km")) * F.col("__band.mul"))
+    result = F.when(inside, val).otherwise(F.lit(default).cast("double"))
+    return joined.withColumn(out, result).drop("__mode", "__lows", "__bands", "__at", "__band")
 
 
 def canonical_transport(col) -> Column:

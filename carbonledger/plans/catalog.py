@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed
-from ..functions.emissions import emission, emissions_by_join, factor_table
-from ..functions.geo import geodesic_sql
+from ..functions.emissions import FACTOR_SCHEMA, emission, emissions_by_join, factor_table
+from ..functions.geo import geodesic_exact_km, geodesic_sql
 from ..functions.rules import apply_rules_by_join
 from ..functions.text import parse_place
+from ..operators.bitmaps import bitmap_cells, count_keys
 from ..operators.broadcast import fixed_broadcast
 from ..operators.dimensions import build_dimension
 from ..operators.fill import fill_nulls_by_key, new_rows
@@ -36,6 +37,7 @@ from . import oracle_text as text
 from . import questions as q
 from . import star
 from .model import DriverModel, ModelSQL
+from .refresh import TripStore
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -375,6 +377,125 @@ def _d5a_join(m):
                     F.round("carbon_kg", 4).alias("carbon_kg"))
 
 
+def _sliced(m, km: float = 2.0, most: float = 20_040.0):
+    """Factor set A with every band cut into slices of ``km`` (some 40,000 bands); the factors stay."""
+    rows = []
+    for b in fixed.FACTOR_SETS["A"].bands:
+        low, high = b.lo or 0.0, most if b.hi is None else b.hi
+        cuts = [low + km * i for i in range(1, int((high - low) / km))]
+        ends = [(b.lo, b.lo_closed), *[(c, True) for c in cuts]], [*[(c, False) for c in cuts], (b.hi, b.hi_closed)]
+        rows += [("A", b.mode, lo, hi, lc, hc, float(b.add_km), float(b.mul), b.factor)
+                 for (lo, lc), (hi, hc) in zip(*ends)]
+    return m.spark.createDataFrame(rows, FACTOR_SCHEMA)
+
+
+@register("mission_emissions_many_bands", f"""
+WITH {S.enriched_ctes()}
+SELECT mission_key, leg, transport, round(carbon_kg, 4) AS carbon_kg FROM em""")
+def _d5a_bands(m):
+    """Set A in slices of two kilometres: the same emissions through an index of tens of thousands of bands."""
+    e = mission_distance(m.enriched_missions()).drop("carbon_kg")
+    e = emissions_by_join(e, _sliced(m), "transport", "km_one_way", "distance_km", "carbon_kg", 0.0)
+    return e.select("mission_key", "leg", "transport", F.round("carbon_kg", 4).alias("carbon_kg"))
+
+
+# --- D2 geodesic for any two points ---------------------------------------------------
+_A, _F = repr(fixed.WGS84_A_KM), repr(fixed.WGS84_F)
+_EXACT_STEP = f"""
+  SELECT *, atan2(lead_ * sin(s2), cos(s2)) - atan2(lead_ * sin(s1), cos(s1))
+         - (1 - c) * {_F} * lead_ * (arc + c * sin(arc) * (cos(s1 + s2) + c * cos(arc) * (2 * pow(cos(s1 + s2), 2) - 1))) AS longitude
+  FROM (SELECT *, s2 - s1 AS arc, {_F} / 16 * (1 - lead_ * lead_) * (4 + {_F} * (4 - 3 * (1 - lead_ * lead_))) AS c
+    FROM (SELECT *, atan2(sin(b1), cos(az) * cos(b1)) AS s1,
+                 atan2(sin(b2), sqrt(greatest(0.0e0, pow(cos(az) * cos(b1), 2) + (pow(cos(b2), 2) - pow(cos(b1), 2))))) AS s2
+      FROM (SELECT *, sin(az) * cos(b1) AS lead_ FROM (SELECT *, (low + high) / 2 AS az FROM {{0}}) a1) a2) a3) a4"""
+
+
+@register("route_distance_exact", f"""
+WITH RECURSIVE loc AS ({S.locations()}), r AS (SELECT DISTINCT p.home_location_id AS dep, m.dst_location_id AS dst
+  FROM ({S.missions()}) m JOIN ({S.persons()}) p ON m.person_id = p.person_id),
+ends AS (
+  SELECT dep, dst, false AS opposite, d.lat AS lat1, d.lon AS lon1, a.lat AS lat2, a.lon AS lon2
+  FROM r JOIN loc d ON r.dep = d.location_id JOIN loc a ON r.dst = a.location_id
+  UNION ALL
+  SELECT dep, dst, true, d.lat, d.lon, -d.lat + a.lat / 100, d.lon + 180 - a.lat / 50
+  FROM r JOIN loc d ON r.dep = d.location_id JOIN loc a ON r.dst = a.location_id),
+reduced AS (
+  SELECT dep, dst, opposite, atan((1 - {_F}) * tan(radians(lat1))) AS u, atan((1 - {_F}) * tan(radians(lat2))) AS v,
+         abs(radians(lon2) - radians(lon1)) % (2 * pi()) AS t FROM ends),
+points AS (
+  SELECT dep, dst, opposite, CASE WHEN first > 0 THEN -first ELSE first END AS b1,
+         CASE WHEN first > 0 THEN -other ELSE other END AS b2, turn
+  FROM (SELECT *, CASE WHEN abs(u) < abs(v) THEN v ELSE u END AS first, CASE WHEN abs(u) < abs(v) THEN u ELSE v END AS other,
+               CASE WHEN t > pi() THEN 2 * pi() - t ELSE t END AS turn FROM reduced)),
+halved AS (
+  SELECT dep, dst, opposite, b1, b2, turn, 0.0e0 AS low, pi() AS high, 0 AS n FROM points
+  UNION ALL
+  SELECT dep, dst, opposite, b1, b2, turn, CASE WHEN longitude < turn THEN az ELSE low END,
+         CASE WHEN longitude < turn THEN high ELSE az END, n + 1
+  FROM ({_EXACT_STEP.format('halved')}) WHERE n < 64),
+ready AS (
+  SELECT *, (1 - lead_ * lead_) * (pow({_A}, 2) - pow({_A} * (1 - {_F}), 2)) / pow({_A} * (1 - {_F}), 2) AS k, cos(s1 + s2) AS mid
+  FROM ({_EXACT_STEP.format('(SELECT * FROM halved WHERE n = 64)')})),
+measured AS (
+  SELECT *, {_A} * (1 - {_F}) * (1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))) * (arc
+    - small * sin(arc) * (mid + small / 4 * (cos(arc) * (2 * mid * mid - 1)
+      - small / 6 * mid * (4 * pow(sin(arc), 2) - 3) * (4 * mid * mid - 3)))) AS km
+  FROM (SELECT *, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS small FROM ready))
+SELECT d.city AS dep_city, a.city AS dst_city, opposite,
+       round(CASE WHEN b1 = b2 AND turn = 0 THEN 0.0e0 ELSE km END, 4) AS km
+FROM measured JOIN loc d ON dep = d.location_id JOIN loc a ON dst = a.location_id""")
+def _d2_exact(m):
+    """Travelled routes, and from each departure to a point nearly opposite, within a metre."""
+    r = m.named_routes(m.routes()).select("dep_city", "dst_city", F.col("__dlat").alias("lat1"), F.col("__dlon").alias("lon1"),
+                                          F.col("__alat").alias("lat2"), F.col("__alon").alias("lon2"))
+    far = r.select("dep_city", "dst_city", F.lit(True).alias("opposite"), "lat1", "lon1",
+                   (-F.col("lat1") + F.col("lat2") / 100).alias("lat2"),
+                   (F.col("lon1") + 180 - F.col("lat2") / 50).alias("lon2"))
+    both = r.withColumn("opposite", F.lit(False)).unionByName(far)
+    return both.select("dep_city", "dst_city", "opposite",
+                       F.round(geodesic_exact_km("lat1", "lon1", "lat2", "lon2"), 4).alias("km"))
+
+
+# --- A2 distinct people from bitmaps ----------------------------------------------------
+@register("distinct_travellers", f"""
+WITH per AS ({S.persons()}), mis AS ({S.missions()}),
+t AS (SELECT p.person_id, CAST(p.site_id AS VARCHAR) AS site_id, p.job_function, strftime(m.mission_date, '%Y-%m') AS year_month
+      FROM mis m JOIN per p ON m.person_id = p.person_id)
+SELECT 'site' AS kind, site_id AS value, count(DISTINCT person_id) AS travellers FROM t GROUP BY site_id
+UNION ALL SELECT 'function', job_function, count(DISTINCT person_id) FROM t GROUP BY job_function
+UNION ALL SELECT 'month', year_month, count(DISTINCT person_id) FROM t GROUP BY year_month
+UNION ALL SELECT 'all', 'all', count(DISTINCT person_id) FROM t""")
+def _a2_bitmaps(m):
+    """Distinct travellers per site, function, month and in all, from one stored table of bitmaps."""
+    trips = m.missions(people=m.persons().select("person_id", "site_id", "job_function"), places=False).select(
+        "person_id", F.col("site_id").cast("string").alias("site_id"), "job_function",
+        F.date_format("mission_date", "yyyy-MM").alias("year_month"))
+    cells = reliable_checkpoint(bitmap_cells(trips, ["site_id", "job_function", "year_month"], "person_id"))
+    parts = [count_keys(cells, [c], "travellers").select(F.lit(kind).alias("kind"), F.col(c).alias("value"), "travellers")
+             for kind, c in (("site", "site_id"), ("function", "job_function"), ("month", "year_month"))]
+    total = count_keys(cells, [], "travellers").select(F.lit("all").alias("kind"), F.lit("all").alias("value"), "travellers")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(total)
+
+
+# --- S6 / D8 / A11 incremental refresh ----------------------------------------------------
+@register("refreshed_monthly_totals", f"""
+WITH {S.enriched_ctes()}, mm AS (
+  SELECT CAST(site_id AS VARCHAR) AS site, strftime(mission_date, '%Y-%m') AS year_month,
+         CAST(km_one_way AS DECIMAL(28, 6)) AS km FROM em)
+SELECT CASE WHEN g = 1 THEN 'Global Total' ELSE site END AS site, year_month, n_missions, total_km FROM (
+  SELECT site, year_month, grouping(site) AS g, count(*) AS n_missions, CAST(round(sum(km), 2) AS DOUBLE) AS total_km
+  FROM mm GROUP BY GROUPING SETS ((site, year_month), (year_month))) t""")
+def _refreshed(m):
+    """Monthly totals after three overlapping deliveries of the trips, each rewriting only what it touches."""
+    e = reliable_checkpoint(m.enriched_missions().select("mission_key", "leg", "site_id", "person_id", "mission_date",
+                                                         "transport", "km_one_way", "carbon_kg"))
+    store = TripStore(m.spark, scratch_folder(m.spark, "trips"))
+    for window in ("mission_date < '1996-03-15'", "mission_date BETWEEN '1996-03-01' AND '1997-01-31'",
+                   "mission_date > '1997-01-20' OR mission_date IS NULL"):
+        store.refresh(e.filter(window))
+    return store.monthly_with_global()
+
+
 @register("mission_route_join", f"""
 WITH {S.enriched_ctes()},
 r AS (SELECT DISTINCT dep_city, dep_country, dst_city, dst_country, transport, km_one_way AS km FROM em)
