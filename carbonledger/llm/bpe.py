@@ -227,20 +227,29 @@ def decode(df: DataFrame, vocab: Broadcast, pattern: str, ids: str = "ids", out:
     return df.withColumn(out, run(ids))
 
 
-def round_trip(df: DataFrame, vocab: Broadcast, pattern: str, text: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, vocab: Broadcast, pattern: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
     """Encode, then decode every text, with digests: n_tokens, ids_sha256 (little-endian unsigned 32-bit ids),
-    decoded_sha256, decoded_ok (the decoded bytes are the text's bytes).  All other columns are dropped but
-    doc_id.  Ids stay inside the worker, batch by batch, so nothing is shuffled or kept."""
+    decoded_sha256, decoded_ok (the decoded bytes are the text's bytes), n_split (tokens that begin or end inside a
+    character) and offsets_ok (the tokens' character offsets go through the whole text without a gap).  All other
+    columns are dropped but doc_id, and ``ids`` if asked.  Nothing is shuffled."""
+    kind = ("n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_ok boolean, n_split long, "
+            "offsets_ok boolean" + (", ids array<int>" if keep_ids else ""))
+    names = [x.split()[0] for x in kind.split(", ")]
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_ok boolean")
+    @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = Codec.of(vocab, pattern)
         for texts in batches:
             rows = []
             for t, ids in zip(texts, codec.encode_many(list(texts))):
-                back = codec.decode(ids)
+                back, (first, end) = codec.decode(ids), codec.offsets(t, ids)
+                # A character that several tokens share lies in the offsets of each: they overlap by it.
+                split = first[1:] < end[:-1]
+                whole = bool(len(ids) == 0 or first[0] == 0 and end[-1] == len(t) and (first[1:] + split == end[:-1]).all())
+                n_split = int((np.append(split, False) | np.append(False, split)).sum()) if len(ids) else 0
                 rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                             hashlib.sha256(back).hexdigest(), back == (t or "").encode("utf-8", "surrogatepass")))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "decoded_ok"])
+                             hashlib.sha256(back).hexdigest(), back == (t or "").encode("utf-8", "surrogatepass"),
+                             n_split, whole, *([ids] if keep_ids else [])))
+            yield pd.DataFrame(rows, columns=names)
 
     return df.select("doc_id", run(text).alias("r")).select("doc_id", "r.*")

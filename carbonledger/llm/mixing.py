@@ -10,8 +10,9 @@ weight, but no source may be repeated more than ``max_epochs`` times:
 2. epochs of a source = target / size.  Every document is taken
    floor(epochs) times whole; the fractional rest takes one more copy of a
    seeded part of the documents.  Documents fall into 4096 buckets by a hash of
-   (seed, doc_id); the buckets are gone through in order, and each is taken if
-   it still fits, so one that does not is passed over and the filling goes on.
+   (seed, doc_id); the buckets are gone through in order (those far above the mean
+   first, the largest before the others), and each is taken if it still fits, so
+   one that does not is passed over and the filling goes on.
    Of the buckets left over, the one with the most documents is split by
    further digits of the hash and filled in the same way, and once more
    (``LEVELS``).  A source stays below its target by less than what the smallest
@@ -46,6 +47,7 @@ MAX_EPOCHS = 3
 SEED = 17
 BUCKETS_HEX = 3  # 16**3 = 4096 buckets
 LEVELS = 3
+LARGE = 8  # buckets above so many times the mean go first: they would hardly fit later
 PLAN_ROWS = 20_000  # of a broadcast plan: some 2 KB a source
 
 
@@ -95,7 +97,8 @@ _FILLED = "source string, words array<long>, pick int, room double"
 def fill(pdf: pd.DataFrame) -> pd.DataFrame:
     """Buckets of one source (bucket, mass, n, room) gone through in order; those taken as bits of 64 words, the
     bucket to split next and the room left."""
-    pdf = pdf.sort_values("bucket")
+    large = pdf["mass"] * len(pdf) > LARGE * pdf["mass"].sum()
+    pdf = pdf.assign(first=(-pdf["mass"]).where(large, 0)).sort_values(["first", "bucket"])
     room, words, pick = float(pdf["room"].iloc[0]), np.zeros(16 ** BUCKETS_HEX // 64, np.uint64), (0, None)
     for bucket, mass, n in zip(pdf["bucket"].tolist(), pdf["mass"].tolist(), pdf["n"].tolist()):
         if mass <= room:

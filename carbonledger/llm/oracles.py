@@ -194,10 +194,11 @@ LEFT JOIN turns t ON i.conv_id IS NOT DISTINCT FROM t.conv_id"""
 # each taken if it fits; a round splits the bucket with the most documents that the one before left over.
 def _round(level: int, docs: str, room: str) -> str:
     return f"""
+h{level} AS (
+  SELECT source, b{level} AS bucket, CAST(sum(size) AS BIGINT) AS mass, count(*) AS n FROM {docs} GROUP BY source, b{level}),
 g{level} AS (
-  SELECT source, b{level} AS bucket, CAST(sum(size) AS BIGINT) AS mass, count(*) AS n,
-         CAST(row_number() OVER (PARTITION BY source ORDER BY b{level}) AS BIGINT) AS k
-  FROM {docs} GROUP BY source, b{level}),
+  SELECT source, bucket, mass, n, CAST(row_number() OVER (PARTITION BY source ORDER BY CASE WHEN large THEN -mass ELSE 0 END, bucket) AS BIGINT) AS k
+  FROM (SELECT *, mass * count(*) OVER (PARTITION BY source) > 8 * sum(mass) OVER (PARTITION BY source) AS large FROM h{level})),
 r{level} AS (
   SELECT source, CAST(0 AS BIGINT) AS k, CAST(-1 AS INTEGER) AS bucket, CAST(0 AS BIGINT) AS n,
          CAST({room} AS DOUBLE) AS room, false AS taken FROM {'plan' if not level else f'e{level - 1}'}

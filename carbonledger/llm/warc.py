@@ -21,17 +21,16 @@ map-side first; headers join blobs by digest, where AQE may split a hot digest.
 Defined cases: null html is the empty payload; exact repeats of a row (same
 page_id and url and payload) are separate records of which at most one is the
 response; a null page_id sorts after all others; a null url is written as an
-empty target; an empty table gives an empty archive; extra columns are ignored.
+empty target, and line ends in a url are left out; an empty table gives an empty archive; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_folder
+from .common import cut
 
 #: The RFC 4648 base32 alphabet and the digits of ``conv`` in base 32.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -60,7 +59,8 @@ def build_headers(digested: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
         F.first("sha1").alias("sha1"), F.first("payload_bytes").alias("payload_bytes"),
         F.count(F.lit(1)).alias("n"))
     order = F.struct(F.col("page_id").isNull().alias("z"), F.col("page_id"), F.col("url"))
-    first = rows.groupBy("sha256").agg(F.min(order).alias("first")).withColumnRenamed("sha256", "f_sha256")
+    # Materialised, so that a digest with a large share of the records can be split in the join.
+    first = cut(rows.groupBy("sha256").agg(F.min(order).alias("first")).withColumnRenamed("sha256", "f_sha256"))
     rows = rows.join(first, F.col("sha256") == F.col("f_sha256"))
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
     is_first = (F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.url"))
@@ -129,6 +129,6 @@ def record_bytes() -> Column:
 def archive_pages(pages: DataFrame, path: str | None = None, min_revisit_bytes: int = 0) -> DataFrame:
     """Write ``pages`` as an archive (in the shared checkpoint folder by default) and read it back."""
     spark = pages.sparkSession
-    path = path or f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    path = path or scratch_folder(spark, "warc")
     write_archive(pages, path, min_revisit_bytes)
     return read_archive(spark, path)

@@ -62,6 +62,18 @@ def test_bpe_is_the_rank_encoding(spark, vocab):
         raw = b"".join(i.to_bytes(4, "little") for i in ids)
         assert (got[k].n_tokens, got[k].ids_sha256) == (len(ids), hashlib.sha256(raw).hexdigest())
         assert got[k].decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest() and got[k].decoded_ok
+        assert got[k].offsets_ok
+        pieces = [enc.decode_single_token_bytes(i) for i in ids]
+        at, ends = 0, []
+        for x in pieces:
+            at += len(x)
+            ends.append(at)
+        whole = {len((t or "")[:j].encode()) for j in range(len(t or "") + 1)} if len(ids) < 5000 else set(ends) | {0}
+        assert len(ids) >= 5000 or got[k].n_split == sum(
+            e not in whole or e - len(x) not in whole for x, e in zip(pieces, ends))
+    some = bpe.round_trip(docs_of(spark, EDGE), vocab, public_tokenizers.PATTERN, keep_ids=True).filter(
+        "doc_id = 7").first()
+    assert list(some.ids) == enc.encode_ordinary(EDGE[7]) and some.n_split > 0
 
 
 def test_bpe_query_on_the_table(spark):
