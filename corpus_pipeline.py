@@ -36,10 +36,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the mixed documents: one row per copy."""
+    """Token ids of the mixed documents, with counts and digests: one row per copy."""
     import public_tokenizers
     vocab = bpe.vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return bpe.round_trip(docs, vocab, public_tokenizers.PATTERN)
+    return bpe.round_trip(docs, vocab, public_tokenizers.PATTERN, keep_ids=True)
 
 
 STAGES = [("quality_classifier", quality), ("line_dedup", lines), ("simhash_near_dedup", near_duplicates),
