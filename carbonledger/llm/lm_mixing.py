@@ -58,7 +58,7 @@ HEAVY = 1 << 18
 RUN = 1 << 18
 CHUNK = 1 << 15
 TOKENS = 1 << 19  # different tokens that a worker holds before it emits their counts
-FIT_CHUNK = 1 << 13
+FIT_CHUNK = 1 << 15
 RATE = 1.0
 END_TOKEN = 0x6E6420656E64
 PAD = 0xFF  # in no UTF-8 text: stands before a text and is its end mark
@@ -94,6 +94,8 @@ class Code:
         self.node = [((1 << t % 4) | (done[t] & ((1 << t % 4) - 1))).astype(np.int64) for t in range(LONGEST)]
         self.sofar = [((1 << min(t, 8)) | (done[t] & ((1 << min(t, 8)) - 1))).astype(np.int64)
                       for t in range(LONGEST)]
+        self.at_map = [s * BUCKETS + BUCKETS // 2 for s in self.sofar]  # middle bucket of a node's map cells
+        self.half = [np.where(y, np.float32(-0.5), np.float32(0.5)) for y in self.bit]
 
     @staticmethod
     def _lengths(weight: np.ndarray) -> np.ndarray:
@@ -197,9 +199,6 @@ def stretched(cells: np.ndarray) -> np.ndarray:
     return out.reshape(-1)
 
 
-_HALF = np.array([0.5, -0.5], np.float32)
-
-
 @dataclass
 class Model:
     code: Code
@@ -216,13 +215,12 @@ def plain_refinement() -> np.ndarray:
     return np.tile((np.arange(BUCKETS) - BUCKETS // 2).astype(np.float32) / 2, 512)
 
 
-def _bucket(x: np.ndarray) -> np.ndarray:
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Buckets above the middle one."""
     half = BUCKETS // 2
-    return np.rint(np.clip(2 * x, -half, half)).astype(np.int64) + half
-
-
-def _gate(tables: list[np.ndarray], g: list[np.ndarray]) -> np.ndarray:
-    return (tables[-2].take(g[-2]).astype(np.int64) << 2) + tables[-1].take(g[-1])
+    y = x * np.float32(2)
+    np.clip(y, -half, half, out=y)
+    return np.rint(y, out=y).astype(np.int64)
 
 
 def score_bytes(model: Model, byte: np.ndarray, hs: list[np.ndarray]) -> np.ndarray:
@@ -231,8 +229,7 @@ def score_bytes(model: Model, byte: np.ndarray, hs: list[np.ndarray]) -> np.ndar
     size = code.length.astype(np.int8)
     tables = [t.reshape(-1, 16) for t in model.tables]
     # Of each gate, the weights of a nibble's four bits side by side.
-    weights = [np.ascontiguousarray(model.weights[t:t + 4].transpose(2, 0, 1).reshape(GATES, -1))
-               for t in range(0, LONGEST, 4)]
+    weights = [model.weights[t:t + 4].reshape(-1, GATES) for t in range(0, LONGEST, 4)]
     line = np.arange(CHUNK) * 16
     for at in range(0, len(byte), CHUNK):
         b = byte[at:at + CHUNK]
@@ -240,7 +237,7 @@ def score_bytes(model: Model, byte: np.ndarray, hs: list[np.ndarray]) -> np.ndar
         b = b.take(order)
         live = len(b) - np.cumsum(np.bincount(size.take(b), minlength=LONGEST + 1))
         own = [h[at:at + CHUNK].take(order) for h in hs]
-        cost = np.zeros(len(b), np.float32)
+        cost, odds = np.zeros(len(b), np.float32), np.ones(len(b), np.float32)
         for t in range(LONGEST):
             n = int(live[t])
             if not n:
@@ -251,19 +248,24 @@ def score_bytes(model: Model, byte: np.ndarray, hs: list[np.ndarray]) -> np.ndar
                 rows = [table.take(group(h[:n], before, bits) >> 4, axis=0)
                         for table, h, bits in zip(tables, own, BITS)]
                 gate = (rows[-2][:, 0] << 2) + rows[-1][:, 0]
-                w = weights[t // 4].take(gate, axis=0)
+                w = weights[t // 4].take(gate, axis=1)
             cell = code.node[t].take(b)
             cell += line[:n]
-            x = rows[0].take(cell) * w[:n, t % 4 * kinds]
+            x = rows[0].take(cell) * w[t % 4 * kinds, :n]
             for k in range(1, kinds):
-                x += rows[k].take(cell) * w[:n, t % 4 * kinds + k]
-            x += model.refine.take(code.sofar[t].take(b) * BUCKETS + _bucket(x))
-            x *= _HALF.take(code.bit[t].take(b).view(np.int8))
+                x += rows[k].take(cell) * w[t % 4 * kinds + k, :n]
+            at_map = code.at_map[t].take(b)
+            at_map += _steps(x)
+            x += model.refine.take(at_map)
+            x *= code.half[t].take(b)
             np.clip(x, -12, 12, out=x)
             np.exp(x, out=x)
             x += np.float32(1)
-            cost[:n] += np.log(x, out=x)
-        out[at:at + CHUNK][order] = cost
+            odds[:n] *= x
+            if t % 4 == 3:  # the logarithm of a nibble's four bits at once
+                cost[:n] += np.log(odds[:n])
+                odds[:n] = 1
+        out[at:at + CHUNK][order] = cost + np.log(odds)
     return out
 
 
@@ -331,7 +333,9 @@ class Fit:
                 x += st[k] * self.weights[t, k].take(gate)
             np.clip(x, -12, 12, out=x)
             y = code.bit[t].take(b)
-            cells.append(2 * (code.sofar[t].take(b) * BUCKETS + _bucket(x)) + y)
+            at_map = code.at_map[t].take(b)
+            at_map += _steps(x)
+            cells.append(2 * at_map + y)
             error = y - 1 / (1 + np.exp(-x))
             count = np.bincount(gate, minlength=GATES)
             self.seen[t] += count
