@@ -9,7 +9,8 @@ A line with a word fails if
   word or more, and two at least;
 * symbols: it has a symbol character for every fifth word or more, and three at
   least;
-* boilerplate: it holds a phrase of licence, rights, cookie or script notices.
+* boilerplate: it holds a phrase of licence, rights, cookie or script notices in
+  English, French, German or Spanish (``PHRASES``).
 
 The document is kept if its base rules hold (20 words at least; at most 30 % of
 the words in 8-word windows that occur twice or more) and the failing lines
@@ -45,10 +46,21 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SPACES = " \t\n\v\f\r"
 _END = re.compile(r"[.!?…。！？][\"'”’»)\]]*(?:[\x20\x09-\x0D]|$)")
 _SHOUT = re.compile(r"[!?]{2,}")
-_BOILERPLATE = re.compile(
-    r"all rights reserved|licensed under|released under the|general public license|creative commons|terms of (?:use|"
-    r"service)|privacy policy|cookie policy|accept cookies|enable javascript|lorem ipsum|sign up for our newsletter",
-    re.IGNORECASE)
+#: Phrases of licence, rights, cookie and script notices, by language.
+PHRASES = {
+    "en": r"all rights reserved|licensed under|released under the|general public license|creative commons|"
+          r"terms of (?:use|service)|privacy policy|cookie policy|accept cookies|enable javascript|lorem ipsum|"
+          r"sign up for our newsletter",
+    "fr": r"tous droits réservés|sous licence (?:libre|publique|creative)|licence publique générale|"
+          r"conditions (?:générales )?d['’]utilisation|politique de confidentialité|accepter les cookies|"
+          r"activer javascript|mentions légales|abonnez-vous à notre",
+    "de": r"alle rechte vorbehalten|lizenziert unter|veröffentlicht unter der|nutzungsbedingungen|"
+          r"datenschutzerklärung|cookies akzeptieren|javascript aktivieren|abonnieren sie unseren newsletter",
+    "es": r"todos los derechos reservados|bajo la licencia|licencia pública general|"
+          r"(?:términos|condiciones) de (?:uso|servicio)|política de (?:privacidad|cookies)|aceptar (?:las )?cookies|"
+          r"activar javascript|aviso legal|suscríbete a nuestro",
+}
+_BOILERPLATE = re.compile("|".join(PHRASES.values()), re.IGNORECASE)
 
 
 def repeat_words(texts: list[str | None], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:

@@ -303,6 +303,14 @@ def test_rules_counts_match_brute_force(spark):
     assert clean_rules.clean(docs_of(spark, texts).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("line", [
+    "Copyright 2020, All Rights Reserved.", "© Tous droits réservés.", "Alle Rechte vorbehalten.",
+    "Lea nuestra Política de Privacidad.", "Bitte Javascript aktivieren.", "Voir les conditions générales d’utilisation."])
+def test_boilerplate_lines_fail_in_four_languages(line):
+    assert clean_rules.line_fails(line) == "boilerplate"
+    assert clean_rules.line_fails("Le droit est à tous, und die Rechte bleiben.") is None
+
+
 def test_rules_follow_the_labels(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.doc_id: r.kept for r in queries.op8_quality_rules(spark, sf).collect()}
