@@ -120,11 +120,38 @@ def band_problems(factors: DataFrame) -> DataFrame:
     return p.select("mode", kind.alias("problem"), F.col("low.km").alias("km")).filter("problem IS NOT NULL")
 
 
-def band_index(factors: DataFrame) -> DataFrame:
-    """(mode, lows, bands): each mode's bands in order, their lower edges apart for searching."""
-    e = _edges(factors).groupBy("mode").agg(F.array_sort(F.collect_list(F.struct(
-        "low", "high", "add_km", "mul", "factor"))).alias("bands"))
-    return e.select("mode", F.col("bands.low").alias("lows"), "bands")
+FAN_OUT = 64  # entries of an index page
+
+
+def band_index(factors: DataFrame, levels: int) -> list[DataFrame]:
+    """Pages (mode, page, lows, entries) of a search tree over each mode's bands, from the root to the leaves.
+
+    A page holds at most ``FAN_OUT`` entries in order; entries of a leaf are
+    bands, those above stand for the pages below by their lowest edge.
+    """
+    w = Window.partitionBy("mode").orderBy("low", "high")
+    rows = _edges(factors).withColumn("at", F.row_number().over(w) - 1)
+    entry, pages = F.struct("low", "high", "add_km", "mul", "factor"), []
+    for _ in range(levels):
+        page = (rows.groupBy("mode", F.floor(F.col("at") / FAN_OUT).alias("page"))
+                .agg(F.array_sort(F.collect_list(entry)).alias("entries")))
+        pages.append(page.select("mode", "page", F.col("entries.low").alias("lows"), "entries"))
+        rows = page.select("mode", F.col("page").alias("at"), F.col("entries")[0]["low"].alias("low"))
+        entry = F.struct("low")
+    return pages[::-1]
+
+
+def _last_not_above(lows: str, at: Column) -> Column:
+    """Number of the ordered edges that are not above ``at``, by halving."""
+    def halve(range_: Column, _) -> Column:
+        middle = F.floor((range_["first"] + range_["last"] + 1) / 2).cast("int")
+        right = F.get(lows, middle - 1) <= at
+        return F.when(range_["first"] >= range_["last"], range_).when(
+            right, F.struct(middle.alias("first"), range_["last"].alias("last"))).otherwise(
+            F.struct(range_["first"].alias("first"), (middle - 1).alias("last")))
+
+    start = F.struct(F.lit(0).alias("first"), F.size(lows).alias("last"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(FAN_OUT.bit_length())), start, halve)["first"]
 
 
 def emissions_by_join(df: DataFrame, factors: DataFrame, mode: str, tier_km: str, value_km: str | None = None,
@@ -133,39 +160,38 @@ def emissions_by_join(df: DataFrame, factors: DataFrame, mode: str, tier_km: str
 
     ``factors`` holds one factor set.  It is checked first: bands that overlap
     would give a trip two factors, so they are an error (``band_problems`` names
-    them; gaps are allowed and give the default).  A trip meets its mode's row of
-    the index and finds its band by binary search over the lower edges, so its
-    cost grows with the logarithm of the number of bands.
+    them; gaps are allowed and give the default).  A trip walks down its mode's
+    index, a page per level, and finds its place in each by binary search: its
+    cost grows with the logarithm of the number of bands, and it never carries
+    more than a page.
     """
     bad = band_problems(factors).filter("problem = 'overlap'").limit(3).collect()
     if bad:
         raise ValueError("overlapping bands: " + ", ".join(f"{r.mode} at {r.km} km" for r in bad))
     value_km = value_km or tier_km
     n = factors.count()
-    index = band_index(factors).select(F.col("mode").alias("__mode"), F.col("lows").alias("__lows"),
-                                       F.col("bands").alias("__bands"))
-    if n <= MANY_BANDS:
-        index = F.broadcast(index)
+    levels = 1
+    while FAN_OUT ** levels < n:
+        levels += 1
     at = F.struct(F.col(tier_km).cast("double").alias("km"), F.lit(0).alias("above"))
-
-    def halve(range_: Column, _) -> Column:
-        """The last band whose lower edge is not above the trip lies in first..last (first is 0: none)."""
-        middle = F.floor((range_["first"] + range_["last"] + 1) / 2).cast("int")
-        right = F.get("__lows", middle - 1) <= F.col("__at")
-        return F.when(range_["first"] >= range_["last"], range_).when(
-            right, F.struct(middle.alias("first"), range_["last"].alias("last"))).otherwise(
-            F.struct(range_["first"].alias("first"), (middle - 1).alias("last")))
-
-    start = F.struct(F.lit(0).alias("first"), F.size("__lows").alias("last"))
-    steps = F.sequence(F.lit(1), F.lit(max(1, n.bit_length())))
-    found = F.aggregate(steps, start, halve)["first"]
-    joined = (df.join(index, F.col(mode) == F.col("__mode"), "left").withColumn("__at", at)
-              .withColumn("__band", F.when(F.col("__mode").isNotNull() & F.col(tier_km).isNotNull(),
-                                           F.get("__bands", found - 1))))
+    found = df.withColumn("__at", F.when(F.col(tier_km).isNotNull(), at)).withColumn("__node", F.lit(0).cast("long"))
+    for level, pages in enumerate(band_index(factors, levels)):
+        pages = pages.select(F.col("mode").alias("__mode"), F.col("page").alias("__page"), F.col("lows").alias("__lows"),
+                             F.col("entries").alias("__entries"))
+        pages = F.broadcast(pages) if n <= MANY_BANDS else pages
+        found = found.join(pages, (F.col(mode) == F.col("__mode")) & (F.col("__node") == F.col("__page")), "left")
+        place = F.when(F.col("__at").isNotNull(), _last_not_above("__lows", F.col("__at")) - 1)
+        if level < levels - 1:  # below the first edge: no page
+            found = (found.withColumn("__place", place)
+                     .withColumn("__node", F.when(F.col("__place") >= 0, F.col("__node") * FAN_OUT + F.col("__place")))
+                     .drop("__mode", "__page", "__lows", "__entries", "__place"))
+        else:
+            found = found.withColumn("__place", place).withColumn("__band", F.get("__entries", F.col("__place"))).drop(
+                "__mode", "__page", "__lows", "__entries", "__place")
     inside = F.col("__at") < F.col("__band.high")
     val = F.col("__band.factor") * ((F.col(value_km) + F.col("__band.add_km")) * F.col("__band.mul"))
     result = F.when(inside, val).otherwise(F.lit(default).cast("double"))
-    return joined.withColumn(out, result).drop("__mode", "__lows", "__bands", "__at", "__band")
+    return found.withColumn(out, result).drop("__at", "__node", "__band")
 
 
 def canonical_transport(col) -> Column:
