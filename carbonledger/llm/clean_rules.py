@@ -60,7 +60,12 @@ PHRASES = {
           r"(?:términos|condiciones) de (?:uso|servicio)|política de (?:privacidad|cookies)|aceptar (?:las )?cookies|"
           r"activar javascript|aviso legal|suscríbete a nuestro",
 }
-_BOILERPLATE = re.compile("|".join(PHRASES.values()), re.IGNORECASE)
+_BOILERPLATE = re.compile("|".join(PHRASES.values()))
+#: Every phrase holds one of these; a text with none of them is not searched line by line.
+HINTS = ("rights", "licen", "lizenz", "released under", "creative commons", "terms of", "policy", "cookie", "javascript",
+         "lorem ipsum", "newsletter", "droits", "d'utilisation", "d’utilisation", "confidentialité", "légales",
+         "abonnez", "vorbehalten", "veröffentlicht unter", "nutzungsbedingungen", "datenschutzerklärung", "derechos",
+         "términos", "condiciones", "privacidad", "aviso legal", "suscríbete")
 
 
 def repeat_words(texts: list[str | None], size: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +92,8 @@ def repeat_words(texts: list[str | None], size: int = WINDOW) -> tuple[np.ndarra
     return count, np.bincount(doc[covered], minlength=len(texts))
 
 
-def line_fails(line: str) -> str | None:
-    """Name of the first rule that a line with a word fails, or None."""
+def line_fails(line: str, notices: bool = True) -> str | None:
+    """Name of the first rule that a line with a word fails, or None; without ``notices`` no phrase is looked for."""
     n = len(_WORD.findall(line))
     menu = sum(map(line.count, MENU))
     if menu >= 2 and 3 * menu >= n:
@@ -98,7 +103,7 @@ def line_fails(line: str) -> str | None:
         return "symbols"
     if not _END.search(line) or 5 * len(_SHOUT.findall(line)) >= max(n, 5):
         return "punctuation"
-    return "boilerplate" if _BOILERPLATE.search(line) else None
+    return "boilerplate" if notices and _BOILERPLATE.search(line.lower()) else None
 
 
 def judge(text: str | None) -> tuple:
@@ -106,9 +111,10 @@ def judge(text: str | None) -> tuple:
     text = text or ""
     lines = text.split("\n")
     worded = [x for x in lines if x.strip(_SPACES)]
-    lost, kept = 0, []
+    lost, kept, low = 0, [], text.lower()
+    notices = any(h in low for h in HINTS)
     for x in lines:
-        if x.strip(_SPACES) and line_fails(x):
+        if x.strip(_SPACES) and line_fails(x, notices):
             lost += len(_WORD.findall(x))
         else:
             kept.append(x)
