@@ -13,6 +13,8 @@ from one day to the next.  Both readers therefore take lines with their file
 3. Lines are split by Spark's CSV parser, and the schema's columns are picked by
    the file's positions.  A column the header lacks is null; unknown columns are
    left out; header lines are recognised by their cells and dropped.
+4. The lines with their kind are written once; rows, rejects and report read them,
+   so every line is parsed once.
 
 A file whose header lacks a required column is rejected as a whole: its lines are
 kept apart with the reason, the other files are read.  A line with another number
@@ -65,7 +67,7 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
 @dataclass
 class HeaderRead:
     """Rows (the schema's columns, ``_corrupt_record``, ``file``), rejected lines (value, file, reason), the layout
-    of every file, and all lines with their kind for the report."""
+    of every file, and all lines with their kind for the report (with the text of malformed and rejected ones)."""
 
     rows: DataFrame
     rejects: DataFrame
@@ -171,10 +173,12 @@ def read_by_header(lines: DataFrame, schema: T.StructType, required: Sequence[st
     bad = F.coalesce(reduce(lambda a, b: a | b, unread, F.col("end") != F.col("n")), F.lit(False))
     kind = (F.when(F.col("head"), "head").when(F.col("status") == "rejected", "rejected").when(bad, "malformed")
             .otherwise("row"))
-    marked = typed.select("value", "file", kind.alias("kind"), *[f.name for f in schema.fields])
+    # Written once: a filter on the kind would pull the parsing of the line into its condition, once for each use.
+    kept = F.when(F.col("kind").isin("rejected", "malformed"), F.col("value")).alias("value")
+    marked = reliable_checkpoint(typed.withColumn("kind", kind).select(kept, "file", "kind",
+                                                                       *[f.name for f in schema.fields]))
     rows = marked.filter(F.col("kind").isin("row", "malformed")).select(
-        *[f.name for f in schema.fields], F.when(F.col("kind") == "malformed", F.col("value")).alias(schemas.CORRUPT),
-        "file")
+        *[f.name for f in schema.fields], F.col("value").alias(schemas.CORRUPT), "file")
     rejects = marked.filter(F.col("kind") == "rejected").select(
         "value", "file", F.lit("header lacks a required column").alias("reason"))
     return HeaderRead(rows, rejects, layouts, marked)

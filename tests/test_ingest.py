@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from carbonledger.functions.emissions import canonical_transport
 from carbonledger.operators.quality import has_atypicals, profile
 from carbonledger.sources import schemas
-from carbonledger.sources.raw import drops_glob, drops_report, read_delimited, read_drops
+from carbonledger.sources.headers import batch_lines
+from carbonledger.sources.raw import drops_glob, drops_report, parse_drops, read_delimited, read_drops
 from carbonledger.streaming import ingest_drops
 
 from .conftest import write_drops
@@ -121,6 +122,16 @@ def test_header_of_a_file_in_many_blocks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_lines_are_parsed_once(spark, tmp_path):
+    """Rows, rejects and report read the parsed lines: no filter of theirs parses a line again, once for each use."""
+    write_headers(tmp_path)
+    read = parse_drops(batch_lines(spark, drops_glob(str(tmp_path), "equipment")), "equipment")
+    for df in (read.rows, read.rejects, read.report()):
+        assert "from_csv" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r.value for r in read.rejects.collect()) == ["a;b", "c;d"]
+    assert {r._corrupt_record for r in read.rows.collect()} == {None, "M5;x;too;many", "M6"}
+
+
 def test_stream_reads_like_batch(spark, tmp_path):
     want = write_headers(tmp_path / "drops")
     target, report = str(tmp_path / "equipment"), str(tmp_path / "report")
