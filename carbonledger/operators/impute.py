@@ -17,7 +17,9 @@ With smoothing 1 a label's score for a row is
 
 so rows meet the model by an equi-join on the token, only for the pairs that
 exist, and tokens outside the vocabulary do not count.  The highest score wins,
-ties go to the first label in order.
+ties go to the first label in order.  With one block of labels, the commonest
+tokens (a bounded number) are broadcast and a row's sums over them are made in
+its own task, so that only rare tokens are shuffled, once (``all_gains``).
 
 The sum is never negative, so a label without a token of the row competes only by
 the first two terms: per label a line over the number k of known tokens.  The
@@ -53,6 +55,7 @@ from .keys import sequential_index
 
 TOKEN = r"[\\p{L}\\p{N}_]{2,}"
 BLOCK = 256
+HEAVY = 1 << 18  # pairs of token and label that are broadcast
 NEAR = 2e-6  # scores are compared rounded to six decimals
 
 
@@ -217,18 +220,52 @@ def pruned_scores(bag: DataFrame, length: DataFrame, plain: DataFrame, labels: D
     return tried.unionByName(score(rest))
 
 
+def all_gains(tokens: DataFrame, counts: DataFrame, heavy: int = HEAVY) -> DataFrame:
+    """(__row, label, c, gain) of the row's known tokens seen under each label; of a null label, ``c`` has all of them.
+
+    ``tokens``: (__row, token) per occurrence, a row's together.  The commonest tokens, ``heavy`` pairs of token and
+    label at most, are broadcast, so that a row's sums over them are made where the row is read.
+    """
+    seen = F.collect_list(F.struct("label", "n")).alias("seen")
+    model = reliable_checkpoint(counts.groupBy("token").agg(F.floor(8 * F.log2(F.sum("n"))).cast("int").alias("level"),
+                                                            seen))
+    least, total = None, 0
+    for r in sorted(model.groupBy("level").agg(F.sum(F.size("seen")).alias("n")).collect(),
+                    key=lambda r: -r["level"]):  # some hundred levels
+        total += r["n"]
+        if total > heavy:
+            break
+        least = r["level"]
+    common = F.lit(False) if least is None else F.col("level") >= least
+
+    def summed(found: DataFrame) -> DataFrame:
+        every = F.struct(F.lit(None).cast("string").alias("label"), F.lit(0).cast("long").alias("n"))
+        return (found.select("__row", "c", F.explode(F.concat(F.array(every), "seen")).alias("x"))
+                .select("__row", "c", "x.label", "x.n").groupBy("__row", "label")
+                .agg(F.sum("c").alias("c"), _gain("n").alias("gain")))
+
+    near = F.broadcast(model.filter(common).select("token", "seen"))
+    first = summed(tokens.join(near, "token").withColumn("c", F.lit(1).cast("long")))
+    others = (tokens.join(near.select("token"), "token", "left_anti")
+              .groupBy("__row", "token").agg(F.count(F.lit(1)).alias("c")))
+    rest = summed(others.join(model.filter(~common).select("token", "seen"), "token"))
+    return first.unionByName(rest).groupBy("__row", "label").agg(F.sum("c").alias("c"), F.sum("gain").alias("gain"))
+
+
 def predict(rows: DataFrame, text_col: str, model: tuple[DataFrame, DataFrame], out: str,
-            block: int = BLOCK) -> DataFrame:
+            block: int = BLOCK, heavy: int = HEAVY) -> DataFrame:
     """``rows`` with ``out``: the label of the highest score (null if the model has no label)."""
     labels, counts = model
     own = reliable_checkpoint(rows.withColumn("__row", F.monotonically_increasing_id()))
-    bag = (own.select("__row", F.explode(_tokens(text_col)).alias("token"))
-           .groupBy("__row", "token").agg(F.count(F.lit(1)).alias("c")))
-    bag = bag.join(counts.select("token").distinct(), "token", "left_semi")  # other tokens count for no label
+    tokens = own.select("__row", F.explode(_tokens(text_col)).alias("token"))
     many = labels.count() > block
     if many:
-        bag = reliable_checkpoint(bag)
-    some = bag.groupBy("__row").agg(F.sum("c").alias("known"))
+        bag = tokens.groupBy("__row", "token").agg(F.count(F.lit(1)).alias("c"))
+        bag = reliable_checkpoint(bag.join(counts.select("token").distinct(), "token", "left_semi"))
+        some = bag.groupBy("__row").agg(F.sum("c").alias("known"))  # other tokens count for no label
+    else:
+        gains = reliable_checkpoint(all_gains(tokens, counts, heavy))
+        some = gains.filter("label IS NULL").select("__row", F.col("c").alias("known"))
     length = reliable_checkpoint(own.select("__row").join(some, "__row", "left")
                                  .select("__row", F.coalesce("known", F.lit(0)).alias("known")))
     plain = length.join(reliable_checkpoint(plain_best(labels, length.select("known").distinct())), "known").select(
@@ -236,8 +273,7 @@ def predict(rows: DataFrame, text_col: str, model: tuple[DataFrame, DataFrame],
     if many:
         scored = pruned_scores(bag, length, plain, labels, counts, block)
     else:  # one block: all its labels are scored
-        scored = _scores(bag.join(counts, "token").groupBy("__row", "label").agg(_gain("n").alias("gain")), length,
-                         labels)
+        scored = _scores(gains.filter("label IS NOT NULL").select("__row", "label", "gain"), length, labels)
     best = (scored.unionByName(plain).groupBy("__row")
             .agg(F.min_by("label", F.struct(-F.col("score"), "label")).alias("__best")))
     return own.join(best, "__row", "left").withColumn(out, F.col("__best")).drop("__row", "__best")
@@ -269,7 +305,6 @@ def _fill(df: DataFrame, text_col: str, label_col: str, out: str, model, **kw) -
     missing, flag = df.filter(blank), f"{out}_imputed"
     cols = list(dict.fromkeys([*df.columns, out, flag]))
     kept = df.filter(~blank).withColumn(out, F.trim(F.col(label_col))).withColumn(flag, F.lit(False))
-    filled = predict(missing.withColumn("__text", F.coalesce(F.col(text_col), F.lit(""))), "__text", model, "__label",
-                     **kw)
+    filled = predict(missing, text_col, model, "__label", **kw)
     filled = filled.withColumn(out, F.col("__label")).withColumn(flag, F.col(out).isNotNull())
     return kept.select(*cols).unionByName(filled.select(*cols))

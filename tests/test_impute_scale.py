@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from carbonledger.operators import impute
 
@@ -63,6 +64,24 @@ def test_labels_of_any_number_match_brute_force(spark, labels, n):
     assert [filled[len(rows) + k] for k in range(len(fill))] == brute(rows, fill)
 
 
+def test_common_tokens_at_the_rows_give_the_same(spark):
+    """Whatever share of the tokens is broadcast, the answers are those of brute force; the rest is shuffled once."""
+    rows, fill = corpus(5, 5, 400)
+    df = spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(rows)] + [(len(rows), None, None)] +
+                               [(len(rows) + 1 + k, t, " ") for k, t in enumerate(fill)], "id long, t string, l string")
+    for heavy in (0, 60, impute.HEAVY):
+        got = impute.impute_category(df, "t", "l", heavy=heavy)
+        filled = {r.id: r.l for r in got.filter("l_imputed").collect()}
+        assert [filled[len(rows) + k] for k in range(len(fill) + 1)] == brute(rows, ["", *fill])
+    tokens = df.select(F.col("id").alias("__row"), F.explode(impute._tokens("t")).alias("token"))
+    counts = impute.fit(df, "t", "l")[1]
+    known = tokens.join(counts.select("token").distinct(), "token").groupBy("__row").count()
+    want = {(r[0], r[1]) for r in known.collect()}
+    for heavy in (0, 60, impute.HEAVY):
+        gains = impute.all_gains(tokens, counts, heavy)
+        assert {(r[0], r[1]) for r in gains.filter("label IS NULL").select("__row", "c").collect()} == want
+
+
 def test_envelope_is_the_highest_line():
     rnd = np.random.default_rng(2)
     for _ in range(200):
