@@ -23,7 +23,8 @@ bytes that never complete a character become U+FFFD.
 Defined cases: null text is encoded like the empty text (no ids, decoded to no
 bytes); unknown ids raise; an empty table gives an empty result; repeated rows
 are encoded alike; extra columns are kept by ``encode`` and ``decode`` (an
-existing column of the output's name is replaced).
+existing column of the output's name is replaced).  ``round_trip`` hands its rows
+on in runs of bounded size, so a worker never holds the ids of a whole batch.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,6 +187,16 @@ def ragged(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return values[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)]
 
 
+def row_runs(texts: pa.Array, limit: int = RUN_CHARS) -> Iterator[tuple[int, int]]:
+    """(first, past the last) row of runs whose texts have at most ``limit`` bytes together; a longer text is one."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, done = 0, 0
+    while at < len(total):
+        stop = max(at + 1, int(np.searchsorted(total, done + limit, side="right")))
+        yield at, stop
+        at, done = stop, int(total[stop - 1])
+
+
 def vocabulary(spark: SparkSession, path: str) -> Broadcast:
     """Broadcast the bytes of a rank file after checking their size."""
     size = os.path.getsize(path)
@@ -234,22 +247,31 @@ def round_trip(df: DataFrame, vocab: Broadcast, pattern: str, text: str = "text"
     columns are dropped but doc_id, and ``ids`` if asked.  Nothing is shuffled."""
     kind = ("n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_ok boolean, n_split long, "
             "offsets_ok boolean" + (", ids array<int>" if keep_ids else ""))
-    names = [x.split()[0] for x in kind.split(", ")]
+    names = ["doc_id", *[x.split()[0] for x in kind.split(", ")]]
 
-    @F.pandas_udf(kind)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(vocab, pattern)
-        for texts in batches:
-            rows = []
-            for t, ids in zip(texts, codec.encode_many(list(texts))):
-                back, (first, end) = codec.decode(ids), codec.offsets(t, ids)
-                # A character that several tokens share lies in the offsets of each: they overlap by it.
-                split = first[1:] < end[:-1]
-                whole = bool(len(ids) == 0 or first[0] == 0 and end[-1] == len(t) and (first[1:] + split == end[:-1]).all())
-                n_split = int((np.append(split, False) | np.append(False, split)).sum()) if len(ids) else 0
-                rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                             hashlib.sha256(back).hexdigest(), back == (t or "").encode("utf-8", "surrogatepass"),
-                             n_split, whole, *([ids] if keep_ids else [])))
-            yield pd.DataFrame(rows, columns=names)
-
-    return df.select("doc_id", run(text).alias("r")).select("doc_id", "r.*")
+        for batch in batches:
+            for at, stop in row_runs(batch.column(1)):
+                part = batch.slice(at, stop - at)
+                texts = part.column(1).to_pylist()
+                found, rows = codec.encode_many(texts), []
+                for t, ids in zip(texts, found):
+                    back, (first, end) = codec.decode(ids), codec.offsets(t, ids)
+                    # A character that several tokens share lies in the offsets of each: they overlap by it.
+                    split = first[1:] < end[:-1]
+                    whole = bool(len(ids) == 0 or first[0] == 0 and end[-1] == len(t)
+                                 and (first[1:] + split == end[:-1]).all())
+                    n_split = int((np.append(split, False) | np.append(False, split)).sum()) if len(ids) else 0
+                    rows.append((len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
+                                 hashlib.sha256(back).hexdigest(), back == (t or "").encode("utf-8", "surrogatepass"),
+                                 n_split, whole))
+                made = [part.column(0), *[pa.array(c) for c in zip(*rows)]]
+                if keep_ids:
+                    ends = np.cumsum([0, *map(len, found)])
+                    made.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
+                        np.concatenate(found).astype(np.int32, copy=False))))
+                yield pa.RecordBatch.from_arrays(made, names)
+
+    id_type = df.schema["doc_id"].dataType.simpleString()
+    return df.select("doc_id", text).mapInArrow(run, f"doc_id {id_type}, {kind}")

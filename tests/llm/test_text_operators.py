@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,6 +111,26 @@ def test_bpe_offsets_and_split_characters(spark, vocab):
     assert codec.decode_pieces(row.ids[:2])[-1].endswith("�")
 
 
+def test_bpe_rows_leave_in_runs(spark, vocab):
+    """A worker works through a batch in runs of bounded size, whole rows each, in order, nulls included."""
+    import public_tokenizers
+    texts = pa.array(["é" * 400_000, None, "", "b" * 300_000, "c" * 3_000_000, "d", "e" * 1_000_000, None])
+    size = [len((t or "").encode()) for t in texts.to_pylist()]
+    runs = list(bpe.row_runs(texts))
+    assert [k for at, stop in runs for k in range(at, stop)] == list(range(len(size)))
+    assert all(stop - at == 1 or sum(size[at:stop]) <= bpe.RUN_CHARS for at, stop in runs)
+    assert list(bpe.row_runs(texts[:0])) == []
+    few = [None, "", *[f"{'word ' * 9_000}{k} é" for k in range(60)]]  # several runs in one batch
+    docs = spark.createDataFrame([(None if k == 5 else (1 << 60) + k, t) for k, t in enumerate(few)],
+                                 "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in bpe.round_trip(docs, vocab, public_tokenizers.PATTERN, keep_ids=True).collect()}
+    enc = tiktoken_encoding()
+    assert set(got) == {None if k == 5 else (1 << 60) + k for k in range(len(few))}
+    for k, t in enumerate(few):
+        r = got[None if k == 5 else (1 << 60) + k]
+        assert r.ids == enc.encode_ordinary(t or "") and r.n_tokens == len(r.ids) and r.decoded_ok and r.offsets_ok
+
+
 def test_bpe_table_of_pieces_may_overflow(vocab, monkeypatch):
     import public_tokenizers
     monkeypatch.setattr(bpe, "PIECES_KEPT", 10)
