@@ -137,30 +137,45 @@ def _runs(texts: list[bytes], size: int = RUN) -> Iterator[tuple[np.ndarray, lis
 def contexts(buffer: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, list[np.ndarray]]:
     """(coded bytes, per predictor a 64-bit hash of each byte's context)."""
     n = len(buffer)
-    coded = np.ones(n, bool)
-    at = 0
-    for s in sizes:
-        coded[at:at + 8] = False
-        at += 8 + s
-    at = np.flatnonzero(coded)
-    before = np.ndarray((n - 7,), "<u8", buffer, strides=(1,))[at - 8]  # the eight bytes before each coded one
-    edge = hashing.is_space(buffer) | (buffer == PAD)
-    start = np.maximum.accumulate(np.where(np.concatenate([[True], edge]), np.arange(n + 1), 0))[at]
+    at = np.arange(n - 8 * len(sizes)) + np.repeat(8 * np.arange(1, len(sizes) + 1), sizes)
+    before = np.ndarray((n - 7,), "<u8", buffer, strides=(1,)).take(at - 8)  # the eight bytes before each coded one
+    begin = np.flatnonzero(hashing.is_space(buffer) | (buffer == PAD)) + 1  # of the words; a part begins with PAD
+    begin = np.concatenate([[0], begin])
     power, inverse = hashing._tables(n + 1)
+    worth = buffer.astype(np.uint64)
+    worth += np.uint64(1)
+    worth *= power[:n]
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((buffer.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    raw = [before >> np.uint64(64 - 8 * o) for o in ORDERS] + [(total[at] - total[start]) * inverse[start]]
-    out = []
-    for k, c in enumerate(raw):
-        h = (c + np.uint64(k + 1)) * _K[0]
+    np.cumsum(worth, out=total[1:])
+    # Words' values are looked up once a word and handed to its bytes.
+    long = np.diff(np.append(begin, n + 1))
+    word = total - np.repeat(total.take(begin), long)
+    word *= np.repeat(inverse.take(begin), long)
+    raw = [before >> np.uint64(64 - 8 * o) for o in ORDERS] + [word.take(at)]
+    for k, h in enumerate(raw):
+        h += np.uint64(k + 1)
+        h *= _K[0]
         h ^= h >> np.uint64(29)
-        out.append(h)
-    return buffer[at], out
+    return buffer.take(at), raw
+
+
+def _pieces(buffer: np.ndarray, sizes: list[int], size: int = CHUNK) -> Iterator[tuple[np.ndarray, list[int]]]:
+    """A run's buffer and sizes in slices of whole parts, with at most ``size`` coded bytes (or one part), whose
+    arrays fit in a core's cache."""
+    first, at, stop, held = 0, 0, 0, 0
+    for k, s in enumerate(sizes):
+        if held and held + s > size:
+            yield buffer[at:stop], sizes[first:k]
+            first, at, held = k, stop, 0
+        held += s
+        stop += 8 + s
+    yield buffer[at:stop], sizes[first:]
 
 
 def group(h: np.ndarray, before: np.ndarray, bits: int) -> np.ndarray:
     """First cell of the group of 16 of a context and the code bits already known."""
-    g = h + before * _K[2]
+    g = before * _K[2]
+    g += h
     g ^= g >> np.uint64(31)
     g *= _K[1]
     g >>= np.uint64(64 - (bits - 4))
@@ -174,14 +189,18 @@ def count_cells(code: Code, texts: list[bytes], counts: list[np.ndarray]) -> Non
     """Add the texts' code nibbles to each predictor's counts (a cell per group and nibble value)."""
     one = np.int32(1)
     for buffer, _, sizes in _runs(texts):
-        byte, hs = contexts(buffer, sizes)
-        for q in range(LONGEST // 4):
-            if q:
-                more = np.flatnonzero(code.length.take(byte) > 4 * q)
-                byte, hs = byte[more], [h[more] for h in hs]
-            value, before = code.nibble[q].take(byte), code.before[q].take(byte)
-            for c, h, bits in zip(counts, hs, BITS):
-                np.add.at(c, group(h, before, bits) + value, one)
+        for piece in _pieces(buffer, sizes):
+            byte, hs = contexts(*piece)
+            for q in range(LONGEST // 4):
+                if q:
+                    more = np.flatnonzero(code.length.take(byte) > 4 * q)
+                    byte, hs = byte.take(more), [h.take(more) for h in hs]
+                at = byte.astype(np.intp)
+                value, before = code.nibble[q].take(at), code.before[q].take(at)
+                for c, h, bits in zip(counts, hs, BITS):
+                    cell = group(h, before, bits)
+                    cell += value
+                    np.add.at(c, cell, one)
 
 
 def stretched(cells: np.ndarray) -> np.ndarray:
@@ -234,7 +253,7 @@ def score_bytes(model: Model, byte: np.ndarray, hs: list[np.ndarray]) -> np.ndar
     for at in range(0, len(byte), CHUNK):
         b = byte[at:at + CHUNK]
         order = np.argsort(-size.take(b), kind="stable")  # long codes first: a bit concerns a prefix of the chunk
-        b = b.take(order)
+        b = b.take(order).astype(np.intp)
         live = len(b) - np.cumsum(np.bincount(size.take(b), minlength=LONGEST + 1))
         own = [h[at:at + CHUNK].take(order) for h in hs]
         cost, odds = np.zeros(len(b), np.float32), np.ones(len(b), np.float32)
@@ -273,8 +292,8 @@ def score_texts(model: Model, texts: list[bytes]) -> np.ndarray:
     """log10 probability of each text and its end mark."""
     out = np.zeros(len(texts))
     for buffer, who, sizes in _runs(texts):
-        byte, hs = contexts(buffer, sizes)
-        cost = np.add.reduceat(score_bytes(model, byte, hs).astype(np.float64), np.cumsum([0] + sizes[:-1]))
+        nats = [score_bytes(model, *contexts(*piece)) for piece in _pieces(buffer, sizes)]
+        cost = np.add.reduceat(np.concatenate(nats).astype(np.float64), np.cumsum([0] + sizes[:-1]))
         np.add.at(out, who, cost)
     return -out / np.log(10)
 
@@ -290,13 +309,16 @@ class Fit:
 
     def learn(self, texts: list[bytes]) -> None:
         for buffer, _, sizes in _runs(texts):
-            byte, hs = contexts(buffer, sizes)
-            cells: list[np.ndarray] = []
+            found = [contexts(*piece) for piece in _pieces(buffer, sizes)]
+            byte = np.concatenate([b for b, _ in found])
+            hs = [np.concatenate(h) for h in zip(*[h for _, h in found])]
+            n = np.zeros(2 * len(self.map_n), np.int64)
             for at in range(0, len(byte), FIT_CHUNK):
+                cells: list[np.ndarray] = []
                 self._step(byte[at:at + FIT_CHUNK], [h[at:at + FIT_CHUNK] for h in hs], cells)
-            n = np.bincount(np.concatenate(cells), minlength=2 * len(self.map_n)).reshape(-1, 2)
-            self.map_n += n.sum(axis=1)
-            self.map_one += n[:, 1]
+                n += np.bincount(np.concatenate(cells), minlength=len(n))
+            self.map_n += n[::2] + n[1::2]
+            self.map_one += n[1::2]
 
     def _step(self, b: np.ndarray, hs: list[np.ndarray], cells: list[np.ndarray]) -> None:
         """Update the weights; the map cells met (twice the cell, plus the bit) are appended to ``cells``.
@@ -304,10 +326,10 @@ class Fit:
         As in scoring, long codes come first, so that a bit concerns a prefix of the chunk, and a nibble's 16 cells
         are fetched once for its four bits; sums over gates are products with the gates' indicator matrix.
         """
-        code, kinds = self.code, len(self.tables)
+        code, kinds, indicator = self.code, len(self.tables), np.eye(GATES, dtype=np.float32)
         size = code.length.astype(np.int8).take(b)
         order = np.argsort(-size, kind="stable")
-        b, hs = b.take(order), [h.take(order) for h in hs]
+        b, hs = b.take(order).astype(np.intp), [h.take(order) for h in hs]
         live = len(b) - np.cumsum(np.bincount(size, minlength=LONGEST + 1))
         for t in range(LONGEST):
             n = int(live[t])
@@ -320,8 +342,7 @@ class Fit:
                         for table, h, bits in zip(self.tables, hs, BITS)]
                 gate = (rows[-2][:, 0].astype(np.int64) << 2) + rows[-1][:, 0]
                 line = np.arange(n) * 16
-                at_gate = np.zeros((n, GATES), np.float32)
-                at_gate.reshape(-1)[line + gate] = 1
+                at_gate = indicator.take(gate, axis=0)
             cell = code.node[t].take(b)
             cell += line[:n]
             st = np.empty((kinds, n), np.float32)

@@ -476,3 +476,17 @@ def test_lm_all_training_documents_update_the_weights(spark, monkeypatch):
     model = lm_mixing.train_model(train, F.col("doc_id") % 2 == 0, counts)
     raw = b"".join(lm_mixing._lower(t + "\0" for t in texts[:30])).replace(b"\0", bytes([lm_mixing.PAD]))
     assert seen == [sum(int(model.code.length[b]) for b in raw)]
+
+
+def test_lm_contexts_by_pieces_are_those_of_the_run():
+    """Cache-sized pieces of a run give every byte the context that the whole run gives it."""
+    texts = [t.lower() for t in hashing.as_bytes([*EDGE, "a" * 700, *(prose(k, 40) for k in range(30))])]
+    for buffer, _, sizes in lm_mixing._runs(texts, 20_000):
+        pieces = list(lm_mixing._pieces(buffer, sizes, 1_000))
+        assert [n for _, own in pieces for n in own] == sizes
+        assert all(len(own) == 1 or sum(own) <= 1_000 for _, own in pieces)
+        byte, hashes = lm_mixing.contexts(buffer, sizes)
+        found = [lm_mixing.contexts(*piece) for piece in pieces]
+        assert (byte == [b for own, _ in found for b in own]).all()
+        for k, h in enumerate(hashes):
+            assert (h == [x for _, own in found for x in own[k]]).all()
