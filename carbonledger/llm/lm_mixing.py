@@ -39,6 +39,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -69,9 +70,11 @@ _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D2
 class Code:
     """A prefix code of the 256 byte values for given frequencies, at most LONGEST bits long.
 
-    Common bytes get short codes, so that a byte is few binary decisions.  Bit t of byte b: ``bit[t][b]``; its
-    place in the tree: ``node[t][b]`` (cell 1 to 15 in the group of its four bits) and ``sofar[t][b]`` (the bits
-    before it, folded to 12 bits, with the depth).
+    Common bytes get short codes, so that a byte is few binary decisions.  ``rank`` orders the bytes by falling
+    code, longest codes first: among bytes in this order those that have a bit t are in front, and those that meet
+    in a node of the code's tree lie side by side, the ones whose next bit is 1 before the ones whose bit is 0.
+    ``nodes`` has a row for each node, by its bits t: its bounds as ranks (first, first with bit 0, end), its cell (1
+    to 15) in the group of its four bits, the middle bucket of its map cells (of the bits so far, folded to 8), and t.
     """
 
     def __init__(self, frequency: np.ndarray):
@@ -89,13 +92,24 @@ class Code:
         full = word << (LONGEST - length)
         self.nibble = [((full >> (LONGEST - 4 * (q + 1))) & 15).astype(np.int64) for q in range(LONGEST // 4)]
         self.before = [(full >> (LONGEST - 4 * q)).astype(np.uint64) for q in range(LONGEST // 4)]
-        self.bit = [((full >> (LONGEST - 1 - t)) & 1).astype(bool) for t in range(LONGEST)]
-        done = [full >> (LONGEST - t) for t in range(LONGEST)]
-        self.node = [((1 << t % 4) | (done[t] & ((1 << t % 4) - 1))).astype(np.int64) for t in range(LONGEST)]
-        self.sofar = [((1 << min(t, 8)) | (done[t] & ((1 << min(t, 8)) - 1))).astype(np.int64)
-                      for t in range(LONGEST)]
-        self.at_map = [s * BUCKETS + BUCKETS // 2 for s in self.sofar]  # middle bucket of a node's map cells
-        self.half = [np.where(y, np.float32(-0.5), np.float32(0.5)) for y in self.bit]
+        self.mixed = [before * _K[2] for before in self.before]
+        by_rank = np.lexsort((-full, -length))
+        self.rank = np.empty(256, np.uint8)
+        self.rank[by_rank] = np.arange(256)
+        self.nodes = np.concatenate([self._nodes(full[by_rank], length[by_rank], t) for t in range(LONGEST)])
+
+    @staticmethod
+    def _nodes(full: np.ndarray, length: np.ndarray, t: int) -> np.ndarray:
+        full = full[length > t]  # the bytes that have a bit t are in front
+        done, bit = full >> (LONGEST - t), (full >> (LONGEST - 1 - t)) & 1
+        first = np.flatnonzero(np.diff(done, prepend=-1))
+        end = np.append(first[1:], len(full)) if len(first) else first
+        zero = first + (np.add.reduceat(bit, first) if len(first) else 0)
+        done = done[first]
+        cell = (1 << t % 4) | (done & ((1 << t % 4) - 1))
+        sofar = (1 << min(t, 8)) | (done & ((1 << min(t, 8)) - 1))
+        return np.column_stack([first, zero, end, cell, sofar * BUCKETS + BUCKETS // 2,
+                                np.full(len(first), t)])
 
     @staticmethod
     def _lengths(weight: np.ndarray) -> np.ndarray:
@@ -137,8 +151,12 @@ def _runs(texts: list[bytes], size: int = RUN) -> Iterator[tuple[np.ndarray, lis
 def contexts(buffer: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, list[np.ndarray]]:
     """(coded bytes, per predictor a 64-bit hash of each byte's context)."""
     n = len(buffer)
-    at = np.arange(n - 8 * len(sizes)) + np.repeat(8 * np.arange(1, len(sizes) + 1), sizes)
-    before = np.ndarray((n - 7,), "<u8", buffer, strides=(1,)).take(at - 8)  # the eight bytes before each coded one
+    stops = list(accumulate(8 + size for size in sizes))
+
+    def coded(of: np.ndarray, back: int = 0) -> np.ndarray:
+        return np.concatenate([of[stop - size - back:stop - back] for size, stop in zip(sizes, stops)])
+
+    before = coded(np.ndarray((n - 7,), "<u8", buffer, strides=(1,)), 8)  # the eight bytes before each coded one
     begin = np.flatnonzero(hashing.is_space(buffer) | (buffer == PAD)) + 1  # of the words; a part begins with PAD
     begin = np.concatenate([[0], begin])
     power, inverse = hashing._tables(n + 1)
@@ -151,12 +169,12 @@ def contexts(buffer: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, list[np.
     long = np.diff(np.append(begin, n + 1))
     word = total - np.repeat(total.take(begin), long)
     word *= np.repeat(inverse.take(begin), long)
-    raw = [before >> np.uint64(64 - 8 * o) for o in ORDERS] + [word.take(at)]
+    raw = [before >> np.uint64(64 - 8 * o) for o in ORDERS] + [coded(word)]
     for k, h in enumerate(raw):
         h += np.uint64(k + 1)
         h *= _K[0]
         h ^= h >> np.uint64(29)
-    return buffer.take(at), raw
+    return coded(buffer), raw
 
 
 def _pieces(buffer: np.ndarray, sizes: list[int], size: int = CHUNK) -> Iterator[tuple[np.ndarray, list[int]]]:
@@ -172,19 +190,84 @@ def _pieces(buffer: np.ndarray, sizes: list[int], size: int = CHUNK) -> Iterator
     yield buffer[at:stop], sizes[first:]
 
 
-def group(h: np.ndarray, before: np.ndarray, bits: int) -> np.ndarray:
-    """First cell of the group of 16 of a context and the code bits already known."""
-    g = before * _K[2]
-    g += h
-    g ^= g >> np.uint64(31)
+def group(h: np.ndarray, mixed: np.ndarray | None, bits: int) -> np.ndarray:
+    """Number of the group of 16 cells of a context and the code bits already known, given as ``Code.mixed`` (None:
+    no bits yet)."""
+    if mixed is not None:
+        h = h + mixed
+    g = h >> np.uint64(31)
+    g ^= h
     g *= _K[1]
     g >>= np.uint64(64 - (bits - 4))
-    g <<= np.uint64(4)
     return g.view(np.int64)
 
 
+class Sorted:
+    """A chunk's bytes and context hashes in the order of ``Code.rank``.
+
+    ``live[t]`` bytes, all in front, have a bit t.  Of the nodes of t bits that are met, ``spans[t]`` has (start, stop,
+    cell); ``by_bit[t]`` has for each node and bit of it, 1 first, the middle bucket of the map, the bit and how many
+    bytes have it.
+    """
+
+    BIT = np.tile(np.array([1, 0], np.float32), 256)
+
+    def __init__(self, code: Code, byte: np.ndarray, hs: list[np.ndarray]):
+        rank = code.rank.take(byte)
+        self.order = rank.argsort(kind="stable")
+        self.hs = [h.take(self.order) for h in hs]
+        self.byte = byte.take(self.order).astype(np.intp)
+        edge = np.zeros(257, np.int64)
+        np.cumsum(np.bincount(rank, minlength=256), out=edge[1:])
+        first, zero, stop = edge[code.nodes[:, :3].T]
+        met = np.flatnonzero(first < stop)
+        first, zero, stop = first[met], zero[met], stop[met]
+        _, _, _, cell, middle, depth = code.nodes[met].T
+        spans = list(zip(first.tolist(), stop.tolist(), cell.tolist()))
+        middle = np.repeat(middle.astype(np.float32), 2)
+        many = np.column_stack([zero - first, stop - zero]).ravel()
+        at = np.searchsorted(depth, np.arange(LONGEST + 1)).tolist()
+        self.spans = [spans[i:j] for i, j in zip(at, at[1:])]
+        self.live = [own[-1][1] if own else 0 for own in self.spans]
+        self.by_bit = [(middle[2 * i:2 * j], self.BIT[:2 * (j - i)], many[2 * i:2 * j]) for i, j in zip(at, at[1:])]
+
+
+class Groups:
+    """The groups of 16 cells that a chunk's bytes meet, fetched once for a nibble's four bits."""
+
+    def __init__(self, code: Code, tables: list[np.ndarray]):
+        self.code, self.tables = code, [t.reshape(-1, 16) for t in tables]
+        self.room = np.empty((len(tables), max(CHUNK, FIT_CHUNK), 16), np.int8)
+
+    def fetch(self, chunk: Sorted, t: int) -> None:
+        n = chunk.live[t]
+        self.rows = self.room[:, :n]
+        mixed = self.code.mixed[t // 4].take(chunk.byte[:n]) if t else None
+        for table, h, bits, rows in zip(self.tables, chunk.hs, BITS, self.rows):
+            table.take(group(h[:n], mixed, bits), axis=0, out=rows, mode="clip")  # every group is in the table
+        self.gate = (self.rows[-2, :, 0] << 2) + self.rows[-1, :, 0].astype(np.intp)
+
+    def inputs(self, chunk: Sorted, t: int) -> np.ndarray:
+        """(predictor, byte): stretched probabilities of bit t."""
+        if t % 4 == 0:  # all in the same cell
+            return self.rows[:, :, 1].astype(np.float32, order="C")
+        st = np.empty((len(self.tables), chunk.live[t]), np.float32)
+        for i, j, cell in chunk.spans[t]:
+            st[:, i:j] = self.rows[:, i:j, cell]
+        return st
+
+
 # --- tables -----------------------------------------------------------------------------------------------------
 
+def no_counts() -> list[np.ndarray]:
+    """Zeros for every predictor's cells, written rather than left to the system: numpy asks for huge pages then, and
+    counting hits a cell at random."""
+    tables = [np.empty(1 << b, np.int32) for b in BITS]
+    for table in tables:
+        table.fill(0)
+    return tables
+
+
 def count_cells(code: Code, texts: list[bytes], counts: list[np.ndarray]) -> None:
     """Add the texts' code nibbles to each predictor's counts (a cell per group and nibble value)."""
     one = np.int32(1)
@@ -196,9 +279,10 @@ def count_cells(code: Code, texts: list[bytes], counts: list[np.ndarray]) -> Non
                     more = np.flatnonzero(code.length.take(byte) > 4 * q)
                     byte, hs = byte.take(more), [h.take(more) for h in hs]
                 at = byte.astype(np.intp)
-                value, before = code.nibble[q].take(at), code.before[q].take(at)
+                value, mixed = code.nibble[q].take(at), code.mixed[q].take(at) if q else None
                 for c, h, bits in zip(counts, hs, BITS):
-                    cell = group(h, before, bits)
+                    cell = group(h, mixed, bits)
+                    cell <<= 4
                     cell += value
                     np.add.at(c, cell, one)
 
@@ -206,7 +290,10 @@ def count_cells(code: Code, texts: list[bytes], counts: list[np.ndarray]) -> Non
 def stretched(cells: np.ndarray) -> np.ndarray:
     """Of counts per nibble value (a multiple of 16 cells): the stretched probability of each node's bit in
     sixteenths (cells 1 to 15 of a group) and how often the group was seen (cell 0: 0, 1, 2 or 3)."""
-    leaf = cells.reshape(-1, 16).astype(np.float64)
+    cells = cells.reshape(-1, 16)
+    made = np.zeros(cells.shape, np.int8)
+    met = np.flatnonzero(cells.any(axis=1))  # a group never seen is all zeros
+    leaf = cells[met].astype(np.float64)
     out = np.zeros(leaf.shape, np.int8)
     total = leaf.sum(axis=1)
     out[:, 0] = (total > 0).astype(np.int8) + (total > 2) + (total > 15)
@@ -215,7 +302,8 @@ def stretched(cells: np.ndarray) -> np.ndarray:
         st = np.log((one + 0.4) / (zero + 0.4))
         out[:, 1 << depth:2 << depth] = np.clip(np.rint(16 * st), -127, 127)
         leaf = zero + one
-    return out.reshape(-1)
+    made[met] = out
+    return made.reshape(-1)
 
 
 @dataclass
@@ -236,55 +324,47 @@ def plain_refinement() -> np.ndarray:
 
 def _steps(x: np.ndarray) -> np.ndarray:
     """Buckets above the middle one."""
-    half = BUCKETS // 2
-    y = x * np.float32(2)
-    np.clip(y, -half, half, out=y)
-    return np.rint(y, out=y).astype(np.int64)
+    y = _bounded(x * np.float32(2), BUCKETS // 2)
+    return np.rint(y, out=y)
+
+
+def _bounded(x: np.ndarray, most: int) -> np.ndarray:
+    np.minimum(x, np.float32(most), out=x)
+    return np.maximum(x, np.float32(-most), out=x)
+
+
+def _mixed(st: np.ndarray, w: np.ndarray) -> np.ndarray:
+    w *= st
+    x = w[0]
+    for more in w[1:]:
+        x += more
+    return x
 
 
 def score_bytes(model: Model, byte: np.ndarray, hs: list[np.ndarray]) -> np.ndarray:
     """Cost in nats of every byte."""
-    out, code, kinds = np.empty(len(byte), np.float32), model.code, len(BITS)
-    size = code.length.astype(np.int8)
-    tables = [t.reshape(-1, 16) for t in model.tables]
-    # Of each gate, the weights of a nibble's four bits side by side.
-    weights = [model.weights[t:t + 4].reshape(-1, GATES) for t in range(0, LONGEST, 4)]
-    line = np.arange(CHUNK) * 16
+    out, groups = np.empty(len(byte), np.float32), Groups(model.code, model.tables)
     for at in range(0, len(byte), CHUNK):
-        b = byte[at:at + CHUNK]
-        order = np.argsort(-size.take(b), kind="stable")  # long codes first: a bit concerns a prefix of the chunk
-        b = b.take(order).astype(np.intp)
-        live = len(b) - np.cumsum(np.bincount(size.take(b), minlength=LONGEST + 1))
-        own = [h[at:at + CHUNK].take(order) for h in hs]
-        cost, odds = np.zeros(len(b), np.float32), np.ones(len(b), np.float32)
-        for t in range(LONGEST):
-            n = int(live[t])
+        chunk = Sorted(model.code, byte[at:at + CHUNK], [h[at:at + CHUNK] for h in hs])
+        cost, odds = np.zeros(len(chunk.byte), np.float32), np.ones(len(chunk.byte), np.float32)
+        for t, n in enumerate(chunk.live):
             if not n:
                 break
-            b = b[:n]
             if t % 4 == 0:
-                before = code.before[t // 4].take(b)
-                rows = [table.take(group(h[:n], before, bits) >> 4, axis=0)
-                        for table, h, bits in zip(tables, own, BITS)]
-                gate = (rows[-2][:, 0] << 2) + rows[-1][:, 0]
-                w = weights[t // 4].take(gate, axis=1)
-            cell = code.node[t].take(b)
-            cell += line[:n]
-            x = rows[0].take(cell) * w[t % 4 * kinds, :n]
-            for k in range(1, kinds):
-                x += rows[k].take(cell) * w[t % 4 * kinds + k, :n]
-            at_map = code.at_map[t].take(b)
-            at_map += _steps(x)
-            x += model.refine.take(at_map)
-            x *= code.half[t].take(b)
-            np.clip(x, -12, 12, out=x)
-            np.exp(x, out=x)
+                groups.fetch(chunk, t)
+            x = _mixed(groups.inputs(chunk, t), model.weights[t].take(groups.gate[:n], axis=1))
+            middle, bit, many = chunk.by_bit[t]
+            at_map = _steps(x)
+            at_map += middle.repeat(many)
+            x += model.refine.take(at_map.astype(np.intp))
+            x *= (np.float32(0.5) - bit).repeat(many)
+            np.exp(_bounded(x, 12), out=x)
             x += np.float32(1)
             odds[:n] *= x
             if t % 4 == 3:  # the logarithm of a nibble's four bits at once
                 cost[:n] += np.log(odds[:n])
                 odds[:n] = 1
-        out[at:at + CHUNK][order] = cost + np.log(odds)
+        out[at:at + CHUNK][chunk.order] = cost + np.log(odds)
     return out
 
 
@@ -302,7 +382,7 @@ class Fit:
     """Online learning of the gated weights and the refinement map from texts in order."""
 
     def __init__(self, code: Code, tables: list[np.ndarray], weights: np.ndarray | None = None):
-        self.code, self.tables = code, tables
+        self.code, self.groups = code, Groups(code, tables)
         self.weights = first_weights() if weights is None else weights.copy()
         self.seen = np.zeros((LONGEST, GATES))
         self.map_n, self.map_one = np.zeros(512 * BUCKETS), np.zeros(512 * BUCKETS)
@@ -321,48 +401,40 @@ class Fit:
             self.map_one += n[1::2]
 
     def _step(self, b: np.ndarray, hs: list[np.ndarray], cells: list[np.ndarray]) -> None:
-        """Update the weights; the map cells met (twice the cell, plus the bit) are appended to ``cells``.
-
-        As in scoring, long codes come first, so that a bit concerns a prefix of the chunk, and a nibble's 16 cells
-        are fetched once for its four bits; sums over gates are products with the gates' indicator matrix.
-        """
-        code, kinds, indicator = self.code, len(self.tables), np.eye(GATES, dtype=np.float32)
-        size = code.length.astype(np.int8).take(b)
-        order = np.argsort(-size, kind="stable")
-        b, hs = b.take(order).astype(np.intp), [h.take(order) for h in hs]
-        live = len(b) - np.cumsum(np.bincount(size, minlength=LONGEST + 1))
-        for t in range(LONGEST):
-            n = int(live[t])
+        """Update the weights; the map cells met (twice the cell, plus the bit) are appended to ``cells``."""
+        chunk, groups = Sorted(self.code, b, hs), self.groups
+        sums = np.zeros((LONGEST, 1 + len(BITS), 8 * GATES))  # of each bit's gates: ones, then each predictor's slopes
+        for t, n in enumerate(chunk.live):
             if not n:
                 break
-            b = b[:n]
             if t % 4 == 0:
-                before = code.before[t // 4].take(b)
-                rows = [table.reshape(-1, 16).take(group(h[:n], before, bits) >> 4, axis=0)
-                        for table, h, bits in zip(self.tables, hs, BITS)]
-                gate = (rows[-2][:, 0].astype(np.int64) << 2) + rows[-1][:, 0]
-                line = np.arange(n) * 16
-                at_gate = indicator.take(gate, axis=0)
-            cell = code.node[t].take(b)
-            cell += line[:n]
-            st = np.empty((kinds, n), np.float32)
-            for k in range(kinds):
-                st[k] = rows[k].take(cell)
-            own, gate = at_gate[:n], gate[:n]
-            x = st[0] * self.weights[t, 0].take(gate)
-            for k in range(1, kinds):
-                x += st[k] * self.weights[t, k].take(gate)
-            np.clip(x, -12, 12, out=x)
-            y = code.bit[t].take(b)
-            at_map = code.at_map[t].take(b)
-            at_map += _steps(x)
-            cells.append(2 * at_map + y)
-            error = y - 1 / (1 + np.exp(-x))
-            count = np.bincount(gate, minlength=GATES)
-            self.seen[t] += count
-            rate = RATE / 256 * np.minimum(1, count / 64) / np.maximum(count, 1) / np.sqrt(1 + self.seen[t] / 2e5)
+                groups.fetch(chunk, t)
+                lane = groups.gate + LANE[:n]
+            st = groups.inputs(chunk, t)
+            x = _bounded(_mixed(st, self.weights[t].take(groups.gate[:n], axis=1)), 12)
+            middle, bit, many = chunk.by_bit[t]
+            at_map = _steps(x)
+            at_map *= np.float32(2)
+            at_map += (np.float32(2) * middle + bit).repeat(many)
+            cells.append(at_map.astype(np.intp))
+            np.exp(np.negative(x, out=x), out=x)
+            x += np.float32(1)
+            error = np.divide(np.float32(-1), x, out=x)
+            error += bit.repeat(many)
             st *= error
-            self.weights[t] += (rate * (st @ own)).astype(np.float32)
+            sums[t, 0] = np.bincount(lane[:n], minlength=8 * GATES)
+            for k, own in enumerate(st, 1):
+                sums[t, k] = np.bincount(lane[:n], own, 8 * GATES)
+        sums = sums.reshape(LONGEST, -1, 8, GATES).sum(axis=2)
+        count, slope = sums[:, 0], sums[:, 1:]
+        self.seen += count
+        rate = RATE / 256 * np.minimum(1, count / 64) / np.maximum(count, 1) / np.sqrt(1 + self.seen / 2e5)
+        self.weights += (rate[:, None] * slope).astype(np.float32)
+
+
+# Sums over a few gates wait for one another when neighbours share a gate, so each of eight neighbours has its own.
+LANE = np.arange(FIT_CHUNK) % 8 * GATES
+
 
 
 def refinement(n: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -412,7 +484,7 @@ def context_cells(train: DataFrame, code: Code, part: str) -> DataFrame:
     ``src`` is the task's partition."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = [np.zeros(1 << b, np.int32) for b in BITS]
+        tables = no_counts()
         for pdf in batches:
             for run in hashing.runs(list(pdf["text"])):
                 count_cells(code, _lower(run), tables)

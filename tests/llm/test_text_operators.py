@@ -490,3 +490,37 @@ def test_lm_contexts_by_pieces_are_those_of_the_run():
         assert (byte == [b for own, _ in found for b in own]).all()
         for k, h in enumerate(hashes):
             assert (h == [x for _, own in found for x in own[k]]).all()
+
+
+def test_lm_bytes_that_meet_in_a_node_lie_side_by_side():
+    """A chunk in code order needs no look-up per byte and bit: nodes are spans; costs are those of a plain loop."""
+    import numpy as np
+    text = (prose(3, 300) + " é 漢 \x00").encode() + bytes([lm_mixing.PAD])
+    code = lm_mixing.Code(np.bincount(np.frombuffer(text, np.uint8), minlength=256))
+    cells = [np.zeros(1 << b, np.int32) for b in lm_mixing.BITS]
+    lm_mixing.count_cells(code, [text[:900]], cells)
+    model = lm_mixing.Model(code, [lm_mixing.stretched(c) for c in cells], lm_mixing.first_weights(),
+                            lm_mixing.plain_refinement())
+    buffer, _, sizes = next(lm_mixing._runs([text[:-1]]))
+    byte, hs = lm_mixing.contexts(buffer, sizes)
+    chunk = lm_mixing.Sorted(code, byte, hs)
+    groups = lm_mixing.Groups(code, model.tables)
+    word = {b: "".join(f"{code.nibble[q][b]:04b}" for q in range(4))[:code.length[b]] for b in range(256)}
+    placed = [word[b] for b in chunk.byte]
+    cost = np.zeros(len(placed))
+    for t, n in enumerate(chunk.live):
+        assert [len(w) > t for w in placed] == [True] * n + [False] * (len(placed) - n)
+        assert [len({w[:t] for w in placed[i:j]}) for i, j, _ in chunk.spans[t]] == [1] * len(chunk.spans[t])
+        assert sum(j - i for i, j, _ in chunk.spans[t]) == n
+        middle, bit, many = chunk.by_bit[t]
+        bits = np.repeat(bit, many)
+        assert [int(w[t]) for w in placed[:n]] == bits.tolist()
+        if n and t % 4 == 0:
+            groups.fetch(chunk, t)
+        x = 0.3 / 16 * groups.inputs(chunk, t).sum(axis=0) if n else np.zeros(0)
+        step = np.rint(np.clip(2 * x, -16, 16))
+        x = (x + step / 2) / 2
+        cost[:n] += np.log1p(np.exp(np.where(bits == 1, -x, x)))
+    assert np.allclose(lm_mixing.score_bytes(model, byte, hs)[chunk.order], cost, rtol=1e-3)
+    seen = cells[0].reshape(-1, 16).any(axis=1)
+    assert not lm_mixing.stretched(cells[0]).reshape(-1, 16)[~seen].any()
